@@ -123,6 +123,15 @@ def trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("value") / 100.0).alias("gradient_norm"))
 
 
+def child_energies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Energies of defluorinated children, keyed ``<id>_defluorined``."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.concat(F.col("o_orderkey").cast("string"), F.lit("_defluorined")).alias("unique_id"),
+        (-F.col("o_totalprice") / 1000.0 + 99.5 + (F.col("o_custkey") % 7) / 100.0)
+        .alias("energy_hartree"))
+
+
 def conformers(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_orderkey").cast("string").alias("unique_id"),
@@ -180,6 +189,10 @@ SQL = {
       SELECT CAST(user_id AS VARCHAR) AS unique_id, ts, event_id, value AS energy,
              value / 100.0 AS gradient_norm
       FROM events""",
+    "child_energies": """
+      SELECT CAST(o_orderkey AS VARCHAR) || '_defluorined' AS unique_id,
+             -o_totalprice / 1000.0 + 99.5 + (o_custkey % 7) / 100.0 AS energy_hartree
+      FROM orders""",
     "conformers": """
       SELECT CAST(l_orderkey AS VARCHAR) AS unique_id, l_linenumber AS conf_id, l_partkey,
              l_suppkey, l_extendedprice / 1000.0 AS energy_kcal
@@ -190,7 +203,8 @@ SQL = {
 def with_views(sql: str, *names: str, ctes: list[tuple[str, str]] | None = None) -> str:
     """Prefix ``sql`` with the bridge views it needs as CTEs (dependency order),
     followed by any extra ``(name, body)`` CTEs of the query itself."""
-    order = ["molecules", "atoms", "bonds", "orbitals", "predictions", "trajectory", "conformers"]
+    order = ["molecules", "atoms", "bonds", "orbitals", "predictions", "trajectory",
+             "child_energies", "conformers"]
     need = set(names)
     if "bonds" in need:
         need.add("atoms")

@@ -16,11 +16,38 @@ SPARK = {}
 ORACLE = {}
 
 
+def _positive_zero_rounds(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(0.0 + round(...))``: DuckDB keeps the
+    sign of a rounded negative zero, Spark does not."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        k = low.find("round(", i)
+        if k < 0 or (k > 0 and (low[k - 1].isalnum() or low[k - 1] == "_")):
+            if k < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:k + 6])
+            i = k + 6
+            continue
+        depth, j = 0, k + 5
+        while j < len(sql):
+            if sql[j] == "(":
+                depth += 1
+            elif sql[j] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            j += 1
+        inner = _positive_zero_rounds(sql[k + 6:j])
+        out.append(sql[i:k] + "(0.0 + round(" + inner + "))")
+        i = j + 1
+
+
 def register(name, sql=None):
     def deco(fn):
         SPARK[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _positive_zero_rounds(sql)
         return fn
     return deco
 
@@ -66,3 +93,215 @@ def q_combustion_heat(spark, sf_dir):
     return out.select("unique_id", F.col("num_atoms").cast("long").alias("num_atoms"),
                       r4(F.col("combustion_heat_ev")).alias("combustion_heat_ev"),
                       "combustion_reaction", "combustion_status")
+
+
+def rk(c, k):
+    return F.round(c, k)
+
+
+# --- composition: element counts, parity, closed shell (A1, A2, A5, P7) -----
+@register("element_counts", br.with_views(f"""
+SELECT unique_id, n_C, n_H, n_N, n_O, n_F, n_S, num_atoms, n_unsupported,
+       {sqlgen.hill_formula_sql()} AS formula
+FROM (SELECT unique_id, {sqlgen.count_aggs()} FROM atoms GROUP BY unique_id) c""", "atoms"))
+def q_element_counts(spark, sf_dir):
+    from molspark.operators.composition import element_counts, hill_formula
+    c = element_counts(br.atoms(spark, sf_dir, with_z=False))
+    return c.select("unique_id", "n_C", "n_H", "n_N", "n_O", "n_F", "n_S", "num_atoms",
+                    "n_unsupported", hill_formula().alias("formula"))
+
+
+_PARITY_SQL = """
+SELECT m.unique_id, m.charge,
+       CAST(((coalesce(p.zpar, 0) - ((m.charge % 2) + 2) % 2) % 2 + 2) % 2 AS INTEGER)
+         AS unpaired_electrons,
+       CAST(1 + ((coalesce(p.zpar, 0) - ((m.charge % 2) + 2) % 2) % 2 + 2) % 2 AS INTEGER)
+         AS multiplicity
+FROM molecules m LEFT JOIN (SELECT unique_id, sum(z_num % 2) AS zpar FROM atoms GROUP BY 1) p
+  ON m.unique_id = p.unique_id"""
+
+
+@register("electron_parity", br.with_views(_PARITY_SQL, "molecules", "atoms"))
+def q_electron_parity(spark, sf_dir):
+    from molspark.operators.composition import unpaired_electrons
+    m = unpaired_electrons(br.molecules(spark, sf_dir), br.atoms(spark, sf_dir))
+    return m.select("unique_id", "charge", "unpaired_electrons", "multiplicity")
+
+
+@register("closed_shell_filter", br.with_views(f"""
+SELECT unique_id, charge FROM ({_PARITY_SQL}) t WHERE unpaired_electrons = 0""",
+                                               "molecules", "atoms"))
+def q_closed_shell(spark, sf_dir):
+    from molspark.operators.composition import unpaired_electrons
+    from molspark.operators.qc import closed_shell
+    ok, _open = closed_shell(unpaired_electrons(br.molecules(spark, sf_dir),
+                                                br.atoms(spark, sf_dir)))
+    return ok.select("unique_id", "charge")
+
+
+# --- pair layer (J4, J5, A15, A16, A38) ---------------------------------------
+_PAIRS_CTE = ("pairs", """
+  SELECT a.unique_id, a.atom_idx AS i, b.atom_idx AS j, a.charge AS qi, b.charge AS qj,
+         sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) + (b.z - a.z) * (b.z - a.z)) AS d
+  FROM atoms a JOIN atoms b ON a.unique_id = b.unique_id AND a.atom_idx < b.atom_idx""")
+
+
+def _exp_cut_sql(d, rc):
+    u = f"least(greatest({d} / {rc!r}, 0.0), {1.0 - 1e-6!r})"
+    return f"(exp(-1.0 / (1.0 - {u} * {u})) / {__import__('math').exp(-1.0)!r})"
+
+
+@register("coulomb_lr", br.with_views(f"""
+SELECT unique_id, round(sum((1.0 - {_exp_cut_sql('d', 4.6)}) * qi * qj / d) * {COULOMB!r}, 4)
+         AS coulomb_lr_ev
+FROM pairs WHERE d > 0.1 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE])
+          if (COULOMB := __import__("molspark.functions.units", fromlist=["x"]).COULOMB_EV_ANGSTROM)
+          else None)
+def q_coulomb_lr(spark, sf_dir):
+    from molspark.operators.pairs import coulomb_energy
+    e = coulomb_energy(br.atoms(spark, sf_dir, with_z=False), min_distance=0.1)
+    return e.select("unique_id", rk(F.col("coulomb_lr_ev"), 4).alias("coulomb_lr_ev"))
+
+
+@register("coulomb_sr", br.with_views(f"""
+SELECT unique_id, round(sum({_exp_cut_sql('d', 4.6)} * qi * qj / d) * {COULOMB!r}, 4)
+         AS coulomb_sr_ev
+FROM pairs WHERE d > 0.1 AND d < 4.6 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE]))
+def q_coulomb_sr(spark, sf_dir):
+    from molspark.operators.pairs import coulomb_energy_sr
+    e = coulomb_energy_sr(br.atoms(spark, sf_dir, with_z=False), min_distance=0.1)
+    return e.select("unique_id", rk(F.col("coulomb_sr_ev"), 4).alias("coulomb_sr_ev"))
+
+
+@register("neighbour_counts", br.with_views("""
+SELECT unique_id, CAST(max(n) AS BIGINT) AS max_neighbours, CAST(sum(n) AS BIGINT) AS sum_neighbours
+FROM (SELECT unique_id, atom_idx, count(*) AS n FROM (
+        SELECT unique_id, i AS atom_idx FROM pairs WHERE d < 5.0
+        UNION ALL SELECT unique_id, j AS atom_idx FROM pairs WHERE d < 5.0) e
+      GROUP BY 1, 2) c
+GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE]))
+def q_neighbour_counts(spark, sf_dir):
+    from molspark.operators.pairs import neighbour_counts, neighbour_list
+    nl = neighbour_list(br.atoms(spark, sf_dir, with_z=False), cutoff=5.0)
+    return neighbour_counts(nl)
+
+
+# --- moments and forces (A10, A11, A12, A19, A20) ----------------------------
+@register("dipole_moment", br.with_views(f"""
+SELECT unique_id, round(sx, 4) AS dipole_x, round(sy, 4) AS dipole_y, round(sz, 4) AS dipole_z,
+       round(sqrt(sx * sx + sy * sy + sz * sz) * {4.80320471!r}, 4) AS dipole_debye
+FROM (SELECT unique_id, sum(charge * x) AS sx, sum(charge * y) AS sy, sum(charge * z) AS sz
+      FROM atoms GROUP BY 1) t""", "atoms"))
+def q_dipole(spark, sf_dir):
+    from molspark.operators.geometry import dipole
+    d = dipole(br.atoms(spark, sf_dir, with_z=False))
+    return d.select("unique_id", *[rk(F.col(c), 4).alias(c) for c in
+                                   ("dipole_x", "dipole_y", "dipole_z", "dipole_debye")])
+
+
+@register("quadrupole_moment", br.with_views("""
+SELECT unique_id, round(xx - (xx + yy + zz) / 3.0, 6) AS quad_xx,
+       round(yy - (xx + yy + zz) / 3.0, 6) AS quad_yy, round(zz - (xx + yy + zz) / 3.0, 6) AS quad_zz,
+       round(xy, 6) AS quad_xy, round(yz, 6) AS quad_yz, round(zx, 6) AS quad_zx
+FROM (SELECT unique_id, sum(charge * x * x) AS xx, sum(charge * y * y) AS yy,
+             sum(charge * z * z) AS zz, sum(charge * x * y) AS xy, sum(charge * y * z) AS yz,
+             sum(charge * z * x) AS zx FROM atoms GROUP BY 1) t""", "atoms"))
+def q_quadrupole(spark, sf_dir):
+    from molspark.operators.geometry import quadrupole
+    d = quadrupole(br.atoms(spark, sf_dir, with_z=False))
+    return d.select("unique_id", *[rk(F.col(c), 6).alias(c) for c in
+                                   ("quad_xx", "quad_yy", "quad_zz", "quad_xy", "quad_yz",
+                                    "quad_zx")])
+
+
+@register("centre_of_mass", br.with_views("""
+SELECT a.unique_id, round(sum(p.mass * a.x) / sum(p.mass), 6) AS cx,
+       round(sum(p.mass * a.y) / sum(p.mass), 6) AS cy,
+       round(sum(p.mass * a.z) / sum(p.mass), 6) AS cz
+FROM atoms a JOIN periodic p ON a.z_num = p.z_num GROUP BY a.unique_id""", "atoms",
+                                          ctes=[("periodic", "SELECT * FROM " + __import__(
+                                              "molspark.refdata", fromlist=["x"]).sql_values_periodic())]))
+def q_centre_of_mass(spark, sf_dir):
+    from molspark.operators.geometry import centroid
+    from molspark.refdata import periodic_ref
+    a = br.atoms(spark, sf_dir).join(F.broadcast(periodic_ref(spark).select("z_num", "mass")),
+                                     "z_num")
+    c = centroid(a, mass_col="mass")
+    return c.select("unique_id", *[rk(F.col(k), 6).alias(k) for k in ("cx", "cy", "cz")])
+
+
+@register("charge_equilibration", br.with_views("""
+SELECT a.unique_id, round(sum(abs(a.charge + a.f / (t.sf + 1e-6) * (coalesce(m.charge, 0) - t.sq))), 6)
+         AS sum_abs_q, round(sum(a.charge + a.f / (t.sf + 1e-6) * (coalesce(m.charge, 0) - t.sq)), 4)
+         AS total_q
+FROM (SELECT *, 1.0 + z_num / 10.0 AS f FROM atoms) a
+JOIN (SELECT unique_id, sum(1.0 + z_num / 10.0) AS sf, sum(charge) AS sq FROM atoms GROUP BY 1) t
+  ON a.unique_id = t.unique_id
+LEFT JOIN molecules m ON a.unique_id = m.unique_id
+GROUP BY a.unique_id""", "molecules", "atoms"))
+def q_charge_equilibration(spark, sf_dir):
+    from molspark.operators.geometry import equilibrate_charges
+    a = br.atoms(spark, sf_dir).withColumn("f", F.lit(1.0) + F.col("z_num") / 10.0)
+    eq = equilibrate_charges(a, br.molecules(spark, sf_dir), f_col="f")
+    return eq.groupBy("unique_id").agg(
+        rk(F.sum(F.abs("charge_eq")), 6).alias("sum_abs_q"), rk(F.sum("charge_eq"), 4).alias("total_q"))
+
+
+@register("max_force", br.with_views("""
+SELECT unique_id, round(max(sqrt(forces_x * forces_x + forces_y * forces_y + forces_z * forces_z)), 8)
+         AS fmax,
+       max(sqrt(forces_x * forces_x + forces_y * forces_y + forces_z * forces_z)) < 0.005 AS converged
+FROM atoms GROUP BY unique_id""", "atoms"))
+def q_max_force(spark, sf_dir):
+    from molspark.operators.geometry import converged_by_forces
+    c = converged_by_forces(br.atoms(spark, sf_dir, with_z=False), fmax=0.005)
+    return c.select("unique_id", rk(F.col("fmax"), 8).alias("fmax"), "converged")
+
+
+# --- frontier levels (A29-A32) --------------------------------------------------
+_SPIN_CTE = ("per_spin", """
+  SELECT unique_id, spin, arg_max(energy, orb_idx) FILTER (WHERE occ > 0) AS homo,
+         arg_min(energy, orb_idx) FILTER (WHERE occ = 0) AS lumo
+  FROM orbitals GROUP BY 1, 2""")
+
+
+@register("frontier_levels", br.with_views(f"""
+SELECT unique_id, round(max(homo) * {HARTREE_EV!r}, 4) AS homo_ev,
+       round(min(lumo) * {HARTREE_EV!r}, 4) AS lumo_ev, CAST(count(*) AS INTEGER) AS n_spin
+FROM per_spin GROUP BY unique_id""", "orbitals", ctes=[_SPIN_CTE]))
+def q_frontier(spark, sf_dir):
+    from molspark.operators.levels import frontier_levels
+    f = frontier_levels(br.orbitals(spark, sf_dir))
+    return f.select("unique_id", rk(F.col("homo_ev"), 4).alias("homo_ev"),
+                    rk(F.col("lumo_ev"), 4).alias("lumo_ev"), "n_spin")
+
+
+@register("frontier_levels_avg", br.with_views(f"""
+SELECT unique_id,
+       round(CASE WHEN count(*) = 2 THEN avg(homo) * {HARTREE_EV!r} END, 4) AS homo_avg_ev,
+       round(CASE WHEN count(*) = 2 THEN avg(lumo) * {HARTREE_EV!r} END, 4) AS lumo_avg_ev
+FROM per_spin GROUP BY unique_id""", "orbitals", ctes=[_SPIN_CTE]))
+def q_frontier_avg(spark, sf_dir):
+    from molspark.operators.levels import frontier_levels_avg
+    f = frontier_levels_avg(br.orbitals(spark, sf_dir))
+    return f.select("unique_id", rk(F.col("homo_avg_ev"), 4).alias("homo_avg_ev"),
+                    rk(F.col("lumo_avg_ev"), 4).alias("lumo_avg_ev"))
+
+
+@register("frontier_levels_effective", br.with_views(f"""
+SELECT unique_id,
+       round(arg_max(least(e_a, e_b), orb_idx) FILTER (WHERE o_a + o_b >= 1.0) * {HARTREE_EV!r}, 4)
+         AS homo_eff_ev,
+       round(arg_min(greatest(e_a, e_b), orb_idx) FILTER (WHERE o_a + o_b < 1.0) * {HARTREE_EV!r}, 4)
+         AS lumo_eff_ev
+FROM (SELECT unique_id, orb_idx, max(CASE WHEN spin = 0 THEN energy END) AS e_a,
+             max(CASE WHEN spin = 1 THEN energy END) AS e_b,
+             max(CASE WHEN spin = 0 THEN occ END) AS o_a, max(CASE WHEN spin = 1 THEN occ END) AS o_b
+      FROM orbitals GROUP BY 1, 2) p
+WHERE e_a IS NOT NULL AND e_b IS NOT NULL
+GROUP BY unique_id""", "orbitals"))
+def q_frontier_eff(spark, sf_dir):
+    from molspark.operators.levels import frontier_levels_effective
+    f = frontier_levels_effective(br.orbitals(spark, sf_dir))
+    return f.select("unique_id", rk(F.col("homo_eff_ev"), 4).alias("homo_eff_ev"),
+                    rk(F.col("lumo_eff_ev"), 4).alias("lumo_eff_ev"))
