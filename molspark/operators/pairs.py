@@ -33,9 +33,11 @@ DEFAULT_BLOCK = 256
 
 
 def _block_counts(atoms: DataFrame, key: str, block_size: int) -> DataFrame:
-    """Number of atom blocks per molecule (one row per molecule)."""
+    """Number of atom blocks per molecule (one row per molecule). Counting
+    (rather than ``max(atom_idx)``) needs no column but the key, so Spark
+    reads only the key for this side and combines map-side."""
     return atoms.groupBy(key).agg(
-        (F.floor(F.max("atom_idx") / F.lit(block_size)) + F.lit(1)).cast("int").alias("_nb"))
+        F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("int").alias("_nb"))
 
 
 def _side(atoms: DataFrame, key: str, cols: Sequence[str], suffix: str) -> DataFrame:

@@ -305,3 +305,118 @@ def q_frontier_eff(spark, sf_dir):
     f = frontier_levels_effective(br.orbitals(spark, sf_dir))
     return f.select("unique_id", rk(F.col("homo_eff_ev"), 4).alias("homo_eff_ev"),
                     rk(F.col("lumo_eff_ev"), 4).alias("lumo_eff_ev"))
+
+
+# --- fluoride BDE chain (P15, P16, J10, W5, W9, J9, A33) -----------------------
+_BDE_SQL = br.with_views(f"""
+SELECT v.unique_id, v.unique_id || '_defluorined' AS child_id, v.f_idx, v.partner AS old_f_bonded_atom,
+       CAST(m.charge + 1 AS INTEGER) AS child_charge,
+       CAST(ca.n AS BIGINT) AS child_num_atoms,
+       round((c.energy_hartree + {en.F_ANION_ENERGY_HARTREE!r} - m.energy_hartree) * {HARTREE_EV!r}, 4)
+         AS fluoride_bde_ev
+FROM victims v
+JOIN molecules m ON m.unique_id = v.unique_id
+LEFT JOIN child_energies c ON c.unique_id = v.unique_id || '_defluorined'
+JOIN (SELECT a.unique_id, count(*) AS n FROM atoms a JOIN victims v2 ON a.unique_id = v2.unique_id
+      WHERE a.atom_idx <> v2.f_idx GROUP BY 1) ca ON ca.unique_id = v.unique_id""",
+    "molecules", "atoms", "bonds", "child_energies", ctes=[
+        ("eligible", """SELECT m.unique_id FROM molecules m WHERE coalesce(m.charge, 0) <= 0
+                        AND EXISTS (SELECT 1 FROM atoms a WHERE a.unique_id = m.unique_id
+                                    AND a.element = 'F')"""),
+        ("fb", """SELECT b.unique_id, b.bond_idx, ai.element AS el_i, aj.element AS el_j,
+                         sqrt((aj.x - ai.x) * (aj.x - ai.x) + (aj.y - ai.y) * (aj.y - ai.y)
+                              + (aj.z - ai.z) * (aj.z - ai.z)) AS length,
+                         CASE WHEN ai.element = 'F' THEN b.i ELSE b.j END AS f_idx,
+                         CASE WHEN ai.element = 'F' THEN aj.element ELSE ai.element END AS partner
+                  FROM bonds b
+                  JOIN atoms ai ON ai.unique_id = b.unique_id AND ai.atom_idx = b.i
+                  JOIN atoms aj ON aj.unique_id = b.unique_id AND aj.atom_idx = b.j
+                  WHERE (ai.element = 'F' OR aj.element = 'F')
+                    AND b.unique_id IN (SELECT unique_id FROM eligible)"""),
+        ("victims", """SELECT unique_id, f_idx, partner FROM (
+                         SELECT *, row_number() OVER (PARTITION BY unique_id
+                                                      ORDER BY length DESC, bond_idx) AS rn
+                         FROM fb) t WHERE rn = 1"""),
+    ])
+
+
+@register("fluoride_bde", _BDE_SQL)
+def q_fluoride_bde(spark, sf_dir):
+    m = br.molecules(spark, sf_dir)
+    a = br.atoms(spark, sf_dir)
+    b = br.bonds(a)
+    kids, kid_atoms = en.defluorinate(m, a, b)
+    kid_n = kid_atoms.groupBy("unique_id").agg(F.count(F.lit(1)).cast("long").alias("child_num_atoms"))
+    kids = kids.join(kid_n, "unique_id", "left")
+    kids_e = kids.drop("energy_hartree").join(br.child_energies(spark, sf_dir), "unique_id", "left")
+    bde = en.fluoride_bde(m.join(kids.select(F.col("parent_id").alias("unique_id")), "unique_id",
+                                 "left_semi"), kids_e)
+    out = bde.join(kids.select(F.col("parent_id").alias("unique_id"), "old_f_bonded_atom",
+                               F.col("charge").cast("int").alias("child_charge"), "child_num_atoms"),
+                   "unique_id")
+    victims = en.longest_bond(en.fluorine_bonds(b, a).join(
+        en.bde_eligible(m, a).select("unique_id"), "unique_id", "left_semi")).select("unique_id", "f_idx")
+    return out.join(victims, "unique_id").select(
+        "unique_id", "child_id", "f_idx", "old_f_bonded_atom", "child_charge", "child_num_atoms",
+        rk(F.col("fluoride_bde_ev"), 4).alias("fluoride_bde_ev"))
+
+
+# --- bond-length QC (J10, P9) ---------------------------------------------------
+@register("bond_length_qc", br.with_views("""
+SELECT b.unique_id,
+       CAST(count(*) FILTER (WHERE l < 0.5 OR l > 3.5) AS BIGINT) AS n_bad_bonds,
+       coalesce(string_agg(printf('%.4f', l), ', ' ORDER BY l) FILTER (WHERE l < 0.5 OR l > 3.5), '')
+         AS bad_lengths,
+       CAST(count(*) AS BIGINT) AS n_bonds
+FROM (SELECT b.unique_id, sqrt((aj.x - ai.x) * (aj.x - ai.x) + (aj.y - ai.y) * (aj.y - ai.y)
+                               + (aj.z - ai.z) * (aj.z - ai.z)) AS l
+      FROM bonds b JOIN atoms ai ON ai.unique_id = b.unique_id AND ai.atom_idx = b.i
+                   JOIN atoms aj ON aj.unique_id = b.unique_id AND aj.atom_idx = b.j) b
+GROUP BY b.unique_id""", "atoms", "bonds"))
+def q_bond_length_qc(spark, sf_dir):
+    from molspark.operators.structure import bond_geometry
+    a = br.atoms(spark, sf_dir, with_z=False)
+    g = bond_geometry(br.bonds(a), a)
+    ln = F.col("length")
+    bad = (ln < 0.5) | (ln > 3.5)
+    agg = g.groupBy("unique_id").agg(
+        F.count_if(bad).cast("long").alias("n_bad_bonds"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(bad, ln))),
+                                 lambda v: F.format_string("%.4f", v)), ", ").alias("bad_lengths"),
+        F.count(F.lit(1)).cast("long").alias("n_bonds"))
+    return agg
+
+
+# --- conformers, trajectories, ensembles (W6, W8, A21) --------------------------
+@register("lowest_conformer", br.with_views("""
+SELECT unique_id, CAST(arg_min(conf_id, (energy_kcal, conf_id, l_partkey, l_suppkey)) AS INTEGER)
+         AS conf_id,
+       round(min(energy_kcal), 6) AS energy_kcal, CAST(count(*) AS BIGINT) AS num_conformers
+FROM conformers GROUP BY unique_id""", "conformers"))
+def q_lowest_conformer(spark, sf_dir):
+    c = en.lowest_conformer(br.conformers(spark, sf_dir),
+                            order_cols=("conf_id", "l_partkey", "l_suppkey"))
+    return c.select("unique_id", F.col("conf_id").cast("int"), rk(F.col("energy_kcal"), 6)
+                    .alias("energy_kcal"), "num_conformers")
+
+
+@register("last_trajectory_step", br.with_views("""
+SELECT unique_id, arg_max(energy, (ts, event_id)) AS final_energy,
+       round(arg_max(gradient_norm, (ts, event_id)), 6) AS final_gradient_norm,
+       CAST(count(*) AS BIGINT) AS num_steps
+FROM trajectory GROUP BY unique_id""", "trajectory"))
+def q_last_step(spark, sf_dir):
+    s = en.last_step(br.trajectory(spark, sf_dir), step_cols=("ts", "event_id"))
+    return s.select("unique_id", F.col("energy").alias("final_energy"),
+                    rk(F.col("gradient_norm"), 6).alias("final_gradient_norm"), "num_steps")
+
+
+@register("ensemble_stats", br.with_views("""
+SELECT unique_id, round(avg(energy), 8) AS energy_mean, round(stddev_samp(energy), 8) AS energy_std,
+       CAST(count(*) AS BIGINT) AS n_models
+FROM predictions GROUP BY unique_id""", "predictions"))
+def q_ensemble(spark, sf_dir):
+    from molspark.operators.structure import ensemble_stats
+    e = ensemble_stats(br.predictions(spark, sf_dir), ["energy"])
+    return e.select("unique_id", rk(F.col("energy_mean"), 8).alias("energy_mean"),
+                    rk(F.col("energy_std"), 8).alias("energy_std"), "n_models")
