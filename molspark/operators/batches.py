@@ -43,7 +43,7 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], out: str = "idx",
     offs = offs.select("_pid", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
     # one row per partition: a bounded broadcast
     out_df = s.join(F.broadcast(offs), "_pid")
-    return out_df.withColumn(out, (F.col("_off") + F.bitwise_and(F.col("_mono"), F.lit(_LOW33)))
+    return out_df.withColumn(out, (F.col("_off") + F.col("_mono").bitwiseAND(F.lit(_LOW33)))
                              .cast("long")).drop("_mono", "_pid", "_off")
 
 
@@ -186,7 +186,7 @@ def human_size(c) -> Column:
     # exponent from repeated comparisons (exact at the unit boundaries)
     e = (F.when(c >= F.lit(1024.0 ** 4), 4).when(c >= F.lit(1024.0 ** 3), 3)
          .when(c >= F.lit(1024.0 ** 2), 2).when(c >= F.lit(1024.0), 1).otherwise(0))
-    val = c / F.pow(F.lit(1024.0), e)
+    val = F.round(c / F.pow(F.lit(1024.0), e), 2)
     return F.concat(F.format_string("%.2f", val), F.lit(" "), F.element_at(units, e + 1))
 
 

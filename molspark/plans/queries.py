@@ -420,3 +420,249 @@ def q_ensemble(spark, sf_dir):
     e = ensemble_stats(br.predictions(spark, sf_dir), ["energy"])
     return e.select("unique_id", rk(F.col("energy_mean"), 8).alias("energy_mean"),
                     rk(F.col("energy_std"), 8).alias("energy_std"), "n_models")
+
+
+# --- batch layout (W1, W2, W3, W7) over the order list --------------------------
+def _indexed_orders(spark, sf_dir):
+    from molspark.operators.batches import dense_index
+    o = br.table(spark, sf_dir, "orders").select("o_orderkey")
+    return dense_index(o, ["o_orderkey"])
+
+
+@register("distribute_jobs", """
+SELECT CAST(job_id AS INTEGER) AS job_id, CAST(count(*) AS BIGINT) AS n_inputs,
+       min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM (SELECT o_orderkey, ntile(7) OVER (ORDER BY o_orderkey) - 1 AS job_id FROM orders) t
+GROUP BY job_id""")
+def q_distribute(spark, sf_dir):
+    from molspark.operators.batches import distribute
+    d = distribute(_indexed_orders(spark, sf_dir), 7)
+    return d.groupBy("job_id").agg(F.count(F.lit(1)).cast("long").alias("n_inputs"),
+                                   F.min("o_orderkey").alias("first_key"),
+                                   F.max("o_orderkey").alias("last_key"))
+
+
+@register("chunk_batches", """
+SELECT 'batch_' || CAST(c * 1024 AS VARCHAR) || '-' ||
+         CAST(least(c * 1024 + 1024, (SELECT count(*) FROM orders)) - 1 AS VARCHAR) AS batch_label,
+       ['node0', 'node1', 'node2'][CAST(c % 3 AS INTEGER) + 1] AS node,
+       CAST(count(*) AS BIGINT) AS n_inputs, min(o_orderkey) AS first_key
+FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1024 AS c FROM orders) t
+GROUP BY c""")
+def q_chunk(spark, sf_dir):
+    from molspark.operators.batches import chunk
+    c = chunk(_indexed_orders(spark, sf_dir), 1024, nodes=["node0", "node1", "node2"])
+    return c.groupBy("batch_label", "node").agg(F.count(F.lit(1)).cast("long").alias("n_inputs"),
+                                                F.min("o_orderkey").alias("first_key"))
+
+
+@register("row_range", """
+SELECT o_orderkey, CAST(idx AS BIGINT) AS idx FROM (
+  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders) t
+WHERE idx >= (SELECT count(*) FROM orders) / 3 AND idx < (SELECT count(*) FROM orders) / 3 + 2000""")
+def q_row_range(spark, sf_dir):
+    from molspark.operators.batches import row_range
+    o = _indexed_orders(spark, sf_dir)
+    n = br.table(spark, sf_dir, "orders").count()
+    return row_range(o, n // 3, 2000).select("o_orderkey", "idx")
+
+
+# --- text ingest and lexical SMILES checks over whole documents
+_WS = "[ \\t\\n\\r]+"
+_TOKEN_SQL = r"\[[^\[\]]+\]|Br|Cl|[BCNOPSFI]|[bcnops]|[=#$:/\\.\-]|[()]|%[0-9]{2}|[0-9]"
+_LOOKS_SQL = r"^[A-Za-z0-9\[\]()=#\-+@/\\%.]+$"
+
+
+def _lexical_reason_sql(s):
+    p = f"regexp_replace({s}, '[^()]', '', 'g')"
+    labels = f"regexp_extract_all(regexp_replace({s}, '\\[[^\\]]*\\]', '', 'g'), '(%[0-9]{{2}}|[0-9])', 1)"
+    depth_ok = (f"coalesce(list_bool_and(list_transform(range(1, length({p}) + 1), lambda k: "
+                f"length(replace(left({p}, k), ')', '')) >= length(replace(left({p}, k), '(', '')))), true)")
+    odd = (f"coalesce(list_bool_or(list_transform(list_distinct({labels}), lambda lab: "
+           f"len(list_filter({labels}, lambda x: x = lab)) % 2 = 1)), false)")
+    residue = f"regexp_replace({s}, '{_TOKEN_SQL}', '', 'g')"
+    opens = f"(length({s}) - length(replace({s}, '(', '')))"
+    closes = f"(length({s}) - length(replace({s}, ')', '')))"
+    return (f"CASE WHEN {s} IS NULL OR trim({s}) = '' THEN 'empty' "
+            f"WHEN NOT (length(trim({s})) > 0 AND regexp_matches(trim({s}), '{_LOOKS_SQL}')) "
+            f"THEN 'bad_characters' "
+            f"WHEN length({residue}) > 0 THEN 'unknown_token: ' || {residue} "
+            f"WHEN {opens} <> {closes} OR NOT {depth_ok} THEN 'unbalanced_parentheses' "
+            f"WHEN {odd} THEN 'unpaired_ring_closure' END")
+
+
+def _formal_charge_sql(s):
+    one = ("CASE WHEN left(regexp_extract(b, '([+-]+)\\d*\\]$', 1), 1) = '-' THEN -1 "
+           "WHEN left(regexp_extract(b, '([+-]+)\\d*\\]$', 1), 1) = '+' THEN 1 ELSE 0 END * "
+           "CASE WHEN regexp_extract(b, '([+-])(\\d+)\\]$', 2) <> '' "
+           "THEN CAST(regexp_extract(b, '([+-])(\\d+)\\]$', 2) AS INTEGER) "
+           "ELSE length(regexp_extract(b, '([+-]+)\\d*\\]$', 1)) END")
+    return (f"coalesce(list_sum(list_transform(regexp_extract_all({s}, '(\\[[^\\]]*\\])', 1), "
+            f"lambda b: {one})), 0)")
+
+
+@register("smiles_token_qc", f"""
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_tokens,
+       CAST(count(*) FILTER (WHERE looks) AS BIGINT) AS n_smiles_like,
+       CAST(count(*) FILTER (WHERE reason IS NULL) AS BIGINT) AS n_valid,
+       CAST(count(*) FILTER (WHERE reason IS NULL AND charge <> 0) AS BIGINT) AS n_charged,
+       CAST(count(*) FILTER (WHERE reason IS NULL AND instr(tok, '.') > 0) AS BIGINT) AS n_fragmented,
+       CAST(count(*) FILTER (WHERE reason LIKE 'unknown_token%') AS BIGINT) AS n_unknown_token,
+       CAST(count(*) FILTER (WHERE reason = 'unpaired_ring_closure') AS BIGINT) AS n_ring_errors
+FROM (SELECT doc_id, tok,
+             length(trim(tok)) > 0 AND regexp_matches(trim(tok), '{_LOOKS_SQL}') AS looks,
+             {_lexical_reason_sql('tok')} AS reason, {_formal_charge_sql('tok')} AS charge
+      FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '{_WS}')) AS tok FROM documents) d
+      WHERE tok <> '') t
+GROUP BY doc_id""")
+def q_smiles_token_qc(spark, sf_dir):
+    from molspark.operators import qc
+    d = br.table(spark, sf_dir, "documents").select("doc_id", "text")
+    t = d.select("doc_id", F.explode(F.split("text", _WS)).alias("tok")).filter(F.col("tok") != "")
+    t = t.select("doc_id", "tok", qc.looks_like_smiles("tok").alias("looks"),
+                 qc.smiles_lexical_reason(F.col("tok")).alias("reason"),
+                 qc.formal_charge(F.col("tok")).alias("charge"))
+    ok = F.col("reason").isNull()
+    return t.groupBy("doc_id").agg(
+        F.count(F.lit(1)).cast("long").alias("n_tokens"),
+        F.count_if("looks").cast("long").alias("n_smiles_like"),
+        F.count_if(ok).cast("long").alias("n_valid"),
+        F.count_if(ok & (F.col("charge") != 0)).cast("long").alias("n_charged"),
+        F.count_if(ok & qc.has_fragments(F.col("tok"))).cast("long").alias("n_fragmented"),
+        F.count_if(F.col("reason").startswith("unknown_token")).cast("long").alias("n_unknown_token"),
+        F.count_if(F.col("reason") == "unpaired_ring_closure").cast("long").alias("n_ring_errors"))
+
+
+@register("text_lines_ingest", """
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines,
+       CAST(sum(length(trim(line, ' \t\n\r'))) AS BIGINT) AS n_chars
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) t
+WHERE NOT starts_with(line, '#') AND trim(line, ' \t\n\r') <> ''
+GROUP BY doc_id""")
+def q_text_lines(spark, sf_dir):
+    d = br.table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = d.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    kept = lines.filter(~F.col("line").startswith("#")).select(
+        "doc_id", F.trim(F.col("line"), F.lit(" \t\n\r")).alias("s")).filter(F.col("s") != "")
+    return kept.groupBy("doc_id").agg(F.count(F.lit(1)).cast("long").alias("n_lines"),
+                                      F.sum(F.length("s")).cast("long").alias("n_chars"))
+
+
+# --- XYZ text out and back in (K6, S8, K7, F16) ---------------------------------
+@register("xyz_roundtrip", br.with_views("""
+SELECT a.unique_id, CAST(count(*) AS BIGINT) AS num_atoms, CAST(m.charge AS INTEGER) AS charge,
+       1 AS multiplicity, round(sum(a.x), 6) AS sum_x, round(sum(a.y), 6) AS sum_y,
+       round(sum(a.z), 6) AS sum_z, string_agg(a.element, '' ORDER BY a.atom_idx) AS elements
+FROM atoms a JOIN molecules m ON a.unique_id = m.unique_id
+GROUP BY a.unique_id, m.charge""", "molecules", "atoms"))
+def q_xyz_roundtrip(spark, sf_dir):
+    from molspark.sinks.tables import xyz_blocks
+    from molspark.sources.xyz import parse_xyz
+    m = br.molecules(spark, sf_dir).select("unique_id", "charge")
+    a = br.atoms(spark, sf_dir, with_z=False)
+    blocks = xyz_blocks(m, a, energy_col=None)
+    pm, pa, _fail = parse_xyz(blocks.select("xyz_block"), "xyz_block", mode="tokens")
+    sums = pa.groupBy("unique_id").agg(
+        F.count(F.lit(1)).cast("long").alias("num_atoms"), rk(F.sum("x"), 6).alias("sum_x"),
+        rk(F.sum("y"), 6).alias("sum_y"), rk(F.sum("z"), 6).alias("sum_z"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("atom_idx", "element"))),
+                                 lambda s: s["element"]), "").alias("elements"))
+    return pm.select("unique_id", F.col("charge").cast("int"), "multiplicity").join(sums, "unique_id") \
+        .select("unique_id", "num_atoms", "charge", "multiplicity", "sum_x", "sum_y", "sum_z", "elements")
+
+
+@register("extract_xyz", br.with_views("""
+SELECT unique_id,
+       CAST(count(*) AS VARCHAR) || chr(10) || ' unique_id:' || unique_id || ' AddtionalColumns:charge'
+         || chr(10) || string_agg(printf('%-2s %15.6f %15.6f %15.6f %15.6f', element, x, y, z, charge),
+                                  chr(10) ORDER BY atom_idx) AS xyz_text
+FROM atoms GROUP BY unique_id""", "atoms"))
+def q_extract_xyz(spark, sf_dir):
+    from molspark.sinks.tables import extract_xyz
+    a = br.atoms(spark, sf_dir, with_z=False).select("unique_id", "atom_idx", "element", "x", "y",
+                                                     "z", "charge")
+    return extract_xyz(a, extended=True)
+
+
+# --- accounting (J14, A36, A37, P7, P9, P12) -------------------------------------
+_REASON_SQL = """
+  SELECT m.unique_id,
+         CASE WHEN c.n IS NULL THEN 'no atoms'
+              WHEN ((c.zpar - ((m.charge % 2) + 2) % 2) % 2 + 2) % 2 <> 0 THEN 'open shell'
+              WHEN coalesce(b.n_bad, 0) > 0 THEN 'bond length out of range' END AS reason
+  FROM molecules m
+  LEFT JOIN (SELECT unique_id, count(*) AS n, sum(z_num % 2) AS zpar FROM atoms GROUP BY 1) c
+    ON m.unique_id = c.unique_id
+  LEFT JOIN (SELECT b.unique_id, count(*) FILTER (WHERE l < 0.5 OR l > 3.5) AS n_bad FROM (
+               SELECT b.unique_id, sqrt((aj.x - ai.x) * (aj.x - ai.x) + (aj.y - ai.y) * (aj.y - ai.y)
+                                        + (aj.z - ai.z) * (aj.z - ai.z)) AS l
+               FROM bonds b JOIN atoms ai ON ai.unique_id = b.unique_id AND ai.atom_idx = b.i
+                            JOIN atoms aj ON aj.unique_id = b.unique_id AND aj.atom_idx = b.j) b
+             GROUP BY 1) b ON m.unique_id = b.unique_id"""
+
+
+def _qc_reasons(spark, sf_dir):
+    from molspark.operators.composition import unpaired_electrons
+    from molspark.operators.qc import bond_length_qc
+    from molspark.operators.structure import bond_geometry
+    m = br.molecules(spark, sf_dir)
+    a = br.atoms(spark, sf_dir)
+    n = a.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_n"))
+    par = unpaired_electrons(m, a).select("unique_id", "unpaired_electrons")
+    bq = bond_length_qc(bond_geometry(br.bonds(a), a)).select("unique_id", "n_bad_bonds")
+    t = m.join(n, "unique_id", "left").join(par, "unique_id", "left").join(bq, "unique_id", "left")
+    reason = (F.when(F.col("_n").isNull(), "no atoms")
+              .when(F.col("unpaired_electrons") != 0, "open shell")
+              .when(F.coalesce(F.col("n_bad_bonds"), F.lit(0)) > 0, "bond length out of range"))
+    return t.select("unique_id", reason.alias("reason"))
+
+
+@register("qc_failure_counts", br.with_views(f"""
+SELECT 'sanitize' AS stage, reason, CAST(count(*) AS BIGINT) AS n_failures
+FROM ({_REASON_SQL}) r WHERE reason IS NOT NULL GROUP BY reason""", "molecules", "atoms", "bonds"))
+def q_failure_counts(spark, sf_dir):
+    from molspark.operators.batches import failure_counts
+    r = _qc_reasons(spark, sf_dir).filter(F.col("reason").isNotNull()).withColumn(
+        "stage", F.lit("sanitize"))
+    return failure_counts(r, ["stage", "reason"])
+
+
+@register("run_summary", br.with_views(f"""
+SELECT CAST(count(*) AS BIGINT) AS n_inputs,
+       CAST(count(*) FILTER (WHERE reason IS NULL) AS BIGINT) AS n_outputs,
+       round(count(*) FILTER (WHERE reason IS NULL) * 100.0 / count(*), 4) AS success_pct,
+       round((SELECT sum(o_totalprice / 1000.0) FROM orders), 4) AS total_time,
+       round((SELECT sum(o_totalprice / 1000.0) FROM orders)
+             / count(*) FILTER (WHERE reason IS NULL), 6) AS time_per_structure
+FROM ({_REASON_SQL}) r""", "molecules", "atoms", "bonds"))
+def q_run_summary(spark, sf_dir):
+    from molspark.operators.batches import run_summary
+    r = _qc_reasons(spark, sf_dir)
+    meta = br.table(spark, sf_dir, "orders").select((F.col("o_totalprice") / 1000.0).alias("total_time"))
+    s = run_summary(r, r.filter(F.col("reason").isNull()), meta)
+    return s.select("n_inputs", "n_outputs", rk(F.col("success_pct"), 4).alias("success_pct"),
+                    rk(F.col("total_time"), 4).alias("total_time"),
+                    rk(F.col("time_per_structure"), 6).alias("time_per_structure"))
+
+
+@register("dropped_inputs", br.with_views("""
+SELECT m.unique_id FROM molecules m WHERE NOT EXISTS (
+  SELECT 1 FROM atoms a WHERE a.unique_id = m.unique_id)""", "molecules", "atoms"))
+def q_dropped(spark, sf_dir):
+    from molspark.operators.batches import dropped_inputs
+    return dropped_inputs(br.molecules(spark, sf_dir).select("unique_id"),
+                          br.atoms(spark, sf_dir, with_z=False).select("unique_id"))
+
+
+@register("human_size", """
+SELECT page_id, printf('%.2f', round(n / pow(1024.0, e), 2)) || ' ' || ['B', 'KB', 'MB', 'GB', 'TB'][e + 1]
+         AS size_text
+FROM (SELECT page_id, CAST(length(html) AS DOUBLE) * 37.0 AS n,
+             CASE WHEN length(html) * 37.0 >= 1099511627776.0 THEN 4
+                  WHEN length(html) * 37.0 >= 1073741824.0 THEN 3
+                  WHEN length(html) * 37.0 >= 1048576.0 THEN 2
+                  WHEN length(html) * 37.0 >= 1024.0 THEN 1 ELSE 0 END AS e FROM pages) t""")
+def q_human_size(spark, sf_dir):
+    from molspark.operators.batches import human_size
+    p = br.table(spark, sf_dir, "pages")
+    return p.select("page_id", human_size(F.length("html").cast("double") * 37.0).alias("size_text"))

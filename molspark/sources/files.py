@@ -102,7 +102,7 @@ def read_batch_csv(spark: SparkSession, paths: list[str], header: str) -> DataFr
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("batch_id"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.bitwise_and(mono, F.lit((1 << 33) - 1)).alias("_pos"))
+        mono.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
 
 
 def read_manifest(spark: SparkSession, path: str, mode: str = "upload") -> tuple[DataFrame, DataFrame]:

@@ -32,7 +32,7 @@ def combine_stream(spark: SparkSession, root: str, name: str, schema: T.StructTy
            .withColumn("batch_id", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
            .withColumn("_file", F.col("_metadata.file_path"))
            .withColumn("_block", F.col("_metadata.file_block_start"))
-           .withColumn("_pos", F.bitwise_and(F.monotonically_increasing_id(), F.lit((1 << 33) - 1))))
+           .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
 
     def merge(batch: DataFrame, epoch: int) -> None:
         if numeric_cols is None:
