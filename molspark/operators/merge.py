@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from molspark.operators.batches import union_diagonal
-from molspark.sources.files import discover_batches, group_by_header, read_batch_csv
+from molspark.sources.files import batch_id_of, discover_batches, group_by_header, read_batch_csv
 
 # FIXED VALUES: columns that always stay text.
 TEXT_COLUMNS = ("unique_id", "smiles", "canonical_smiles")
@@ -94,7 +94,7 @@ def combine_failures(spark: SparkSession, root: str,
         return spark.createDataFrame([], "batch_id string, line string")
     df = spark.read.text(paths)
     return df.filter(F.trim("value") != "").select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("batch_id"),
+        batch_id_of(F.col("_metadata.file_path")).alias("batch_id"),
         F.col("value").alias("line"))
 
 

@@ -16,6 +16,9 @@ Layout choice, made per molecule size:
 
 The molecule key is always part of the join key, so Spark never plans a
 Cartesian product. Pair rows are aggregated right after they are formed.
+Joins whose sides come out of an ``explode`` carry a ``merge`` hint: the
+optimizer cannot see the fan-out of a generator and would otherwise try to
+broadcast a side that is many times larger than its estimate.
 """
 
 from __future__ import annotations
@@ -57,7 +60,7 @@ def _tile_pairs(atoms: DataFrame, cols: Sequence[str], key: str, block_size: int
     right = _side(a, key, cols, "_j").withColumn(
         "_ti", F.explode(F.sequence(F.lit(0), F.col("_blk")))).withColumnRenamed("_blk", "_tj")
     right = right.drop("_nb")
-    p = left.join(right, [key, "_ti", "_tj"])
+    p = left.hint("merge").join(right, [key, "_ti", "_tj"])
     p = p.filter((F.col("_ti") < F.col("_tj")) | (F.col("atom_idx_i") < F.col("atom_idx_j")))
     return p.drop("_ti", "_tj", "_nb")
 
@@ -77,7 +80,7 @@ def _cell_pairs(atoms: DataFrame, cols: Sequence[str], key: str, cutoff: float)
                      (F.col("_cy") + F.col("_oy")).alias("_cy"),
                      (F.col("_cz") + F.col("_oz")).alias("_cz"),
                      *[F.col(c).alias(f"{c}_j") for c in cols]))
-    p = left.join(right, [key, "_cx", "_cy", "_cz"]).filter(
+    p = left.hint("merge").join(right, [key, "_cx", "_cy", "_cz"]).filter(
         F.col("atom_idx_i") < F.col("atom_idx_j"))
     return p.drop("_cx", "_cy", "_cz")
 
@@ -200,7 +203,7 @@ def periodic_neighbours(atoms: DataFrame, cells: DataFrame, cutoff: float,
              .withColumn("_cx", cell("x_j") + F.col("_ox"))
              .withColumn("_cy", cell("y_j") + F.col("_oy"))
              .withColumn("_cz", cell("z_j") + F.col("_oz")).drop("_ox", "_oy", "_oz"))
-    p = _geometry(left.join(right, [key, "_cx", "_cy", "_cz"]).drop("_cx", "_cy", "_cz"))
+    p = _geometry(left.hint("merge").join(right, [key, "_cx", "_cy", "_cz"]).drop("_cx", "_cy", "_cz"))
     return p.filter((F.col("d") > F.lit(min_distance)) & (F.col("d") < F.lit(cutoff)))
 
 

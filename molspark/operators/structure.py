@@ -48,8 +48,8 @@ def bond_geometry(bonds: DataFrame, atoms: DataFrame, key: str = "unique_id") ->
     aj = atoms.select(key, F.col("atom_idx").alias("j"), F.col("element").alias("el_j"),
                       F.col("x").alias("xj"), F.col("y").alias("yj"), F.col("z").alias("zj"))
     b = bonds.join(ai, [key, "i"]).join(aj, [key, "j"])
-    d = F.sqrt((F.col("xj") - F.col("xi")) ** 2 + (F.col("yj") - F.col("yi")) ** 2
-               + (F.col("zj") - F.col("zi")) ** 2)
+    dx, dy, dz = F.col("xj") - F.col("xi"), F.col("yj") - F.col("yi"), F.col("zj") - F.col("zi")
+    d = F.sqrt(dx * dx + dy * dy + dz * dz)
     return b.withColumn("length", d)
 
 
@@ -133,27 +133,27 @@ def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float =
 
 
 def component_count(atoms: DataFrame, bonds: DataFrame, key: str = "unique_id",
-                    max_iter: int = 100, checkpoint_every: int = 5) -> DataFrame:
+                    max_iter: int = 100) -> DataFrame:
     """P10 (graph form): connected components of each molecule's bond graph
-    by min-label propagation. Each round is two joins; the loop stops when
-    no label changes (rounds <= largest molecule diameter). Lineage is cut
-    with ``checkpoint()`` into the shared checkpoint folder."""
+    by min-label propagation. Inputs are materialised once with
+    ``checkpoint()`` (shared checkpoint folder), then each round is one join
+    + aggregate over the edge list, checkpointed so lineage stays one round
+    deep; the loop stops when no label changes (rounds <= the largest
+    molecule's diameter)."""
     ensure_checkpoint_dir(atoms.sparkSession)
-    labels = atoms.select(key, "atom_idx", F.col("atom_idx").alias("label"))
+    labels = atoms.select(key, "atom_idx", F.col("atom_idx").alias("label")).checkpoint(eager=True)
     edges = bonds.select(key, F.col("i").alias("src"), F.col("j").alias("dst"))
     edges = edges.unionByName(edges.select(key, F.col("dst").alias("src"), F.col("src").alias("dst")))
-    for it in range(max_iter):
+    edges = edges.checkpoint(eager=True)
+    for _ in range(max_iter):
         msg = (edges.join(labels.withColumnRenamed("atom_idx", "src"), [key, "src"])
                .groupBy(key, "dst").agg(F.min("label").alias("_m"))
                .withColumnRenamed("dst", "atom_idx"))
-        new = (labels.join(msg, [key, "atom_idx"], "left")
-               .select(key, "atom_idx", F.least(F.col("label"), F.coalesce(F.col("_m"), F.col("label")))
-                       .alias("label")))
-        if (it + 1) % checkpoint_every == 0:
-            new = new.checkpoint(eager=True)
-        changed = new.join(labels.withColumnRenamed("label", "_old"), [key, "atom_idx"]) \
-            .filter(F.col("label") != F.col("_old")).limit(1).count()
-        labels = new
+        j = labels.join(msg, [key, "atom_idx"], "left")
+        new = j.select(key, "atom_idx", F.least(F.col("label"), F.coalesce(F.col("_m"), F.col("label")))
+                       .alias("label"), (F.col("_m") < F.col("label")).alias("_chg")).checkpoint(eager=True)
+        changed = new.filter(F.col("_chg")).limit(1).count()
+        labels = new.drop("_chg")
         if changed == 0:
             break
     return labels.groupBy(key).agg(F.countDistinct("label").cast("long").alias("n_components"))

@@ -666,3 +666,260 @@ def q_human_size(spark, sf_dir):
     from molspark.operators.batches import human_size
     p = br.table(spark, sf_dir, "pages")
     return p.select("page_id", human_size(F.length("html").cast("double") * 37.0).alias("size_text"))
+
+
+# --- pooling, descriptors, damped Coulomb, periodic images
+@register("attention_pool", br.with_views("""
+SELECT unique_id, round(lo, 6) AS lo,
+       round(lo + CASE WHEN hi_raw - lo > 20 THEN hi_raw - lo ELSE ln(1 + exp(hi_raw - lo)) END, 6) AS hi
+FROM (SELECT a.unique_id,
+             sum(exp(a.z_num / 10.0 - m.mx) * a.forces_x * 100.0) / sum(exp(a.z_num / 10.0 - m.mx)) * 2.0 - 1.0
+               AS lo,
+             sum(exp(a.z_num / 10.0 - m.mx) * a.charge) / sum(exp(a.z_num / 10.0 - m.mx)) * 3.0 + 0.5
+               AS hi_raw
+      FROM atoms a JOIN (SELECT unique_id, max(z_num / 10.0) AS mx FROM atoms GROUP BY 1) m
+        ON a.unique_id = m.unique_id GROUP BY a.unique_id) t""", "atoms"))
+def q_attention_pool(spark, sf_dir):
+    from molspark.operators.geometry import pooled_levels
+    a = (br.atoms(spark, sf_dir).withColumn("logit", F.col("z_num") / 10.0)
+         .withColumn("v_lo", F.col("forces_x") * 100.0))
+    p = pooled_levels(a, "v_lo", "charge", "logit", mean=(-1.0, 0.5), std=(2.0, 3.0))
+    return p.select("unique_id", rk(F.col("lo"), 6).alias("lo"), rk(F.col("hi"), 6).alias("hi"))
+
+
+def _radial_sql(nshifts=16, rmin=0.8, rc=5.0):
+    import math
+    eta = (nshifts / (rc - rmin)) ** 2
+    shifts = [rmin + k * (rc - rmin) / nshifts for k in range(nshifts)]
+    fc = f"(0.5 * (cos({math.pi!r} * least(greatest(d, 1e-06), {rc!r}) / {rc!r}) + 1.0))"
+    terms = " + ".join(f"exp({-eta!r} * (d - {s!r}) * (d - {s!r}))" for s in shifts)
+    return f"({terms}) * {fc}", f"exp({-eta!r} * (d - {shifts[0]!r}) * (d - {shifts[0]!r})) * {fc}"
+
+
+_RS, _R0 = _radial_sql()
+
+
+@register("radial_descriptor", br.with_views(f"""
+SELECT unique_id, atom_idx, round(sum({_RS}), 6) AS g_total, round(sum({_R0}), 6) AS g_first
+FROM (SELECT unique_id, i AS atom_idx, d FROM pairs WHERE d < 5.0
+      UNION ALL SELECT unique_id, j AS atom_idx, d FROM pairs WHERE d < 5.0) e
+GROUP BY unique_id, atom_idx""", "atoms", ctes=[_PAIRS_CTE]))
+def q_radial(spark, sf_dir):
+    from molspark.operators.pairs import radial_descriptor
+    g = radial_descriptor(br.atoms(spark, sf_dir, with_z=False))
+    return g.select("unique_id", "atom_idx",
+                    rk(F.aggregate("g", F.lit(0.0), lambda acc, v: acc + v), 6).alias("g_total"),
+                    rk(F.element_at("g", 1), 6).alias("g_first"))
+
+
+def _dsf_sql(rc=15.0, alpha=0.2, sr_rc=4.6):
+    import math
+    erfc_rc = math.erfc(alpha * rc)
+    shift = erfc_rc / rc
+    slope = erfc_rc / rc ** 2 + 2 * alpha / math.sqrt(math.pi) * math.exp(-(alpha * rc) ** 2) / rc
+    x = f"({alpha!r} * d)"
+    t = f"(1.0 / (1.0 + 0.3275911 * abs({x})))"
+    poly = (f"{t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * "
+            f"(-1.453152027 + {t} * 1.061405429))))")
+    erfc = f"CASE WHEN {x} >= 0 THEN {poly} * exp(-{x} * {x}) ELSE 2.0 - {poly} * exp(-{x} * {x}) END"
+    kern = f"CASE WHEN d <= {rc!r} THEN ({erfc}) / d - {shift!r} + (d - {rc!r}) * {slope!r} ELSE 0.0 END"
+    sr = f"CASE WHEN d < {sr_rc!r} THEN {_exp_cut_sql('d', sr_rc)} / d ELSE 0.0 END"
+    return f"qi * qj * (({kern}) - ({sr}))"
+
+
+@register("coulomb_dsf", br.with_views(f"""
+SELECT unique_id, round(sum({_dsf_sql()}) * {COULOMB!r}, 4) AS coulomb_dsf_ev
+FROM pairs WHERE d > 0.1 AND d < 15.0 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE]))
+def q_coulomb_dsf(spark, sf_dir):
+    from molspark.operators.pairs import coulomb_energy_dsf
+    e = coulomb_energy_dsf(br.atoms(spark, sf_dir, with_z=False), min_distance=0.1)
+    return e.select("unique_id", rk(F.col("coulomb_dsf_ev"), 4).alias("coulomb_dsf_ev"))
+
+
+@register("periodic_neighbours", br.with_views("""
+SELECT a.unique_id, CAST(count(*) AS BIGINT) AS n_pairs, round(sum(sqrt(
+         (b.x + s.sa * 6.0 - a.x) * (b.x + s.sa * 6.0 - a.x) + (b.y + s.sb * 6.0 - a.y) * (b.y + s.sb * 6.0 - a.y)
+         + (b.z + s.sc * 6.0 - a.z) * (b.z + s.sc * 6.0 - a.z))), 4) AS sum_d
+FROM atoms a JOIN atoms b ON a.unique_id = b.unique_id
+CROSS JOIN (SELECT x.v AS sa, y.v AS sb, z.v AS sc FROM (VALUES (-1), (0), (1)) x(v),
+            (VALUES (-1), (0), (1)) y(v), (VALUES (-1), (0), (1)) z(v)) s
+WHERE sqrt((b.x + s.sa * 6.0 - a.x) * (b.x + s.sa * 6.0 - a.x) + (b.y + s.sb * 6.0 - a.y) * (b.y + s.sb * 6.0 - a.y)
+           + (b.z + s.sc * 6.0 - a.z) * (b.z + s.sc * 6.0 - a.z)) > 0.1
+  AND sqrt((b.x + s.sa * 6.0 - a.x) * (b.x + s.sa * 6.0 - a.x) + (b.y + s.sb * 6.0 - a.y) * (b.y + s.sb * 6.0 - a.y)
+           + (b.z + s.sc * 6.0 - a.z) * (b.z + s.sc * 6.0 - a.z)) < 3.0
+GROUP BY a.unique_id""", "atoms"))
+def q_periodic(spark, sf_dir):
+    from molspark.operators.pairs import periodic_neighbours
+    a = br.atoms(spark, sf_dir, with_z=False)
+    cells = a.select("unique_id").distinct().select(
+        "unique_id", *[F.lit(v).alias(n) for n, v in (("a1", 6.0), ("a2", 0.0), ("a3", 0.0),
+                                                      ("b1", 0.0), ("b2", 6.0), ("b3", 0.0),
+                                                      ("c1", 0.0), ("c2", 0.0), ("c3", 6.0))])
+    p = periodic_neighbours(a, cells, cutoff=3.0)
+    return p.groupBy("unique_id").agg(F.count(F.lit(1)).cast("long").alias("n_pairs"),
+                                      rk(F.sum("d"), 4).alias("sum_d"))
+
+
+# --- thermo, clipping (A40, P24) ------------------------------------------------
+_THERMO_MAP = {"click": "ZPE", "view": "E_0K", "purchase": "E_tot", "signup": "H_tot", "error": "Cv_tot"}
+
+
+@register("thermo_to_ev", f"""
+SELECT unique_id, round(max(CASE WHEN q = 'ZPE' THEN v * {HARTREE_EV!r} END), 6) AS "ZPE_eV",
+       round(max(CASE WHEN q = 'E_0K' THEN v * {HARTREE_EV!r} END), 6) AS "E_0K_eV",
+       round(max(CASE WHEN q = 'E_tot' THEN v * {HARTREE_EV!r} END), 6) AS "E_tot_eV",
+       round(max(CASE WHEN q = 'H_tot' THEN v * {HARTREE_EV!r} END), 6) AS "H_tot_eV",
+       round(max(CASE WHEN q = 'Cv_tot' THEN v END), 6) AS "Cv_tot"
+FROM (SELECT CAST(user_id AS VARCHAR) AS unique_id,
+             CASE event_type WHEN 'click' THEN 'ZPE' WHEN 'view' THEN 'E_0K' WHEN 'purchase' THEN 'E_tot'
+                             WHEN 'signup' THEN 'H_tot' ELSE 'Cv_tot' END AS q,
+             avg(value) / 1000.0 AS v
+      FROM events GROUP BY 1, 2) t
+GROUP BY unique_id""")
+def q_thermo(spark, sf_dir):
+    ev = br.table(spark, sf_dir, "events")
+    q = F.col("event_type")
+    qexpr = F.when(q == "click", "ZPE").when(q == "view", "E_0K").when(q == "purchase", "E_tot") \
+        .when(q == "signup", "H_tot").otherwise("Cv_tot")
+    long = ev.groupBy(F.col("user_id").cast("string").alias("unique_id"), qexpr.alias("quantity")) \
+        .agg((F.avg("value") / 1000.0).alias("value_hartree"))
+    w = en.thermo_to_ev(long, quantities=("ZPE", "E_0K", "E_tot", "H_tot"))
+    return w.select("unique_id", *[rk(F.col(c), 6).alias(c) for c in
+                                   ("ZPE_eV", "E_0K_eV", "E_tot_eV", "H_tot_eV", "Cv_tot")])
+
+
+@register("clip_predictions", br.with_views("""
+SELECT model_id, CAST(count(*) FILTER (WHERE energy < 100.0 OR energy > 300.0) AS BIGINT) AS n_clipped,
+       round(sum(greatest(100.0, least(300.0, energy))), 4) AS sum_clipped
+FROM predictions GROUP BY model_id""", "predictions"))
+def q_clip(spark, sf_dir):
+    from molspark.operators.qc import clip
+    c = clip(br.predictions(spark, sf_dir), ["energy"], lo=100.0, hi=300.0)
+    return c.groupBy("model_id").agg(F.count_if("energy_clipped").cast("long").alias("n_clipped"),
+                                     rk(F.sum("energy"), 4).alias("sum_clipped"))
+
+
+# --- grids: vdW volume, ESP grid, nuclear ESP, ESP range, near-minimum sites -----
+_PERIODIC_CTE = ("periodic", "SELECT * FROM " + __import__("molspark.refdata", fromlist=["x"])
+                 .sql_values_periodic())
+
+
+@register("vdw_volume", br.with_views("""
+SELECT b.unique_id, round(b.box_volume * coalesce(c.n_inside, 0) / 512.0, 4) AS vdw_volume_angstrom3
+FROM box b LEFT JOIN (
+  SELECT p.unique_id, count(*) AS n_inside FROM (
+    SELECT DISTINCT p.unique_id, p.gi
+    FROM pts p JOIN ra a ON a.unique_id = p.unique_id
+    WHERE (p.gx - a.x) * (p.gx - a.x) + (p.gy - a.y) * (p.gy - a.y) + (p.gz - a.z) * (p.gz - a.z)
+          <= a.r * a.r) p GROUP BY 1) c ON b.unique_id = c.unique_id""", "atoms", ctes=[
+    _PERIODIC_CTE,
+    ("ra", "SELECT a.unique_id, a.x, a.y, a.z, coalesce(p.vdw_radius, 0.0) AS r FROM atoms a "
+           "LEFT JOIN periodic p ON a.z_num = p.z_num"),
+    ("box0", "SELECT unique_id, min(x) - max(r) - 0.001 AS ox, min(y) - max(r) - 0.001 AS oy, "
+             "min(z) - max(r) - 0.001 AS oz, max(x) + max(r) + 0.001 AS hx, "
+             "max(y) + max(r) + 0.001 AS hy, max(z) + max(r) + 0.001 AS hz FROM ra GROUP BY 1"),
+    ("box", "SELECT unique_id, ox, oy, oz, (hx - ox) / 8 AS sx, (hy - oy) / 8 AS sy, (hz - oz) / 8 AS sz, "
+            "(hx - ox) / 8 * ((hy - oy) / 8) * ((hz - oz) / 8) * 512.0 AS box_volume FROM box0"),
+    ("pts", "SELECT unique_id, iz * 64 + iy * 8 + ix AS gi, ox + sx * (ix + 0.5) AS gx, "
+            "oy + sy * (iy + 0.5) AS gy, oz + sz * (iz + 0.5) AS gz FROM box, range(8) t1(ix), "
+            "range(8) t2(iy), range(8) t3(iz)"),
+]))
+def q_vdw_volume(spark, sf_dir):
+    from molspark.operators.grid import vdw_volume
+    v = vdw_volume(br.atoms(spark, sf_dir), n_per_axis=8)
+    return v.select("unique_id", rk(F.col("vdw_volume_angstrom3"), 4).alias("vdw_volume_angstrom3"))
+
+
+_ESP_GRID_CTES = [
+    _PERIODIC_CTE,
+    ("ra", "SELECT a.unique_id, a.x, a.y, a.z, a.z_num, coalesce(p.vdw_radius, 0.0) + 1.1 AS r "
+           "FROM atoms a LEFT JOIN periodic p ON a.z_num = p.z_num"),
+    ("box", "SELECT unique_id, min(x) - 3.0 AS ox, min(y) - 3.0 AS oy, min(z) - 3.0 AS oz, "
+            "CAST(floor((max(x) - min(x) + 6.0) / 1.5) + 1 AS INTEGER) AS nx, "
+            "CAST(floor((max(y) - min(y) + 6.0) / 1.5) + 1 AS INTEGER) AS ny, "
+            "CAST(floor((max(z) - min(z) + 6.0) / 1.5) + 1 AS INTEGER) AS nz FROM ra GROUP BY 1"),
+    ("pts", "SELECT unique_id, iz * ny * nx + iy * nx + ix AS gi, ox + 1.5 * ix AS gx, oy + 1.5 * iy AS gy, "
+            "oz + 1.5 * iz AS gz FROM (SELECT *, unnest(range(nx)) AS ix FROM box) b1, "
+            "LATERAL (SELECT unnest(range(b1.ny)) AS iy) t2, LATERAL (SELECT unnest(range(b1.nz)) AS iz) t3"),
+    ("grid", """SELECT p.unique_id, p.gi, p.gx, p.gy, p.gz FROM pts p JOIN ra a ON a.unique_id = p.unique_id
+               GROUP BY p.unique_id, p.gi, p.gx, p.gy, p.gz
+               HAVING NOT bool_or(a.r * a.r - ((p.gx - a.x) * (p.gx - a.x) + (p.gy - a.y) * (p.gy - a.y)
+                                             + (p.gz - a.z) * (p.gz - a.z)) > 1e-08)
+                  AND 9.0 - min((p.gx - a.x) * (p.gx - a.x) + (p.gy - a.y) * (p.gy - a.y)
+                                + (p.gz - a.z) * (p.gz - a.z)) > 1e-08"""),
+    ("esp", """SELECT g.unique_id, g.gi, sum(a.z_num / sqrt((g.gx - a.x) * (g.gx - a.x) + (g.gy - a.y) * (g.gy - a.y)
+                                                       + (g.gz - a.z) * (g.gz - a.z))) AS esp
+               FROM grid g JOIN ra a ON a.unique_id = g.unique_id GROUP BY 1, 2"""),
+]
+
+
+@register("esp_grid_range", br.with_views("""
+SELECT e.unique_id, CAST(count(*) AS BIGINT) AS n_grid, round(min(e.esp), 6) AS esp_min,
+       round(max(e.esp), 6) AS esp_max,
+       CAST(count(*) FILTER (WHERE e.esp <= m.mn + 0.01 * abs(m.mn)) AS BIGINT) AS n_near_min
+FROM esp e JOIN (SELECT unique_id, min(esp) AS mn FROM esp GROUP BY 1) m ON e.unique_id = m.unique_id
+GROUP BY e.unique_id""", "atoms", ctes=_ESP_GRID_CTES))
+def q_esp_grid(spark, sf_dir):
+    from molspark.operators.geometry import near_minimum_sites
+    from molspark.operators.grid import esp_grid, grid_boxes, point_charge_esp
+    a = br.atoms(spark, sf_dir)
+    boxes = grid_boxes(a, spacing=1.5, padding=3.0)
+    g = esp_grid(a, rcut=3.0, spacing=1.5, probe=1.1, boxes=boxes)
+    e = point_charge_esp(g, a, charge_col="z_num", sizes=boxes.select("unique_id", "n_lattice"))
+    stats = e.groupBy("unique_id").agg(F.count(F.lit(1)).cast("long").alias("n_grid"),
+                                       F.min("esp").alias("esp_min"), F.max("esp").alias("esp_max"))
+    near = near_minimum_sites(e, "esp", 0.01).groupBy("unique_id").agg(
+        F.count(F.lit(1)).cast("long").alias("n_near_min"))
+    return stats.join(near, "unique_id").select(
+        "unique_id", "n_grid", rk(F.col("esp_min"), 6).alias("esp_min"),
+        rk(F.col("esp_max"), 6).alias("esp_max"), "n_near_min")
+
+
+# --- structural duplicates (J12), fragments (P10 graph), principal frame (A28) ----
+@register("structural_duplicates", br.with_views("""
+SELECT m.unique_id, s.rep_id
+FROM sig m JOIN (SELECT sig_key, min(unique_id) AS rep_id FROM sig GROUP BY 1) s ON m.sig_key = s.sig_key
+WHERE m.unique_id <> s.rep_id AND NOT EXISTS (
+  SELECT 1 FROM atoms a LEFT JOIN atoms r ON r.unique_id = s.rep_id AND r.atom_idx = a.atom_idx
+  WHERE a.unique_id = m.unique_id AND NOT coalesce(
+        a.element = r.element AND abs(a.x - r.x) <= 1e-08 + 1e-05 * abs(r.x)
+        AND abs(a.y - r.y) <= 1e-08 + 1e-05 * abs(r.y) AND abs(a.z - r.z) <= 1e-08 + 1e-05 * abs(r.z),
+        false))""", "molecules", "atoms", ctes=[
+    ("sig", "SELECT a.unique_id, CAST(count(*) AS VARCHAR) || '|' || "
+            "string_agg(a.element, ',' ORDER BY a.atom_idx) || '|' || coalesce(CAST(m.charge AS VARCHAR), '') "
+            "AS sig_key FROM atoms a JOIN molecules m ON a.unique_id = m.unique_id GROUP BY a.unique_id, m.charge"),
+]))
+def q_duplicates(spark, sf_dir):
+    from molspark.operators.structure import structural_duplicates
+    m = br.molecules(spark, sf_dir).select("unique_id", "charge")
+    return structural_duplicates(m, br.atoms(spark, sf_dir, with_z=False))
+
+
+@register("fragment_count", br.with_views("""
+SELECT unique_id, CAST(count(DISTINCT label) AS BIGINT) AS n_components FROM (
+  SELECT unique_id, src, min(dst) AS label FROM reach GROUP BY 1, 2) t GROUP BY unique_id""", "atoms",
+    ctes=[_PAIRS_CTE,
+          ("edges", "SELECT unique_id, i AS src, j AS dst FROM pairs WHERE d < 1.0 "
+                    "UNION ALL SELECT unique_id, j, i FROM pairs WHERE d < 1.0"),
+          ("reach", "SELECT unique_id, atom_idx AS src, atom_idx AS dst FROM atoms")]).replace(
+    "WITH ", "WITH RECURSIVE ", 1).replace(
+    "reach AS (SELECT unique_id, atom_idx AS src, atom_idx AS dst FROM atoms)",
+    "reach(unique_id, src, dst) AS (SELECT unique_id, atom_idx, atom_idx FROM atoms UNION "
+    "SELECT r.unique_id, r.src, e.dst FROM reach r JOIN edges e ON r.unique_id = e.unique_id "
+    "AND r.dst = e.src)"))
+def q_fragments(spark, sf_dir):
+    from molspark.operators.pairs import neighbour_list
+    from molspark.operators.structure import component_count
+    a = br.atoms(spark, sf_dir, with_z=False)
+    bonds = neighbour_list(a, cutoff=1.0).select(
+        "unique_id", F.col("atom_idx_i").alias("i"), F.col("atom_idx_j").alias("j"))
+    return component_count(a, bonds)
+
+
+@register("principal_frame")
+def q_principal_frame(spark, sf_dir):
+    """A28 (no SQL oracle: needs a 3x3 eigen-solver)."""
+    from molspark.operators.grid import principal_frame
+    p = principal_frame(br.atoms(spark, sf_dir, with_z=False))
+    return p.select("unique_id", "atom_idx", rk(F.col("x"), 6).alias("x"), rk(F.col("y"), 6).alias("y"),
+                    rk(F.col("z"), 6).alias("z"))

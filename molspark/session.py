@@ -20,6 +20,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     cores = os.cpu_count() or 8
     builder = (builder
+               .config("spark.driver.memory", os.environ.get("MOLSPARK_DRIVER_MEMORY", "16g"))
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.adaptive.enabled", "true")

@@ -57,16 +57,31 @@ def _fs(spark: SparkSession, path: str):
 
 def discover_batches(spark: SparkSession, root: str, name: str) -> list[str]:
     """Paths of ``<root>/{batch_*,fs-sn-*}/<name>`` that exist (file
-    listing is metadata work done through the cluster file system API)."""
+    listing is metadata work done through the cluster file system API). A
+    ``<name>`` written by Spark is a folder; its data files are listed."""
     out = []
     for g in BATCH_DIR_GLOBS:
         fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/{g}/{name}")
         st = fs.globStatus(p)
-        if st is not None:
-            out += [s.getPath().toString() for s in st if s.isFile()]
+        for s in st or []:
+            if s.isFile():
+                out.append(s.getPath().toString())
+            else:
+                for c in fs.listStatus(s.getPath()):
+                    nm = c.getPath().getName()
+                    if c.isFile() and not nm.startswith(("_", ".")) and c.getLen() > 0:
+                        out.append(c.getPath().toString())
     return sorted(out)
 
 
+BATCH_ID_PATTERN = r"/((?:batch_|fs-sn-)[^/]+)/"
+
+
+def batch_id_of(path_col):
+    """The batch folder name inside a file path."""
+    return F.regexp_extract(path_col, BATCH_ID_PATTERN, 1)
+
+
 def header_of(spark: SparkSession, path: str) -> str:
     """First line of a text file, read through the cluster file system."""
     fs, p, jvm = _fs(spark, path)
@@ -99,7 +114,7 @@ def read_batch_csv(spark: SparkSession, paths: list[str], header: str) -> DataFr
     mono = F.monotonically_increasing_id()
     return df.select(
         *[F.col(f"`{c}`") for c in cols],
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("batch_id"),
+        batch_id_of(F.col("_metadata.file_path")).alias("batch_id"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         mono.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))

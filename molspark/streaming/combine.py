@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from molspark.operators.merge import sniff_numeric
+from molspark.sources.files import batch_id_of
 
 
 def combine_stream(spark: SparkSession, root: str, name: str, schema: T.StructType | str,
@@ -29,7 +30,7 @@ def combine_stream(spark: SparkSession, root: str, name: str, schema: T.StructTy
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     src = (spark.readStream.schema(schema).option("header", True)
            .csv(f"{root.rstrip('/')}/{{batch_*,fs-sn-*}}/{name}")
-           .withColumn("batch_id", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+           .withColumn("batch_id", batch_id_of(F.col("_metadata.file_path")))
            .withColumn("_file", F.col("_metadata.file_path"))
            .withColumn("_block", F.col("_metadata.file_block_start"))
            .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
