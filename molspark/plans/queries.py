@@ -923,3 +923,42 @@ def q_principal_frame(spark, sf_dir):
     p = principal_frame(br.atoms(spark, sf_dir, with_z=False))
     return p.select("unique_id", "atom_idx", rk(F.col("x"), 6).alias("x"), rk(F.col("y"), 6).alias("y"),
                     rk(F.col("z"), 6).alias("z"))
+
+
+# --- batch merge (S12, S13, F20, U1, U6) ----------------------------------------
+def write_bridge_batches(spark, sf_dir, root: str) -> None:
+    """Per-batch result CSVs derived from ``orders``: the order priority picks
+    the batch folder; odd batches write ``unique_id,smiles,homo,note``, even
+    ones ``unique_id,smiles,homo,esp_min,code`` (two header groups). Every
+    value is text, as a batch job writes it; ids keep leading zeros."""
+    o = br.table(spark, sf_dir, "orders")
+    k = F.substring("o_orderpriority", 1, 1).cast("int")
+    base = o.select(
+        k.alias("_k"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("unique_id"),
+        F.col("o_orderstatus").alias("smiles"),
+        F.format_string("%.4f", -F.col("o_totalprice") / 100.0).alias("homo"),
+        F.col("o_orderstatus").alias("note"),
+        F.format_string("%.4f", F.col("o_totalprice") / 10.0).alias("esp_min"),
+        F.col("o_custkey").cast("string").alias("code"))
+    for b in range(1, 6):
+        cols = ["unique_id", "smiles", "homo", "note"] if b % 2 else \
+            ["unique_id", "smiles", "homo", "esp_min", "code"]
+        (base.filter(F.col("_k") == b).select(*cols).write.mode("overwrite")
+         .option("header", True).csv(f"{root}/batch_{b}/molecule_property.csv"))
+
+
+@register("combine_batches", """
+SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS unique_id, o_orderstatus AS smiles,
+       CAST(printf('%.4f', -o_totalprice / 100.0) AS DOUBLE) AS homo,
+       CASE WHEN k % 2 = 1 THEN o_orderstatus END AS note,
+       CASE WHEN k % 2 = 0 THEN CAST(printf('%.4f', o_totalprice / 10.0) AS DOUBLE) END AS esp_min,
+       CASE WHEN k % 2 = 0 THEN CAST(o_custkey AS DOUBLE) END AS code,
+       'batch_' || CAST(k AS VARCHAR) AS batch_id
+FROM (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS k FROM orders) t""")
+def q_combine_batches(spark, sf_dir):
+    import uuid
+    from molspark.operators.merge import combine_batches
+    from molspark.session import scratch_path
+    root = scratch_path(spark, f"batches-{uuid.uuid4().hex[:12]}")
+    write_bridge_batches(spark, sf_dir, root)
+    return combine_batches(spark, root, "molecule_property.csv")

@@ -40,8 +40,9 @@ def read_structures_json(spark: SparkSession, path: str) -> tuple[DataFrame, Dat
     mols = s.select("unique_id", "smiles", F.coalesce("charge", F.lit(0)).alias("charge"),
                     F.coalesce("multiplicity", F.lit(1)).alias("multiplicity"),
                     F.size("elements").alias("num_atoms"), "property", "metadata")
-    z = F.arrays_zip(F.col("elements").alias("element"), F.col("xyz").alias("xyz"),
-                     F.col("atomic_numbers").alias("z_num"))
+    from molspark.functions.ids import symbol_to_z
+    zs = F.coalesce(F.col("atomic_numbers"), F.transform("elements", lambda e: symbol_to_z(e)))
+    z = F.arrays_zip(F.col("elements").alias("element"), F.col("xyz").alias("xyz"), zs.alias("z_num"))
     atoms = s.select("unique_id", F.posexplode(z).alias("atom_idx", "a")).select(
         "unique_id", F.col("atom_idx").cast("int"), "a.element", "a.z_num",
         F.element_at("a.xyz", 1).alias("x"), F.element_at("a.xyz", 2).alias("y"),
