@@ -32,10 +32,11 @@ def combine_stream(spark: SparkSession, root: str, name: str, schema: T.StructTy
            .csv(f"{root.rstrip('/')}/{{batch_*,fs-sn-*}}/{name}")
            .withColumn("batch_id", batch_id_of(F.col("_metadata.file_path")))
            .withColumn("_file", F.col("_metadata.file_path"))
-           .withColumn("_block", F.col("_metadata.file_block_start"))
-           .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+           .withColumn("_block", F.col("_metadata.file_block_start")))
 
     def merge(batch: DataFrame, epoch: int) -> None:
+        # position inside each split: only available on the micro-batch
+        batch = batch.withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
         if numeric_cols is None:
             b = sniff_numeric(batch)
         else:
