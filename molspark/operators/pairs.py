@@ -48,12 +48,26 @@ def _side(atoms: DataFrame, key: str, cols: Sequence[str], suffix: str) -> DataF
                         "_blk", "_nb", *[F.col(c).alias(f"{c}{suffix}") for c in cols])
 
 
+def _with_blocks(atoms: DataFrame, cols: Sequence[str], key: str, block_size: int) -> DataFrame:
+    """Atoms with ``_nb`` (blocks in their molecule). A ``num_atoms`` column
+    (known at ingest: the size of the parsed atom list) gives it per row;
+    otherwise it is counted per molecule and joined back."""
+    if "num_atoms" in atoms.columns:
+        return atoms.select(key, "atom_idx", *cols, F.ceil(F.col("num_atoms") / F.lit(block_size))
+                            .cast("int").alias("_nb"))
+    return atoms.select(key, "atom_idx", *cols).join(_block_counts(atoms, key, block_size), key)
+
+
 def _tile_pairs(atoms: DataFrame, cols: Sequence[str], key: str, block_size: int,
                 with_counts: DataFrame | None = None) -> DataFrame:
     """Unordered pairs i < j of every molecule, tiled by atom blocks."""
-    nb = with_counts if with_counts is not None else _block_counts(atoms, key, block_size)
-    a = (atoms.select(key, "atom_idx", *cols).join(nb, key)
-         .withColumn("_blk", F.floor(F.col("atom_idx") / F.lit(block_size)).cast("int")))
+    if "_nb" in atoms.columns:
+        a = atoms
+    elif with_counts is not None:
+        a = atoms.select(key, "atom_idx", *cols).join(with_counts, key)
+    else:
+        a = _with_blocks(atoms, cols, key, block_size)
+    a = a.withColumn("_blk", F.floor(F.col("atom_idx") / F.lit(block_size)).cast("int"))
     left = _side(a, key, cols, "_i").withColumn(
         "_tj", F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1))).withColumnRenamed(
         "_blk", "_ti")
@@ -140,12 +154,10 @@ def neighbour_list(atoms: DataFrame, cutoff: float = 5.0, cols: Sequence[str] =
     larger ones use the 27-cube cell join, whose output grows with local
     density only. Both paths give the same pairs."""
     need = _needed(cols)
-    nb = _block_counts(atoms, key, block_size)
-    a = atoms.select(key, "atom_idx", *need).join(nb, key)
+    a = _with_blocks(atoms, need, key, block_size)
     small = a.filter(F.col("_nb") == 1)
     large = a.filter(F.col("_nb") > 1).drop("_nb")
-    p_small = _tile_pairs(small.drop("_nb"), need, key, block_size,
-                          with_counts=nb.filter(F.col("_nb") == 1))
+    p_small = _tile_pairs(small, need, key, block_size)
     p_large = _cell_pairs(large, need, key, cutoff)
     p = _geometry(p_small.unionByName(p_large)).filter(F.col("d") < F.lit(cutoff))
     if min_distance is not None:

@@ -69,13 +69,16 @@ def atoms(spark: SparkSession, sf_dir: str, with_z: bool = True) -> DataFrame:
     )
     w = Window.partitionBy("unique_id").orderBy("l_linenumber", "l_partkey", "l_suppkey",
                                                 "l_extendedprice")
-    out = base.withColumn("atom_idx", (F.row_number().over(w) - 1).cast("int")).drop(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    # num_atoms rides on the same window partitioning (no extra shuffle); an
+    # XYZ ingest gets it from the size of the parsed atom list instead
+    out = (base.withColumn("atom_idx", (F.row_number().over(w) - 1).cast("int"))
+           .withColumn("num_atoms", F.count(F.lit(1)).over(Window.partitionBy("unique_id")))
+           .drop("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
     if with_z:
         ref = periodic_ref(spark).select(F.col("symbol").alias("element"), "z_num")
         out = out.join(F.broadcast(ref), "element", "left")
     return out.select("unique_id", "atom_idx", "element", *(["z_num"] if with_z else []),
-                      "x", "y", "z", "charge", "forces_x", "forces_y", "forces_z")
+                      "x", "y", "z", "charge", "forces_x", "forces_y", "forces_z", "num_atoms")
 
 
 def bonds(atoms_df: DataFrame) -> DataFrame:
