@@ -80,8 +80,11 @@ def _tile_pairs(atoms: DataFrame, cols: Sequence[str], key: str, block_size: int
 
 
 def _cell_pairs(atoms: DataFrame, cols: Sequence[str], key: str, cutoff: float) -> DataFrame:
-    """Unordered pairs i < j closer than ``cutoff`` via a 27-cube stencil."""
-    cell = [F.floor(F.col(c) / F.lit(cutoff)).cast("long") for c in ("x", "y", "z")]
+    """Unordered pairs i < j closer than ``cutoff`` via a 27-cube stencil.
+    Cubes are a hair wider than the cutoff so rounding in the cell index can
+    never separate a pair by two cubes."""
+    side = cutoff * (1.0 + 1e-9)
+    cell = [F.floor(F.col(c) / F.lit(side)).cast("long") for c in ("x", "y", "z")]
     a = atoms.select(key, "atom_idx", *cols, cell[0].alias("_cx"), cell[1].alias("_cy"),
                      cell[2].alias("_cz"))
     left = a.select(key, F.col("atom_idx").alias("atom_idx_i"), "_cx", "_cy", "_cz",
@@ -201,12 +204,23 @@ def periodic_neighbours(atoms: DataFrame, cells: DataFrame, cutoff: float,
                       *[F.col(n).alias(f"{n}_i") for n in need])
     aj = atoms.select(key, F.col("atom_idx").alias("atom_idx_j"),
                       *[F.col(n).alias(f"{n}_j") for n in need])
-    # images of j: small per-system shift list joined on the system key
-    img = aj.join(shifts, key)
+    # images of j: per-system shift list joined on the system key; an image
+    # farther than the cutoff from the system's bounding box cannot pair with
+    # any atom, so it is dropped before the cell join (exact pruning)
+    box = atoms.groupBy(key).agg(*[F.min(c).alias(f"_{c}0") for c in ("x", "y", "z")],
+                                 *[F.max(c).alias(f"_{c}1") for c in ("x", "y", "z")])
+    img = aj.join(shifts, key).join(box, key)
     img = (img.withColumn("x_j", F.col("x_j") + F.col("_sx"))
               .withColumn("y_j", F.col("y_j") + F.col("_sy"))
-              .withColumn("z_j", F.col("z_j") + F.col("_sz")).drop("_sx", "_sy", "_sz"))
-    cell = lambda v: F.floor(F.col(v) / F.lit(cutoff)).cast("long")
+              .withColumn("z_j", F.col("z_j") + F.col("_sz")))
+    near = F.lit(True)
+    reach = cutoff + 1e-6          # conservative: rounding must never drop a pair
+    for c in ("x", "y", "z"):
+        near = near & (F.col(f"{c}_j") > F.col(f"_{c}0") - F.lit(reach)) \
+            & (F.col(f"{c}_j") < F.col(f"_{c}1") + F.lit(reach))
+    img = img.filter(near).drop("_sx", "_sy", "_sz", "_x0", "_y0", "_z0", "_x1", "_y1", "_z1")
+    side = cutoff * (1.0 + 1e-9)
+    cell = lambda v: F.floor(F.col(v) / F.lit(side)).cast("long")
     left = ai.select("*", cell("x_i").alias("_cx"), cell("y_i").alias("_cy"),
                      cell("z_i").alias("_cz"))
     offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
