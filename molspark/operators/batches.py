@@ -195,3 +195,19 @@ def elapsed(start, end, digits: int = 4) -> Column:
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
     return F.round(e - s, digits)
+
+
+# --- sampling (O1, O2, O5) -------------------------------------------------------
+def preview(df: DataFrame, n: int = 5) -> tuple[list[str], list]:
+    """O1: column list and first ``n`` rows (a bounded peek, ``limit``)."""
+    return df.columns, df.limit(n).collect()
+
+
+def head(df: DataFrame, n: int) -> DataFrame:
+    """O2: first ``n`` rows for sampling (a feature-level limit)."""
+    return df.limit(n)
+
+
+def representative_smiles(atoms: DataFrame, key: str = "unique_id") -> DataFrame:
+    """The SMILES of a molecule's first atom row (``min_by`` on atom_idx)."""
+    return atoms.groupBy(key).agg(F.min_by("smiles", "atom_idx").alias("smiles"))

@@ -249,3 +249,37 @@ def canonical_names(df: DataFrame, mapping: dict | None = None) -> DataFrame:
 def level_string(functional, basis) -> Column:
     """``lower(functional_basis)`` with '-' removed."""
     return F.replace(F.lower(F.concat_ws("_", _c(functional), _c(basis))), F.lit("-"), F.lit(""))
+
+
+def closed_shell_only(df: DataFrame, cols: Sequence[str], mult_col: str = "multiplicity") -> DataFrame:
+    """Properties defined only for closed shell are nulled elsewhere."""
+    return df.withColumns({c: F.when(F.col(mult_col) == 1, F.col(c)) for c in cols})
+
+
+def flag_radicals(atoms: DataFrame, radical_col: str = "num_radical_electrons",
+                  key: str = "unique_id") -> DataFrame:
+    """Molecules with radical electrons (kept in a side output, K12),
+    with their count."""
+    per = atoms.groupBy(key).agg(F.sum(F.col(radical_col)).cast("long").alias("num_radical_electrons"))
+    return per.filter(F.col("num_radical_electrons") > 0)
+
+
+def check_manifest(manifest: DataFrame, inventory: DataFrame, buckets: DataFrame,
+                   mode: str = "upload") -> tuple[DataFrame, DataFrame]:
+    """Manifest rows against the object inventory. Uploads need the
+    target key absent, downloads need it present; the bucket must exist.
+    ``inventory(bucket, key)``, ``buckets(bucket)``. Returns (ok, failures
+    with reason)."""
+    key = F.col("remote_path")
+    m = manifest.withColumn("_b_ok", F.lit(True))
+    b = buckets.select("bucket").distinct().withColumn("_has_bucket", F.lit(True))
+    inv = inventory.select("bucket", F.col("key").alias("remote_path")).distinct() \
+        .withColumn("_exists", F.lit(True))
+    j = m.join(b, "bucket", "left").join(inv, ["bucket", "remote_path"], "left")
+    missing_bucket = F.col("_has_bucket").isNull()
+    exists = F.coalesce(F.col("_exists"), F.lit(False))
+    reason = (F.when(missing_bucket, F.lit("bucket does not exist"))
+              .when(exists if mode == "upload" else ~exists,
+                    F.lit("object already exists" if mode == "upload" else "object not found")))
+    t = j.withColumn("reason", reason).drop("_b_ok", "_has_bucket", "_exists")
+    return t.filter(F.col("reason").isNull()).drop("reason"), t.filter(F.col("reason").isNotNull())

@@ -193,3 +193,51 @@ def test_stream_merge(spark, tmp_path):
     combine_stream(spark, str(root), "molecule_property.csv", schema, out, ck, dedupe_key="unique_id",
                    numeric_cols=["homo"])
     assert spark.read.parquet(out).count() == 3      # every file exactly once
+
+
+def test_small_helpers(spark):
+    from molspark.functions import arrays as A
+    from molspark.functions.text import smiles_features, xyz_line
+    r = spark.createDataFrame([("C[C@H](O)[NH3+].[Cl-]",)], "s string").select(
+        smiles_features(F.col("s")).alias("f")).first()["f"]
+    assert r["n_bracket_atoms"] == 3 and r["formal_charge"] == 0 and r["n_fragments"] == 2
+    assert r["has_stereo"] and r["n_heavy_atoms"] == 5
+    line = spark.range(1).select(xyz_line(F.lit("C"), F.lit(0.0), F.lit(1.5), F.lit(-2.0))).first()[0]
+    assert line == "C  %15.6f %15.6f %15.6f" % (0.0, 1.5, -2.0)
+    df = spark.createDataFrame([([[1.0, 2.0, 3.0], [4.0, 5.0, 6.0]], {"a": 1.0})],
+                               "xyz array<array<double>>, p map<string,double>")
+    flat = df.select(A.flatten_xyz("xyz").alias("f")).first()["f"]
+    assert flat == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+    assert df.select(A.unflatten_xyz(A.flatten_xyz("xyz")).alias("u")).first()["u"] == [[1.0, 2.0, 3.0], [4.0, 5.0, 6.0]]
+    e = A.expand_map(df, "p", "property_", keys=["a", "b"]).first()
+    assert e["property_a"] == 1.0 and e["property_b"] is None
+    cell = spark.createDataFrame([(7.5, -1.0, 13.0, 5.0, 0.0, 0.0, 0.0, 5.0, 0.0, 0.0, 0.0, 5.0)],
+                                 "x double, y double, z double, a1 double, a2 double, a3 double, "
+                                 "b1 double, b2 double, b3 double, c1 double, c2 double, c3 double")
+    w = A.wrap_to_cell(cell).first()
+    assert (w["x"], w["y"], w["z"]) == pytest.approx((2.5, 4.0, 3.0))
+    sv = A.resolve_solvent(spark.createDataFrame([("true",), ("water,78.4",), ("x,-1",), ("false",)],
+                                                 "solvent string")).collect()
+    assert (sv[0]["solvent_model"], sv[0]["solvent_eps"]) == ("IEF-PCM", 20.0)
+    assert sv[1]["solvent_eps"] == 78.4 and sv[2]["solvent_model"] is None and sv[3]["solvent_eps"] is None
+
+
+def test_manifest_check_and_gates(spark):
+    man = spark.createDataFrame([("b1", "/l/a", "r/a"), ("b1", "/l/b", "r/b"), ("zz", "/l/c", "r/c")],
+                                "bucket string, local_path string, remote_path string")
+    inv = spark.createDataFrame([("b1", "r/a")], "bucket string, key string")
+    bk = spark.createDataFrame([("b1",)], "bucket string")
+    ok, bad = Q.check_manifest(man, inv, bk, "upload")
+    assert [r["remote_path"] for r in ok.collect()] == ["r/b"]
+    reasons = {r["remote_path"]: r["reason"] for r in bad.collect()}
+    assert reasons == {"r/a": "object already exists", "r/c": "bucket does not exist"}
+    ok_d, _ = Q.check_manifest(man, inv, bk, "download")
+    assert [r["remote_path"] for r in ok_d.collect()] == ["r/a"]
+    df = spark.createDataFrame([(1, 2.0), (2, 3.0)], "multiplicity int, homo double")
+    assert [r["homo"] for r in Q.closed_shell_only(df, ["homo"]).collect()] == [2.0, None]
+    rad = spark.createDataFrame([("m", 1), ("m", 0), ("n", 0)], "unique_id string, num_radical_electrons int")
+    assert [r["unique_id"] for r in Q.flag_radicals(rad).collect()] == ["m"]
+    atoms = spark.createDataFrame([("m", 1, "CC"), ("m", 0, "C")], "unique_id string, atom_idx int, smiles string")
+    assert B.representative_smiles(atoms).first()["smiles"] == "C"
+    cols, rows = B.preview(atoms, 1)
+    assert cols == ["unique_id", "atom_idx", "smiles"] and len(rows) == 1
