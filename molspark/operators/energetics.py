@@ -153,7 +153,8 @@ def defluorinate(molecules: DataFrame, atoms: DataFrame, bonds: DataFrame,
                  sulfur_only: bool = False, key: str = "unique_id"):
     """Children of BDE-eligible parents: the longest F bond is broken and that
     F atom removed; atoms above it shift down by one (W9); the child gets
-    charge + 1, the parent's multiplicity and id ``<id>_defluorined``.
+    charge + 1, the parent's multiplicity and id ``<id>_defluorined``; the
+    parent's index of the removed atom is kept as ``removed_atom_idx``.
 
     Returns ``(child_molecules, child_atoms)``."""
     elig = bde_eligible(molecules, atoms, key)
@@ -171,7 +172,7 @@ def defluorinate(molecules: DataFrame, atoms: DataFrame, bonds: DataFrame,
                   .join(victim, key)
                   .withColumn("parent_id", F.col(key))
                   .withColumn(key, F.concat(F.col(key), F.lit("_defluorined")))
-                  .drop("f_idx"))
+                  .withColumnRenamed("f_idx", "removed_atom_idx"))
     return child_mols, child_atoms
 
 

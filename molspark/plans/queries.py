@@ -352,11 +352,10 @@ def q_fluoride_bde(spark, sf_dir):
     bde = en.fluoride_bde(m.join(kids.select(F.col("parent_id").alias("unique_id")), "unique_id",
                                  "left_semi"), kids_e)
     out = bde.join(kids.select(F.col("parent_id").alias("unique_id"), "old_f_bonded_atom",
-                               F.col("charge").cast("int").alias("child_charge"), "child_num_atoms"),
+                               F.col("charge").cast("int").alias("child_charge"), "child_num_atoms",
+                               F.col("removed_atom_idx").alias("f_idx")),
                    "unique_id")
-    victims = en.longest_bond(en.fluorine_bonds(b, a).join(
-        en.bde_eligible(m, a).select("unique_id"), "unique_id", "left_semi")).select("unique_id", "f_idx")
-    return out.join(victims, "unique_id").select(
+    return out.select(
         "unique_id", "child_id", "f_idx", "old_f_bonded_atom", "child_charge", "child_num_atoms",
         rk(F.col("fluoride_bde_ev"), 4).alias("fluoride_bde_ev"))
 
@@ -602,17 +601,18 @@ _REASON_SQL = """
 
 
 def _qc_reasons(spark, sf_dir):
-    from molspark.operators.composition import unpaired_electrons
     from molspark.operators.qc import bond_length_qc
     from molspark.operators.structure import bond_geometry
     m = br.molecules(spark, sf_dir)
     a = br.atoms(spark, sf_dir)
-    n = a.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_n"))
-    par = unpaired_electrons(m, a).select("unique_id", "unpaired_electrons")
+    # atom count and electron parity in one aggregation of the atom table
+    per = a.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_n"),
+                                     F.sum(F.pmod(F.col("z_num"), F.lit(2))).alias("_zpar"))
+    parity = F.pmod(F.col("_zpar") - F.pmod(F.col("charge"), F.lit(2)), F.lit(2))
     bq = bond_length_qc(bond_geometry(br.bonds(a), a)).select("unique_id", "n_bad_bonds")
-    t = m.join(n, "unique_id", "left").join(par, "unique_id", "left").join(bq, "unique_id", "left")
+    t = m.join(per, "unique_id", "left").join(bq, "unique_id", "left")
     reason = (F.when(F.col("_n").isNull(), "no atoms")
-              .when(F.col("unpaired_electrons") != 0, "open shell")
+              .when(parity != 0, "open shell")
               .when(F.coalesce(F.col("n_bad_bonds"), F.lit(0)) > 0, "bond length out of range"))
     return t.select("unique_id", reason.alias("reason"))
 
