@@ -40,18 +40,58 @@ def numeric_decisions(df: DataFrame, candidates: list[str], sample: int = 10,
     return first.groupBy("_file", "column").agg(F.bool_and(digits).alias("is_numeric"))
 
 
+def _is_digits(v: str, strict_reference: bool) -> bool:
+    ok = v.replace(".", "").replace("-", "").replace("+", "").isdigit()
+    if ok or strict_reference:
+        return ok
+    try:
+        float(v.strip())
+        return True
+    except ValueError:
+        return False
+
+
 def sniff_numeric(df: DataFrame, keep_text=TEXT_COLUMNS, sample: int = 10,
                   strict_reference: bool = True) -> DataFrame:
     """F20 applied to a batch read: a column becomes DOUBLE when every file
     that has values for it sniffs numeric; later values that do not cast
     become null; all-null columns and text columns stay strings.
 
-    The decision table has one row per (file, column), i.e. it is metadata
-    sized; it is brought to the driver to choose the output schema."""
+    Fast path: the first ``sample`` rows of every file (a per-file
+    ``row_number() <= sample``, a partial limit before the shuffle) decide
+    every column that has no null among them. Only (file, column) pairs with
+    nulls in their first rows go through the exact per-column search.
+    Decisions are metadata sized (files x columns) and choose the output
+    schema on the driver."""
     cand = [c for c in df.columns if c not in keep_text and c not in _INTERNAL]
-    dec = numeric_decisions(df, cand, sample, strict_reference)
-    per_col = dec.groupBy("column").agg(F.bool_and("is_numeric").alias("numeric")).collect()
-    numeric = {r["column"] for r in per_col if r["numeric"]}
+    if not cand:
+        return df
+    w = Window.partitionBy("_file").orderBy("_block", "_pos")
+    head = (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= sample)
+            .select("_file", *[F.col(f"`{c}`") for c in cand]).collect())
+    rows_by_file: dict = {}
+    for r in head:
+        rows_by_file.setdefault(r["_file"], []).append(r)
+    verdict: dict = {c: [] for c in cand}       # per column: file verdicts (None = no values)
+    undecided: set = set()
+    for f, rows in rows_by_file.items():
+        for c in cand:
+            vals = [r[c] for r in rows if r[c] not in (None, "")]
+            if len(vals) == len(rows) == sample or len(rows) < sample:
+                # all first rows filled, or the whole file was read
+                verdict[c].append(all(_is_digits(v, strict_reference) for v in vals) if vals else None)
+            else:
+                undecided.add((f, c))
+    if undecided:
+        files = sorted({f for f, _ in undecided})
+        cols = sorted({c for _, c in undecided})
+        dec = numeric_decisions(df.filter(F.col("_file").isin(files)), cols, sample,
+                                strict_reference).collect()
+        for r in dec:
+            if (r["_file"], r["column"]) in undecided:
+                verdict[r["column"]].append(bool(r["is_numeric"]))
+    numeric = {c for c, v in verdict.items() if any(x is not None for x in v)
+               and all(x for x in v if x is not None)}
     return df.select(*[
         F.trim(F.col(f"`{c}`")).try_cast("double").alias(c) if c in numeric else F.col(f"`{c}`")
         for c in df.columns])
