@@ -9,6 +9,7 @@ import csv
 import io
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -104,9 +105,18 @@ ELEMENT_REF_SCHEMA = T.StructType(
 ELEMENT_VOCAB = tuple(r[1] for r in element_ref_rows())
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small fixed table built from typed literals (``inline`` of an array of
+    structs), so it lives in the JVM plan: no Python-backed scan, and the
+    broadcast of a dimension costs no Python worker."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def element_ref(spark: SparkSession) -> DataFrame:
     """The 16-row combustion dimension."""
-    return spark.createDataFrame(element_ref_rows(), ELEMENT_REF_SCHEMA)
+    return literal_table(spark, element_ref_rows(), ELEMENT_REF_SCHEMA)
 
 
 def periodic_rows() -> list[tuple]:
@@ -129,7 +139,7 @@ PERIODIC_SCHEMA = T.StructType([
 
 def periodic_ref(spark: SparkSession) -> DataFrame:
     """Symbol, atomic number, vdW radius and mass for Z = 0..118."""
-    return spark.createDataFrame(periodic_rows(), PERIODIC_SCHEMA)
+    return literal_table(spark, periodic_rows(), PERIODIC_SCHEMA)
 
 
 def resolve_energy_column(level: str) -> str:
