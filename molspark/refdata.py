@@ -105,13 +105,24 @@ ELEMENT_REF_SCHEMA = T.StructType(
 ELEMENT_VOCAB = tuple(r[1] for r in element_ref_rows())
 
 
+def _sql_literal(v, dtype: T.DataType) -> str:
+    name = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {name})"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({v!r} AS {name})"
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A small fixed table built from typed literals (``inline`` of an array of
-    structs), so it lives in the JVM plan: no Python-backed scan, and the
-    broadcast of a dimension costs no Python worker."""
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
-               for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small fixed table as a SQL inline ``VALUES`` table: Spark keeps it
+    as a local relation in the JVM plan (no Python-backed scan, no generated
+    code for the literals), so broadcasting a dimension is free."""
+    body = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(r, schema.fields)) + ")"
+                     for r in rows)
+    cols = ", ".join(f"c{i}" for i in range(len(schema.fields)))
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({cols})")
+    return df.select(*[F.col(f"c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
 def element_ref(spark: SparkSession) -> DataFrame:
