@@ -283,16 +283,18 @@ def coulomb_energy_dsf(atoms: DataFrame, charge_col: str = "charge", rc: float =
 
 def short_range_repulsion(atoms: DataFrame, params: DataFrame, rc: float = 5.2,
                           cutoff_fn: str | None = None, per_atom: bool = False,
-                          key: str = "unique_id", block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                          key: str = "unique_id", block_size: int = DEFAULT_BLOCK,
+                          min_distance: float | None = None) -> DataFrame:
     """``sum_{i!=j} exp(-alpha_i alpha_j d^1.5) Z_i Z_j / d`` with per-element
     ``params(element, alpha, zeff)`` (a periodic-table-sized broadcast), an
     optional cosine/exp cutoff, per molecule or per atom."""
     prm = F.broadcast(params.select("element", "alpha", "zeff"))
     a = atoms.join(prm, "element", "left")
     if cutoff_fn:
-        p = neighbour_list(a, rc, ["alpha", "zeff"], key=key, block_size=block_size)
+        p = neighbour_list(a, rc, ["alpha", "zeff"], key=key, block_size=block_size,
+                           min_distance=min_distance)
     else:
-        p = atom_pairs(a, ["alpha", "zeff"], key=key, block_size=block_size)
+        p = atom_pairs(a, ["alpha", "zeff"], key=key, block_size=block_size, min_distance=min_distance)
     d = F.col("d")
     e = F.exp(-F.col("alpha_i") * F.col("alpha_j") * F.pow(d, F.lit(1.5))) \
         * F.col("zeff_i") * F.col("zeff_j") / d

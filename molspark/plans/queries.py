@@ -962,3 +962,199 @@ def q_combine_batches(spark, sf_dir):
     root = scratch_path(spark, f"batches-{uuid.uuid4().hex[:12]}")
     write_bridge_batches(spark, sf_dir, root)
     return combine_batches(spark, root, "molecule_property.csv")
+
+
+# --- more molecule aggregates (A7, A8, A9, A23, J2, P18, J15) ---------------------
+@register("total_charge", br.with_views("""
+SELECT unique_id, CAST(round_even(sum(charge), 0) AS INTEGER) AS total_charge,
+       round(sum(forces_z), 8) AS sum_forces_z
+FROM atoms GROUP BY unique_id""", "atoms"))
+def q_total_charge(spark, sf_dir):
+    from molspark.operators.composition import molecule_sum, total_charge
+    a = br.atoms(spark, sf_dir, with_z=False)
+    return total_charge(a).join(molecule_sum(a, "forces_z"), "unique_id").select(
+        "unique_id", "total_charge", rk(F.col("sum_forces_z"), 8).alias("sum_forces_z"))
+
+
+# shifts per element for A9 (user-supplied table in real use; here a fixed test table)
+_SHIFTS = [("H", -0.5), ("C", -37.8), ("N", -54.6), ("O", -75.1), ("F", -99.7), ("S", -398.1)]
+
+
+@register("atomic_shift_sum", br.with_views(f"""
+SELECT a.unique_id, round(sum(a.charge + coalesce(s.shift, 0.0)), 6) AS energy_shifted
+FROM atoms a LEFT JOIN (VALUES {", ".join(f"('{e}', CAST({v!r} AS DOUBLE))" for e, v in _SHIFTS)}) s(element, shift)
+  ON a.element = s.element
+GROUP BY a.unique_id""", "atoms"))
+def q_atomic_shift(spark, sf_dir):
+    from molspark.operators.composition import atomic_shift_sum
+    from molspark.refdata import literal_table
+    from pyspark.sql import types as T
+    shifts = literal_table(spark, _SHIFTS, T.StructType([T.StructField("element", T.StringType()),
+                                                         T.StructField("shift", T.DoubleType())]))
+    s = atomic_shift_sum(br.atoms(spark, sf_dir, with_z=False), shifts, value_col="charge")
+    return s.select("unique_id", rk(F.col("energy_shifted"), 6).alias("energy_shifted"))
+
+
+@register("bounding_box", br.with_views("""
+SELECT unique_id, round(min(x) - 0.5, 6) AS xmin, round(max(x) + 0.5, 6) AS xmax,
+       round(min(y) - 0.5, 6) AS ymin, round(max(y) + 0.5, 6) AS ymax,
+       round(min(z) - 0.5, 6) AS zmin, round(max(z) + 0.5, 6) AS zmax,
+       round((max(x) - min(x) + 1.0) * (max(y) - min(y) + 1.0) * (max(z) - min(z) + 1.0), 6) AS box_volume
+FROM atoms GROUP BY unique_id""", "atoms"))
+def q_bounding_box(spark, sf_dir):
+    from molspark.operators.geometry import bounding_box
+    b = bounding_box(br.atoms(spark, sf_dir, with_z=False), padding=0.5)
+    return b.select("unique_id", *[rk(F.col(c), 6).alias(c) for c in
+                                   ("xmin", "xmax", "ymin", "ymax", "zmin", "zmax", "box_volume")])
+
+
+@register("element_products", br.with_views(f"""
+SELECT a.unique_id, CAST(count(*) FILTER (WHERE r.element IS NULL) AS BIGINT) AS n_unmatched,
+       string_agg(DISTINCT r.product, ',' ORDER BY r.product) AS products,
+       round(sum(r.product_ratio * r.e_tot_ev), 6) AS product_energy_ev
+FROM atoms a LEFT JOIN (SELECT * FROM {__import__("molspark.refdata", fromlist=["x"]).sql_values_element_ref()}) r
+  ON a.element = r.element
+GROUP BY a.unique_id""", "atoms"))
+def q_element_products(spark, sf_dir):
+    from molspark.operators.structure import join_element_ref
+    j = join_element_ref(br.atoms(spark, sf_dir, with_z=False), "b3lypg_6311g*_e_tot_ev")
+    return j.groupBy("unique_id").agg(
+        F.count_if(F.col("ord").isNull()).cast("long").alias("n_unmatched"),
+        F.array_join(F.array_sort(F.collect_set("product")), ",").alias("products"),
+        rk(F.sum(F.col("product_ratio") * F.col("`b3lypg_6311g*_e_tot_ev`")), 6).alias("product_energy_ev"))
+
+
+@register("element_whitelist", br.with_views("""
+SELECT unique_id, string_agg(DISTINCT element, ',' ORDER BY element) AS bad_elements
+FROM atoms WHERE element NOT IN ('C', 'H', 'N', 'O') GROUP BY unique_id""", "atoms"))
+def q_element_whitelist(spark, sf_dir):
+    from molspark.operators.qc import elements_in
+    e = elements_in(br.atoms(spark, sf_dir, with_z=False), ["C", "H", "N", "O"])
+    return e.select("unique_id", F.array_join("bad_elements", ",").alias("bad_elements"))
+
+
+@register("atom_order_check", br.with_views("""
+SELECT unique_id, CAST(count(*) FILTER (WHERE NOT (z1 IS NOT DISTINCT FROM z2)) AS BIGINT) AS n_mismatch
+FROM (SELECT coalesce(a.unique_id, b.unique_id) AS unique_id, a.z_num AS z1, b.z2
+      FROM atoms a FULL JOIN (SELECT unique_id, atom_idx,
+                                     CASE WHEN atom_idx = 0 AND element = 'C' THEN 7 ELSE z_num END AS z2
+                              FROM atoms) b
+        ON a.unique_id = b.unique_id AND a.atom_idx = b.atom_idx) t
+GROUP BY unique_id""", "atoms"))
+def q_atom_order(spark, sf_dir):
+    from molspark.operators.structure import assert_atom_order
+    a = br.atoms(spark, sf_dir)
+    other = a.select("unique_id", "atom_idx", F.when((F.col("atom_idx") == 0) & (F.col("element") == "C"),
+                                                     F.lit(7)).otherwise(F.col("z_num")).alias("z_num"))
+    return assert_atom_order(a, other)
+
+
+# --- pair energies with per-element parameters (A18, A41) -----------------------
+_R4R2 = [("H", 2.0073), ("C", 3.1038), ("N", 2.7152), ("O", 2.4426), ("F", 2.1613), ("S", 4.1246)]
+_REP = [("H", 2.21, 1.1), ("C", 1.25, 4.2), ("N", 1.19, 5.2), ("O", 1.12, 6.1), ("F", 1.05, 7.0),
+        ("S", 0.94, 9.3)]
+
+
+def _param_cte(name, rows, cols):
+    vals = ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)"
+                                     for v in r) + ")" for r in rows)
+    return (name, f"SELECT * FROM (VALUES {vals}) t({', '.join(cols)})")
+
+
+_PAIRS_P_CTE = ("pp", """
+  SELECT a.unique_id, sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) + (b.z - a.z) * (b.z - a.z)) AS d,
+         a.element AS ei, b.element AS ej, a.charge AS qi, b.charge AS qj
+  FROM atoms a JOIN atoms b ON a.unique_id = b.unique_id AND a.atom_idx < b.atom_idx""")
+
+
+@register("pair_dispersion", br.with_views("""
+SELECT unique_id, round(-sum(c6 / (d * d * d * d * d * d + r0 * r0 * r0 * r0 * r0 * r0)
+                           + c6 * qq / (d * d * d * d * d * d * d * d + r0 * r0 * r0 * r0 * r0 * r0 * r0 * r0)), 6)
+         AS dispersion
+FROM (SELECT p.unique_id, p.d, sqrt((1.0 + abs(p.qi)) * (1.0 + abs(p.qj))) AS c6,
+             3.0 * pi.r4r2 * pj.r4r2 AS qq, 0.4 * sqrt(3.0 * pi.r4r2 * pj.r4r2) + 5.0 AS r0
+      FROM pp p JOIN prm pi ON p.ei = pi.element JOIN prm pj ON p.ej = pj.element) t
+GROUP BY unique_id""", "atoms", ctes=[_PAIRS_P_CTE, _param_cte("prm", _R4R2, ["element", "r4r2"])]))
+def q_pair_dispersion(spark, sf_dir):
+    from molspark.operators.pairs import pair_dispersion
+    from molspark.refdata import literal_table
+    from pyspark.sql import types as T
+    prm = literal_table(spark, _R4R2, T.StructType([T.StructField("element", T.StringType()),
+                                                    T.StructField("r4r2", T.DoubleType())]))
+    a = br.atoms(spark, sf_dir, with_z=False).withColumn("c6", F.lit(1.0) + F.abs("charge"))
+    d = pair_dispersion(a, prm, s6=1.0, s8=1.0, a1=0.4, a2=5.0)
+    return d.select("unique_id", rk(F.col("dispersion"), 6).alias("dispersion"))
+
+
+@register("short_range_repulsion", br.with_views("""
+SELECT unique_id, round(2.0 * sum(exp(-ai * aj * pow(d, 1.5)) * zi * zj / d), 6) AS repulsion
+FROM (SELECT p.unique_id, p.d, pi.alpha AS ai, pj.alpha AS aj, pi.zeff AS zi, pj.zeff AS zj
+      FROM pp p JOIN prm pi ON p.ei = pi.element JOIN prm pj ON p.ej = pj.element
+      WHERE p.d > 0.1) t
+GROUP BY unique_id""", "atoms", ctes=[_PAIRS_P_CTE, _param_cte("prm", _REP, ["element", "alpha", "zeff"])]))
+def q_repulsion(spark, sf_dir):
+    from molspark.operators.pairs import short_range_repulsion
+    from molspark.refdata import literal_table
+    from pyspark.sql import types as T
+    prm = literal_table(spark, _REP, T.StructType([T.StructField("element", T.StringType()),
+                                                   T.StructField("alpha", T.DoubleType()),
+                                                   T.StructField("zeff", T.DoubleType())]))
+    r = short_range_repulsion(br.atoms(spark, sf_dir, with_z=False), prm, min_distance=0.1)
+    return r.select("unique_id", rk(F.col("repulsion"), 6).alias("repulsion"))
+
+
+# --- batches and convergence (A35, T2, P13, W6) -----------------------------------
+@register("batch_stats", br.with_views("""
+SELECT m.batch_id, CAST(count(*) AS BIGINT) AS n_molecules, CAST(min(n) AS BIGINT) AS min_atoms,
+       CAST(max(n) AS BIGINT) AS max_atoms, CAST(sum(n) AS BIGINT) AS total_atoms
+FROM molecules m JOIN (SELECT unique_id, count(*) AS n FROM atoms GROUP BY 1) c ON m.unique_id = c.unique_id
+GROUP BY m.batch_id""", "molecules", "atoms"))
+def q_batch_stats(spark, sf_dir):
+    from molspark.operators.batches import batch_stats
+    from molspark.operators.composition import atom_counts
+    m = br.molecules(spark, sf_dir).join(atom_counts(br.atoms(spark, sf_dir, with_z=False)), "unique_id")
+    return batch_stats(m)
+
+
+@register("convergence_progress", br.with_views("""
+SELECT batch_id, CAST(count(*) FILTER (WHERE converged) AS BIGINT) AS n_done,
+       CAST(count(*) FILTER (WHERE NOT converged) AS BIGINT) AS n_failed
+FROM molecules GROUP BY batch_id""", "molecules"))
+def q_progress(spark, sf_dir):
+    from molspark.operators.batches import progress
+    from molspark.operators.qc import split_converged
+    m = br.molecules(spark, sf_dir)
+    ok, bad = split_converged(m)
+    tagged = ok.withColumn("ok", F.lit(True)).unionByName(bad.withColumn("ok", F.lit(False)))
+    return progress(tagged, "batch_id", "ok")
+
+
+@register("conformer_ranks", br.with_views("""
+SELECT unique_id, conf_rank, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT unique_id, CAST(row_number() OVER (PARTITION BY unique_id
+                        ORDER BY energy_kcal, conf_id, l_partkey, l_suppkey) AS INTEGER) AS conf_rank
+  FROM conformers) t
+GROUP BY unique_id, conf_rank""", "conformers"))
+def q_conformer_ranks(spark, sf_dir):
+    c = en.rank_conformers(br.conformers(spark, sf_dir), order_cols=("conf_id", "l_partkey", "l_suppkey"))
+    return c.groupBy("unique_id", F.col("conf_rank").cast("int").alias("conf_rank")).agg(
+        F.count(F.lit(1)).cast("long").alias("n"))
+
+
+# --- nested export and JSON text (K9, F19) ----------------------------------------
+@register("nested_export", br.with_views("""
+SELECT a.unique_id, CAST(len(list(element ORDER BY atom_idx)) AS BIGINT) AS n_elements,
+       string_agg(element, '' ORDER BY atom_idx) AS elements,
+       CAST(count(*) * 3 AS BIGINT) AS n_xyz_flat, round(sum(x + y + z), 6) AS xyz_sum,
+       round(max(m.energy_hartree), 6) AS property_energy_hartree
+FROM atoms a JOIN molecules m ON a.unique_id = m.unique_id
+GROUP BY a.unique_id""", "molecules", "atoms"))
+def q_nested_export(spark, sf_dir):
+    from molspark.sinks.tables import nested_export
+    n = nested_export(br.molecules(spark, sf_dir), br.atoms(spark, sf_dir, with_z=False),
+                      property_cols=["energy_hartree"])
+    return n.select("unique_id", F.size("elements").cast("long").alias("n_elements"),
+                    F.array_join("elements", "").alias("elements"),
+                    F.size("xyz_flat").cast("long").alias("n_xyz_flat"),
+                    rk(F.aggregate("xyz_flat", F.lit(0.0), lambda acc, v: acc + v), 6).alias("xyz_sum"),
+                    rk(F.col("property_energy_hartree"), 6).alias("property_energy_hartree"))

@@ -169,7 +169,7 @@ def sql_values_element_ref() -> str:
             return "NULL"
         if isinstance(v, str):
             return "'" + v.replace("'", "''") + "'"
-        return repr(float(v)) if isinstance(v, float) else str(v)
+        return f"CAST({float(v)!r} AS DOUBLE)" if isinstance(v, float) else str(v)
     body = ",\n".join("(" + ", ".join(lit(v) for v in r) + ")" for r in element_ref_rows())
     cols = ["ord", "element", "product", "o2_consumption", "product_ratio",
             "e_tot_hartree", "e_tot_ev", "h_tot_298k_ev", "triton_energy_ev",
@@ -183,6 +183,6 @@ def sql_values_periodic() -> str:
             return "NULL"
         if isinstance(v, str):
             return "'" + v + "'"
-        return repr(v)
+        return f"CAST({v!r} AS DOUBLE)" if isinstance(v, float) else repr(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in periodic_rows())
     return f"(VALUES {body}) AS periodic(z_num, symbol, vdw_radius, mass)"
