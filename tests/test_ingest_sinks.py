@@ -186,3 +186,16 @@ def test_with_stage(spark, tmp_path):
     assert K.with_stage(spark, make, path).count() == 3
     assert K.with_stage(spark, make, path).count() == 3
     assert len(calls) == 1
+
+
+def test_xyz_lines_long_form(spark, tmp_path):
+    a = spark.createDataFrame([("m", 1, "O", 1.2, 0.0, 0.0, "C", -0.1), ("m", 0, "C", 0.0, 0.0, 0.0, "C", 0.1)],
+                              "unique_id string, atom_idx int, element string, x double, y double, z double, "
+                              "smiles string, q double")
+    lines = [r["line"] for r in K.xyz_lines(a).orderBy("line_no").collect()]
+    block = K.extract_xyz(a).first()["xyz_text"].split("\n")
+    assert lines == block
+    K.write_xyz_lines(K.xyz_lines(a), str(tmp_path / "x"))
+    files = list((tmp_path / "x" / "unique_id=m").glob("part-*"))
+    text = "".join(f.read_text() for f in files if f.stat().st_size)
+    assert text.splitlines() == block
