@@ -47,6 +47,61 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], out: str = "idx",
                              .cast("long")).drop("_mono", "_pid", "_off")
 
 
+def group_rank(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str = "rank",
+               count_out: str | None = None, partitions: int | None = None) -> DataFrame:
+    """0-based row number inside each ``keys`` group in ``order_cols``
+    order (what ``row_number() OVER (PARTITION BY keys ORDER BY ...) - 1``
+    gives), without putting a group into one task. Order columns must make
+    the order total (ties get an arbitrary but consistent order).
+
+    Rows are range-partitioned on (keys, order) so a hot group spans many
+    partitions; each partition holds contiguous sorted runs of a group. A
+    run table (one row per partition and group: first position, length)
+    gets per-group prefix offsets, and is joined back on (partition, keys).
+    ``count_out`` adds the group size. Every shuffle is balanced even when
+    one group holds a third of the rows."""
+    keys = list(keys)
+    n = partitions or max(2 * df.sparkSession.sparkContext.defaultParallelism, 1)
+    s = (df.repartitionByRange(n, *[F.col(c) for c in keys + list(order_cols)])
+         .sortWithinPartitions(*keys, *order_cols)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_loc", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
+    # partition ids and positions are assigned once and materialised in the
+    # shared checkpoint folder: the run table and the join-back read the same
+    # values (a second evaluation could see different partitions, e.g. when
+    # adaptive execution reads a shuffle locally), and lineage is cut
+    ensure_checkpoint_dir(df.sparkSession)
+    s = s.checkpoint(eager=True)
+    runs = s.groupBy("_pid", *keys).agg(F.min("_loc").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*keys).orderBy("_pid")
+    runs = runs.withColumn("_off", F.coalesce(
+        F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if count_out:
+        runs = runs.withColumn(count_out, F.sum("_cnt").over(Window.partitionBy(*keys)))
+    j = s.join(runs, ["_pid", *keys])
+    return (j.withColumn(out, (F.col("_off") + F.col("_loc") - F.col("_first")).cast("int"))
+            .drop("_pid", "_loc", "_first", "_cnt", "_off"))
+
+
+def rank_within_groups(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+                       out: str = "rank", count_out: str | None = None,
+                       max_group_rows: int = 1_000_000) -> DataFrame:
+    """Row number inside groups with a size check first: the largest group
+    is measured with one map-side-combined count; when every group is at
+    most ``max_group_rows`` a ``row_number`` window is safe (a task sorts
+    one bounded group), otherwise the hot groups are split with
+    ``group_rank``."""
+    keys = list(keys)
+    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if biggest > max_group_rows:
+        return group_rank(df, keys, order_cols, out, count_out)
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    r = df.withColumn(out, (F.row_number().over(w) - 1).cast("int"))
+    if count_out:
+        r = r.withColumn(count_out, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return r
+
+
 def distribute_expr(idx: Column, n: int, num_jobs: int) -> Column:
     """W1 as an expression: job number (0-based) of row ``idx`` when ``n``
     rows are spread over ``num_jobs`` jobs and the first ``n mod k`` jobs get

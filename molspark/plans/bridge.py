@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from molspark.operators.batches import rank_within_groups
 from molspark.refdata import periodic_ref
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -67,13 +68,14 @@ def atoms(spark: SparkSession, sf_dir: str, with_z: bool = True) -> DataFrame:
         ((F.col("l_discount") - 0.05) / 10.0).alias("forces_y"),
         ((F.col("l_quantity") - 25.0) / 1000.0).alias("forces_z"),
     )
-    w = Window.partitionBy("unique_id").orderBy("l_linenumber", "l_partkey", "l_suppkey",
-                                                "l_extendedprice")
-    # num_atoms rides on the same window partitioning (no extra shuffle); an
-    # XYZ ingest gets it from the size of the parsed atom list instead
-    out = (base.withColumn("atom_idx", (F.row_number().over(w) - 1).cast("int"))
-           .withColumn("num_atoms", F.count(F.lit(1)).over(Window.partitionBy("unique_id")))
-           .drop("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    # atom_idx = rank of the line inside its order; a per-molecule window
+    # only when the largest order is proven small, else hot orders are split
+    # over many tasks (group_rank); num_atoms comes with it. An XYZ ingest
+    # gets both from posexplode / the list size.
+    out = rank_within_groups(base, ["unique_id"],
+                             ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+                             out="atom_idx", count_out="num_atoms").drop(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     if with_z:
         ref = periodic_ref(spark).select(F.col("symbol").alias("element"), "z_num")
         out = out.join(F.broadcast(ref), "element", "left")
@@ -102,12 +104,11 @@ def orbitals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts", "event_id",
         ((F.col("value") - 250.0) / 1000.0).alias("energy"),
     )
-    w = Window.partitionBy("unique_id", "spin").orderBy("ts", "event_id")
-    wc = Window.partitionBy("unique_id", "spin")
-    rn = F.row_number().over(w)
-    return base.select(
-        "unique_id", "spin", (rn - 1).cast("int").alias("orb_idx"), "energy",
-        F.when(rn <= F.count(F.lit(1)).over(wc) / 2.0, F.lit(1.0)).otherwise(F.lit(0.0))
+    r = rank_within_groups(base, ["unique_id", "spin"], ["ts", "event_id"], out="orb_idx",
+                           count_out="_n")
+    return r.select(
+        "unique_id", "spin", "orb_idx", "energy",
+        F.when(F.col("orb_idx") + 1 <= F.col("_n") / 2.0, F.lit(1.0)).otherwise(F.lit(0.0))
          .alias("occ"))
 
 

@@ -241,3 +241,16 @@ def test_manifest_check_and_gates(spark):
     assert B.representative_smiles(atoms).first()["smiles"] == "C"
     cols, rows = B.preview(atoms, 1)
     assert cols == ["unique_id", "atom_idx", "smiles"] and len(rows) == 1
+
+
+def test_group_rank_matches_window(spark):
+    from pyspark.sql import Window
+    rows = [("hot", i % 7, i) for i in range(300)] + [(f"k{i}", i % 3, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, a int, b int")
+    ref = df.withColumn("r0", (F.row_number().over(Window.partitionBy("k").orderBy("a", "b")) - 1).cast("int"))
+    got = B.group_rank(df, ["k"], ["a", "b"], out="r1", count_out="n", partitions=6)
+    j = ref.join(got, ["k", "a", "b"])
+    assert j.count() == 350 and j.filter("r0 != r1").count() == 0
+    assert j.filter("k = 'hot'").select("n").distinct().first()[0] == 300
+    small = B.rank_within_groups(df, ["k"], ["a", "b"], out="r2", count_out="n", max_group_rows=10)
+    assert small.join(ref, ["k", "a", "b"]).filter("r0 != r2").count() == 0
