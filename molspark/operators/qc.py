@@ -22,6 +22,9 @@ SMILES_COLUMN_ALIASES = ("smiles", "Smiles", "SMILES", "canonical_smiles", "smil
 # one-letter atoms (aromatic lower case too), bonds, branches, ring closures,
 # dot-disconnection.
 _TOKEN = (r"\[[^\[\]]+\]|Br|Cl|[BCNOPSFI]|[bcnops]|[=#$:/\\.\-]|[()]|%[0-9]{2}|[0-9]")
+# Superset of the token alphabet outside brackets (Br/Cl letters included):
+# failing it proves an unknown token without building the residue.
+_TOKEN_CHARS = r"^(?:\[[^\[\]]+\]|[BCNOPSFIbcnopsrl=#$:/\\.\-()%0-9])+$"
 
 
 def _c(c) -> Column:
@@ -73,7 +76,9 @@ def formal_charge(col) -> Column:
 def smiles_lexical_reason(col) -> Column:
     """P5: lexical validity (weaker than chemical sanitisation): only SMILES
     tokens, balanced brackets and parentheses, ring-closure digits paired.
-    Returns null when the text passes, otherwise the reason."""
+    Returns null when the text passes, otherwise the reason
+    (``unknown_token`` alone when a character outside every token occurs,
+    ``unknown_token: <rest>`` with the uncovered text otherwise)."""
     s = _c(col)
     residue = F.regexp_replace(s, _TOKEN, "")
     opens = F.length(s) - F.length(F.regexp_replace(s, r"\(", ""))
@@ -93,6 +98,8 @@ def smiles_lexical_reason(col) -> Column:
             .alias("ok")))["ok"]
     return (F.when(s.isNull() | (F.trim(s) == ""), F.lit("empty"))
             .when(~looks_like_smiles(s), F.lit("bad_characters"))
+            # cheap necessary test first: a character no token can use
+            .when(~s.rlike(_TOKEN_CHARS), F.lit("unknown_token"))
             .when(F.length(residue) > 0, F.concat(F.lit("unknown_token: "), residue))
             .when((opens != closes) | ~depth_ok, F.lit("unbalanced_parentheses"))
             .when(odd_label, F.lit("unpaired_ring_closure")))

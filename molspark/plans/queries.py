@@ -519,8 +519,9 @@ def q_smiles_token_qc(spark, sf_dir):
     d = br.table(spark, sf_dir, "documents").select("doc_id", "text")
     t = d.select("doc_id", F.explode(F.split("text", _WS)).alias("tok")).filter(F.col("tok") != "")
     t = t.select("doc_id", "tok", qc.looks_like_smiles("tok").alias("looks"),
-                 qc.smiles_lexical_reason(F.col("tok")).alias("reason"),
-                 qc.formal_charge(F.col("tok")).alias("charge"))
+                 qc.smiles_lexical_reason(F.col("tok")).alias("reason"))
+    # formal charges only for tokens that passed the lexical check
+    t = t.withColumn("charge", F.when(F.col("reason").isNull(), qc.formal_charge(F.col("tok"))))
     ok = F.col("reason").isNull()
     return t.groupBy("doc_id").agg(
         F.count(F.lit(1)).cast("long").alias("n_tokens"),
