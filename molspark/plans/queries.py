@@ -561,14 +561,15 @@ def q_xyz_roundtrip(spark, sf_dir):
     m = br.molecules(spark, sf_dir).select("unique_id", "charge")
     a = br.atoms(spark, sf_dir, with_z=False)
     blocks = xyz_blocks(m, a, energy_col=None)
-    pm, pa, _fail = parse_xyz(blocks.select("xyz_block"), "xyz_block", mode="tokens")
-    sums = pa.groupBy("unique_id").agg(
-        F.count(F.lit(1)).cast("long").alias("num_atoms"), rk(F.sum("x"), 6).alias("sum_x"),
-        rk(F.sum("y"), 6).alias("sum_y"), rk(F.sum("z"), 6).alias("sum_z"),
+    # molecule fields ride on the atom rows: the text is parsed once
+    _pm, pa, _fail = parse_xyz(blocks.select("xyz_block"), "xyz_block", mode="tokens",
+                               carry=("charge", "multiplicity"))
+    return pa.groupBy("unique_id").agg(
+        F.count(F.lit(1)).cast("long").alias("num_atoms"),
+        F.first("charge").cast("int").alias("charge"), F.first("multiplicity").alias("multiplicity"),
+        rk(F.sum("x"), 6).alias("sum_x"), rk(F.sum("y"), 6).alias("sum_y"), rk(F.sum("z"), 6).alias("sum_z"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("atom_idx", "element"))),
                                  lambda s: s["element"]), "").alias("elements"))
-    return pm.select("unique_id", F.col("charge").cast("int"), "multiplicity").join(sums, "unique_id") \
-        .select("unique_id", "num_atoms", "charge", "multiplicity", "sum_x", "sum_y", "sum_z", "elements")
 
 
 @register("extract_xyz", br.with_views("""

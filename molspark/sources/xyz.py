@@ -47,7 +47,8 @@ def _parity_multiplicity(elements: Column, charge: Column) -> Column:
 
 def parse_xyz(df: DataFrame, text_col: str = "text", mode: str = "annotated",
               charge_col_idx: int | None = None, id_col: str | None = None,
-              infer_multiplicity: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+              infer_multiplicity: bool = False,
+              carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Parse XYZ text, one molecule per row.
 
     ``mode``:
@@ -63,9 +64,11 @@ def parse_xyz(df: DataFrame, text_col: str = "text", mode: str = "annotated",
         row is an error, the total charge is the half-even rounded sum and the
         comment is then ignored.
 
-    ``id_col`` overrides the id (file stem for directories). Returns
-    ``(molecules, atoms, failures)``; a molecule with a malformed atom line
-    goes to failures only."""
+    ``id_col`` overrides the id (file stem for directories). ``carry``
+    copies molecule-level columns (e.g. ``charge``) onto every atom row, so a
+    consumer that needs both levels can read the atom output alone (one
+    parse instead of two). Returns ``(molecules, atoms, failures)``; a
+    molecule with a malformed atom line goes to failures only."""
     strip = mode == "tokens"
     lines = _lines(F.col(text_col), strip)
     body = _atom_lines(lines)
@@ -144,8 +147,8 @@ def parse_xyz(df: DataFrame, text_col: str = "text", mode: str = "annotated",
         F.lit("parse_xyz").alias("stage"), "unique_id", "smiles",
         F.coalesce(F.col("_why"), F.lit("malformed atom line")).alias("reason"))
     molecules = ok.drop("_text", "_toks", "_bad", "_why")
-    atoms = ok.select("unique_id", F.posexplode("_toks").alias("atom_idx", "_t")).select(
-        "unique_id", F.col("atom_idx").cast("int"), F.element_at("_t", 1).alias("element"),
+    atoms = ok.select("unique_id", *carry, F.posexplode("_toks").alias("atom_idx", "_t")).select(
+        "unique_id", *carry, F.col("atom_idx").cast("int"), F.element_at("_t", 1).alias("element"),
         F.element_at("_t", 2).cast("double").alias("x"),
         F.element_at("_t", 3).cast("double").alias("y"),
         F.element_at("_t", 4).cast("double").alias("z"),
