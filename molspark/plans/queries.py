@@ -928,7 +928,7 @@ def q_principal_frame(spark, sf_dir):
 
 
 # --- batch merge (S12, S13, F20, U1, U6) ----------------------------------------
-def write_bridge_batches(spark, sf_dir, root: str) -> None:
+def write_bridge_batches(spark, sf_dir, root: str, uniform_header: bool = False) -> None:
     """Per-batch result CSVs derived from ``orders``: the order priority picks
     the batch folder; odd batches write ``unique_id,smiles,homo,note``, even
     ones ``unique_id,smiles,homo,esp_min,code`` (two header groups). Every
@@ -945,8 +945,13 @@ def write_bridge_batches(spark, sf_dir, root: str) -> None:
     for b in range(1, 6):
         cols = ["unique_id", "smiles", "homo", "note"] if b % 2 else \
             ["unique_id", "smiles", "homo", "esp_min", "code"]
-        (base.filter(F.col("_k") == b).select(*cols).write.mode("overwrite")
-         .option("header", True).csv(f"{root}/batch_{b}/molecule_property.csv"))
+        if uniform_header:   # one header for every batch, absent fields empty
+            out = base.filter(F.col("_k") == b).select(
+                *[F.col(c) if c in cols else F.lit(None).cast("string").alias(c)
+                  for c in ["unique_id", "smiles", "homo", "note", "esp_min", "code"]])
+        else:
+            out = base.filter(F.col("_k") == b).select(*cols)
+        out.write.mode("overwrite").option("header", True).csv(f"{root}/batch_{b}/molecule_property.csv")
 
 
 @register("combine_batches", """
@@ -1160,3 +1165,18 @@ def q_nested_export(spark, sf_dir):
                     F.size("xyz_flat").cast("long").alias("n_xyz_flat"),
                     rk(F.aggregate("xyz_flat", F.lit(0.0), lambda acc, v: acc + v), 6).alias("xyz_sum"),
                     rk(F.col("property_energy_hartree"), 6).alias("property_energy_hartree"))
+
+
+@register("combine_stream", ORACLE["combine_batches"])
+def q_combine_stream(spark, sf_dir):
+    """The batch files picked up by a file stream (each file exactly once,
+    state in the checkpoint folder), merged per micro-batch and appended."""
+    import uuid
+    from molspark.session import scratch_path
+    from molspark.streaming.combine import combine_stream
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    write_bridge_batches(spark, sf_dir, root, uniform_header=True)
+    schema = "unique_id string, smiles string, homo string, note string, esp_min string, code string"
+    combine_stream(spark, root, "molecule_property.csv", schema, root + "/merged.parquet",
+                   root + "/_stream_checkpoint")
+    return spark.read.parquet(root + "/merged.parquet")
