@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from molspark.functions.units import HARTREE_EV
 from molspark.operators import energetics as en
@@ -127,4 +126,3 @@ def test_thermo(spark):
     f = spark.createDataFrame([("m", -5.0), ("n", 10.0)], "unique_id string, frequency double")
     th = spark.createDataFrame([("m", 1.0), ("n", 2.0)], "unique_id string, v double")
     assert [r["unique_id"] for r in en.thermo_gate(f, th).collect()] == ["n"]
-    assert F is not None
