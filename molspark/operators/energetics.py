@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from molspark.functions.units import HARTREE_EV
 from molspark.operators.composition import count_col, element_counts, hill_formula
 from molspark.refdata import DEFAULT_ENERGY_COLUMN, ENERGY_COLUMNS, element_ref_rows
+from molspark.session import ensure_checkpoint_dir
 
 HALOGENS = ("F", "Cl", "Br", "I")
 # FIXED VALUE: fluoride anion energy (hartree) used when none is supplied.
@@ -160,6 +161,11 @@ def defluorinate(molecules: DataFrame, atoms: DataFrame, bonds: DataFrame,
     elig = bde_eligible(molecules, atoms, key)
     fb = fluorine_bonds(bonds, atoms, sulfur_only, key).join(elig.select(key), key, "left_semi")
     victim = longest_bond(fb, key).select(key, "f_idx", F.col("partner").alias("old_f_bonded_atom"))
+    # one row per eligible molecule, read by both outputs and their
+    # consumers: materialise it once (shared checkpoint folder) instead of
+    # re-running the bond joins per reader
+    ensure_checkpoint_dir(molecules.sparkSession)
+    victim = victim.checkpoint(eager=True)
     child_atoms = (atoms.join(victim, key)
                    .filter(F.col("atom_idx") != F.col("f_idx"))
                    .withColumn("atom_idx", F.when(F.col("atom_idx") > F.col("f_idx"),
