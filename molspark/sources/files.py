@@ -95,13 +95,30 @@ def header_of(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def group_by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+def group_by_header(spark: SparkSession, paths: list[str],
+                    driver_max_files: int = 64) -> dict[str, list[str]]:
     """Files with identical header lines, so each group is read with one
     positional schema (one ``csv()`` call over mixed headers would map
-    columns by position)."""
+    columns by position). A few files are read on the driver (one short
+    read each); many files are read by a Spark job that keeps the first
+    line of every file (per-file ``row_number() = 1``, a partial limit
+    before the shuffle) and returns one (file, header) row per file."""
     groups: dict[str, list[str]] = defaultdict(list)
+    if len(paths) <= driver_max_files:
+        for p in paths:
+            groups[header_of(spark, p)].append(p)
+        return dict(groups)
+    from pyspark.sql import Window
+    t = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("p"), "value")
+    w = Window.partitionBy("f").orderBy("b", "p")
+    first = t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).select("f", "value")
+    def norm(x: str) -> str:  # "file:/a/b" and "/a/b" name the same local file
+        return x[5:] if x.startswith("file:") else x
+    by_path = {norm(r["f"]): r["value"] for r in first.collect()}   # one row per file
     for p in paths:
-        groups[header_of(spark, p)].append(p)
+        groups[by_path.get(norm(p), "")].append(p)
     return dict(groups)
 
 

@@ -251,3 +251,16 @@ def test_group_rank_matches_window(spark):
     assert j.filter("k = 'hot'").select("n").distinct().first()[0] == 300
     small = B.rank_within_groups(df, ["k"], ["a", "b"], out="r2", count_out="n", max_group_rows=10)
     assert small.join(ref, ["k", "a", "b"]).filter("r0 != r2").count() == 0
+
+
+def test_header_groups_distributed(spark, tmp_path):
+    from molspark.sources.files import group_by_header
+    paths = []
+    for i in range(5):
+        p = tmp_path / f"f{i}.csv"
+        p.write_text(("a,b\n" if i % 2 else "a,c\n") + "1,2\n3,4\n")
+        paths.append(str(p))
+    local = group_by_header(spark, paths)
+    dist = group_by_header(spark, paths, driver_max_files=0)
+    assert {k: sorted(v) for k, v in local.items()} == {k: sorted(v) for k, v in dist.items()}
+    assert sorted(local) == ["a,b", "a,c"]
