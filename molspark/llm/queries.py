@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, url_rules
+from . import html, html_labelled, language, packing, secrets, url_rules, warc
 from .common import scratch_path
 
 
@@ -111,5 +111,51 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM texts LEFT JOIN joined USING (doc_id)
 """
 
-SPARK = {"op3_secret_scan": op3_secret_scan, "op6_url_rules": op6_url_rules}
-ORACLE = {"op3_secret_scan": _OP3_SQL, "op6_url_rules": _OP6_SQL}
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.fit(docs.where(~held_out))
+    return (language.identify(docs, model)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = html.train(html_labelled.labelled_pages())
+    return (html.extract(_read(spark, sf_dir, "pages"), model)
+            .select("page_id", "url", "text", "n_chars"))
+
+
+def tokenizer_path() -> str:
+    """The byte-level BPE of the installed public vocabulary files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = scratch_path(spark, "warc")
+    warc.write_warc(_read(spark, sf_dir, "pages"), archives)
+    return (warc.read_warc(spark, archives)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem"))
+
+
+_OP10_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY payload_digest)
+SELECT page_id, octet_length(body) AS payload_bytes, payload_digest,
+       CASE WHEN octet_length(body) >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN octet_length(body) >= 100 AND page_id > first THEN first END AS refers_to,
+       CAST(NULL AS VARCHAR) AS problem
+FROM p JOIN first USING (payload_digest)
+"""
+
+SPARK = {"op1_language_id": op1_language_id, "op2_html_text": op2_html_text,
+         "op3_secret_scan": op3_secret_scan, "op6_url_rules": op6_url_rules,
+         "op7_packing": op7_packing, "op10_warc": op10_warc}
+ORACLE = {"op3_secret_scan": _OP3_SQL, "op6_url_rules": _OP6_SQL, "op10_warc": _OP10_SQL}
