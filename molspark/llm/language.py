@@ -11,14 +11,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 UNDETERMINED = "und"
 #: Words: runs of letters. Only letters count, so digits, marks and markup say nothing.
 _WORD = re.compile(r"[^\W\d_]+")
@@ -174,14 +176,10 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     return Model(tuple(languages), *known, grams, np.concatenate(blocks), params.longest)
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (columns of these names are replaced).
-
-    Whole texts are scored in the tasks that read them, one row out per row in;
-    nothing but the bounded model is shipped. Null texts and texts without a
-    letter: ``und`` and 0.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def predictor(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A function of a text column: struct of lang_pred and score. The bounded
+    model is all that is shipped."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -189,5 +187,25 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in texts:
             yield pd.DataFrame([scorer.predict(t) for t in batch], columns=["lang_pred", "score"])
 
-    return (docs.drop("lang_pred", "score").withColumn("_said", predict(F.col(text)))
-            .select("*", "_said.lang_pred", "_said.score").drop("_said"))
+    return predict
+
+
+def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` with lang_pred and score (columns of these names are replaced).
+
+    Whole texts are scored in the tasks that read them, one row out per row in,
+    repeated rows included. Null texts and texts without a letter: ``und`` and 0.
+    """
+    said = fresh(docs, "_said")
+    return (docs.withColumn(said, predictor(docs.sparkSession, model)(F.col(text)))
+            .withColumns({"lang_pred": F.col(f"{said}.lang_pred"), "score": F.col(f"{said}.score")})
+            .drop(said))
+
+
+def accept(docs: DataFrame, model: Model, text: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose language can be told: not ``und``, and with a
+    probability of at least ``least``."""
+    said = fresh(docs, "_said")
+    return (docs.withColumn(said, predictor(docs.sparkSession, model)(F.col(text)))
+            .where((F.col(f"{said}.lang_pred") != UNDETERMINED) & (F.col(f"{said}.score") >= least))
+            .drop(said))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, html_labelled, language, packing, secrets, url_rules, warc
+from . import (decontaminate, html, html_labelled, language, lm_score, near_duplicates, neighbours,
+               packing, secrets, url_rules, warc)
 from .common import scratch_path
 
 
@@ -155,7 +156,29 @@ SELECT page_id, octet_length(body) AS payload_bytes, payload_digest,
 FROM p JOIN first USING (payload_digest)
 """
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as of good quality; background: all documents."""
+    good = (_read(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+            .withColumn("target", F.lit(True)))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text").join(good, "doc_id", "left")
+    return lm_score.score(docs)
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 SPARK = {"op1_language_id": op1_language_id, "op2_html_text": op2_html_text,
-         "op3_secret_scan": op3_secret_scan, "op6_url_rules": op6_url_rules,
-         "op7_packing": op7_packing, "op10_warc": op10_warc}
+         "op3_secret_scan": op3_secret_scan, "op4_near_duplicates": op4_near_duplicates,
+         "op5_decontamination": op5_decontamination, "op6_url_rules": op6_url_rules,
+         "op7_packing": op7_packing, "op8_lm_score": op8_lm_score,
+         "op9_neighbours": op9_neighbours, "op10_warc": op10_warc}
 ORACLE = {"op3_secret_scan": _OP3_SQL, "op6_url_rules": _OP6_SQL, "op10_warc": _OP10_SQL}

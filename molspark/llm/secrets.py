@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .common import fresh
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -167,23 +169,21 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(versions: DataFrame, findings: DataFrame, text: str = "text",
-           mark: str = "[secret]", rules=RULES) -> DataFrame:
+           mark: str = "[redacted]", rules=RULES) -> DataFrame:
     """``versions`` with every found span replaced by ``mark`` (overlapping
     spans by one mark); texts without findings stay as they are, null included."""
+    spans, blob = fresh(versions, "_spans"), fresh(versions, "_blob")
+    body = F.col(text)
     merged = F.aggregate(
-        "spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
+        spans, F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda acc, s: F.struct(
             F.when(s["start"] >= acc["at"],
-                   F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"),
-                                                    (s["start"] - acc["at"]).cast("int")),
-                            F.lit(mark)))
+                   F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"),
+                                                    (s["start"] - acc["at"]).cast("int")), F.lit(mark)))
             .otherwise(acc["out"]).alias("out"),
             F.greatest(acc["at"], s["end"]).alias("at")),
-        lambda acc: F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"),
-                                                     F.length(text))))
-    columns = versions.columns
-    return (versions.withColumn("_blob", blob_id(F.col(text)))
-            .join(findings_by_blob(findings, rules).withColumnRenamed("blob", "_blob"),
-                  "_blob", "left")
-            .withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(merged))
-            .select(*columns))
+        lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.length(body))))
+    found = findings_by_blob(findings, rules).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    return (versions.withColumn(blob, blob_id(body)).join(found, blob, "left")
+            .withColumn(text, F.when(F.col(spans).isNull(), body).otherwise(merged))
+            .select(*versions.columns))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Hexadecimal digits of the digest that the join uses (32 bits).
 SHORT = 8
@@ -86,10 +88,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url",
     hits = (expanded.join(table.withColumn("short", F.substring("digest", 1, SHORT)), "short")
             .where((F.col("full") == F.col("digest")) & (F.col("expression") == F.col("rule"))))
     order = F.struct(F.length("rule"), "host_chars", "action", "rule")
+    won = fresh(parsed, "_won")
     best = (hits.groupBy("host", "path")
-            .agg(F.max_by(F.struct("rule", "action"), order).alias("best")))
+            .agg(F.max_by(F.struct("rule", "action"), order).alias(won)))
     return (parsed.join(best, ["host", "path"], "left")
-            .withColumns({"rule": F.col("best.rule"),
-                          "verdict": F.coalesce("best.action", F.lit(default))})
+            .withColumns({"rule": F.col(f"{won}.rule"),
+                          "verdict": F.coalesce(f"{won}.action", F.lit(default))})
             .select(*[c for c in parsed.columns if c not in ("host", "path")],
                     "host", "path", "rule", "verdict"))
