@@ -210,7 +210,7 @@ def find(text: str | None, index: Index, params: Params) -> list[tuple[int, floa
         weight = np.where(ok & (f >= 0), idf[span], 0).astype(np.float32)
         for j in range(params.width):
             x += weight[:, j, None] * index.basis[np.maximum(f[:, j], 0)]
-        cosine = (x @ index.latent.T) / np.sqrt(np.maximum(all_of[some], 1e-12))[:, None]
+        cosine = np.minimum(1.0, (x @ index.latent.T) / np.sqrt(np.maximum(all_of[some], 1e-12))[:, None])
         for w, p in zip(*np.nonzero(cosine >= params.cosine)):
             i, c = int(index.item[p]), float(cosine[w, p])
             if c > best.get(i, (0.0, 0))[0]:

@@ -27,6 +27,15 @@ from pyspark.sql import types as T
 
 #: A space that surely starts a pre-token, whatever white space is around it.
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: Marks the first unit of a text, which no space goes before; a character that
+#: texts, being valid UTF-8, never hold.
+_FIRST = "\udfff"
+_MARKS = ".,;:!?#$%&*"
+#: How byte-level tokenizers write bytes: printable Latin-1 as itself, all others
+#: as the characters from 256 on, in order.
+_UNSEEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_WRITTEN = {b: chr(256 + i) for i, b in enumerate(_UNSEEN)}
+_BLANK = _WRITTEN[32]
 _SENTENCE_END = re.compile(r"""[.!?…]["')\]»”]*\s*$|\n\s*$""")
 
 
@@ -45,6 +54,13 @@ class Params:
     buffer: int = 1 << 17
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """``array``, doubled until it has ``size`` places."""
+    while len(array) < size:
+        array = np.concatenate([array, np.empty_like(array)])
+    return array
+
+
 class Units:
     """Token ids of whole texts by way of their space-separated units.
 
@@ -70,54 +86,58 @@ class Units:
     def forget(self) -> None:
         self.places: dict[str, int] = {}
         self.words: dict[str, list[int]] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.starts = np.zeros(1, np.int64)
-        self.ends_sentence = np.empty(0, bool)
-        self.starts_blank = np.empty(0, bool)
+        self.ids = np.empty(1 << 16, np.uint32)  # the units' ids, one after another
+        self.starts = np.zeros(1 << 16, np.int64)  # of each unit in ids, and the end
+        self.ends_sentence = np.empty(1 << 16, bool)
+        self.starts_blank = np.empty(1 << 16, bool)
 
     def _words(self, unit: str) -> list[str]:
-        """Pre-tokens of a unit; plain ASCII words, the usual case, are known by sight."""
-        if unit[:1] == " " and unit.isascii():
-            if unit[1:].isalpha():
-                return ["\u0120" + unit[1:]]  # how a byte-level tokenizer writes a space
-            if unit[-1] in ".,;:!?" and unit[1:-1].isalpha():
-                return ["\u0120" + unit[1:-1], unit[-1]]
-        return [word for word, _ in self.split.pre_tokenize_str(unit)]
+        """Pre-tokens of a unit; a word, or a word and marks, is known by sight."""
+        word = unit.rstrip(_MARKS)
+        if word.isalpha():
+            written = _BLANK + (word if word.isascii() else word.encode().decode("latin-1").translate(_WRITTEN))
+            return [written, unit[len(word):]] if len(word) < len(unit) else [written]
+        text = unit[1:] if unit[:1] == _FIRST else " " + unit
+        return [word for word, _ in self.split.pre_tokenize_str(text)]
 
     def learn(self, units: list[str]) -> None:
         flat: list[int] = []
         stops = []
+        words, tokenize = self.words, self.model.tokenize
         for unit in units:
             for word in self._words(unit):
-                if (ids := self.words.get(word)) is None:
-                    ids = self.words[word] = [t.id for t in self.model.tokenize(word)]
+                if (ids := words.get(word)) is None:
+                    ids = words[word] = [t.id for t in tokenize(word)]
                 flat += ids
             stops.append(len(flat))
-        base = self.starts[-1]
-        while base + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[base:base + len(flat)] = flat
-        self.starts = np.concatenate([self.starts, base + np.array(stops, np.int64)])
-        self.ends_sentence = np.concatenate(
-            [self.ends_sentence, [not u[-1:].isalpha() and bool(_SENTENCE_END.search(u)) for u in units]])
-        self.starts_blank = np.concatenate(
-            [self.starts_blank, [not u[1:2].strip() for u in units]])
         at = len(self.places)
-        self.places.update((u, at + i) for i, u in enumerate(units))
+        base, end = int(self.starts[at]), at + len(units)
+        self.ids = _room(self.ids, base + len(flat))
+        self.ids[base:base + len(flat)] = flat
+        self.starts = _room(self.starts, end + 1)
+        self.starts[at + 1:end + 1] = stops
+        self.starts[at + 1:end + 1] += base
+        self.ends_sentence, self.starts_blank = _room(self.ends_sentence, end), _room(self.starts_blank, end)
+        self.ends_sentence[at:end] = [not u[-1:].isalpha() and bool(_SENTENCE_END.search(u)) for u in units]
+        self.starts_blank[at:end] = [not u[:1].isalpha() and not u[:1].strip() for u in units]
+        self.places.update(zip(units, range(at, end)))
 
     def _lookup(self, texts: list[list[str]]) -> list[np.ndarray]:
-        new = list(dict.fromkeys(u for units in texts for u in units if u not in self.places))
+        new = set().union(*texts).difference(self.places)
         if new:
             if len(self.places) > self.most:
                 self.forget()
-                new = list(dict.fromkeys(u for units in texts for u in units))
-            self.learn(new)
+                new = set().union(*texts)
+            self.learn(sorted(new))
         return [np.fromiter(map(self.places.__getitem__, units), np.int64, len(units)) for units in texts]
 
     @staticmethod
     def _split(text: str, safe: bool) -> list[str]:
-        units = (_SAFE_SPACE.split(text) if safe else text.split(" "))
-        return [units[0], *[" " + u for u in units[1:]]] if text else []
+        """Units without their leading space; the first has none, which a mark says."""
+        units = (_SAFE_SPACE.split(text) if safe else text.split(" ")) if text else []
+        if units:
+            units[0] = _FIRST + units[0]
+        return units
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids and the offsets after which a sentence ends."""
@@ -153,19 +173,23 @@ def best_cuts(n: int, cuts: np.ndarray, costs: np.ndarray, params: Params = Para
         edges = np.append(0, points)
         points = np.union1d(points, np.concatenate(
             [np.arange(edges[g], edges[g + 1], length)[1:] for g in gaps]))
-    points = points.tolist()
     powers = [p for p in (1 << k for k in range(length.bit_length())) if params.least_power <= p < length]
-    cost, back = {0: 0.0}, {}
+    # Starts of power-of-two windows are few: only ends that another point precedes so are looked up.
+    exact = np.zeros(len(points), bool)
+    for size in powers:
+        exact |= np.isin(points - size, points, assume_unique=True) | (points == size)
+    cost, back, inner = {0: 0.0}, {}, params.inner_cost
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # cost plus start, ascending
-    for p in points:
+    for p, tried in zip(points.tolist(), exact.tolist()):
         while queue[0][1] < p - length:
             queue.popleft()
-        start = queue[0][1]
-        best = queue[0][0] + length - p
-        for size in powers:
-            if (c := cost.get(p - size)) is not None and c < best:
-                best, start = c, p - size
-        best += price.get(p, params.inner_cost)
+        best, start = queue[0]
+        best += length - p
+        if tried:
+            for size in powers:
+                if (c := cost.get(p - size)) is not None and c < best:
+                    best, start = c, p - size
+        best += price.get(p, inner)
         cost[p], back[p] = best, start
         value = best + p
         while queue and queue[-1][0] > value:
@@ -271,8 +295,8 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
 
         for got in batches:
             arrow = got.schema.field(0).type
-            for at in range(0, got.num_rows, 64):
-                part = got.slice(at, 64)
+            for at in range(0, got.num_rows, 256):
+                part = got.slice(at, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for k, (ids, sentences) in zip(part.column(0).to_pylist(), units.encode(texts)):
                     rows.extend(packer.add(k, ids, sentences))

@@ -155,8 +155,9 @@ def _parsed(fields: dict[str, str], block: bytes) -> dict:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives below ``path``, continuations apart. A
-    record is read by its Content-Length, so blank lines in a block do no harm.
+    """All records of the archives below ``path``, continuations apart. The
+    pieces between separators restore the stream of bytes, in which a record is
+    read by its Content-Length, so blank lines in a block do no harm.
     Raises ValueError when an archive ends inside a record."""
     lines = (spark.read.option("lineSep", END).text(path)
              .select(F.col("value").cast("binary").alias("piece"), F.col("_metadata.file_path").alias("file")))
@@ -165,29 +166,35 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         names = [x.split()[0] for x in _RECORD.split(", ")]
         types = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
         schema = pa.schema([(n, types[x.split()[1]]) for n, x in zip(names, _RECORD.split(", "))])
-        file, fields, held, size = None, None, [], 0
+        file, fields, stream = None, None, bytearray()
         for batch in batches:
             out = []
             for piece, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if name != file and fields is not None:
-                    raise ValueError(f"{file} ends inside a record")
-                file = name
-                if fields is None:
-                    if not piece.strip():
-                        continue
-                    fields, held, size = _fields(piece.lstrip()), [], -4
-                    continue
-                held.append(piece)
-                size += len(piece) + 4  # the separator stood between pieces
-                if size >= (want := int(fields["content-length"])):
-                    block = END.encode().join(held)
-                    if len(block) != want:
+                if name != file:
+                    if fields is not None or stream.strip():
+                        raise ValueError(f"{file} ends inside a record")
+                    file, stream = name, bytearray()
+                stream += piece
+                stream += END.encode()  # the separator stood between pieces
+                while True:
+                    if fields is None:
+                        begin = len(stream) - len(stream.lstrip(CRLF))
+                        stop = stream.find(END.encode(), begin)
+                        if stop < 0:
+                            break
+                        fields = _fields(bytes(stream[begin:stop]))
+                        del stream[:stop + 4]
+                    size = int(fields["content-length"])
+                    if len(stream) < size + 4:
+                        break
+                    if stream[size:size + 4] != END.encode():
                         raise ValueError(f"{file}: a record is longer than its Content-Length")
-                    out.append(_parsed(fields, block))
+                    out.append(_parsed(fields, bytes(stream[:size])))
+                    del stream[:size + 4]
                     fields = None
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
-        if fields is not None:
+        if fields is not None or stream.strip():
             raise ValueError(f"{file} ends inside a record")
 
     return lines.mapInArrow(parse, _RECORD)
