@@ -83,25 +83,6 @@ def group_rank(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], ou
             .drop("_pid", "_loc", "_first", "_cnt", "_off"))
 
 
-def rank_within_groups(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
-                       out: str = "rank", count_out: str | None = None,
-                       max_group_rows: int = 1_000_000) -> DataFrame:
-    """Row number inside groups with a size check first: the largest group
-    is measured with one map-side-combined count; when every group is at
-    most ``max_group_rows`` a ``row_number`` window is safe (a task sorts
-    one bounded group), otherwise the hot groups are split with
-    ``group_rank``."""
-    keys = list(keys)
-    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if biggest > max_group_rows:
-        return group_rank(df, keys, order_cols, out, count_out)
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
-    r = df.withColumn(out, (F.row_number().over(w) - 1).cast("int"))
-    if count_out:
-        r = r.withColumn(count_out, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    return r
-
-
 def distribute_expr(idx: Column, n: int, num_jobs: int) -> Column:
     """W1 as an expression: job number (0-based) of row ``idx`` when ``n``
     rows are spread over ``num_jobs`` jobs and the first ``n mod k`` jobs get

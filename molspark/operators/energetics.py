@@ -8,10 +8,11 @@ dimension), which keeps the formula inside generated code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from molspark.functions.units import HARTREE_EV
+from molspark.operators.batches import group_rank
 from molspark.operators.composition import count_col, element_counts, hill_formula
 from molspark.refdata import DEFAULT_ENERGY_COLUMN, ENERGY_COLUMNS, element_ref_rows
 from molspark.session import ensure_checkpoint_dir
@@ -204,9 +205,11 @@ def thermo_gate(frequencies: DataFrame, thermo: DataFrame, key: str = "unique_id
 
 def rank_conformers(conformers: DataFrame, energy_col: str = "energy_kcal",
                     order_cols=("conf_id",), key: str = "unique_id") -> DataFrame:
-    """Rank conformers by energy ascending (stable on ``order_cols``)."""
-    w = Window.partitionBy(key).orderBy(F.col(energy_col), *[F.col(c) for c in order_cols])
-    return conformers.withColumn("conf_rank", F.row_number().over(w))
+    """Rank conformers by energy ascending (stable on ``order_cols``). The
+    rank comes from a range-partitioned sort, so a molecule with a large share
+    of all conformers is spread over many tasks."""
+    ranked = group_rank(conformers, [key], [energy_col, *order_cols], out="conf_rank")
+    return ranked.withColumn("conf_rank", F.col("conf_rank") + 1)
 
 
 def lowest_conformer(conformers: DataFrame, energy_col: str = "energy_kcal",

@@ -1,18 +1,17 @@
 """Atom pairs inside molecules (J4, J5, J6) and the pair energies built on
 them (A15-A18, A34, A38, A41).
 
-Layout choice, made per molecule size:
-
-* **Tiles** (all pairs). Atoms are cut into blocks of ``block_size`` by
-  ``atom_idx``; block pairs ``(ti, tj)`` with ``ti <= tj`` are the join key.
-  Every join key holds at most ``block_size`` atoms per side, so a molecule
-  with a huge atom count is spread over many tasks instead of one. For the
-  usual small molecule (one block) this is exactly one equi self-join on
-  ``(unique_id, 0, 0)``.
-* **Cells** (pairs within a cutoff, molecules above one block). Atoms are
-  bucketed into cubes of side ``cutoff``; each atom is offered to the 27
-  neighbouring cubes and joined on ``(unique_id, cell)``. Output is bounded
-  by local atom density, not by n^2.
+Layouts:
+
+* **Tiles** (all pairs). Atoms are dealt into blocks of about ``block_size``
+  by a hash of ``atom_idx`` (indices may have gaps); block pairs ``(ti, tj)``
+  with ``ti <= tj`` are the join key, so a molecule with a huge atom count is
+  spread over many tasks instead of one. For the usual small molecule (one
+  block) this is exactly one equi self-join on ``(unique_id, 0, 0)``.
+* **Cells** (pairs within a cutoff). Each molecule's bounding box is cut into
+  as many cells per axis as are at least a cutoff wide; an atom meets its own
+  cell and the neighbours that come after it (a half stencil). A molecule
+  smaller than two cutoffs is one cell and its atoms are not repeated.
 
 The molecule key is always part of the join key, so Spark never plans a
 Cartesian product. Pair rows are aggregated right after they are formed.
@@ -23,83 +22,90 @@ broadcast a side that is many times larger than its estimate.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from molspark.functions import kernels as K
-from molspark.functions.units import COULOMB_EV_ANGSTROM
+from molspark.functions.units import BOHR_ANGSTROM, COULOMB_EV_ANGSTROM, HARTREE_EV
 
 DEFAULT_BLOCK = 256
 
 
-def _block_counts(atoms: DataFrame, key: str, block_size: int) -> DataFrame:
-    """Number of atom blocks per molecule (one row per molecule). Counting
-    (rather than ``max(atom_idx)``) needs no column but the key, so Spark
-    reads only the key for this side and combines map-side."""
-    return atoms.groupBy(key).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("int").alias("_nb"))
-
-
 def _side(atoms: DataFrame, key: str, cols: Sequence[str], suffix: str) -> DataFrame:
     return atoms.select(key, F.col("atom_idx").alias(f"atom_idx{suffix}"),
                         "_blk", "_nb", *[F.col(c).alias(f"{c}{suffix}") for c in cols])
 
 
 def _with_blocks(atoms: DataFrame, cols: Sequence[str], key: str, block_size: int) -> DataFrame:
-    """Atoms with ``_nb`` (blocks in their molecule). A ``num_atoms`` column
-    (known at ingest: the size of the parsed atom list) gives it per row;
-    otherwise it is counted per molecule and joined back."""
+    """Atoms with ``_nb``, the number of blocks of their molecule. A
+    ``num_atoms`` column (known at ingest; after a filter of atoms it is an
+    upper bound, which serves as well) gives it per row; otherwise atoms are
+    counted per molecule (map-side combined) and the count is joined back."""
     if "num_atoms" in atoms.columns:
-        return atoms.select(key, "atom_idx", *cols, F.ceil(F.col("num_atoms") / F.lit(block_size))
-                            .cast("int").alias("_nb"))
-    return atoms.select(key, "atom_idx", *cols).join(_block_counts(atoms, key, block_size), key)
+        n = F.greatest(F.coalesce(F.col("num_atoms"), F.lit(1)), F.lit(1))
+        return atoms.select(key, "atom_idx", *cols, F.ceil(n / F.lit(block_size)).cast("int").alias("_nb"))
+    counts = atoms.groupBy(key).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("int").alias("_nb"))
+    return atoms.select(key, "atom_idx", *cols).join(counts, key)
+
+
+def _ordered(p: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
+    """Pairs with the smaller ``atom_idx`` as i."""
+    turn = F.col("atom_idx_i") > F.col("atom_idx_j")
+    out = [F.col(key)]
+    for c in ("atom_idx", *cols):
+        i, j = F.col(f"{c}_i"), F.col(f"{c}_j")
+        out += [F.when(turn, j).otherwise(i).alias(f"{c}_i"), F.when(turn, i).otherwise(j).alias(f"{c}_j")]
+    return p.select(*out)
 
 
-def _tile_pairs(atoms: DataFrame, cols: Sequence[str], key: str, block_size: int,
-                with_counts: DataFrame | None = None) -> DataFrame:
+def _tile_pairs(atoms: DataFrame, cols: Sequence[str], key: str, block_size: int) -> DataFrame:
     """Unordered pairs i < j of every molecule, tiled by atom blocks."""
-    if "_nb" in atoms.columns:
-        a = atoms
-    elif with_counts is not None:
-        a = atoms.select(key, "atom_idx", *cols).join(with_counts, key)
-    else:
-        a = _with_blocks(atoms, cols, key, block_size)
-    a = a.withColumn("_blk", F.floor(F.col("atom_idx") / F.lit(block_size)).cast("int"))
+    a = _with_blocks(atoms, cols, key, block_size)
+    a = a.withColumn("_blk", F.pmod(F.xxhash64("atom_idx"), F.col("_nb")).cast("int"))
     left = _side(a, key, cols, "_i").withColumn(
         "_tj", F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1))).withColumnRenamed(
         "_blk", "_ti")
     right = _side(a, key, cols, "_j").withColumn(
         "_ti", F.explode(F.sequence(F.lit(0), F.col("_blk")))).withColumnRenamed("_blk", "_tj")
-    right = right.drop("_nb")
-    p = left.hint("merge").join(right, [key, "_ti", "_tj"])
+    p = left.hint("merge").join(right.drop("_nb"), [key, "_ti", "_tj"])
     p = p.filter((F.col("_ti") < F.col("_tj")) | (F.col("atom_idx_i") < F.col("atom_idx_j")))
-    return p.drop("_ti", "_tj", "_nb")
+    return _ordered(p, cols, key)
 
 
 def _cell_pairs(atoms: DataFrame, cols: Sequence[str], key: str, cutoff: float) -> DataFrame:
-    """Unordered pairs i < j closer than ``cutoff`` via a 27-cube stencil.
-    Cubes are a hair wider than the cutoff so rounding in the cell index can
-    never separate a pair by two cubes."""
+    """Unordered pairs i < j of atoms in the same or in neighbouring cells,
+    which holds every pair closer than ``cutoff``. Cells are a hair wider than
+    the cutoff so rounding can never separate a pair by two cells."""
     side = cutoff * (1.0 + 1e-9)
-    cell = [F.floor(F.col(c) / F.lit(side)).cast("long") for c in ("x", "y", "z")]
-    a = atoms.select(key, "atom_idx", *cols, cell[0].alias("_cx"), cell[1].alias("_cy"),
-                     cell[2].alias("_cz"))
-    left = a.select(key, F.col("atom_idx").alias("atom_idx_i"), "_cx", "_cy", "_cz",
+    axes = ("x", "y", "z")
+    box = atoms.groupBy(key).agg(*[F.min(c).alias(f"_{c}0") for c in axes],
+                                 *[F.max(c).alias(f"_{c}1") for c in axes])
+    for c in axes:
+        extent = F.col(f"_{c}1") - F.col(f"_{c}0")
+        box = box.withColumn(f"_n{c}", F.greatest(F.floor(extent / F.lit(side)), F.lit(1)).cast("long"))
+    a = atoms.select(key, "atom_idx", *cols).join(box, key)
+    for c in axes:
+        width = F.greatest((F.col(f"_{c}1") - F.col(f"_{c}0")) / F.col(f"_n{c}"), F.lit(side))
+        a = a.withColumn(f"_c{c}", F.least(F.col(f"_n{c}") - 1, F.floor(
+            (F.col(c) - F.col(f"_{c}0")) / width)).cast("long"))
+    cell = lambda x, y, z: (x * F.col("_ny") + y) * F.col("_nz") + z
+    a = a.withColumn("_cell", cell(F.col("_cx"), F.col("_cy"), F.col("_cz")))
+    left = a.select(key, F.col("atom_idx").alias("atom_idx_i"), "_cell",
                     *[F.col(c).alias(f"{c}_i") for c in cols])
-    offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
-    right = (a.withColumn("_ox", F.explode(offs)).withColumn("_oy", F.explode(offs))
-             .withColumn("_oz", F.explode(offs))
-             .select(key, F.col("atom_idx").alias("atom_idx_j"),
-                     (F.col("_cx") + F.col("_ox")).alias("_cx"),
-                     (F.col("_cy") + F.col("_oy")).alias("_cy"),
-                     (F.col("_cz") + F.col("_oz")).alias("_cz"),
-                     *[F.col(c).alias(f"{c}_j") for c in cols]))
-    p = left.hint("merge").join(right, [key, "_cx", "_cy", "_cz"]).filter(
-        F.col("atom_idx_i") < F.col("atom_idx_j"))
-    return p.drop("_cx", "_cy", "_cz")
+    near = a
+    for c in axes:
+        near = near.withColumn(f"_o{c}", F.explode(F.sequence(
+            F.greatest(F.col(f"_c{c}") - 1, F.lit(0)), F.least(F.col(f"_c{c}") + 1, F.col(f"_n{c}") - 1))))
+    near = near.withColumn("_of", cell(F.col("_ox"), F.col("_oy"), F.col("_oz"))).filter("_of <= _cell")
+    right = near.select(key, F.col("atom_idx").alias("atom_idx_j"), F.col("_of").alias("_cell"),
+                        (F.col("_of") == F.col("_cell")).alias("_own"),
+                        *[F.col(c).alias(f"{c}_j") for c in cols])
+    p = left.hint("merge").join(right, [key, "_cell"]).filter(
+        ~F.col("_own") | (F.col("atom_idx_i") < F.col("atom_idx_j")))
+    return _ordered(p, cols, key)
 
 
 def _geometry(p: DataFrame) -> DataFrame:
@@ -150,19 +156,11 @@ def _mirror(p: DataFrame, need: Sequence[str], key: str) -> DataFrame:
 
 def neighbour_list(atoms: DataFrame, cutoff: float = 5.0, cols: Sequence[str] = (),
                    directed: bool = False, key: str = "unique_id",
-                   block_size: int = DEFAULT_BLOCK, min_distance: float | None = None) -> DataFrame:
-    """Pairs closer than ``cutoff`` inside each molecule.
-
-    Molecules of one block use the tile join (cheapest for small molecules);
-    larger ones use the 27-cube cell join, whose output grows with local
-    density only. Both paths give the same pairs."""
+                   min_distance: float | None = None) -> DataFrame:
+    """Pairs closer than ``cutoff`` inside each molecule, by the cell join;
+    its candidates grow with local density only."""
     need = _needed(cols)
-    a = _with_blocks(atoms, need, key, block_size)
-    small = a.filter(F.col("_nb") == 1)
-    large = a.filter(F.col("_nb") > 1).drop("_nb")
-    p_small = _tile_pairs(small, need, key, block_size)
-    p_large = _cell_pairs(large, need, key, cutoff)
-    p = _geometry(p_small.unionByName(p_large)).filter(F.col("d") < F.lit(cutoff))
+    p = _geometry(_cell_pairs(atoms, need, key, cutoff)).filter(F.col("d") < F.lit(cutoff))
     if min_distance is not None:
         p = p.filter(F.col("d") > F.lit(min_distance))
     return _mirror(p, need, key) if directed else p
@@ -237,42 +235,46 @@ def periodic_neighbours(atoms: DataFrame, cells: DataFrame, cutoff: float,
 # Pair energies (eV for charges in e and distances in angstrom)
 # ---------------------------------------------------------------------------
 def _per_molecule(p: DataFrame, term: Column, out: str, key: str, factor: float) -> DataFrame:
-    return p.groupBy(key).agg((F.sum(term) * F.lit(factor)).alias(out))
+    """Sum of a term with 1/d over the pairs of each molecule. Coincident atoms
+    (d = 0) have no such term; they are counted in ``n_coincident``."""
+    apart = F.when(F.col("d") > 0, term)
+    return p.groupBy(key).agg((F.coalesce(F.sum(apart), F.lit(0.0)) * F.lit(factor)).alias(out),
+                              F.count_if(F.col("d") == 0).alias("n_coincident"))
+
+
+def _inverse_distance() -> Column:
+    return F.lit(1.0) / F.nullif(F.col("d"), F.lit(0.0))
 
 
 def coulomb_energy(atoms: DataFrame, charge_col: str = "charge", rc: float = 4.6,
-                   key: str = "unique_id", block_size: int = DEFAULT_BLOCK,
-                   min_distance: float | None = None) -> DataFrame:
+                   key: str = "unique_id", block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """Long-range Coulomb ``1/2 * Eh * a0 * sum_{i!=j} (1 - fc(d)) q_i q_j / d``
     with the exponential cutoff ``fc`` (F8). Summed over i < j, so the 1/2
     cancels. Molecules with a single atom get no row."""
-    p = atom_pairs(atoms, [charge_col], key=key, block_size=block_size, min_distance=min_distance)
+    p = atom_pairs(atoms, [charge_col], key=key, block_size=block_size)
     d = F.col("d")
-    term = (F.lit(1.0) - K.exp_cutoff(d, rc)) * F.col(f"{charge_col}_i") * F.col(f"{charge_col}_j") / d
+    term = ((F.lit(1.0) - K.exp_cutoff(d, rc)) * F.col(f"{charge_col}_i") * F.col(f"{charge_col}_j")
+            * _inverse_distance())
     return _per_molecule(p, term, "coulomb_lr_ev", key, COULOMB_EV_ANGSTROM)
 
 
 def coulomb_energy_sr(atoms: DataFrame, charge_col: str = "charge", rc: float = 4.6,
-                      key: str = "unique_id", block_size: int = DEFAULT_BLOCK,
-                      min_distance: float | None = None) -> DataFrame:
+                      key: str = "unique_id") -> DataFrame:
     """Short-range part ``sum fc(d) q_i q_j / d``; fc vanishes beyond rc so
     only the cutoff neighbour list is needed."""
-    p = neighbour_list(atoms, rc, [charge_col], key=key, block_size=block_size,
-                       min_distance=min_distance)
-    d = F.col("d")
-    term = K.exp_cutoff(d, rc) * F.col(f"{charge_col}_i") * F.col(f"{charge_col}_j") / d
+    p = neighbour_list(atoms, rc, [charge_col], key=key)
+    term = (K.exp_cutoff(F.col("d"), rc) * F.col(f"{charge_col}_i") * F.col(f"{charge_col}_j")
+            * _inverse_distance())
     return _per_molecule(p, term, "coulomb_sr_ev", key, COULOMB_EV_ANGSTROM)
 
 
 def coulomb_energy_dsf(atoms: DataFrame, charge_col: str = "charge", rc: float = 15.0,
                        alpha: float = 0.2, sr_rc: float = 4.6, key: str = "unique_id",
-                       block_size: int = DEFAULT_BLOCK, min_distance: float | None = None,
                        damped: bool = True) -> DataFrame:
     """Damped shifted force (or plain shifted force, ``damped=False``)
     Coulomb within ``rc``, minus the short-range part A16."""
-    p = neighbour_list(atoms, rc, [charge_col], key=key, block_size=block_size,
-                       min_distance=min_distance)
-    d = F.col("d")
+    p = neighbour_list(atoms, rc, [charge_col], key=key).withColumn("_d", F.nullif(F.col("d"), F.lit(0.0)))
+    d = F.col("_d")
     qq = F.col(f"{charge_col}_i") * F.col(f"{charge_col}_j")
     kern = K.dsf_kernel(d, rc, alpha) if damped else K.sf_kernel(d, rc)
     sr = F.when(d < sr_rc, K.exp_cutoff(d, sr_rc) / d).otherwise(F.lit(0.0))
@@ -281,50 +283,83 @@ def coulomb_energy_dsf(atoms: DataFrame, charge_col: str = "charge", rc: float =
                          COULOMB_EV_ANGSTROM)
 
 
+def _element_params(atoms: DataFrame, params: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Atoms with per-element parameters. One row per element is made sure of
+    first (the smallest value of each parameter), so the table is no larger than
+    the periodic table and may be broadcast; an unknown element gets nulls."""
+    one = params.groupBy("element").agg(*[F.min(c).alias(c) for c in cols])
+    return atoms.drop(*cols).join(F.broadcast(one), "element", "left")
+
+
 def short_range_repulsion(atoms: DataFrame, params: DataFrame, rc: float = 5.2,
                           cutoff_fn: str | None = None, per_atom: bool = False,
-                          key: str = "unique_id", block_size: int = DEFAULT_BLOCK,
-                          min_distance: float | None = None) -> DataFrame:
+                          key: str = "unique_id", block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """``sum_{i!=j} exp(-alpha_i alpha_j d^1.5) Z_i Z_j / d`` with per-element
-    ``params(element, alpha, zeff)`` (a periodic-table-sized broadcast), an
-    optional cosine/exp cutoff, per molecule or per atom."""
-    prm = F.broadcast(params.select("element", "alpha", "zeff"))
-    a = atoms.join(prm, "element", "left")
+    ``params(element, alpha, zeff)``, an optional cosine/exp cutoff, per molecule
+    or per atom. Pairs of an element without parameters make the sum null and
+    are counted in ``n_missing``, coincident pairs in ``n_coincident``."""
+    cols = ["alpha", "zeff"]
+    a = _element_params(atoms, params, cols)
     if cutoff_fn:
-        p = neighbour_list(a, rc, ["alpha", "zeff"], key=key, block_size=block_size,
-                           min_distance=min_distance)
+        p = neighbour_list(a, rc, cols, key=key)
     else:
-        p = atom_pairs(a, ["alpha", "zeff"], key=key, block_size=block_size, min_distance=min_distance)
+        p = atom_pairs(a, cols, key=key, block_size=block_size)
     d = F.col("d")
     e = F.exp(-F.col("alpha_i") * F.col("alpha_j") * F.pow(d, F.lit(1.5))) \
-        * F.col("zeff_i") * F.col("zeff_j") / d
+        * F.col("zeff_i") * F.col("zeff_j") * _inverse_distance()
     if cutoff_fn == "cos":
         e = e * K.cosine_cutoff(d, rc)
     elif cutoff_fn == "exp":
         e = e * K.exp_cutoff(d, rc)
-    if not per_atom:
-        return p.groupBy(key).agg((F.sum(e) * F.lit(2.0)).alias("repulsion"))
-    both = p.select(key, F.explode(F.array(F.col("atom_idx_i"), F.col("atom_idx_j"))).alias("atom_idx"),
-                    e.alias("_e"))
-    return both.groupBy(key, "atom_idx").agg(F.sum("_e").alias("repulsion"))
+    known = F.col("alpha_i").isNotNull() & F.col("alpha_j").isNotNull() \
+        & F.col("zeff_i").isNotNull() & F.col("zeff_j").isNotNull()
+    rows = p.select(key, "atom_idx_i", "atom_idx_j", e.alias("_e"), (~known).alias("_odd"), (d == 0).alias("_same"))
+    by, factor = [key], 2.0
+    if per_atom:
+        rows = rows.withColumn("atom_idx", F.explode(F.array("atom_idx_i", "atom_idx_j")))
+        by, factor = [key, "atom_idx"], 1.0
+    return rows.groupBy(*by).agg(
+        F.when(~F.bool_or("_odd"), F.coalesce(F.sum("_e"), F.lit(0.0)) * F.lit(factor)).alias("repulsion"),
+        F.count_if("_odd").alias("n_missing"), F.count_if("_same").alias("n_coincident"))
+
+
+def scaled_dispersion_params(atoms: DataFrame, params: DataFrame) -> DataFrame:
+    """Per-atom ``c6`` and ``alpha``: the element's reference values (``params``
+    with element, c6, alpha) times ``exp(clip(m, -4, 4))`` of the atom's
+    predicted logarithms ``c6_mult`` and ``alpha_mult``."""
+    def scaled(c: str) -> Column:
+        m = F.least(F.greatest(F.col(f"{c}_mult"), F.lit(-4.0)), F.lit(4.0))
+        return F.col(c) * F.exp(m)
+
+    return _element_params(atoms, params, ["c6", "alpha"]).withColumns(
+        {"c6": scaled("c6"), "alpha": scaled("alpha")})
 
 
 def pair_dispersion(atoms: DataFrame, params: DataFrame, s6: float = 1.0, s8: float = 1.0,
                     a1: float = 0.4, a2: float = 5.0, key: str = "unique_id",
-                    block_size: int = DEFAULT_BLOCK, hartree_bohr: bool = False) -> DataFrame:
-    """BJ-damped pair dispersion ``-1/2 sum_{i!=j} s6 C6/(d^6+R0^6) + s8 C8/(d^8+R0^8)``
-    with a geometric-mean combination rule on per-atom ``c6`` and per-element
-    ``r4r2`` (``params(element, r4r2)``); ``C8 = 3 C6 r4r2_i r4r2_j`` and
-    ``R0 = a1 sqrt(C8/C6) + a2``. Atoms must carry a ``c6`` column."""
-    prm = F.broadcast(params.select("element", "r4r2"))
-    a = atoms.join(prm, "element", "left")
-    p = atom_pairs(a, ["c6", "r4r2"], key=key, block_size=block_size)
-    d = F.col("d")
-    c6 = F.sqrt(F.col("c6_i") * F.col("c6_j"))
+                    block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """Damped pair dispersion in eV, ``-Eh/2 sum_{i!=j} C6 (s6 / (d^6 + R0^6)
+    + s8 q / (d^8 + R0^8))`` with distances in Bohr, ``q = 3 r4r2_i r4r2_j``,
+    ``R0 = a1 sqrt(q) + a2`` and the Tkatchenko-Scheffler combination
+    ``C6 = 2 c6_i c6_j / max(c6_i alpha_j / alpha_i + c6_j alpha_i / alpha_j, 1e-4)``.
+
+    Atoms carry ``c6`` and ``alpha`` in atomic units; ``params(element, r4r2)``.
+    A pair with a missing parameter makes the energy null and is counted in
+    ``n_missing``."""
+    cols = ["c6", "alpha", "r4r2"]
+    p = atom_pairs(_element_params(atoms, params, ["r4r2"]), cols, key=key, block_size=block_size)
+    d = F.col("d") / F.lit(BOHR_ANGSTROM)
+    ci, cj, ai, aj = (F.col(c) for c in ("c6_i", "c6_j", "alpha_i", "alpha_j"))
+    c6 = F.lit(2.0) * ci * cj / F.greatest(ci * aj / ai + cj * ai / aj, F.lit(1e-4))
     qq = F.lit(3.0) * F.col("r4r2_i") * F.col("r4r2_j")
     r0 = F.lit(a1) * F.sqrt(qq) + F.lit(a2)
-    e = F.lit(s6) * c6 / (F.pow(d, 6) + F.pow(r0, 6)) + F.lit(s8) * c6 * qq / (F.pow(d, 8) + F.pow(r0, 8))
-    return p.groupBy(key).agg((-F.sum(e)).alias("dispersion"))
+    known = F.lit(True)
+    for c in cols:
+        known = known & F.col(f"{c}_i").isNotNull() & F.col(f"{c}_j").isNotNull()
+    e = F.when(known, c6 * (F.lit(s6) / (F.pow(d, 6) + F.pow(r0, 6))
+                            + F.lit(s8) * qq / (F.pow(d, 8) + F.pow(r0, 8))))
+    return p.groupBy(key).agg(F.when(F.bool_and(known), -F.sum(e) * F.lit(HARTREE_EV)).alias("dispersion"),
+                              F.count_if(~known).alias("n_missing"))
 
 
 def neighbour_counts(pairs: DataFrame, key: str = "unique_id") -> DataFrame:
@@ -338,15 +373,14 @@ def neighbour_counts(pairs: DataFrame, key: str = "unique_id") -> DataFrame:
 
 
 def radial_descriptor(atoms: DataFrame, rmin: float = 0.8, rc: float = 5.0, nshifts: int = 16,
-                      eta: float | None = None, key: str = "unique_id",
-                      block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                      eta: float | None = None, key: str = "unique_id") -> DataFrame:
     """Per atom ``g_k = sum_j exp(-eta (d - s_k)^2) * fc(d)`` over neighbours
     within rc (cosine cutoff), shifts evenly spaced on [rmin, rc);
     eta defaults to (nshifts / (rc - rmin))^2. Output: key, atom_idx,
     ``g ARRAY<DOUBLE>`` of length nshifts."""
     shifts = [rmin + k * (rc - rmin) / nshifts for k in range(nshifts)]
     eta = eta if eta is not None else (nshifts / (rc - rmin)) ** 2
-    p = neighbour_list(atoms, rc, key=key, block_size=block_size)
+    p = neighbour_list(atoms, rc, key=key)
     both = p.select(key, F.explode(F.array(F.col("atom_idx_i"), F.col("atom_idx_j"))).alias("atom_idx"),
                     "d")
     fc = K.cosine_cutoff(F.col("d"), rc)
@@ -354,8 +388,3 @@ def radial_descriptor(atoms: DataFrame, rmin: float = 0.8, rc: float = 5.0, nshi
             .alias(f"g{k}") for k, s in enumerate(shifts)]
     agg = both.groupBy(key, "atom_idx").agg(*sums)
     return agg.select(key, "atom_idx", F.array(*[F.col(f"g{k}") for k in range(nshifts)]).alias("g"))
-
-
-def half_cell_shift_bound(cutoff: float, cell_length: float) -> int:
-    """Helper for periodic systems: number of images needed along an axis."""
-    return int(math.ceil(cutoff / cell_length))

@@ -7,7 +7,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from molspark.refdata import element_ref, periodic_ref
@@ -98,62 +98,90 @@ def element_sequence_signature(atoms: DataFrame, key: str = "unique_id") -> Data
 def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float = 1e-5,
                           atol: float = 1e-8, property_cols: Sequence[str] = (),
                           key: str = "unique_id") -> DataFrame:
-    """Molecules structurally equal to the representative (smallest id)
-    of their block. Blocks share the element sequence, SMILES, charge and
-    multiplicity; equality then needs every coordinate within
-    ``atol + rtol * |rep|`` and every listed property equal. Members are
-    compared with the representative only (no all-pairs within a block).
-
-    Returns ``(unique_id, rep_id)`` for each non-representative duplicate."""
-    sig = element_sequence_signature(atoms, key)
-    mcols = [c for c in ("smiles", "charge", "multiplicity") if c in molecules.columns]
-    blk = molecules.select(key, *mcols, *property_cols).join(sig, key)
-    bkey = F.sha2(F.concat_ws("\u0001", F.col("_n").cast("string"), F.col("_h").cast("string"),
-                              *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in mcols]),
-                  256)
-    blk = blk.withColumn("_blk", bkey)
-    reps = blk.groupBy("_blk").agg(F.min(key).alias("rep_id"))
-    members = blk.join(reps, "_blk").filter(F.col(key) != F.col("rep_id"))
-    if property_cols:
-        rp = blk.select(F.col(key).alias("rep_id"), *[F.col(c).alias(f"_r_{c}") for c in property_cols])
-        members = members.join(rp, "rep_id")
-        for c in property_cols:
-            members = members.filter(F.col(c).eqNullSafe(F.col(f"_r_{c}")))
-    ma = atoms.select(key, "atom_idx", "element", "x", "y", "z").join(
-        members.select(key, "rep_id"), key)
-    ra = atoms.select(F.col(key).alias("rep_id"), "atom_idx", F.col("element").alias("_re"),
-                      F.col("x").alias("_rx"), F.col("y").alias("_ry"), F.col("z").alias("_rz"))
-    j = ma.join(ra, ["rep_id", "atom_idx"], "left")
-
-    def close(a, b):
-        return F.abs(F.col(a) - F.col(b)) <= F.lit(atol) + F.lit(rtol) * F.abs(F.col(b))
-    ok = (F.col("element") == F.col("_re")) & close("x", "_rx") & close("y", "_ry") & close("z", "_rz")
-    per = j.groupBy(key, "rep_id").agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("_eq"))
-    return per.filter("_eq").select(key, "rep_id")
-
-
-def component_count(atoms: DataFrame, bonds: DataFrame, key: str = "unique_id",
-                    max_iter: int = 100) -> DataFrame:
-    """P10 (graph form): connected components of each molecule's bond graph
-    by min-label propagation. Inputs are materialised once with
-    ``checkpoint()`` (shared checkpoint folder), then each round is one join
-    + aggregate over the edge list, checkpointed so lineage stays one round
-    deep; the loop stops when no label changes (rounds <= the largest
-    molecule's diameter)."""
+    """Every molecule that equals one with a smaller id, as ``(unique_id,
+    rep_id)`` with the smallest such id.
+
+    Two molecules are equal when element sequence, SMILES, charge, multiplicity
+    and the listed properties are, and every coordinate of the larger id lies
+    within ``atol + rtol * |other|``. Molecules with the very same coordinates
+    are one class first (by aggregate hashes), so copies are never paired. The
+    classes of a block meet in buckets of a weighted mean coordinate whose width
+    is the block's largest tolerance, the next bucket included, and are then
+    compared atom by atom."""
+    def coordinates(seed: int) -> Column:
+        same = [F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) for c in "xyz"]  # -0.0 is 0.0
+        return F.sum(F.xxhash64(F.lit(seed), "atom_idx", *same).cast("decimal(38,0)"))
+
+    sig = element_sequence_signature(atoms, key).join(atoms.groupBy(key).agg(
+        coordinates(1).alias("_g1"), coordinates(2).alias("_g2"),
+        F.avg((F.col("x") + 2.0 * F.col("y") + 3.0 * F.col("z")) / 6.0).alias("_mean"),
+        F.max(F.greatest(F.abs("x"), F.abs("y"), F.abs("z"))).alias("_far")), key)
+    same = [c for c in ("smiles", "charge", "multiplicity") if c in molecules.columns] + list(property_cols)
+    block = F.sha2(F.concat_ws("\u0001", F.col("_n").cast("string"), F.col("_h").cast("string"), *[
+        F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in same]), 256)
+    rows = (molecules.select(key, *same).join(sig, key).withColumn("_block", block)
+            .select(F.col(key).alias("_id"), "_block", "_g1", "_g2", "_mean", "_far"))
+    classes = rows.groupBy("_block", "_g1", "_g2").agg(
+        F.min("_id").alias("_rep"), F.min("_mean").alias("_mean"), F.max("_far").alias("_far"))
+    width = classes.groupBy("_block").agg((F.lit(atol) + F.lit(rtol) * F.max("_far")).alias("_w"))
+    placed = classes.join(width, "_block").withColumn("_bucket", F.floor(F.col("_mean") / F.col("_w")))
+    one = placed.select("_block", F.col("_rep").alias("_a"), F.col("_mean").alias("_ma"), "_bucket")
+    other = placed.select("_block", F.col("_rep").alias("_b"), F.col("_mean").alias("_mb"), "_w", F.explode(
+        F.array(F.col("_bucket") - 1, F.col("_bucket"), F.col("_bucket") + 1)).alias("_bucket"))
+    pairs = (one.join(other, ["_block", "_bucket"])
+             .filter((F.col("_b") < F.col("_a")) & (F.abs(F.col("_ma") - F.col("_mb")) <= F.col("_w") * 1.000001))
+             .select("_a", "_b"))
+    left = atoms.select(F.col(key).alias("_a"), "atom_idx", *[F.col(c).alias(f"_{c}a") for c in "xyz"])
+    right = atoms.select(F.col(key).alias("_b"), "atom_idx", *[F.col(c).alias(f"_{c}b") for c in "xyz"])
+    close = functools.reduce(lambda p, q: p & q, [
+        F.abs(F.col(f"_{c}a") - F.col(f"_{c}b")) <= F.lit(atol) + F.lit(rtol) * F.abs(F.col(f"_{c}b"))
+        for c in "xyz"])
+    equal = (pairs.join(left, "_a").join(right, ["_b", "atom_idx"], "left").groupBy("_a", "_b")
+             .agg(F.bool_and(F.coalesce(close, F.lit(False))).alias("_eq")).filter("_eq"))
+    nearest = equal.groupBy(F.col("_a").alias("_rep")).agg(F.min("_b").alias("_other"))
+    named = (rows.join(classes.select("_block", "_g1", "_g2", "_rep"), ["_block", "_g1", "_g2"])
+             .join(nearest, "_rep", "left"))
+    rep = F.least(F.col("_rep"), F.coalesce(F.col("_other"), F.col("_rep")))
+    return named.filter(F.col("_id") != rep).select(F.col("_id").alias(key), rep.alias("rep_id"))
+
+
+def component_count(atoms: DataFrame, bonds: DataFrame, key: str = "unique_id") -> DataFrame:
+    """P10 (graph form): connected components of each molecule's bond graph.
+
+    Alternating large and small stars: every atom is hung onto the least of its
+    neighbours until the edges form stars and nothing changes any more. The
+    rounds grow with the logarithm of the longest chain; each one is a
+    ``checkpoint()`` in the shared folder. A finished star has one edge per atom
+    that is not its centre, so components are atoms less edges."""
     ensure_checkpoint_dir(atoms.sparkSession)
-    labels = atoms.select(key, "atom_idx", F.col("atom_idx").alias("label")).checkpoint(eager=True)
-    edges = bonds.select(key, F.col("i").alias("src"), F.col("j").alias("dst"))
-    edges = edges.unionByName(edges.select(key, F.col("dst").alias("src"), F.col("src").alias("dst")))
-    edges = edges.checkpoint(eager=True)
-    for _ in range(max_iter):
-        msg = (edges.join(labels.withColumnRenamed("atom_idx", "src"), [key, "src"])
-               .groupBy(key, "dst").agg(F.min("label").alias("_m"))
-               .withColumnRenamed("dst", "atom_idx"))
-        j = labels.join(msg, [key, "atom_idx"], "left")
-        new = j.select(key, "atom_idx", F.least(F.col("label"), F.coalesce(F.col("_m"), F.col("label")))
-                       .alias("label"), (F.col("_m") < F.col("label")).alias("_chg")).checkpoint(eager=True)
-        changed = new.filter(F.col("_chg")).limit(1).count()
-        labels = new.drop("_chg")
-        if changed == 0:
+
+    def star(edges: DataFrame, small: bool) -> DataFrame:
+        if small:
+            around = edges.select(key, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        else:
+            around = edges.select(key, "u", "v").union(edges.select(key, "v", "u"))
+        least = around.groupBy(key, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        met = around.join(least, [key, "u"])
+        if small:
+            new = met.select(key, F.col("v").alias("u"), F.col("m").alias("v")).union(
+                least.select(key, "u", F.col("m").alias("v")))
+        else:
+            new = met.filter("v > u").select(key, F.col("v").alias("u"), F.col("m").alias("v"))
+        return new.filter("u <> v").distinct()
+
+    def mark(edges: DataFrame):
+        return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64(key, "u", "v").cast("decimal(38,0)"))).first()
+
+    edges = (bonds.select(key, F.col("i").alias("u"), F.col("j").alias("v")).filter("u <> v")
+             .distinct().checkpoint(eager=True))
+    seen = mark(edges)
+    while seen[0]:
+        edges = star(star(edges, False), True).checkpoint(eager=True)
+        now = mark(edges)
+        if now == seen:
             break
-    return labels.groupBy(key).agg(F.countDistinct("label").cast("long").alias("n_components"))
+        seen = now
+    n = atoms.groupBy(key).agg(F.countDistinct("atom_idx").alias("_n"))
+    e = edges.groupBy(key).agg(F.count(F.lit(1)).alias("_e"))
+    return n.join(e, key, "left").select(key, (F.col("_n") - F.coalesce(F.col("_e"), F.lit(0)))
+                                         .cast("long").alias("n_components"))

@@ -16,10 +16,9 @@ the oracle sees identical inputs:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from molspark.operators.batches import rank_within_groups
 from molspark.refdata import periodic_ref
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -53,6 +52,11 @@ def molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ranked(df: DataFrame, keys: list[str], order: list[str], out: str, size: str) -> DataFrame:
+    return (df.withColumn(out, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("int"))
+            .withColumn(size, F.count(F.lit(1)).over(Window.partitionBy(*keys))))
+
+
 def atoms(spark: SparkSession, sf_dir: str, with_z: bool = True) -> DataFrame:
     """One atom per line item; atom_idx is the line's rank inside its order."""
     li = table(spark, sf_dir, "lineitem")
@@ -68,14 +72,10 @@ def atoms(spark: SparkSession, sf_dir: str, with_z: bool = True) -> DataFrame:
         ((F.col("l_discount") - 0.05) / 10.0).alias("forces_y"),
         ((F.col("l_quantity") - 25.0) / 1000.0).alias("forces_z"),
     )
-    # atom_idx = rank of the line inside its order; a per-molecule window
-    # only when the largest order is proven small, else hot orders are split
-    # over many tasks (group_rank); num_atoms comes with it. An XYZ ingest
-    # gets both from posexplode / the list size.
-    out = rank_within_groups(base, ["unique_id"],
-                             ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
-                             out="atom_idx", count_out="num_atoms").drop(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    # atom_idx = rank of the line inside its order, the test data's stand-in
+    # for what an XYZ ingest gets from posexplode and the list size
+    out = _ranked(base, ["unique_id"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+                  "atom_idx", "num_atoms").drop("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     if with_z:
         ref = periodic_ref(spark).select(F.col("symbol").alias("element"), "z_num")
         out = out.join(F.broadcast(ref), "element", "left")
@@ -104,8 +104,7 @@ def orbitals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts", "event_id",
         ((F.col("value") - 250.0) / 1000.0).alias("energy"),
     )
-    r = rank_within_groups(base, ["unique_id", "spin"], ["ts", "event_id"], out="orb_idx",
-                           count_out="_n")
+    r = _ranked(base, ["unique_id", "spin"], ["ts", "event_id"], "orb_idx", "_n")
     return r.select(
         "unique_id", "spin", "orb_idx", "energy",
         F.when(F.col("orb_idx") + 1 <= F.col("_n") / 2.0, F.lit(1.0)).otherwise(F.lit(0.0))

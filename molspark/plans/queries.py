@@ -152,25 +152,25 @@ def _exp_cut_sql(d, rc):
 
 
 @register("coulomb_lr", br.with_views(f"""
-SELECT unique_id, round(sum((1.0 - {_exp_cut_sql('d', 4.6)}) * qi * qj / d) * {COULOMB!r}, 4)
-         AS coulomb_lr_ev
-FROM pairs WHERE d > 0.1 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE])
+SELECT unique_id, round(coalesce(sum((1.0 - {_exp_cut_sql('d', 4.6)}) * qi * qj / d) FILTER (d > 0), 0) * {COULOMB!r}, 4)
+         AS coulomb_lr_ev, count(*) FILTER (d = 0) AS n_coincident
+FROM pairs GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE])
           if (COULOMB := __import__("molspark.functions.units", fromlist=["x"]).COULOMB_EV_ANGSTROM)
           else None)
 def q_coulomb_lr(spark, sf_dir):
     from molspark.operators.pairs import coulomb_energy
-    e = coulomb_energy(br.atoms(spark, sf_dir, with_z=False), min_distance=0.1)
-    return e.select("unique_id", rk(F.col("coulomb_lr_ev"), 4).alias("coulomb_lr_ev"))
+    e = coulomb_energy(br.atoms(spark, sf_dir, with_z=False))
+    return e.select("unique_id", rk(F.col("coulomb_lr_ev"), 4).alias("coulomb_lr_ev"), "n_coincident")
 
 
 @register("coulomb_sr", br.with_views(f"""
-SELECT unique_id, round(sum({_exp_cut_sql('d', 4.6)} * qi * qj / d) * {COULOMB!r}, 4)
-         AS coulomb_sr_ev
-FROM pairs WHERE d > 0.1 AND d < 4.6 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE]))
+SELECT unique_id, round(coalesce(sum({_exp_cut_sql('d', 4.6)} * qi * qj / d) FILTER (d > 0), 0) * {COULOMB!r}, 4)
+         AS coulomb_sr_ev, count(*) FILTER (d = 0) AS n_coincident
+FROM pairs WHERE d < 4.6 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE]))
 def q_coulomb_sr(spark, sf_dir):
     from molspark.operators.pairs import coulomb_energy_sr
-    e = coulomb_energy_sr(br.atoms(spark, sf_dir, with_z=False), min_distance=0.1)
-    return e.select("unique_id", rk(F.col("coulomb_sr_ev"), 4).alias("coulomb_sr_ev"))
+    e = coulomb_energy_sr(br.atoms(spark, sf_dir, with_z=False))
+    return e.select("unique_id", rk(F.col("coulomb_sr_ev"), 4).alias("coulomb_sr_ev"), "n_coincident")
 
 
 @register("neighbour_counts", br.with_views("""
@@ -730,12 +730,13 @@ def _dsf_sql(rc=15.0, alpha=0.2, sr_rc=4.6):
 
 
 @register("coulomb_dsf", br.with_views(f"""
-SELECT unique_id, round(sum({_dsf_sql()}) * {COULOMB!r}, 4) AS coulomb_dsf_ev
-FROM pairs WHERE d > 0.1 AND d < 15.0 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE]))
+SELECT unique_id, round(coalesce(sum({_dsf_sql()}) FILTER (d > 0), 0) * {COULOMB!r}, 4) AS coulomb_dsf_ev,
+       count(*) FILTER (d = 0) AS n_coincident
+FROM pairs WHERE d < 15.0 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_CTE]))
 def q_coulomb_dsf(spark, sf_dir):
     from molspark.operators.pairs import coulomb_energy_dsf
-    e = coulomb_energy_dsf(br.atoms(spark, sf_dir, with_z=False), min_distance=0.1)
-    return e.select("unique_id", rk(F.col("coulomb_dsf_ev"), 4).alias("coulomb_dsf_ev"))
+    e = coulomb_energy_dsf(br.atoms(spark, sf_dir, with_z=False))
+    return e.select("unique_id", rk(F.col("coulomb_dsf_ev"), 4).alias("coulomb_dsf_ev"), "n_coincident")
 
 
 @register("periodic_neighbours", br.with_views("""
@@ -878,23 +879,41 @@ def q_esp_grid(spark, sf_dir):
 
 
 # --- structural duplicates (J12), fragments (P10 graph), principal frame (A28) ----
+_COPIES = "CAST(unique_id AS BIGINT) % {} = 0"
+
+
+# Every fifth molecule has an exact copy, every seventh a copy within the
+# tolerance and every ninth one just outside, under larger ids.
 @register("structural_duplicates", br.with_views("""
-SELECT m.unique_id, s.rep_id
-FROM sig m JOIN (SELECT sig_key, min(unique_id) AS rep_id FROM sig GROUP BY 1) s ON m.sig_key = s.sig_key
-WHERE m.unique_id <> s.rep_id AND NOT EXISTS (
-  SELECT 1 FROM atoms a LEFT JOIN atoms r ON r.unique_id = s.rep_id AND r.atom_idx = a.atom_idx
-  WHERE a.unique_id = m.unique_id AND NOT coalesce(
-        a.element = r.element AND abs(a.x - r.x) <= 1e-08 + 1e-05 * abs(r.x)
-        AND abs(a.y - r.y) <= 1e-08 + 1e-05 * abs(r.y) AND abs(a.z - r.z) <= 1e-08 + 1e-05 * abs(r.z),
-        false))""", "molecules", "atoms", ctes=[
+SELECT b.unique_id, min(a.unique_id) AS rep_id
+FROM sig b JOIN sig a ON a.sig_key = b.sig_key AND a.unique_id < b.unique_id
+  AND abs(b.x - a.x) <= 1e-08 + 1e-05 * abs(a.x) AND abs(b.y - a.y) <= 1e-08 + 1e-05 * abs(a.y)
+  AND abs(b.z - a.z) <= 1e-08 + 1e-05 * abs(a.z)
+WHERE NOT EXISTS (
+  SELECT 1 FROM aa p JOIN aa r ON r.unique_id = a.unique_id AND r.atom_idx = p.atom_idx
+  WHERE p.unique_id = b.unique_id AND NOT (
+        abs(p.x - r.x) <= 1e-08 + 1e-05 * abs(r.x)
+        AND abs(p.y - r.y) <= 1e-08 + 1e-05 * abs(r.y) AND abs(p.z - r.z) <= 1e-08 + 1e-05 * abs(r.z)))
+GROUP BY b.unique_id""", "molecules", "atoms", ctes=[
+    ("aa", "SELECT unique_id, atom_idx, element, x, y, z FROM atoms " + "".join(
+        f"UNION ALL SELECT unique_id || '{tail}', atom_idx, element, x + {shift}, y, z FROM atoms "
+        f"WHERE {_COPIES.format(n)} " for tail, n, shift in (("b", 5, 0.0), ("c", 7, 1e-9), ("d", 9, 1e-3)))),
     ("sig", "SELECT a.unique_id, CAST(count(*) AS VARCHAR) || '|' || "
             "string_agg(a.element, ',' ORDER BY a.atom_idx) || '|' || coalesce(CAST(m.charge AS VARCHAR), '') "
-            "AS sig_key FROM atoms a JOIN molecules m ON a.unique_id = m.unique_id GROUP BY a.unique_id, m.charge"),
+            "AS sig_key, arg_min(a.x, a.atom_idx) AS x, arg_min(a.y, a.atom_idx) AS y, "
+            "arg_min(a.z, a.atom_idx) AS z FROM aa a JOIN molecules m "
+            "ON rtrim(a.unique_id, 'bcd') = m.unique_id GROUP BY a.unique_id, m.charge"),
 ]))
 def q_duplicates(spark, sf_dir):
     from molspark.operators.structure import structural_duplicates
     m = br.molecules(spark, sf_dir).select("unique_id", "charge")
-    return structural_duplicates(m, br.atoms(spark, sf_dir, with_z=False))
+    a = br.atoms(spark, sf_dir, with_z=False).select("unique_id", "atom_idx", "element", "x", "y", "z")
+    mols, atoms = m, a
+    for tail, n, shift in (("b", 5, 0.0), ("c", 7, 1e-9), ("d", 9, 1e-3)):
+        named, some = F.concat("unique_id", F.lit(tail)).alias("unique_id"), F.expr(_COPIES.format(n))
+        mols = mols.union(m.filter(some).select(named, "charge"))
+        atoms = atoms.union(a.filter(some).select(named, "atom_idx", "element", F.col("x") + F.lit(shift), "y", "z"))
+    return structural_duplicates(mols, atoms)
 
 
 @register("fragment_count", br.with_views("""
@@ -1075,29 +1094,38 @@ _PAIRS_P_CTE = ("pp", """
 
 
 @register("pair_dispersion", br.with_views("""
-SELECT unique_id, round(-sum(c6 / (d * d * d * d * d * d + r0 * r0 * r0 * r0 * r0 * r0)
-                           + c6 * qq / (d * d * d * d * d * d * d * d + r0 * r0 * r0 * r0 * r0 * r0 * r0 * r0)), 6)
-         AS dispersion
-FROM (SELECT p.unique_id, p.d, sqrt((1.0 + abs(p.qi)) * (1.0 + abs(p.qj))) AS c6,
-             3.0 * pi.r4r2 * pj.r4r2 AS qq, 0.4 * sqrt(3.0 * pi.r4r2 * pj.r4r2) + 5.0 AS r0
-      FROM pp p JOIN prm pi ON p.ei = pi.element JOIN prm pj ON p.ej = pj.element) t
+SELECT unique_id,
+       CASE WHEN count(*) = count(qq) THEN round(-27.211386245981 * sum(
+         2.0 * ci * cj / greatest(ci * aj / ai + cj * ai / aj, 1e-4)
+         * (1.0 / (pow(b, 6) + pow(r0, 6)) + qq / (pow(b, 8) + pow(r0, 8)))), 6) END AS dispersion,
+       count(*) - count(qq) AS n_missing
+FROM (SELECT p.unique_id, p.d / 0.529177210544 AS b, 3.0 * pi.r4r2 * pj.r4r2 AS qq,
+             0.4 * sqrt(3.0 * pi.r4r2 * pj.r4r2) + 5.0 AS r0,
+             (1.0 + abs(p.qi)) * exp(least(greatest(p.qi * 8.0, -4.0), 4.0)) AS ci,
+             (1.0 + abs(p.qj)) * exp(least(greatest(p.qj * 8.0, -4.0), 4.0)) AS cj,
+             2.0 * exp(least(greatest(-p.qi, -4.0), 4.0)) AS ai, 2.0 * exp(least(greatest(-p.qj, -4.0), 4.0)) AS aj
+      FROM pp p LEFT JOIN prm pi ON p.ei = pi.element LEFT JOIN prm pj ON p.ej = pj.element) t
 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_P_CTE, _param_cte("prm", _R4R2, ["element", "r4r2"])]))
 def q_pair_dispersion(spark, sf_dir):
-    from molspark.operators.pairs import pair_dispersion
+    from molspark.operators.pairs import pair_dispersion, scaled_dispersion_params
     from molspark.refdata import literal_table
     from pyspark.sql import types as T
     prm = literal_table(spark, _R4R2, T.StructType([T.StructField("element", T.StringType()),
                                                     T.StructField("r4r2", T.DoubleType())]))
-    a = br.atoms(spark, sf_dir, with_z=False).withColumn("c6", F.lit(1.0) + F.abs("charge"))
+    a = br.atoms(spark, sf_dir, with_z=False)
+    unit = a.select("element").distinct().select("element", F.lit(1.0).alias("c6"), F.lit(2.0).alias("alpha"))
+    a = scaled_dispersion_params(a.withColumns({"c6_mult": F.col("charge") * 8.0, "alpha_mult": -F.col("charge")}), unit)
+    a = a.withColumn("c6", F.col("c6") * (F.lit(1.0) + F.abs("charge")))
     d = pair_dispersion(a, prm, s6=1.0, s8=1.0, a1=0.4, a2=5.0)
-    return d.select("unique_id", rk(F.col("dispersion"), 6).alias("dispersion"))
+    return d.select("unique_id", rk(F.col("dispersion"), 6).alias("dispersion"), "n_missing")
 
 
 @register("short_range_repulsion", br.with_views("""
-SELECT unique_id, round(2.0 * sum(exp(-ai * aj * pow(d, 1.5)) * zi * zj / d), 6) AS repulsion
-FROM (SELECT p.unique_id, p.d, pi.alpha AS ai, pj.alpha AS aj, pi.zeff AS zi, pj.zeff AS zj
-      FROM pp p JOIN prm pi ON p.ei = pi.element JOIN prm pj ON p.ej = pj.element
-      WHERE p.d > 0.1) t
+SELECT unique_id, CASE WHEN count(*) = count(zz) THEN
+         round(2.0 * coalesce(sum(exp(-aa * pow(d, 1.5)) * zz / d) FILTER (d > 0), 0), 6) END AS repulsion,
+       count(*) - count(zz) AS n_missing, count(*) FILTER (d = 0) AS n_coincident
+FROM (SELECT p.unique_id, p.d, pi.alpha * pj.alpha AS aa, pi.zeff * pj.zeff AS zz
+      FROM pp p LEFT JOIN prm pi ON p.ei = pi.element LEFT JOIN prm pj ON p.ej = pj.element) t
 GROUP BY unique_id""", "atoms", ctes=[_PAIRS_P_CTE, _param_cte("prm", _REP, ["element", "alpha", "zeff"])]))
 def q_repulsion(spark, sf_dir):
     from molspark.operators.pairs import short_range_repulsion
@@ -1106,8 +1134,8 @@ def q_repulsion(spark, sf_dir):
     prm = literal_table(spark, _REP, T.StructType([T.StructField("element", T.StringType()),
                                                    T.StructField("alpha", T.DoubleType()),
                                                    T.StructField("zeff", T.DoubleType())]))
-    r = short_range_repulsion(br.atoms(spark, sf_dir, with_z=False), prm, min_distance=0.1)
-    return r.select("unique_id", rk(F.col("repulsion"), 6).alias("repulsion"))
+    r = short_range_repulsion(br.atoms(spark, sf_dir, with_z=False), prm)
+    return r.select("unique_id", rk(F.col("repulsion"), 6).alias("repulsion"), "n_missing", "n_coincident")
 
 
 # --- batches and convergence (A35, T2, P13, W6) -----------------------------------

@@ -67,12 +67,62 @@ def test_pairs_count_and_tiles(spark):
     assert counts["big"] == 40 * 39 // 2 and counts["s"] == 1
     assert P.atom_pairs(a, directed=True, block_size=8).count() == 2 * (40 * 39 // 2 + 1)
     # cell path (large molecules) equals brute force within the cutoff
-    nl = P.neighbour_list(a, cutoff=2.5, block_size=8).filter("unique_id = 'big'")
+    nl = P.neighbour_list(a, cutoff=2.5).filter("unique_id = 'big'")
     brute = p.filter("unique_id = 'big' and d < 2.5")
     key = ["atom_idx_i", "atom_idx_j"]
     assert sorted(map(tuple, nl.select(*key).collect())) == sorted(map(tuple, brute.select(*key).collect()))
 
 
+def test_sparse_indices_lose_no_pair(spark):
+    a = spark.createDataFrame([("g", i, "H", 1, float(i) / 300.0, 0.0, 0.0, 0.5) for i in (0, 300, 900, 5000)], ATOMS)
+    assert P.atom_pairs(a, block_size=2).count() == 6
+    near = P.neighbour_list(a, cutoff=2.5)
+    assert sorted((r.atom_idx_i, r.atom_idx_j) for r in near.collect()) == [(0, 300), (300, 900)]
+    grid = spark.createDataFrame([("g", 0, 0.0, 1.0, 0.0)], "unique_id string, grid_idx long, gx double, gy double, gz double")
+    from molspark.operators.grid import point_charge_esp
+    want = sum(0.5 / ((i / 300.0) ** 2 + 1.0) ** 0.5 for i in (0, 300, 900, 5000))
+    assert point_charge_esp(grid, a, "charge", block_size=2).first()["esp"] == pytest.approx(want)
+
+
+def test_cells_against_all_pairs(spark):
+    import random
+    r = random.Random(1)
+    rows = [(f"m{m}", 3 * i, "H", 1, r.uniform(-9, 9), r.uniform(0, 20), r.uniform(0, 1), 0.1)
+            for m, n in enumerate((60, 9, 1)) for i in range(n)]
+    a = spark.createDataFrame(rows, ATOMS)
+    near = P.neighbour_list(a, cutoff=3.0).select("unique_id", "atom_idx_i", "atom_idx_j")
+    brute = P.atom_pairs(a).filter("d < 3.0").select("unique_id", "atom_idx_i", "atom_idx_j")
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, brute.collect()))
+
+
+def test_coincident_and_unknown_atoms_are_reported(spark):
+    a = spark.createDataFrame([("m", 0, "H", 1, 0.0, 0.0, 0.0, 0.5), ("m", 1, "H", 1, 0.0, 0.0, 0.0, 0.5),
+                               ("m", 2, "X", 0, 2.0, 0.0, 0.0, -1.0)], ATOMS)
+    r = P.coulomb_energy_dsf(a).first()
+    assert r["n_coincident"] == 1 and r["coulomb_dsf_ev"] is not None
+    prm = spark.createDataFrame([("H", 1.0, 2.0), ("H", 1.0, 2.0)], "element string, alpha double, zeff double")
+    r = P.short_range_repulsion(a, prm).first()
+    assert (r["repulsion"], r["n_missing"], r["n_coincident"]) == (None, 2, 1)
+    r = P.short_range_repulsion(a.filter("element = 'H'"), prm).first()
+    assert (r["repulsion"], r["n_missing"], r["n_coincident"]) == (0.0, 0, 1)
+
+
+def test_dispersion_of_one_pair(spark):
+    a = spark.createDataFrame([("m", 0, "C", 6, 0.0, 0.0, 0.0, 0.0), ("m", 1, "O", 8, 3.0, 0.0, 0.0, 0.0)], ATOMS)
+    ref = spark.createDataFrame([("C", 46.6, 12.0), ("O", 15.6, 5.4)], "element string, c6 double, alpha double")
+    a = P.scaled_dispersion_params(a.withColumns({"c6_mult": F.lit(0.1), "alpha_mult": F.lit(9.0)}), ref)
+    prm = spark.createDataFrame([("C", 3.1), ("O", 2.4)], "element string, r4r2 double")
+    import math
+    from molspark.functions.units import BOHR_ANGSTROM, HARTREE_EV
+    ci, cj, ai, aj = 46.6 * math.exp(0.1), 15.6 * math.exp(0.1), 12.0 * math.exp(4), 5.4 * math.exp(4)
+    c6 = 2 * ci * cj / (ci * aj / ai + cj * ai / aj)
+    q, d = 3 * 3.1 * 2.4, 3.0 / BOHR_ANGSTROM
+    r0 = 0.4 * math.sqrt(q) + 5.0
+    want = -HARTREE_EV * c6 * (1 / (d ** 6 + r0 ** 6) + q / (d ** 8 + r0 ** 8))
+    r = P.pair_dispersion(a, prm).first()
+    assert r["dispersion"] == pytest.approx(want, rel=1e-9) and r["n_missing"] == 0
+
+
 def test_translation_invariance(spark):
     base = [("m", 0, "O", 8, 0.0, 0.0, 0.0, -0.8), ("m", 1, "H", 1, 0.96, 0.0, 0.0, 0.4),
             ("m", 2, "H", 1, -0.24, 0.93, 0.0, 0.4)]
