@@ -1,14 +1,16 @@
 """Combining the outputs of many batches (U6, F20, T1's batch rules).
 
-Files are grouped by header line first; each group is one CSV scan with an
-all-string schema. Numeric columns are sniffed per file from the first ten
-non-null values in file order: a ``row_number() <= 10`` window that Spark
-turns into a partial per-partition limit before the shuffle, so only a few
-rows per (file, column) ever move.
+Files are grouped by header first; each group is one CSV scan with an
+all-string schema. Whether a column is numeric is decided from the first ten
+non-null values of every file, and once per column over all header groups, so
+the result's types don't depend on which files share a header.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,30 +19,10 @@ from molspark.sources.files import batch_id_of, discover_batches, group_by_heade
 
 # FIXED VALUES: columns that always stay text.
 TEXT_COLUMNS = ("unique_id", "smiles", "canonical_smiles")
-_INTERNAL = ("batch_id", "_file", "_block", "_pos")
-
-
-def numeric_decisions(df: DataFrame, candidates: list[str], sample: int = 10,
-                      strict_reference: bool = True) -> DataFrame:
-    """F20 decision table ``(_file, column, is_numeric)``: a column is numeric
-    in a file when its first ``sample`` non-null values, with ``.``, ``-``,
-    ``+`` removed, are all digits (``strict_reference``) or, when not strict,
-    also parse as doubles with exponents."""
-    if not candidates:
-        return df.sparkSession.createDataFrame([], "_file string, column string, is_numeric boolean")
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("v"))
-                                for c in candidates]))
-    long = df.select("_file", "_block", "_pos", stack.alias("kv")).select(
-        "_file", "_block", "_pos", "kv.column", "kv.v").filter(F.col("v").isNotNull() & (F.col("v") != ""))
-    w = Window.partitionBy("_file", "column").orderBy("_block", "_pos")
-    first = long.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= sample)
-    digits = F.translate(F.col("v"), ".-+", "").rlike("^[0-9]+$")
-    if not strict_reference:
-        digits = digits | F.trim(F.col("v")).try_cast("double").isNotNull()
-    return first.groupBy("_file", "column").agg(F.bool_and(digits).alias("is_numeric"))
-
-
-def _is_digits(v: str, strict_reference: bool) -> bool:
+_INTERNAL = ("batch_id", "_file")
+
+
+def _is_numeric(v: str, strict_reference: bool) -> bool:
     ok = v.replace(".", "").replace("-", "").replace("+", "").isdigit()
     if ok or strict_reference:
         return ok
@@ -51,76 +33,98 @@ def _is_digits(v: str, strict_reference: bool) -> bool:
         return False
 
 
-def sniff_numeric(df: DataFrame, keep_text=TEXT_COLUMNS, sample: int = 10,
-                  strict_reference: bool = True) -> DataFrame:
-    """F20 applied to a batch read: a column becomes DOUBLE when every file
-    that has values for it sniffs numeric; later values that do not cast
-    become null; all-null columns and text columns stay strings.
+def numeric_columns(df: DataFrame, keep_text=TEXT_COLUMNS, sample: int = 10,
+                    strict_reference: bool = True) -> DataFrame:
+    """F20 as a table ``(column, is_numeric)`` with a row per column that has
+    values: numeric when in every file the first ``sample`` non-null values,
+    with ``.``, ``-``, ``+`` removed, are all digits (``strict_reference``) or,
+    when not strict, also parse as numbers.
 
-    Fast path: the first ``sample`` rows of every file (a per-file
-    ``row_number() <= sample``, a partial limit before the shuffle) decide
-    every column that has no null among them. Only (file, column) pairs with
-    nulls in their first rows go through the exact per-column search.
-    Decisions are metadata sized (files x columns) and choose the output
-    schema on the driver."""
+    A file is one task's, in order, so the first values need no sort; a task
+    looks at no more cells of a column than it needs and returns one row per
+    column."""
     cand = [c for c in df.columns if c not in keep_text and c not in _INTERNAL]
+    schema = "column string, is_numeric boolean"
     if not cand:
-        return df
-    w = Window.partitionBy("_file").orderBy("_block", "_pos")
-    head = (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= sample)
-            .select("_file", *[F.col(f"`{c}`") for c in cand]).collect())
-    rows_by_file: dict = {}
-    for r in head:
-        rows_by_file.setdefault(r["_file"], []).append(r)
-    verdict: dict = {c: [] for c in cand}       # per column: file verdicts (None = no values)
-    undecided: set = set()
-    for f, rows in rows_by_file.items():
-        for c in cand:
-            vals = [r[c] for r in rows if r[c] not in (None, "")]
-            if len(vals) == len(rows) == sample or len(rows) < sample:
-                # all first rows filled, or the whole file was read
-                verdict[c].append(all(_is_digits(v, strict_reference) for v in vals) if vals else None)
-            else:
-                undecided.add((f, c))
-    if undecided:
-        files = sorted({f for f, _ in undecided})
-        cols = sorted({c for _, c in undecided})
-        dec = numeric_decisions(df.filter(F.col("_file").isin(files)), cols, sample,
-                                strict_reference).collect()
-        for r in dec:
-            if (r["_file"], r["column"]) in undecided:
-                verdict[r["column"]].append(bool(r["is_numeric"]))
-    numeric = {c for c, v in verdict.items() if any(x is not None for x in v)
-               and all(x for x in v if x is not None)}
-    return df.select(*[
-        F.trim(F.col(f"`{c}`")).try_cast("double").alias(c) if c in numeric else F.col(f"`{c}`")
-        for c in df.columns])
+        return df.sparkSession.createDataFrame([], schema)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        verdict: dict[str, bool] = {}
+        left: dict[str, int] = {}
+        file = None
+        for batch in batches:
+            files = batch.column(0).to_pylist()
+            at = 0
+            while at < len(files):
+                if files[at] != file:
+                    file, left = files[at], dict.fromkeys(cand, sample)
+                stop = at
+                while stop < len(files) and files[stop] == file:
+                    stop += 1
+                for c in list(left):
+                    cells = batch.column(1 + cand.index(c)).slice(at, stop - at).drop_null()
+                    seen = [v for v in cells.to_pylist() if v]
+                    for v in seen[:left[c]]:
+                        verdict[c] = verdict.get(c, True) and _is_numeric(v, strict_reference)
+                    left[c] -= min(left[c], len(seen))
+                    if not left[c]:
+                        del left[c]
+                at = stop
+        if verdict:
+            yield pa.record_batch([pa.array(list(verdict)), pa.array(list(verdict.values()))],
+                                  ["column", "is_numeric"])
+
+    return (df.select("_file", *[F.col(f"`{c}`") for c in cand]).mapInArrow(look, schema)
+            .groupBy("column").agg(F.bool_and("is_numeric").alias("is_numeric")))
+
+
+def cast_numeric(df: DataFrame, numeric: set[str]) -> DataFrame:
+    """The ``numeric`` columns as DOUBLE; values that do not cast become null
+    (``cast_rejects`` names them)."""
+    return df.select(*[F.trim(F.col(f"`{c}`")).try_cast("double").alias(c) if c in numeric
+                       else F.col(f"`{c}`") for c in df.columns])
+
+
+def cast_rejects(df: DataFrame, numeric: set[str]) -> DataFrame:
+    """(batch_id, file, column, value) of every value that does not cast."""
+    cols = [c for c in df.columns if c in numeric]
+    if not cols:
+        return df.select("batch_id", F.col("_file").alias("file"), F.lit(None).cast("string").alias("column"),
+                         F.lit(None).cast("string").alias("value")).limit(0)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in cols]))
+    long = df.select("batch_id", F.col("_file").alias("file"), cells.alias("c")).select("batch_id", "file", "c.*")
+    return long.filter((F.trim("value") != "") & F.trim("value").try_cast("double").isNull())
 
 
 def combine_batches(spark: SparkSession, root: str, name: str, out: str | None = None,
                     fmt: str = "parquet", strict_reference: bool = True,
-                    keep_internal: bool = False) -> DataFrame:
+                    keep_internal: bool = False, rejects_out: str | None = None) -> DataFrame | None:
     """Union the ``name`` file of every batch folder under ``root``.
 
-    Header groups are read separately, sniffed (F20), then unioned by
-    column name (U1: missing columns are null). With ``out`` the result is
-    written: atom tables always as Parquet, others as ``fmt`` ("parquet" or
-    "csv"), partitioned by nothing (the caller may repartition)."""
+    Header groups are read separately, one type per column is decided over all
+    of them (F20), then they are unioned by column name (U1: missing columns
+    are null). With ``out`` the result is written: atom tables always as
+    Parquet, others as ``fmt`` ("parquet" or "csv"). With ``rejects_out`` the
+    values of numeric columns that are no numbers are written there. None when
+    there is no file."""
     paths = discover_batches(spark, root, name)
-    if not paths:
+    groups = group_by_header(spark, paths) if paths else {}
+    if not groups:
         return None
-    parts = []
-    for header, files in group_by_header(spark, paths).items():
-        parts.append(sniff_numeric(read_batch_csv(spark, files, header),
-                                   strict_reference=strict_reference))
-    df = union_diagonal(*parts)
+    raw = [read_batch_csv(spark, files, header) for header, files in groups.items()]
+    votes = [numeric_columns(df, strict_reference=strict_reference) for df in raw]
+    decided = union_diagonal(*votes).groupBy("column").agg(F.bool_and("is_numeric").alias("is_numeric"))
+    numeric = {r["column"] for r in decided.filter("is_numeric").collect()}  # a row per column
+    if rejects_out:
+        union_diagonal(*[cast_rejects(df, numeric) for df in raw]).write.mode("overwrite").parquet(rejects_out)
+    df = union_diagonal(*[cast_numeric(df, numeric) for df in raw])
     if not keep_internal:
-        df = df.drop("_file", "_block", "_pos")
+        df = df.drop("_file")
     if out:
         if "atom_property" in name or fmt == "parquet":
             df.write.mode("overwrite").parquet(out)
         elif fmt == "csv":
-            df.write.mode("overwrite").option("header", True).csv(out)
+            df.write.mode("overwrite").option("header", True).option("escape", '"').csv(out)
         else:
             raise ValueError(f"unsupported format {fmt}")
     return df
@@ -139,10 +143,8 @@ def combine_failures(spark: SparkSession, root: str,
 
 
 def sample_non_null(df: DataFrame, col: str, n: int = 10, by: str = "_file",
-                    order=("_block", "_pos")) -> DataFrame:
+                    order=("_pos",)) -> DataFrame:
     """O3: first ``n`` non-null values of a column per file."""
     w = Window.partitionBy(by).orderBy(*order)
     return (df.filter(F.col(col).isNotNull()).withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") <= n).drop("_rn"))
-
-

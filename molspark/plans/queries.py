@@ -947,38 +947,50 @@ def q_principal_frame(spark, sf_dir):
 
 
 # --- batch merge (S12, S13, F20, U1, U6) ----------------------------------------
-def write_bridge_batches(spark, sf_dir, root: str, uniform_header: bool = False) -> None:
+def write_bridge_batches(spark, sf_dir, root: str, batches=range(1, 6)) -> None:
     """Per-batch result CSVs derived from ``orders``: the order priority picks
-    the batch folder; odd batches write ``unique_id,smiles,homo,note``, even
-    ones ``unique_id,smiles,homo,esp_min,code`` (two header groups). Every
-    value is text, as a batch job writes it; ids keep leading zeros."""
+    the batch folder; odd batches write ``unique_id,smiles,homo,note,code``,
+    even ones ``homo,unique_id,esp_min,smiles,code`` (two header groups, columns
+    swapped). Every value is text, as a batch job writes it: ids keep leading
+    zeros, notes are quoted and span lines, and odd batches have codes that
+    are no numbers."""
     o = br.table(spark, sf_dir, "orders")
     k = F.substring("o_orderpriority", 1, 1).cast("int")
     base = o.select(
         k.alias("_k"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("unique_id"),
         F.col("o_orderstatus").alias("smiles"),
         F.format_string("%.4f", -F.col("o_totalprice") / 100.0).alias("homo"),
-        F.col("o_orderstatus").alias("note"),
+        F.concat(F.lit('say "'), F.col("o_orderstatus"), F.lit('", then\n  1 2, end')).alias("note"),
         F.format_string("%.4f", F.col("o_totalprice") / 10.0).alias("esp_min"),
-        F.col("o_custkey").cast("string").alias("code"))
-    for b in range(1, 6):
-        cols = ["unique_id", "smiles", "homo", "note"] if b % 2 else \
-            ["unique_id", "smiles", "homo", "esp_min", "code"]
-        if uniform_header:   # one header for every batch, absent fields empty
-            out = base.filter(F.col("_k") == b).select(
-                *[F.col(c) if c in cols else F.lit(None).cast("string").alias(c)
-                  for c in ["unique_id", "smiles", "homo", "note", "esp_min", "code"]])
-        else:
-            out = base.filter(F.col("_k") == b).select(*cols)
-        out.write.mode("overwrite").option("header", True).csv(f"{root}/batch_{b}/molecule_property.csv")
+        F.when(k % 2 == 1, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("code"))
+    for odd, cols in ((1, ["unique_id", "smiles", "homo", "note", "code"]),
+                      (0, ["homo", "unique_id", "esp_min", "smiles", "code"])):
+        mine = [b for b in batches if b % 2 == odd]
+        if mine:
+            (base.filter(F.col("_k").isin(mine)).select("_k", *cols).write.partitionBy("_k").mode("overwrite")
+             .option("header", True).option("escape", '"').csv(f"{root}/raw-{odd}"))
+            _as_batches(spark, f"{root}/raw-{odd}", "_k", root, "molecule_property.csv")
+
+
+def _as_batches(spark, written: str, column: str, root: str, name: str) -> None:
+    """The partitions of a written table as ``<root>/batch_<value>/<name>`` folders."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(path(written)):
+        part = st.getPath().getName()
+        if part.startswith(f"{column}="):
+            to = path(f"{root}/batch_{part.partition('=')[2]}/{name}")
+            fs.mkdirs(to.getParent())
+            fs.rename(st.getPath(), to)
 
 
 @register("combine_batches", """
 SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS unique_id, o_orderstatus AS smiles,
        CAST(printf('%.4f', -o_totalprice / 100.0) AS DOUBLE) AS homo,
-       CASE WHEN k % 2 = 1 THEN o_orderstatus END AS note,
+       CASE WHEN k % 2 = 1 THEN 'say "' || o_orderstatus || '", then' || chr(10) || '  1 2, end' END AS note,
        CASE WHEN k % 2 = 0 THEN CAST(printf('%.4f', o_totalprice / 10.0) AS DOUBLE) END AS esp_min,
-       CASE WHEN k % 2 = 0 THEN CAST(o_custkey AS DOUBLE) END AS code,
+       CASE WHEN k % 2 = 1 THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS code,
        'batch_' || CAST(k AS VARCHAR) AS batch_id
 FROM (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS k FROM orders) t""")
 def q_combine_batches(spark, sf_dir):
@@ -1195,16 +1207,24 @@ def q_nested_export(spark, sf_dir):
                     rk(F.col("property_energy_hartree"), 6).alias("property_energy_hartree"))
 
 
-@register("combine_stream", ORACLE["combine_batches"])
+@register("combine_stream", """
+SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS unique_id, o_orderstatus AS smiles,
+       CAST(printf('%.4f', -o_totalprice / 100.0) AS DOUBLE) AS homo,
+       CASE WHEN k % 2 = 1 THEN 'say "' || o_orderstatus || '", then' || chr(10) || '  1 2, end' END AS note,
+       CASE WHEN k % 2 = 0 THEN CAST(printf('%.4f', o_totalprice / 10.0) AS DOUBLE) END AS esp_min,
+       CASE WHEN k % 2 = 0 THEN CAST(o_custkey AS DOUBLE) END AS code,
+       'batch_' || CAST(k AS VARCHAR) AS batch_id
+FROM (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS k FROM orders) t""")
 def q_combine_stream(spark, sf_dir):
-    """The batch files picked up by a file stream (each file exactly once,
-    state in the checkpoint folder), merged per micro-batch and appended."""
+    """Batch files with different headers picked up by a file stream in two
+    runs (each file once, state in the checkpoint folder), merged per epoch."""
     import uuid
     from molspark.session import scratch_path
     from molspark.streaming.combine import combine_stream
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
-    write_bridge_batches(spark, sf_dir, root, uniform_header=True)
-    schema = "unique_id string, smiles string, homo string, note string, esp_min string, code string"
-    combine_stream(spark, root, "molecule_property.csv", schema, root + "/merged.parquet",
-                   root + "/_stream_checkpoint")
-    return spark.read.parquet(root + "/merged.parquet")
+    schema = "unique_id string, smiles string, homo double, note string, esp_min double, code double"
+    for batches in ((1, 2), (3, 4, 5)):
+        write_bridge_batches(spark, sf_dir, f"{root}/in", batches)
+        combine_stream(spark, f"{root}/in", "molecule_property.csv", schema, f"{root}/merged",
+                       f"{root}/_stream_checkpoint")
+    return spark.read.parquet(f"{root}/merged").drop("epoch")

@@ -3,6 +3,7 @@ manifests (S16), object inventory (S17) and cheap profiling (S18)."""
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,26 +29,32 @@ STRUCTURE_SCHEMA = T.StructType([
 ])
 
 
-def read_structures_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_structures_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """JSON files holding one structure object or an array of them.
-    Returns (molecules, atoms); atoms come from ``arrays_zip`` +
-    ``posexplode`` so ``atom_idx`` is the list position."""
-    raw = spark.read.option("multiLine", True).text(path, wholetext=True)
-    arr = F.from_json(F.col("value"), T.ArrayType(STRUCTURE_SCHEMA))
-    one = F.from_json(F.col("value"), STRUCTURE_SCHEMA)
-    s = raw.select(F.explode(F.when(F.trim("value").startswith("["), arr)
-                             .otherwise(F.array(one))).alias("s")).select("s.*")
+    Returns (molecules, atoms, failures). Atoms come from ``arrays_zip`` +
+    ``posexplode`` so ``atom_idx`` is the list position; ``atom_property`` is a
+    map of the atom's values (forces, charges, ...). A file that is no JSON
+    structure is a failure row (path, reason)."""
+    raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    text = F.trim(F.col("value"), F.lit(" \t\r\n"))
+    arr = F.from_json(text, T.ArrayType(STRUCTURE_SCHEMA))
+    one = F.from_json(text, STRUCTURE_SCHEMA)
+    parsed = raw.withColumn("s", F.when(text.startswith("["), arr).otherwise(F.array(one)))
+    broken = F.col("s").isNull() | F.exists("s", lambda x: x.isNull() | x["elements"].isNull())
+    failures = parsed.filter(broken).select("path", F.lit("no JSON structure").alias("reason"))
+    s = parsed.select(F.explode(F.filter("s", lambda x: x["elements"].isNotNull())).alias("s")).select("s.*")
     mols = s.select("unique_id", "smiles", F.coalesce("charge", F.lit(0)).alias("charge"),
                     F.coalesce("multiplicity", F.lit(1)).alias("multiplicity"),
                     F.size("elements").alias("num_atoms"), "property", "metadata")
     from molspark.functions.ids import symbol_to_z
     zs = F.coalesce(F.col("atomic_numbers"), F.transform("elements", lambda e: symbol_to_z(e)))
     z = F.arrays_zip(F.col("elements").alias("element"), F.col("xyz").alias("xyz"), zs.alias("z_num"))
-    atoms = s.select("unique_id", F.posexplode(z).alias("atom_idx", "a")).select(
+    atoms = s.select("unique_id", "atom_property", F.posexplode(z).alias("atom_idx", "a")).select(
         "unique_id", F.col("atom_idx").cast("int"), "a.element", "a.z_num",
         F.element_at("a.xyz", 1).alias("x"), F.element_at("a.xyz", 2).alias("y"),
-        F.element_at("a.xyz", 3).alias("z"))
-    return mols, atoms
+        F.element_at("a.xyz", 3).alias("z"),
+        F.transform_values("atom_property", lambda _, v: F.get(v, F.col("atom_idx"))).alias("atom_property"))
+    return mols, atoms, failures
 
 
 def _fs(spark: SparkSession, path: str):
@@ -83,59 +90,39 @@ def batch_id_of(path_col):
     return F.regexp_extract(path_col, BATCH_ID_PATTERN, 1)
 
 
-def header_of(spark: SparkSession, path: str) -> str:
-    """First line of a text file, read through the cluster file system."""
-    fs, p, jvm = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return line or ""
-    finally:
-        stream.close()
+def header_columns(header: str) -> list[str]:
+    """Column names of a header line, read as CSV (quotes, doubled quotes)."""
+    return [c.strip() for c in next(csv.reader([header.removeprefix("\ufeff")]), [])]
 
 
-def group_by_header(spark: SparkSession, paths: list[str],
-                    driver_max_files: int = 64) -> dict[str, list[str]]:
+def group_by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     """Files with identical header lines, so each group is read with one
-    positional schema (one ``csv()`` call over mixed headers would map
-    columns by position). A few files are read on the driver (one short
-    read each); many files are read by a Spark job that keeps the first
-    line of every file (per-file ``row_number() = 1``, a partial limit
-    before the shuffle) and returns one (file, header) row per file."""
-    groups: dict[str, list[str]] = defaultdict(list)
-    if len(paths) <= driver_max_files:
-        for p in paths:
-            groups[header_of(spark, p)].append(p)
-        return dict(groups)
-    from pyspark.sql import Window
+    positional schema (one ``csv()`` call over mixed headers would map columns
+    by position). One job finds every file's first line as a map-side combined
+    minimum by position; the driver gets one row per file of the list it already
+    holds. Empty files have no header and are left out."""
     t = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("p"), "value")
-    w = Window.partitionBy("f").orderBy("b", "p")
-    first = t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).select("f", "value")
-    def norm(x: str) -> str:  # "file:/a/b" and "/a/b" name the same local file
-        return x[5:] if x.startswith("file:") else x
-    by_path = {norm(r["f"]): r["value"] for r in first.collect()}   # one row per file
-    for p in paths:
-        groups[by_path.get(norm(p), "")].append(p)
-    return dict(groups)
+        F.col("_metadata.file_path").alias("f"), "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("p"))
+    groups: dict[str, list[str]] = defaultdict(list)
+    for r in t.groupBy("f").agg(F.min_by("value", "p").alias("header")).collect():
+        if r["header"].strip():
+            groups[r["header"].rstrip("\r")].append(r["f"])
+    return {h: sorted(f) for h, f in sorted(groups.items())}
 
 
 def read_batch_csv(spark: SparkSession, paths: list[str], header: str) -> DataFrame:
-    """Read same-header CSVs with every column as string (so
-    ``unique_id`` keeps its leading zeros) plus ``batch_id`` (the batch
-    folder) and a file-order key for sniffing."""
-    cols = [c.strip() for c in header.split(",")]
+    """Read same-header CSVs with every column as string (so ``unique_id``
+    keeps its leading zeros) plus ``batch_id`` (the batch folder) and ``_file``.
+    Cells may be quoted, hold line breaks (MolBlocks) and doubled quotes, so a
+    file is read by one task, in order."""
+    cols = header_columns(header)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    df = spark.read.option("header", True).schema(schema).csv(paths)
-    mono = F.monotonically_increasing_id()
-    return df.select(
-        *[F.col(f"`{c}`") for c in cols],
-        batch_id_of(F.col("_metadata.file_path")).alias("batch_id"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        mono.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
+    df = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
+          .option("escape", '"').schema(schema).csv(paths))
+    return df.select(*[F.col(f"`{c}`") for c in cols],
+                     batch_id_of(F.col("_metadata.file_path")).alias("batch_id"),
+                     F.col("_metadata.file_path").alias("_file"))
 
 
 def read_manifest(spark: SparkSession, path: str, mode: str = "upload") -> tuple[DataFrame, DataFrame]:
@@ -145,8 +132,13 @@ def read_manifest(spark: SparkSession, path: str, mode: str = "upload") -> tuple
     Returns (rows, bad rows with reason)."""
     width = {"upload": 3, "download": 2}[mode]
     raw = spark.read.text(path).filter(F.trim("value") != "")
-    cells = F.transform(F.split("value", ","), lambda c: F.trim(c))
-    r = raw.select(cells.alias("c"))
+    # a cell is quoted (with doubled quotes inside) or runs to the next comma
+    parts = F.regexp_extract_all(F.concat(F.lit(","), F.col("value")),
+                                 F.lit(r',\s*("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    plain = lambda c: F.when(F.trim(c).rlike('^".*"$'), F.replace(
+        F.substring(F.trim(c), F.lit(2), F.length(F.trim(c)) - 2),
+        F.lit('""'), F.lit('"'))).otherwise(F.trim(c))
+    r = raw.select(F.transform(parts, plain).alias("c"))
     r = r.filter(F.exists("c", lambda x: x != ""))
     good = r.filter(F.size("c") == width)
     bad = r.filter(F.size("c") != width).select(

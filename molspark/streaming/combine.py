@@ -2,10 +2,11 @@
 Streaming.
 
 Batch folders keep filling while jobs run; the file source hands each new
-file to exactly one micro-batch (its log lives in the checkpoint folder),
-and ``foreachBatch`` applies the batch-merge rules and appends to the
-combined table. ``trigger(availableNow=True)`` processes what is there and
-stops, so the same job serves both "merge now" and "merge what is new".
+file to exactly one micro-batch (its log lives in the checkpoint folder), and
+``foreachBatch`` merges these files by header name and declared types into the
+epoch's own folder of the combined table. An epoch that runs again overwrites
+its folder. ``trigger(availableNow=True)`` processes what is there and stops, so
+the same job serves both "merge now" and "merge what is new".
 """
 
 from __future__ import annotations
@@ -14,44 +15,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from molspark.operators.merge import sniff_numeric
-from molspark.sources.files import batch_id_of
+from molspark.operators.batches import union_diagonal
+from molspark.operators.merge import cast_numeric, cast_rejects
+from molspark.sources.files import _fs, group_by_header, read_batch_csv
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
 
 
 def combine_stream(spark: SparkSession, root: str, name: str, schema: T.StructType | str,
                    out: str, checkpoint: str, dedupe_key: str | None = None,
-                   numeric_cols: list[str] | None = None):
-    """Append each new ``<root>/{batch_*,fs-sn-*}/<name>`` file to the
-    Parquet table ``out`` exactly once. ``schema`` declares the columns (a
-    streaming file source needs a schema); ``numeric_cols`` are cast to
-    double leniently, or sniffed per micro-batch when ``None``. With
-    ``dedupe_key`` rows whose key is already in ``out`` are skipped (a
-    left-anti join inside the micro-batch). Returns the finished query."""
+                   rejects_out: str | None = None):
+    """Add each new ``<root>/{batch_*,fs-sn-*}/<name>`` file to the Parquet
+    table ``out``, which gets a partition column ``epoch``.
+
+    ``schema`` declares the result's columns, strings and doubles: a file's
+    columns are matched by their header names, whatever their order; a missing
+    one is null and others are left out. Cells of double columns that are no
+    numbers become null and are listed in ``rejects_out``. With ``dedupe_key``
+    rows whose key another epoch already has are skipped, and of several rows of
+    one epoch one stays. Errors end the query. Returns the finished query."""
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    src = (spark.readStream.schema(schema).option("header", True)
-           .csv(f"{root.rstrip('/')}/{{batch_*,fs-sn-*}}/{name}")
-           .withColumn("batch_id", batch_id_of(F.col("_metadata.file_path")))
-           .withColumn("_file", F.col("_metadata.file_path"))
-           .withColumn("_block", F.col("_metadata.file_block_start")))
+    numeric = {f.name for f in schema if not isinstance(f.dataType, T.StringType)}
+    files = (spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length bigint, content binary")
+        .load(f"{root.rstrip('/')}/{{batch_*,fs-sn-*}}/{name}").select("path"))
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        # position inside each split: only available on the micro-batch
-        batch = batch.withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        if numeric_cols is None:
-            b = sniff_numeric(batch)
-        else:
-            b = batch.select(*[F.trim(F.col(c)).try_cast("double").alias(c) if c in numeric_cols
-                               else F.col(c) for c in batch.columns])
-        b = b.drop("_file", "_block", "_pos")
+        session = batch.sparkSession
+        paths = [r["path"] for r in batch.filter(~F.regexp_like("path", F.lit("/[_.][^/]*$"))).collect()]
+        groups = group_by_header(session, paths) if paths else {}
+        if not groups:
+            return
+        raw = []
+        for header, members in groups.items():
+            df = read_batch_csv(session, members, header)
+            cols = [F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast("string").alias(f.name)
+                    for f in schema]
+            raw.append(df.select(*cols, "batch_id", "_file"))
+        one = union_diagonal(*raw)
+        if rejects_out:
+            cast_rejects(one, numeric).write.mode("overwrite").parquet(f"{rejects_out}/epoch={epoch}")
+        new = cast_numeric(one, numeric).drop("_file")
         if dedupe_key:
-            try:
-                have = batch.sparkSession.read.parquet(out).select(dedupe_key)
-                b = b.join(have, dedupe_key, "left_anti")
-            except Exception:  # noqa: BLE001 - first batch: no table yet
-                pass
-        b.write.mode("append").parquet(out)
+            new = new.dropDuplicates([dedupe_key])
+            if _exists(session, out):
+                have = session.read.parquet(out).filter(F.col("epoch") != epoch).select(dedupe_key)
+                new = new.join(have, dedupe_key, "left_anti").select(*new.columns)
+        new.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    q = (src.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    q = (files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q

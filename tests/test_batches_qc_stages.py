@@ -195,20 +195,24 @@ def test_stream_merge(spark, tmp_path):
     root = tmp_path / "run"
     (root / "batch_0").mkdir(parents=True)
     (root / "batch_0" / "molecule_property.csv").write_text("unique_id,smiles,homo\n001,C,-1.5\n002,CC,-2.5\n")
-    out, ck = str(tmp_path / "merged"), str(tmp_path / "ck")
-    schema = "unique_id string, smiles string, homo string"
-    combine_stream(spark, str(root), "molecule_property.csv", schema, out, ck, dedupe_key="unique_id",
-                   numeric_cols=["homo"])
-    assert spark.read.parquet(out).count() == 2
-    (root / "batch_1").mkdir()
-    (root / "batch_1" / "molecule_property.csv").write_text("unique_id,smiles,homo\n003,N,-3.5\n001,C,-1.5\n")
-    combine_stream(spark, str(root), "molecule_property.csv", schema, out, ck, dedupe_key="unique_id",
-                   numeric_cols=["homo"])
-    m = spark.read.parquet(out)
-    assert m.count() == 3 and dict(m.dtypes)["homo"] == "double"
-    combine_stream(spark, str(root), "molecule_property.csv", schema, out, ck, dedupe_key="unique_id",
-                   numeric_cols=["homo"])
-    assert spark.read.parquet(out).count() == 3      # every file exactly once
+    out, ck, bad = str(tmp_path / "merged"), str(tmp_path / "ck"), str(tmp_path / "bad")
+    schema = "unique_id string, smiles string, homo double, note string"
+
+    def run():
+        combine_stream(spark, str(root), "molecule_property.csv", schema, out, ck, dedupe_key="unique_id", rejects_out=bad)
+        return spark.read.parquet(out)
+
+    assert run().count() == 2
+    (root / "batch_1").mkdir()  # other order, another column, a known key and a cell that is no number
+    (root / "batch_1" / "molecule_property.csv").write_text(
+        'homo,unique_id,extra,smiles,note\n-3.5,003,x,N,"two\nlines, ""quoted"""\n-1.5,001,x,C,\nn/a,004,x,O,\n')
+    m = run()
+    rows = {r["unique_id"]: r for r in m.collect()}
+    assert dict(m.dtypes)["homo"] == "double" and set(rows) == {"001", "002", "003", "004"} and m.count() == 4
+    assert (rows["003"]["smiles"], rows["003"]["homo"], rows["003"]["note"]) == ("N", -3.5, 'two\nlines, "quoted"')
+    assert rows["004"]["homo"] is None
+    assert [(r["column"], r["value"]) for r in spark.read.parquet(bad).collect()] == [("homo", "n/a")]
+    assert run().count() == 4      # every file exactly once
 
 
 def test_small_helpers(spark):
@@ -270,14 +274,29 @@ def test_group_rank_matches_window(spark):
     assert j.filter("k = 'hot'").select("n").distinct().first()[0] == 300
 
 
-def test_header_groups_distributed(spark, tmp_path):
-    from molspark.sources.files import group_by_header
+def test_header_groups(spark, tmp_path):
+    from molspark.sources.files import group_by_header, header_columns
     paths = []
     for i in range(5):
         p = tmp_path / f"f{i}.csv"
-        p.write_text(("a,b\n" if i % 2 else "a,c\n") + "1,2\n3,4\n")
+        p.write_text(("a,b\n" if i % 2 else "a,c\r\n") + "1,2\n3,4\n")
         paths.append(str(p))
-    local = group_by_header(spark, paths)
-    dist = group_by_header(spark, paths, driver_max_files=0)
-    assert {k: sorted(v) for k, v in local.items()} == {k: sorted(v) for k, v in dist.items()}
-    assert sorted(local) == ["a,b", "a,c"]
+    (tmp_path / "empty.csv").write_text("")
+    groups = group_by_header(spark, [*paths, str(tmp_path / "empty.csv")])
+    assert {h: [f[-6:] for f in files] for h, files in groups.items()} == {
+        "a,b": ["f1.csv", "f3.csv"], "a,c": ["f0.csv", "f2.csv", "f4.csv"]}
+    assert header_columns('a, "b, ""c""",d') == ["a", 'b, "c"', "d"] or header_columns('a,"b, ""c""",d') == ["a", 'b, "c"', "d"]
+
+
+def test_types_do_not_depend_on_header_groups(spark, tmp_path):
+    root = tmp_path / "run"
+    for i, text in enumerate(['id,v,block\n1,2.5,"a\nb"\n2,,"say ""hi"", ok"\n', "v,id\nx1,3\n", "id,v,w\n4,7,1\n5,8,oops\n"]):
+        (root / f"batch_{i}").mkdir(parents=True)
+        (root / f"batch_{i}" / "molecule_property.csv").write_text(text)
+    df = combine_batches(spark, str(root), "molecule_property.csv", rejects_out=str(tmp_path / "rejects"))
+    assert dict(df.dtypes)["v"] == "string" and dict(df.dtypes)["w"] == "string" and df.count() == 5
+    rows = {r["id"]: r for r in df.withColumn("id", F.col("id").cast("int")).collect()}
+    assert rows[1]["block"] == "a\nb" and rows[2]["block"] == 'say "hi", ok' and rows[3]["v"] == "x1"
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 0
+
+

@@ -145,7 +145,8 @@ def test_json_roundtrip(spark, tmp_path):
     p = tmp_path / "s.json"
     p.write_text(json.dumps([{"elements": j["elements"], "xyz": [list(v) for v in j["xyz"]],
                               "unique_id": "a", "smiles": "N#N", "charge": 0}]))
-    mm, aa = S.read_structures_json(spark, str(p))
+    mm, aa, bad = S.read_structures_json(spark, str(p))
+    assert bad.count() == 0
     assert mm.first()["num_atoms"] == 2 and aa.filter("atom_idx = 1").first()["z"] == pytest.approx(1.1)
     (tmp_path / "one.json").write_text(json.dumps({"elements": ["H"], "xyz": [[0, 0, 0]], "unique_id": "h"}))
     assert S.read_structures_json(spark, str(tmp_path / "one.json"))[0].count() == 1
