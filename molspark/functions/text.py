@@ -12,6 +12,12 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(col) -> Column:
+    """Text without white space at both ends: tabs, line ends and Unicode
+    spaces as well as blanks."""
+    return F.regexp_replace(_c(col), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def smiles_features(col) -> Column:
     """structure flags read from SMILES text (no toolkit): bracket atom
     count, formal charge, heavy-atom count (organic-subset and bracket atoms

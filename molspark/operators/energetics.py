@@ -156,7 +156,8 @@ def defluorinate(molecules: DataFrame, atoms: DataFrame, bonds: DataFrame,
     """Children of BDE-eligible parents: the longest F bond is broken and that
     F atom removed; atoms above it shift down by one (W9); the child gets
     charge + 1, the parent's multiplicity and id ``<id>_defluorined``; the
-    parent's index of the removed atom is kept as ``removed_atom_idx``.
+    parent's index of the removed atom is kept as ``removed_atom_idx``. Energies
+    are the parent's and don't go to the child; ``num_atoms`` is one less.
 
     Returns ``(child_molecules, child_atoms)``."""
     elig = bde_eligible(molecules, atoms, key)
@@ -174,7 +175,12 @@ def defluorinate(molecules: DataFrame, atoms: DataFrame, bonds: DataFrame,
                                .otherwise(F.col("atom_idx")))
                    .withColumn(key, F.concat(F.col(key), F.lit("_defluorined")))
                    .drop("f_idx", "old_f_bonded_atom"))
-    keep = [c for c in elig.columns if c not in ("charge",)]
+    fewer = {"num_atoms": F.col("num_atoms") - 1}
+    if "num_atoms" in child_atoms.columns:
+        child_atoms = child_atoms.withColumns(fewer)
+    keep = [c for c in elig.columns if c != "charge" and not c.startswith(("energy", "triton_energy"))]
+    if "num_atoms" in keep:
+        elig = elig.withColumns(fewer)
     child_mols = (elig.select(*keep, (F.col("charge") + 1).alias("charge"))
                   .join(victim, key)
                   .withColumn("parent_id", F.col(key))

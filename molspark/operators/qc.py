@@ -110,19 +110,27 @@ def has_fragments(col) -> Column:
     return F.instr(_c(col), ".") > 0
 
 
-def validate_inputs(df: DataFrame, smiles_col: str = "smiles") -> tuple[DataFrame, DataFrame]:
+def validate_inputs(df: DataFrame, smiles_col: str = "smiles",
+                    require_any: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split into (valid, failures) with the first failing reason:
-    invalid SMILES, then non-zero formal charge. Failures carry
-    ``stage='validate'`` and ``reason``."""
+    invalid SMILES, then non-zero formal charge, then an open shell (an
+    ``unpaired_electrons`` column, where there is one, that is odd). Failures
+    carry ``stage='validate'`` and ``reason``. With ``require_any`` an input
+    without any valid row is an error."""
     s = F.col(smiles_col)
     ch = formal_charge(s)
     reason = F.coalesce(
         F.concat(F.lit("invalid SMILES: "), smiles_lexical_reason(s)),
-        F.when(ch != 0, F.concat(F.lit("charged molecule: charge = "), ch.cast("string"))))
+        F.when(ch != 0, F.concat(F.lit("charged molecule: charge = "), ch.cast("string"))),
+        F.when(F.pmod("unpaired_electrons", F.lit(2)) != 0,
+               F.concat(F.lit("open shell: num_unpaired_electron = "), F.col("unpaired_electrons").cast("string")))
+        if "unpaired_electrons" in df.columns else F.lit(None).cast("string"))
     tagged = df.withColumn("_reason", reason)
     ok = tagged.filter(F.col("_reason").isNull()).drop("_reason")
     bad = tagged.filter(F.col("_reason").isNotNull()).select(
         F.lit("validate").alias("stage"), "*").withColumnRenamed("_reason", "reason")
+    if require_any and ok.isEmpty():
+        raise ValueError("no valid SMILES found")
     return ok, bad
 
 
@@ -215,7 +223,7 @@ DEFAULT_PROPERTIES = ("esp_range", "combustion_heat", "gradient", "chelpg_charge
                       "vdw_volume", "polarizability")
 
 
-def select_properties(props: Iterable[str] | None = None) -> list[str]:
+def property_selection(props: Iterable[str] | None = None) -> list[str]:
     """Validate a property selection; unknown names are an error,
     duplicates removed, order kept; ``None`` gives the default set."""
     if props is None:
@@ -229,6 +237,17 @@ def select_properties(props: Iterable[str] | None = None) -> list[str]:
     return out
 
 
+def select_properties(df: DataFrame, props: Iterable[str] | None = None) -> DataFrame:
+    """The table without the columns of properties that are not selected.
+    A property's columns are those named like it or with it as a prefix
+    (``esp_range`` also has ``esp_min``, ``esp_max``)."""
+    stems = {p: {"esp_range": ("esp_min", "esp_max", "esp_range"), "freq": ("freq", "frequency")}.get(p, (p,))
+             for p in PROPERTY_CHOICES}
+    wanted = property_selection(props)
+    off = tuple(s for p in PROPERTY_CHOICES if p not in wanted for s in stems[p])
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(off)]) if off else df
+
+
 # Names used by the two flows for the same quantity -> one canonical name.
 CANONICAL_NAMES = {
     "homo_eV": "homo_ev", "lumo_eV": "lumo_ev", "homo": "homo_ev", "lumo": "lumo_ev",

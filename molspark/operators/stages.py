@@ -13,6 +13,7 @@ library; they plug in as functions that Spark runs inside tasks.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -20,17 +21,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from molspark.session import scratch_path
+
 
 def _with_error(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField("_error", T.StringType())])
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def apply_stage(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType | str,
                 on_error: str = "drop", stage: str = "stage") -> tuple[DataFrame, DataFrame]:
     """Call ``fn(row_dict) -> dict`` for every row; exceptions are caught
     per row. ``on_error="drop"`` removes failed rows from the output;
     ``"keep"`` keeps them with the output columns null. Returns
-    ``(rows, failures)``; failures have ``stage, unique_id, reason``."""
+    ``(rows, failures)``; failures have ``stage, unique_id, reason``. The tagged
+    result is written once to the shared scratch folder and both are read from
+    there, so ``fn`` runs once per row however often they are used."""
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     out_schema = _with_error(schema)
     names = [f.name for f in schema.fields]
@@ -47,7 +58,7 @@ def apply_stage(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType
                     rows.append({**base, "_error": f"{type(e).__name__}: {e}"})
             yield pd.DataFrame(rows, columns=names + ["_error"])
 
-    res = df.mapInPandas(run, out_schema)
+    res = _written(df.mapInPandas(run, out_schema), stage)
     ok = res.filter(F.col("_error").isNull()) if on_error == "drop" else res
     uid = F.col("unique_id") if "unique_id" in names else F.lit(None).cast("string")
     fails = res.filter(F.col("_error").isNotNull()).select(
@@ -72,24 +83,37 @@ def apply_with_fallback(df: DataFrame, fn_a: Callable[[dict], dict], fn_b: Calla
 
 def enrich_batched(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
                    schema: T.StructType | str, batch_size: int = 1024, retries: int = 5,
-                   backoff: float = 3.0, sleep=time.sleep) -> DataFrame:
+                   backoff: float = 3.0, sleep=time.sleep,
+                   stage: str = "enrich") -> tuple[DataFrame, DataFrame]:
     """Send rows to ``fn`` in groups of at most ``batch_size``; a failing
-    call is retried ``retries`` times with delays ``backoff * 2**k``; a
-    group that still fails yields no rows (its rows are absent from the
-    output and can be found with a left-anti join, J14)."""
+    call is retried ``retries`` times with delays ``backoff * 2**k``. Returns
+    ``(rows, failures)``; each row of a group that still fails is a failure with
+    ``stage, unique_id, reason``. ``fn`` runs once per group and attempt."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    names = [f.name for f in schema.fields]
+    tagged = T.StructType(list(schema.fields) + [T.StructField("_failed_id", T.StringType()),
+                                                 T.StructField("_error", T.StringType())])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for s in range(0, len(pdf), batch_size):
                 part = pdf.iloc[s:s + batch_size]
                 for k in range(retries + 1):
                     try:
-                        yield fn(part)
+                        yield fn(part)[names].assign(_failed_id=None, _error=None)
                         break
-                    except Exception:  # noqa: BLE001
-                        if k == retries:
-                            break
-                        sleep(backoff * (2 ** k))
-    return df.mapInPandas(run, schema)
+                    except Exception as e:  # noqa: BLE001 - user code, logged per row
+                        if k < retries:
+                            sleep(backoff * (2 ** k))
+                            continue
+                        ids = part["unique_id"].astype(str) if "unique_id" in part else [None] * len(part)
+                        yield pd.DataFrame({**{n: [None] * len(part) for n in names}, "_failed_id": list(ids),
+                                            "_error": f"{type(e).__name__}: {e}"})
+
+    res = _written(df.mapInPandas(run, tagged), stage)
+    fails = res.filter(F.col("_error").isNotNull()).select(
+        F.lit(stage).alias("stage"), F.col("_failed_id").alias("unique_id"), F.col("_error").alias("reason"))
+    return res.filter(F.col("_error").isNull()).select(*names), fails
 
 
 def batch_inference(df: DataFrame, make_model: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from molspark.functions.text import strip
 from molspark.operators.qc import (drop_empty, looks_like_smiles, resolve_smiles_column,
                                    smiles_lexical_reason)
 
@@ -32,7 +33,7 @@ def read_smiles(spark: SparkSession, path: str, fmt: str | None = None,
     elif fmt in ("text", "txt"):
         raw = spark.read.text(path)
         df = (raw.filter(~F.col("value").startswith("#"))
-              .select(F.trim(F.col("value")).alias("smiles"))
+              .select(strip("value").alias("smiles"))
               .filter(F.col("smiles") != ""))
         return _index(df, with_index)
     else:
@@ -59,17 +60,21 @@ def read_input(spark: SparkSession, path: str):
     fmt = _fmt_from_suffix(path)
     if fmt:
         return read_smiles(spark, path, fmt)
-    if os.path.isdir(path) or path.endswith("/"):
+    from molspark.sources.files import _fs
+    fs, p, _ = _fs(spark, path)
+    if path.endswith("/") or (fs.exists(p) and fs.getFileStatus(p).isDirectory()):
         from molspark.sources.xyz import read_xyz_dir
         return read_xyz_dir(spark, path)
     raise ValueError(f"Unsupported input: {path}")
 
 
 def is_single_column(spark: SparkSession, path: str, n: int = 5) -> bool:
-    """The first ``n`` non-blank, non-comment lines (comment test after
-    stripping) each hold exactly one token that looks like SMILES."""
-    raw = spark.read.text(path).select(F.trim("value").alias("v"))
-    sample = raw.filter((F.col("v") != "") & ~F.col("v").startswith("#")).limit(n)
+    """Among the first ``n`` lines of the file, those that are neither blank
+    nor comments (after stripping) each hold exactly one token that looks like
+    SMILES. ``take`` reads the first split only as far as it must."""
+    first = [(r["value"],) for r in spark.read.text(path).take(n)]
+    sample = spark.createDataFrame(first, "value string").select(strip("value").alias("v")) \
+        .filter((F.col("v") != "") & ~F.col("v").startswith("#"))
     chk = sample.agg(F.coalesce(F.bool_and(
         (F.size(F.split("v", r"\s+")) == 1) & smiles_lexical_reason(F.col("v")).isNull()),
         F.lit(True)).alias("ok"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molspark.functions.ids import molecule_id, symbol_to_z
+from molspark.functions.text import strip as strip_text
 from molspark.operators.qc import looks_like_smiles, smiles_lexical_reason
 
 # FIXED VALUES: comment-line patterns of annotated XYZ files.
@@ -25,18 +26,18 @@ ENERGY_PATTERN = r"energy_hartree:\s*([-+]?\d*\.?\d+(?:[eE][-+]?\d+)?)"
 def _lines(text: Column, strip: bool) -> Column:
     t = F.regexp_replace(text, "\r", "")
     if strip:
-        t = F.trim(t)
+        t = strip_text(t)
     return F.split(t, "\n")
 
 
 def _atom_lines(lines: Column) -> Column:
     """Lines after the count and comment lines, trailing blank lines dropped."""
     body = F.slice(lines, 3, F.greatest(F.size(lines) - 2, F.lit(0)))
-    return F.filter(body, lambda l: F.trim(l) != "")
+    return F.filter(body, lambda l: strip_text(l) != "")
 
 
 def _tokens(line: Column) -> Column:
-    return F.split(F.trim(line), r"\s+")
+    return F.split(strip_text(line), r"\s+")
 
 
 def _parity_multiplicity(elements: Column, charge: Column) -> Column:
@@ -172,13 +173,16 @@ def read_xyz_table(df: DataFrame, start: int | None = None, length: int | None =
                    xyz_col: str = "xyz_block", smiles_col: str = "smiles",
                    order_cols=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A table with an ``xyz_block`` column (and optionally ``smiles``),
-    optionally a row range (W7) in ``order_cols`` order. The table's
-    ``smiles`` column overrides the parsed one (null when absent)."""
+    optionally a row range (W7) in ``order_cols`` order, or else in the order
+    in which the table is read (file order). The table's ``smiles`` column
+    overrides the parsed one (null when absent)."""
     from molspark.operators.batches import dense_index, row_range
     from molspark.operators.qc import require_columns
     require_columns(df, [xyz_col])
     if start is not None:
-        df = row_range(dense_index(df, order_cols or df.columns[:1]), start, length)
+        if not order_cols:
+            df, order_cols = df.withColumn("_read", F.monotonically_increasing_id()), ["_read"]
+        df = row_range(dense_index(df, order_cols), start, length)
     sm = F.col(smiles_col) if smiles_col in df.columns else F.lit(None).cast("string")
     src = df.select(F.col(xyz_col).alias("_xyz"), sm.alias("_smiles_in"))
     m, a, f = parse_xyz(src, "_xyz", mode="tokens")

@@ -108,9 +108,9 @@ def test_clip_converged_bonds(spark):
 
 
 def test_select_and_rename(spark):
-    assert Q.select_properties(["vdw_volume", "vdw_volume", "freq"]) == ["vdw_volume", "freq"]
+    assert Q.property_selection(["vdw_volume", "vdw_volume", "freq"]) == ["vdw_volume", "freq"]
     with pytest.raises(ValueError):
-        Q.select_properties(["nope"])
+        Q.property_selection(["nope"])
     df = spark.createDataFrame([(1.0, None, 2.0)], "homo double, homo_ev double, esp_min_eV double")
     out = Q.canonical_names(df)
     assert sorted(out.columns) == ["esp_min_ev", "homo_ev"] and out.first()["homo_ev"] == 1.0
@@ -172,13 +172,15 @@ def test_stages(spark):
         calls.append(len(pdf))
         return pdf.assign(v=pdf.v + 1)
     four = spark.createDataFrame([(str(i), float(i)) for i in range(4)], "unique_id string, v double").coalesce(1)
-    assert X.enrich_batched(four, remote, "unique_id string, v double", batch_size=3).count() == 4
+    assert X.enrich_batched(four, remote, "unique_id string, v double", batch_size=3)[0].count() == 4
 
     def flaky(pdf):
         raise RuntimeError("down")
-    out = X.enrich_batched(four, flaky, "unique_id string, v double", batch_size=2, retries=2,
-                           backoff=0.0, sleep=lambda s: None)
+    out, failed = X.enrich_batched(four, flaky, "unique_id string, v double", batch_size=2, retries=2,
+                                   backoff=0.0, sleep=lambda s: None)
     assert out.count() == 0
+    assert sorted((r["unique_id"], r["reason"]) for r in failed.collect()) == [
+        (str(i), "RuntimeError: down") for i in range(4)]
 
     def make_model():
         return lambda pdf: pdf.assign(v=pdf.v * 10)

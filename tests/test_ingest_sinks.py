@@ -187,6 +187,38 @@ def test_with_stage(spark, tmp_path):
     assert K.with_stage(spark, make, path).count() == 3
     assert K.with_stage(spark, make, path).count() == 3
     assert len(calls) == 1
+    K.drop_stage(spark, path)  # the job succeeded: the next run computes anew
+    assert K.with_stage(spark, make, path).count() == 3 and len(calls) == 2
+
+
+def test_white_space_and_file_order(spark, tmp_path):
+    from molspark.sources import smiles as SM
+    from molspark.sources.xyz import parse_xyz, read_xyz_table
+    p = tmp_path / "s.txt"
+    p.write_text("CC\t\n\t\n  \u00a0N \n# c\n")
+    assert [r[0] for r in SM.read_smiles(spark, str(p)).collect()] == ["CC", "N"]
+    (tmp_path / "five.txt").write_text("#a\n#b\n#c\n#d\n#e\nC C\n")
+    assert SM.is_single_column(spark, str(tmp_path / "five.txt"))
+    block = "\n2\nCC charge:0\nC 0 0 0\nC 0 0 1\n"
+    m, a, bad = parse_xyz(spark.createDataFrame([(block,)], "text string"), mode="tokens")
+    assert (m.count(), a.count(), bad.count()) == (1, 2, 0)
+    t = spark.createDataFrame([(s, block.strip()) for s in ("S", "N", "C")], "smiles string, xyz_block string").coalesce(1)
+    assert read_xyz_table(t, 0, 1)[0].first()["smiles"] == "S"
+
+
+def test_broken_json_and_atom_properties(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"elements": ["H", "O"], "xyz": [[0, 0, 0], [0, 0, 1]], "unique_id": "h",
+                                                 "atom_property": {"charge": [0.25, -0.25]}}))
+    (tmp_path / "b.json").write_text("{nope")
+    m, a, bad = S.read_structures_json(spark, str(tmp_path / "*.json"))
+    assert m.count() == 1 and [r["atom_property"]["charge"] for r in a.orderBy("atom_idx").collect()] == [0.25, -0.25]
+    assert [r["path"][-6:] for r in bad.collect()] == ["b.json"]
+
+
+def test_quoted_manifest(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('b1,"x, y",k/1\n\n b2 , p , "say ""q"""\nonly,two\n')
+    rows, bad = S.read_manifest(spark, str(tmp_path / "m.csv"))
+    assert [tuple(r) for r in rows.collect()] == [("b1", "x, y", "k/1"), ("b2", "p", 'say "q"')] and bad.count() == 1
 
 
 def test_xyz_lines_long_form(spark, tmp_path):
