@@ -79,7 +79,7 @@ class Scorer:
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
-        self.rows = np.empty((4096, len(self.model.languages)))
+        self.rows = np.empty((4096, len(self.model.languages)), np.float32)
         self.letters = np.empty(4096, bool)
 
     def learn(self, word: str) -> None:
@@ -105,7 +105,7 @@ class Scorer:
         at = np.fromiter(map(self.places.__getitem__, counts), np.int64, len(counts))
         if not self.letters[at].any():
             return UNDETERMINED, 0.0
-        total = np.fromiter(counts.values(), float, len(counts)) @ self.rows[at]
+        total = np.fromiter(counts.values(), float, len(counts)) @ self.rows[at].astype(float)
         best = int(total.argmax())
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -121,21 +121,15 @@ def _log_frequencies(counts: DataFrame, key: str, languages: list[str], keep: in
     """Rows of log relative frequencies per language and each key's row, for the
     ``keep`` most frequent keys (by their share summed over languages; ties to
     the smaller key)."""
-    place = {lang: i for i, lang in enumerate(languages)}
     totals = {r.lang: float(r.n) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     sizes = np.array([totals.get(lang, 1.0) for lang in languages])
-    share = F.sum(F.col("n") / F.element_at(
-        F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(totals.get(lang, 1.0)))]),
-        F.col("lang")))
-    rows = (counts.groupBy(key).agg(share.alias("share"),
-                                    F.collect_list(F.struct("lang", "n")).alias("by"))
-            .orderBy(F.desc("share"), key).limit(keep).collect())
-    n = np.zeros((len(rows), len(languages)))
-    for i, r in enumerate(rows):
-        for lang, c in r.by:
-            n[i, place[lang]] = c
-    return ({r[key]: i for i, r in enumerate(rows)},
-            np.log((n + smoothing) / (sizes + smoothing * (len(rows) + 1))))
+    wide = counts.groupBy(key).agg(*[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}")
+                                     for i, lang in enumerate(languages)])
+    share = sum((F.col(f"n{i}") / float(size) for i, size in enumerate(sizes)), F.lit(0.0))
+    rows = wide.orderBy(share.desc(), key).limit(keep).toPandas()  # Arrow, at most ``keep`` rows
+    n = rows.drop(columns=key).to_numpy(float)
+    return ({k: i for i, k in enumerate(rows[key])},
+            np.log((n + smoothing) / (sizes + smoothing * (len(rows) + 1))).astype(np.float32))
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
