@@ -175,9 +175,10 @@ class Index:
     """A latent space and what candidates are checked against."""
 
     idf: np.ndarray
-    place: np.ndarray  # row of each feature in ``basis``, or -1
-    basis: np.ndarray
-    latent: np.ndarray  # passages, one row each
+    place: np.ndarray  # row of each feature in ``alike``, or -1
+    #: Features folded into the latent space times the passages there: what a
+    #: word adds to a window's product with each passage.
+    alike: np.ndarray
     item: np.ndarray  # of each passage
     items: list[Item]
 
@@ -187,10 +188,10 @@ def find(text: str | None, index: Index, params: Params) -> list[tuple[int, floa
     window) of every item that ``text`` holds."""
     hashes = words(text)[0]
     n = len(hashes)
-    if n < params.least or not len(index.latent):
+    if n < params.least or not index.alike.size:
         return []
-    at = (hashes & np.uint64(params.features - 1)).astype(np.int64)
-    idf, place = index.idf[at], index.place[at]
+    bucket = (hashes & np.uint64(params.features - 1)).astype(np.int64)
+    idf, place = index.idf[bucket], index.place[bucket]
     starts = np.arange(0, max(1, n - params.width + params.stride), params.stride)
     ends = np.minimum(starts + params.width, n)
     energy = np.concatenate([[0.0], np.cumsum(idf * idf)])
@@ -199,18 +200,17 @@ def find(text: str | None, index: Index, params: Params) -> list[tuple[int, floa
     # What lies outside the benchmark's vocabulary bounds the cosine.
     near = np.flatnonzero(within[ends] - within[starts] >= params.cosine ** 2 * all_of)
     best: dict[int, tuple[float, int]] = {}
-    for some in np.array_split(near, max(1, len(near) // 256)):
-        if not len(some):
-            continue
-        span = starts[some, None] + np.arange(params.width)
-        ok = span < ends[some, None]
-        span = np.minimum(span, n - 1)
-        f = place[span]
-        x = np.zeros((len(some), index.basis.shape[1]), np.float32)
-        weight = np.where(ok & (f >= 0), idf[span], 0).astype(np.float32)
-        for j in range(params.width):
-            x += weight[:, j, None] * index.basis[np.maximum(f[:, j], 0)]
-        cosine = np.minimum(1.0, (x @ index.latent.T) / np.sqrt(np.maximum(all_of[some], 1e-12))[:, None])
+    for at in range(0, len(near), 512):
+        some = near[at:at + 512]
+        lo, hi = starts[some[0]], ends[some[-1]]
+        turn = np.zeros(hi - lo + 1, np.int32)  # words that some of these windows cover
+        np.add.at(turn, starts[some] - lo, 1)
+        np.add.at(turn, ends[some] - lo, -1)
+        words_in = lo + np.flatnonzero((np.cumsum(turn[:-1]) > 0) & (place[lo:hi] >= 0))
+        sums = np.zeros((len(words_in) + 1, index.alike.shape[1]), np.float32)
+        np.cumsum(index.alike[place[words_in]] * idf[words_in, None].astype(np.float32), axis=0, out=sums[1:])
+        products = (sums[np.searchsorted(words_in, ends[some])] - sums[np.searchsorted(words_in, starts[some])])
+        cosine = np.minimum(1.0, products / np.sqrt(np.maximum(all_of[some], 1e-12))[:, None])
         for w, p in zip(*np.nonzero(cosine >= params.cosine)):
             i, c = int(index.item[p]), float(cosine[w, p])
             if c > best.get(i, (0.0, 0))[0]:
@@ -307,8 +307,8 @@ def _index(rows: DataFrame, items: DataFrame, idf: np.ndarray, params: Params) -
         at.setdefault(t.key, []).append(i)
     # A key with several texts: its passages stand for each of them.
     pairs = [(p, i) for p, k in enumerate(local["item"]) for i in at.get(k, ())]
-    return Index(idf, place, basis.astype(np.float32), latent[[p for p, _ in pairs]].astype(np.float32),
-                 np.array([i for _, i in pairs]), texts)
+    alike = basis @ latent[[p for p, _ in pairs]].T if pairs else np.empty((len(vocabulary), 0))
+    return Index(idf, place, alike.astype(np.float32), np.array([i for _, i in pairs], int), texts)
 
 
 def _search(docs: DataFrame, shared, schema: T.StructType, params: Params) -> DataFrame:
