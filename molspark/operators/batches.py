@@ -176,13 +176,18 @@ def failure_counts(failures: DataFrame, by: Sequence[str] = ("stage", "reason"))
     return failures.groupBy(*by).agg(F.count(F.lit(1)).cast("long").alias("n_failures"))
 
 
-def run_summary(inputs: DataFrame, outputs: DataFrame, metadata: DataFrame | None = None,
+def run_summary(inputs: DataFrame, outputs: DataFrame | Column, metadata: DataFrame | None = None,
                 time_col: str = "total_time") -> DataFrame:
     """Inputs, outputs, success percentage and time per structure; an
-    empty output gives nulls instead of a division by zero. One aggregation
-    over the tagged union of the three inputs (no joins)."""
-    parts = [inputs.select(F.lit("in").alias("_src"), F.lit(None).cast("double").alias("_t")),
-             outputs.select(F.lit("out").alias("_src"), F.lit(None).cast("double").alias("_t"))]
+    empty output gives nulls instead of a division by zero. ``outputs`` is a
+    table, or the condition by which rows of ``inputs`` came out, so that these
+    are read once. One aggregation over the tagged union (no joins)."""
+    none = F.lit(None).cast("double").alias("_t")
+    if isinstance(outputs, DataFrame):
+        parts = [inputs.select(F.lit("in").alias("_src"), none), outputs.select(F.lit("out").alias("_src"), none)]
+    else:
+        tags = F.when(outputs, F.array(F.lit("in"), F.lit("out"))).otherwise(F.array(F.lit("in")))
+        parts = [inputs.select(F.explode(tags).alias("_src"), none)]
     if metadata is not None and time_col in metadata.columns:
         parts.append(metadata.select(F.lit("meta").alias("_src"), F.col(time_col).cast("double")
                                      .alias("_t")))

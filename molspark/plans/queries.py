@@ -641,7 +641,7 @@ def q_run_summary(spark, sf_dir):
     from molspark.operators.batches import run_summary
     r = _qc_reasons(spark, sf_dir)
     meta = br.table(spark, sf_dir, "orders").select((F.col("o_totalprice") / 1000.0).alias("total_time"))
-    s = run_summary(r, r.filter(F.col("reason").isNull()), meta)
+    s = run_summary(r, F.col("reason").isNull(), meta)
     return s.select("n_inputs", "n_outputs", rk(F.col("success_pct"), 4).alias("success_pct"),
                     rk(F.col("total_time"), 4).alias("total_time"),
                     rk(F.col("time_per_structure"), 6).alias("time_per_structure"))
@@ -807,7 +807,7 @@ _PERIODIC_CTE = ("periodic", "SELECT * FROM " + __import__("molspark.refdata", f
                  .sql_values_periodic())
 
 
-@register("vdw_volume", br.with_views("""
+@register("vdw_volume_coarse", br.with_views("""
 SELECT b.unique_id, round(b.box_volume * coalesce(c.n_inside, 0) / 512.0, 4) AS vdw_volume_angstrom3
 FROM box b LEFT JOIN (
   SELECT p.unique_id, count(*) AS n_inside FROM (
@@ -827,12 +827,22 @@ FROM box b LEFT JOIN (
             "oy + sy * (iy + 0.5) AS gy, oz + sz * (iz + 0.5) AS gz FROM box, range(8) t1(ix), "
             "range(8) t2(iy), range(8) t3(iz)"),
 ]))
-def q_vdw_volume(spark, sf_dir):
+def q_vdw_volume_coarse(spark, sf_dir):
+    """The volume operator on a lattice that SQL can enumerate."""
     from molspark.operators.grid import vdw_volume
     v = vdw_volume(br.atoms(spark, sf_dir), n_per_axis=8)
     return v.select("unique_id", rk(F.col("vdw_volume_angstrom3"), 4).alias("vdw_volume_angstrom3"))
 
 
+@register("vdw_volume")
+def q_vdw_volume(spark, sf_dir):
+    """At full resolution, a million points per molecule (too many for SQL; held
+    against brute force in the tests)."""
+    from molspark.operators.grid import vdw_volume
+    v = vdw_volume(br.atoms(spark, sf_dir))
+    return v.select("unique_id", rk(F.col("vdw_volume_angstrom3"), 4).alias("vdw_volume_angstrom3"))
+
+
 _ESP_GRID_CTES = [
     _PERIODIC_CTE,
     ("ra", "SELECT a.unique_id, a.x, a.y, a.z, a.z_num, coalesce(p.vdw_radius, 0.0) + 1.1 AS r "
