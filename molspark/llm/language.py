@@ -36,9 +36,9 @@ class Params:
     frequent entries that are kept, so the broadcast model has a fixed bound.
     """
 
-    sample_chars: int = 6_000_000
-    max_words: int = 120_000
-    max_grams: int = 120_000
+    sample_chars: int = 4_000_000
+    max_words: int = 60_000
+    max_grams: int = 60_000
     longest: int = 4
     smoothing: float = 0.5
 
