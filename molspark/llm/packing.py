@@ -72,7 +72,7 @@ class Units:
     and starts anew when it is full.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -85,7 +85,6 @@ class Units:
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
-        self.words: dict[str, list[int]] = {}
         self.ids = np.empty(1 << 16, np.uint32)  # the units' ids, one after another
         self.starts = np.zeros(1 << 16, np.int64)  # of each unit in ids, and the end
         self.ends_sentence = np.empty(1 << 16, bool)
@@ -103,12 +102,10 @@ class Units:
     def learn(self, units: list[str]) -> None:
         flat: list[int] = []
         stops = []
-        words, tokenize = self.words, self.model.tokenize
+        tokenize = self.model.tokenize
         for unit in units:
             for word in self._words(unit):
-                if (ids := words.get(word)) is None:
-                    ids = words[word] = [t.id for t in tokenize(word)]
-                flat += ids
+                flat += [t.id for t in tokenize(word)]
             stops.append(len(flat))
         at = len(self.places)
         base, end = int(self.starts[at]), at + len(units)
