@@ -272,9 +272,9 @@ def q_tensor(spark, sf_dir):
 SELECT unique_id, atom_idx, round(CASE WHEN abs(x) < 1.0 THEN 0.5 * x * x ELSE abs(x) - 0.5 END, 8) AS huber,
        round(exp(-2.0 * (x - 0.5) * (x - 0.5)) + exp(-2.0 * (x - 1.5) * (x - 1.5)), 8) AS gauss,
        round(x - 1.37 * floor(x / 1.37), 6) AS wx, round(z - 1.37 * floor(z / 1.37), 6) AS wz, element AS symbol,
-       round(z - x, 4) AS dt, 'b3lyp_631g' AS level, CASE WHEN element = 'C' THEN 1.0 * atom_idx END AS k_c,
+       round(z - x, 4) AS dt, 'b3lyp_631g' AS level, CASE WHEN element = 'C' THEN CAST(atom_idx AS DOUBLE) END AS k_c,
        CASE element WHEN 'C' THEN 'IEF-PCM' WHEN 'H' THEN 'C-PCM' END AS solvent_model,
-       CASE element WHEN 'C' THEN 20.0 WHEN 'H' THEN 4.5 END AS solvent_eps
+       CAST(CASE element WHEN 'C' THEN 20.0 WHEN 'H' THEN 4.5 END AS DOUBLE) AS solvent_eps
 FROM atoms""", "atoms"))
 def q_expressions(spark, sf_dir):
     from molspark.functions import arrays as A

@@ -28,13 +28,17 @@ def test_entry_smoke(spark):
     assert "combustion_heat_ev" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+LIBRARY = {name for name, fn in entry.queries().items() if fn.__module__.startswith("molspark.plans")}
+
+
+@pytest.mark.parametrize("name", sorted(LIBRARY))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
     sql = entry.oracle_sql().get(name)
     if sql is None:
-        assert len(rows) >= 0
+        assert rows and len(set(cols)) == len(cols)
+        assert all(v == v for r in rows for v in r)  # no NaN
         return
     cur = con.execute(sql)
     ocols, orows = [d[0] for d in cur.description], cur.fetchall()
