@@ -103,22 +103,28 @@ def bigram_counts(docs: DataFrame, known: np.ndarray, text: str, target: str,
                                    pa.array(totals[:, keys].sum(axis=0))], ["pair", "target", "every"])
 
     rows = (docs.select(text, target).mapInArrow(count, "pair int, target long, every long")
-            .groupBy("pair").agg(F.sum("target").alias("target"), F.sum("every").alias("every")).toPandas())
-    out = np.zeros((2, size * size))
-    pairs = rows["pair"].to_numpy(np.int64)
-    out[0, pairs], out[1, pairs] = rows["target"], rows["every"]
-    return out[0], out[1]
+            .groupBy("pair").agg(F.sum("target").alias("target"), F.sum("every").alias("every")).toArrow())
+    pairs = rows["pair"].to_numpy()
+    out = np.zeros(size * size), np.zeros(size * size)
+    for counts, name in zip(out, ("target", "every")):
+        counts[pairs] = rows[name].to_numpy()
+    return out
 
 
 def losses(counts: np.ndarray, total: float, params: Params = Params()) -> np.ndarray:
     """Negative log probabilities of a smoothed bigram model whose counts are
-    scaled to ``total`` tokens; one float32 per (entry before, entry)."""
+    scaled to ``total`` tokens; one float32 per (entry before, entry). Works in
+    the memory of ``counts``, which it overwrites."""
     size = params.vocabulary
-    c = counts.reshape(size, size) * (total / max(1.0, counts.sum()))
-    single = c.sum(axis=0) + 1.0
-    single /= single.sum()
-    p = (c + params.prior * single) / (c.sum(axis=1, keepdims=True) + params.prior)
-    return -np.log(p).astype(np.float32).ravel()
+    counts *= total / max(1.0, counts.sum())
+    p = counts.reshape(size, size)
+    single = p.sum(axis=0) + 1.0
+    single *= params.prior / single.sum()
+    before = p.sum(axis=1, keepdims=True) + params.prior
+    p += single
+    p /= before
+    np.negative(np.log(p, out=p), out=p)
+    return counts.astype(np.float32)
 
 
 def score(docs: DataFrame, target: str = "target", key: str = "doc_id", text: str = "text",
@@ -133,9 +139,9 @@ def score(docs: DataFrame, target: str = "target", key: str = "doc_id", text: st
     size = params.vocabulary
     spark = docs.sparkSession
     known = vocabulary(docs, text, params)
-    counts = bigram_counts(docs, known, text, target, params)
+    counts = list(bigram_counts(docs, known, text, target, params))
     total = min(c.sum() for c in counts) or 1.0
-    model = spark.sparkContext.broadcast((known, *(losses(c, total, params) for c in counts)))
+    model = spark.sparkContext.broadcast((known, *[losses(counts.pop(0), total, params) for _ in range(2)]))
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_words", T.LongType()),
                            *[T.StructField(c, T.DoubleType()) for c in ("ce_target", "ce_background", "score")]])
 
