@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections import deque
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -72,7 +72,7 @@ class Units:
     and starts anew when it is full.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -85,6 +85,7 @@ class Units:
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
+        self.words: dict[str, bytes] = {}  # ids of the pre-tokens met so far, four bytes each
         self.ids = np.empty(1 << 16, np.uint32)  # the units' ids, one after another
         self.starts = np.zeros(1 << 16, np.int64)  # of each unit in ids, and the end
         self.ends_sentence = np.empty(1 << 16, bool)
@@ -100,20 +101,20 @@ class Units:
         return [word for word, _ in self.split.pre_tokenize_str(text)]
 
     def learn(self, units: list[str]) -> None:
-        flat: list[int] = []
-        stops = []
-        tokenize = self.model.tokenize
+        flat, stops = bytearray(), []
+        words, tokenize = self.words, self.model.tokenize
         for unit in units:
             for word in self._words(unit):
-                flat += [t.id for t in tokenize(word)]
+                if (ids := words.get(word)) is None:
+                    ids = words[word] = array("I", [t.id for t in tokenize(word)]).tobytes()
+                flat += ids
             stops.append(len(flat))
         at = len(self.places)
-        base, end = int(self.starts[at]), at + len(units)
-        self.ids = _room(self.ids, base + len(flat))
-        self.ids[base:base + len(flat)] = flat
+        base, end, size = int(self.starts[at]), at + len(units), len(flat) // 4
+        self.ids = _room(self.ids, base + size)
+        self.ids[base:base + size] = np.frombuffer(flat, np.uint32)
         self.starts = _room(self.starts, end + 1)
-        self.starts[at + 1:end + 1] = stops
-        self.starts[at + 1:end + 1] += base
+        self.starts[at + 1:end + 1] = base + np.array(stops, np.int64) // 4
         self.ends_sentence, self.starts_blank = _room(self.ends_sentence, end), _room(self.starts_blank, end)
         self.ends_sentence[at:end] = [not u[-1:].isalpha() and bool(_SENTENCE_END.search(u)) for u in units]
         self.starts_blank[at:end] = [not u[:1].isalpha() and not u[:1].strip() for u in units]
@@ -125,7 +126,7 @@ class Units:
             if len(self.places) > self.most:
                 self.forget()
                 new = set().union(*texts)
-            self.learn(sorted(new))
+            self.learn(list(new))
         return [np.fromiter(map(self.places.__getitem__, units), np.int64, len(units)) for units in texts]
 
     @staticmethod
@@ -157,12 +158,9 @@ def best_cuts(n: int, cuts: np.ndarray, costs: np.ndarray, params: Params = Para
 
     ``cuts``: ascending allowed ends in 1..n with their ``costs``; n itself is
     always allowed. Between them further cuts at ``inner_cost`` are tried: a
-    full window after each allowed one, and as many as long gaps need. Ties go
-    to the earliest start of the last window.
+    full window after each allowed one, and as many as long gaps need. Ties go to the earliest start of the last window.
     """
     length = params.length
-    price = dict(zip(cuts.tolist(), costs.tolist()))
-    price[n] = 0.0
     points = np.union1d(np.append(cuts, n), np.append(cuts, 0) + length)
     points = points[points <= n]
     gaps = np.flatnonzero(np.diff(np.append(0, points)) > length)
@@ -170,28 +168,35 @@ def best_cuts(n: int, cuts: np.ndarray, costs: np.ndarray, params: Params = Para
         edges = np.append(0, points)
         points = np.union1d(points, np.concatenate(
             [np.arange(edges[g], edges[g + 1], length)[1:] for g in gaps]))
+    prices = np.full(len(points), params.inner_cost)
+    prices[np.searchsorted(points, cuts)] = costs
+    prices[-1] = 0.0
     powers = [p for p in (1 << k for k in range(length.bit_length())) if params.least_power <= p < length]
     # Starts of power-of-two windows are few: only ends that another point precedes so are looked up.
     exact = np.zeros(len(points), bool)
     for size in powers:
         exact |= np.isin(points - size, points, assume_unique=True) | (points == size)
-    cost, back, inner = {0: 0.0}, {}, params.inner_cost
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # cost plus start, ascending
-    for p, tried in zip(points.tolist(), exact.tolist()):
-        while queue[0][1] < p - length:
-            queue.popleft()
-        best, start = queue[0]
-        best += length - p
+    cost: dict[int, float] = {0: 0.0}
+    back: dict[int, int] = {}
+    # The monotone queue: starts and their cost plus start, which ascends from ``front`` on.
+    starts, values, front = [0], [0.0], 0
+    for p, price, tried in zip(points.tolist(), prices.tolist(), exact.tolist()):
+        oldest = p - length
+        while starts[front] < oldest:
+            front += 1
+        start, best = starts[front], values[front] + length - p
         if tried:
             for size in powers:
                 if (c := cost.get(p - size)) is not None and c < best:
                     best, start = c, p - size
-        best += price.get(p, inner)
+        best += price
         cost[p], back[p] = best, start
         value = best + p
-        while queue and queue[-1][0] > value:
-            queue.pop()
-        queue.append((value, p))
+        while len(values) > front and values[-1] > value:
+            values.pop()
+            starts.pop()
+        values.append(value)
+        starts.append(p)
     out, p = [], n
     while p > 0:
         out.append(p)
