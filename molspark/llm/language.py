@@ -196,9 +196,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             .drop(said))
 
 
-def accept(docs: DataFrame, model: Model, text: str = "text", least: float = 0.3) -> DataFrame:
+def accept(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose language can be told: not ``und``, and with a
-    probability of at least ``least``."""
+    probability of at least ``least``. By default a short text of unseen words
+    is no reason to go."""
     said = fresh(docs, "_said")
     return (docs.withColumn(said, predictor(docs.sparkSession, model)(F.col(text)))
             .where((F.col(f"{said}.lang_pred") != UNDETERMINED) & (F.col(f"{said}.score") >= least))
