@@ -75,10 +75,10 @@ def nearest(x: np.ndarray, k: int) -> np.ndarray:
     """Indices of the ``k`` largest inner products of each row with the others,
     in blocks of rows."""
     out = []
-    for at in range(0, len(x), 1024):
-        s = x[at:at + 1024] @ x.T
+    for at in range(0, len(x), 256):
+        s = x[at:at + 256] @ x.T
         s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
-        out.append(np.argpartition(-s, k - 1, axis=1)[:, :k])
+        out.append(np.argpartition(np.negative(s, out=s), k - 1, axis=1)[:, :k].copy())
     return np.concatenate(out)
 
 
