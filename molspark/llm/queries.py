@@ -168,7 +168,9 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled as of good quality; background: all documents."""
     good = (_read(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
             .withColumn("target", F.lit(True)))
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "text").join(good, "doc_id", "left")
+    # One way of joining at every size: the labels grow with the documents.
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text") \
+        .join(good.hint("shuffle_hash"), "doc_id", "left")
     return lm_score.score(docs)
 
 
