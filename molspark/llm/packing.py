@@ -72,7 +72,7 @@ class Units:
     and starts anew when it is full.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer, pre_tokenizers
 
