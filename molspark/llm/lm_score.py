@@ -1,10 +1,9 @@
 """Document scores by cross-entropy difference of two n-gram models.
 
-A target and a background bigram model share one vocabulary (the most frequent
-words of all documents and one entry for the rest), one smoothing and one total
-count, so their per-token losses differ only by what the texts say. Counts
-cover every word of every document; the models are dense tables whose size the
-vocabulary fixes.
+A target and a background bigram model share one vocabulary (every word of all
+documents), one smoothing and one total count, so their per-token losses differ
+only by what the texts say. The models are written tables with a row for every
+pair of words; the documents' own pairs are joined with them by hashed key.
 """
 
 from __future__ import annotations
@@ -14,21 +13,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import words
+from .common import stored, words
+
+#: Stand for the words outside a bounded vocabulary and for the start of a document.
+_REST, _START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
 @dataclass(frozen=True)
 class Params:
-    """``vocabulary``: entries of the shared vocabulary, the rest-of-words and
-    the start-of-document entry included; a model is its square in size.
-    ``prior``: weight, in tokens, of the unigram distribution in each context."""
-
-    vocabulary: int = 2048
+    """``vocabulary``: None for every word of the documents; a number keeps the
+    most frequent words only, as that many entries with the rest-of-words and
+    the start-of-document entry included. ``prior``: weight, in tokens, of the
+    unigram distribution in each context. ``local``: a pair that makes up one
+    in so many tokens is looked up where the text is read instead of joined;
+    there are at most as many of them, and no join key is hot."""
+
+    vocabulary: int | None = None
     prior: float = 20.0
+    local: int = 1 << 18
 
 
 def vocabulary(docs: DataFrame, text: str = "text", params: Params = Params()) -> np.ndarray:
@@ -59,72 +65,87 @@ def vocabulary(docs: DataFrame, text: str = "text", params: Params = Params()) -
     return np.sort(rows["word"].to_numpy(np.int64).view(np.uint64))
 
 
-def entries(text: str | None, known: np.ndarray, size: int) -> np.ndarray:
-    """Vocabulary entries of a text's words: places in ``known``, or ``size`` - 2."""
-    hashes = words(text)[0]
-    if not len(known):
-        return np.full(len(hashes), size - 2)
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    return np.where(known[at] == hashes, at, size - 2)
+def pairs(text: str | None, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(key, word) of a text's pairs (word before, word). Words outside of
+    ``known``, if that is given, are the rest. The key is the word before,
+    turned by one bit, xor the word: the other two give the word before."""
+    at = words(text)[0]
+    if known is not None:
+        at = np.where(np.isin(at, known), at, _REST)
+    before = np.concatenate([[_START], at[:-1]])[:len(at)].astype(np.uint64)
+    return (before << np.uint64(1) | before >> np.uint64(63)) ^ at, at
+
+
+def _before() -> Column:
+    turned = F.col("pair").bitwiseXOR(F.col("word"))
+    return F.shiftrightunsigned(turned, 1).bitwiseOR(F.shiftleft(turned, 63))
 
 
-def bigram_counts(docs: DataFrame, known: np.ndarray, text: str, target: str,
-                  params: Params = Params()) -> tuple[np.ndarray, np.ndarray]:
-    """(target, background) counts of (entry before, entry), flattened. The
-    background is every document; the target those whose ``target`` is true."""
-    size = params.vocabulary
+def pair_counts(docs: DataFrame, known: np.ndarray | None, text: str, target: str) -> DataFrame:
+    """(pair, word, target, every) of all documents, counted in each task first.
+    The background is every document; the target those whose ``target`` is true."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, size * size), np.int64)
-        held: tuple[list, list] = ([], [])
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        wanted: list[bool] = []
         waiting = 0
 
-        def add() -> None:
-            for k in (0, 1):
-                if held[k]:
-                    totals[k] += np.bincount(np.concatenate(held[k]), minlength=size * size)
-                    held[k].clear()
+        def batch() -> Iterator[pa.RecordBatch]:
+            key, word = (np.concatenate(x) for x in zip(*held))
+            own = np.repeat(np.array(wanted), [len(k) for k, _ in held])
+            order = np.argsort(key)
+            key, word, own = key[order], word[order], own[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            every = np.diff(np.append(first, len(key)))
+            hits = np.add.reduceat(own.astype(np.int64), first)
+            held.clear()
+            wanted.clear()
+            for at in range(0, len(first), 100_000):
+                some = first[at:at + 100_000]
+                yield pa.record_batch([pa.array(key[some].view(np.int64)), pa.array(word[some].view(np.int64)),
+                                       pa.array(hits[at:at + 100_000]), pa.array(every[at:at + 100_000])],
+                                      ["pair", "word", "target", "every"])
 
         for got in batches:
-            for t, wanted in zip(got.column(0), got.column(1)):
-                at = entries(t.as_py(), shared.value, size)
-                before = np.concatenate([[size - 1], at[:-1]])[:len(at)]
-                held[bool(wanted.as_py())].append(before * size + at)
-                waiting += len(at)
-                if waiting > 2_000_000:
-                    add()
+            for t, own in zip(got.column(0), got.column(1)):
+                found = pairs(t.as_py(), shared.value)
+                if len(found[0]):
+                    held.append(found)
+                    wanted.append(bool(own.as_py()))
+                    waiting += len(found[0])
+                if waiting > 4_000_000:
+                    yield from batch()
                     waiting = 0
-        add()
-        some = np.flatnonzero(totals.any(axis=0))
-        for at in range(0, len(some), 100_000):
-            keys = some[at:at + 100_000]
-            yield pa.record_batch([pa.array(keys.astype(np.int32)), pa.array(totals[1, keys]),
-                                   pa.array(totals[:, keys].sum(axis=0))], ["pair", "target", "every"])
-
-    rows = (docs.select(text, target).mapInArrow(count, "pair int, target long, every long")
-            .groupBy("pair").agg(F.sum("target").alias("target"), F.sum("every").alias("every")).toArrow())
-    pairs = rows["pair"].to_numpy()
-    out = np.zeros(size * size), np.zeros(size * size)
-    for counts, name in zip(out, ("target", "every")):
-        counts[pairs] = rows[name].to_numpy()
-    return out
-
-
-def losses(counts: np.ndarray, total: float, params: Params = Params()) -> np.ndarray:
-    """Negative log probabilities of a smoothed bigram model whose counts are
-    scaled to ``total`` tokens; one float32 per (entry before, entry). Works in
-    the memory of ``counts``, which it overwrites."""
-    size = params.vocabulary
-    counts *= total / max(1.0, counts.sum())
-    p = counts.reshape(size, size)
-    single = p.sum(axis=0) + 1.0
-    single *= params.prior / single.sum()
-    before = p.sum(axis=1, keepdims=True) + params.prior
-    p += single
-    p /= before
-    np.negative(np.log(p, out=p), out=p)
-    return counts.astype(np.float32)
+        if held:
+            yield from batch()
+
+    return (docs.select(text, target).mapInArrow(count, "pair long, word long, target long, every long")
+            .groupBy("pair").agg(F.min("word").alias("word"), F.sum("target").alias("target"),
+                                 F.sum("every").alias("every")))
+
+
+def losses(counts: DataFrame, params: Params = Params()) -> tuple[DataFrame, float]:
+    """((pair, every, own, other), tokens): negative log probabilities of the
+    smoothed target and background model, whose counts are scaled to one total."""
+    sums = counts.agg(F.sum("target"), F.sum("every")).head()
+    tokens = [float(x or 0) for x in sums]
+    total = min(tokens) or 1.0
+    single = counts.groupBy("word").agg(F.sum("target").alias("st"), F.sum("every").alias("se"))
+    # Every word but the start stands second in some pair.
+    size = params.vocabulary or single.count() + 2
+    before = (counts.withColumn("before", _before()).groupBy("before")
+              .agg(F.sum("target").alias("bt"), F.sum("every").alias("be")))
+
+    def loss(pair: str, word: str, context: str, n: float) -> Column:
+        scale = total / max(1.0, n)
+        mass = (total if n else 0.0) + size
+        smooth = (F.col(word) * scale + 1.0) * (params.prior / mass)
+        return -F.log((F.col(pair) * scale + smooth) / (F.col(context) * scale + params.prior))
+
+    return (counts.withColumn("before", _before()).join(single, "word").join(before, "before")
+            .select("pair", "every", loss("target", "st", "bt", tokens[0]).cast("float").alias("own"),
+                    loss("every", "se", "be", tokens[1]).cast("float").alias("other"))), tokens[1]
 
 
 def score(docs: DataFrame, target: str = "target", key: str = "doc_id", text: str = "text",
@@ -135,30 +156,67 @@ def score(docs: DataFrame, target: str = "target", key: str = "doc_id", text: st
     more like the target. Whole texts are scored; a null or wordless text has 0
     words and null losses and score. A null flag is false. Without any target
     row the target model is the uniform prior; an empty table gives no row.
+    Rows are brought back to their text by a 128-bit hash, so equal texts share
+    their sums and no row needs a number.
     """
-    size = params.vocabulary
     spark = docs.sparkSession
-    known = vocabulary(docs, text, params)
-    counts = list(bigram_counts(docs, known, text, target, params))
-    total = min(c.sum() for c in counts) or 1.0
-    model = spark.sparkContext.broadcast((known, *[losses(counts.pop(0), total, params) for _ in range(2)]))
-    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_words", T.LongType()),
-                           *[T.StructField(c, T.DoubleType()) for c in ("ce_target", "ce_background", "score")]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own, other = model.value
+    known = None if params.vocabulary is None else vocabulary(docs, text, params)
+    table, tokens = losses(stored(pair_counts(docs, known, text, target), "lm-pairs"), params)
+    model = stored(table, "lm-losses")
+    often = model.where(F.col("every") >= max(2.0, tokens / params.local)).orderBy("pair").toArrow()
+    keys = often["pair"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared = spark.sparkContext.broadcast((known, keys[order], *[
+        often[c].to_numpy()[order].astype(float) for c in ("own", "other")]))
+
+    def split(t: str | None):
+        """(words, local sums of the two losses, the other pairs, their counts)"""
+        known, keys, own, other = shared.value
+        found, n = np.unique(pairs(t, known)[0], return_counts=True)
+        at = np.minimum(np.searchsorted(keys, found), max(0, len(keys) - 1))
+        here = keys[at] == found if len(keys) else np.zeros(len(found), bool)
+        return int(n.sum()), n[here] @ own[at[here]], n[here] @ other[at[here]], found[~here], n[~here]
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
-            rows = []
-            for t in got.column(1):
-                at = entries(t.as_py(), known, size)
-                if not len(at):
-                    rows.append((0, None, None, None))
-                    continue
-                pairs = np.concatenate([[size - 1], at[:-1]]) * size + at
-                a, b = float(own[pairs].mean(dtype=np.float64)), float(other[pairs].mean(dtype=np.float64))
-                rows.append((len(at), a, b, b - a))
+            rows = [(n, a, b, int(m.sum())) for n, a, b, _, m in (split(t.as_py()) for t in got.column(3))]
             cols = list(zip(*rows)) or [[]] * 4
-            yield pa.record_batch([got.column(0), pa.array(cols[0], pa.int64()),
-                                   *[pa.array(c, pa.float64()) for c in cols[1:]]], schema.names)
+            yield pa.record_batch([*got.columns[:3], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.float64()),
+                                   pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.int64())], whole.names)
+
+    def sought(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
 
-    return docs.select(key, text).mapInArrow(run, schema)
+        def batch() -> Iterator[pa.RecordBatch]:
+            cols = [np.concatenate(x) for x in zip(*held)]
+            held.clear()
+            for at in range(0, len(cols[0]), 100_000):
+                yield pa.record_batch([pa.array(c[at:at + 100_000]) for c in cols], ["one", "two", "pair", "n"])
+
+        for got in batches:
+            for one, two, t in zip(got.column(1).to_pylist(), got.column(2).to_pylist(), got.column(3)):
+                *_, found, n = split(t.as_py())
+                m = len(found)
+                held.append((np.full(m, one), np.full(m, two), found.view(np.int64), n.astype(np.int32)))
+                if len(held) >= 64 or m > 100_000:
+                    yield from batch()
+        if held:
+            yield from batch()
+
+    whole = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("one", T.LongType()),
+                          T.StructField("two", T.LongType()), T.StructField("words", T.LongType()),
+                          T.StructField("own", T.DoubleType()), T.StructField("other", T.DoubleType()),
+                          T.StructField("rest", T.LongType())])
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.lit(1), text).alias("one"),
+                       F.xxhash64(F.lit(2), text).alias("two"), F.col(text).alias("text"))
+    joined = (rows.mapInArrow(sought, "one long, two long, pair long, n int")
+              .join(model.select("pair", F.col("own").alias("a"), F.col("other").alias("b")), "pair")
+              .groupBy("one", "two").agg(F.sum(F.col("n") * F.col("a").cast("double")).alias("a"),
+                                         F.sum(F.col("n") * F.col("b").cast("double")).alias("b"),
+                                         F.sum("n").alias("m")))
+    share = F.coalesce(F.col("rest") / F.col("m"), F.lit(0.0))  # one of several equal texts
+    mean = [F.when(F.col("words") > 0, (F.col(x) + F.coalesce(F.col(y) * share, F.lit(0.0))) / F.col("words"))
+            for x, y in (("own", "a"), ("other", "b"))]
+    return (rows.mapInArrow(seen, whole).join(joined, ["one", "two"], "left")
+            .select(F.col("key").alias(key), F.col("words").alias("n_words"), mean[0].alias("ce_target"),
+                    mean[1].alias("ce_background"), (mean[1] - mean[0]).alias("score")))

@@ -63,6 +63,25 @@ def test_scores_against_the_definition(spark):
     assert mean(True) > mean(False)
 
 
+@pytest.mark.parametrize("local", [1, 20, 1 << 18])
+def test_every_word_of_the_corpus_counts(spark, local):
+    """3000 words: more than any fixed table of the earlier bound held apart."""
+    r = random.Random(8)
+    docs = [(i, " ".join(f"w{r.randint(0, 1499) + 1500 * (i % 2)}" for _ in range(120)), bool(i % 2)) for i in range(80)]
+    docs += [(100 + i, docs[3][1], False) for i in range(3)] + [(200, None, True), (201, "w1", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, target boolean").repartition(4)
+    size = len({w for _, t, _ in docs for w in words(t)[0].tolist()}) + 2
+    assert size > 2048
+    want = plain_scores(docs, size, 20.0)
+    got = lm_score.score(df, params=lm_score.Params(local=local)).collect()
+    assert sorted(g.doc_id for g in got) == sorted(d[0] for d in docs)
+    for g in got:
+        n, a, b = want[g.doc_id]
+        assert g.n_words == n
+        if n:
+            assert g.ce_target == pytest.approx(a, rel=1e-4) and g.ce_background == pytest.approx(b, rel=1e-4)
+
+
 def test_scores_without_target_or_rows(spark):
     df = spark.createDataFrame([(1, "a b", False)], "doc_id long, text string, target boolean")
     assert lm_score.score(df).head().n_words == 2
