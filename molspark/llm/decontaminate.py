@@ -185,7 +185,7 @@ class Index:
 
 def find(text: str | None, index: Index, params: Params) -> list[tuple[int, float, float, float, int]]:
     """(item, cosine, share of its words, share of its answer, first word of the
-    window) of every item that ``text`` holds."""
+    window) of every item that ``text`` holds; every window near an item is looked at."""
     hashes = words(text)[0]
     n = len(hashes)
     if n < params.least or not index.alike.size:
@@ -199,7 +199,7 @@ def find(text: str | None, index: Index, params: Params) -> list[tuple[int, floa
     all_of = energy[ends] - energy[starts]
     # What lies outside the benchmark's vocabulary bounds the cosine.
     near = np.flatnonzero(within[ends] - within[starts] >= params.cosine ** 2 * all_of)
-    best: dict[int, tuple[float, int]] = {}
+    candidates: dict[int, dict[int, float]] = {}  # of each item: start of a window, its highest cosine
     for at in range(0, len(near), 512):
         some = near[at:at + 512]
         lo, hi = starts[some[0]], ends[some[-1]]
@@ -210,23 +210,51 @@ def find(text: str | None, index: Index, params: Params) -> list[tuple[int, floa
         sums = np.zeros((len(words_in) + 1, index.alike.shape[1]), np.float32)
         np.cumsum(index.alike[place[words_in]] * idf[words_in, None].astype(np.float32), axis=0, out=sums[1:])
         products = (sums[np.searchsorted(words_in, ends[some])] - sums[np.searchsorted(words_in, starts[some])])
-        cosine = np.minimum(1.0, products / np.sqrt(np.maximum(all_of[some], 1e-12))[:, None])
-        for w, p in zip(*np.nonzero(cosine >= params.cosine)):
-            i, c = int(index.item[p]), float(cosine[w, p])
-            if c > best.get(i, (0.0, 0))[0]:
-                best[i] = (c, int(starts[some[w]]))
+        norm = np.sqrt(np.maximum(all_of[some], 1e-12))
+        # A bound a little lower, in the products' own precision; then the cosines of the few that pass.
+        w, p = np.nonzero(products >= (0.9999 * params.cosine * norm).astype(np.float32)[:, None])
+        cosine = np.minimum(1.0, products[w, p] / norm[w])
+        w, p, cosine = (x[cosine >= params.cosine] for x in (w, p, cosine))
+        for i, begin, c in zip(index.item[p].tolist(), starts[some[w]].tolist(), cosine.tolist()):
+            here = candidates.setdefault(i, {})
+            here[begin] = max(c, here.get(begin, 0.0))
     out = []
-    for i, (c, begin) in sorted(best.items()):
-        item = index.items[i]
-        reach = len(item.words) + params.width
-        region = hashes[max(0, begin - reach):begin + params.width + reach]
+    for i, here in sorted(candidates.items()):
+        if (hit := _accepted(hashes, index.items[i], sorted(here.items()), params)) is not None:
+            out.append((i, *hit))
+    return out
+
+
+def _accepted(hashes: np.ndarray, item: Item, windows: list[tuple[int, float]],
+              params: Params) -> tuple[float, float, float, int] | None:
+    """(cosine, share of words, share of answer, first word) of the window of
+    the highest cosine (ties to the first) whose surroundings hold ``item``.
+
+    ``windows`` (start, cosine) ascend. Runs of windows whose surroundings
+    overlap are looked at as one and halved: what is too little in all of a run
+    is too little around each of its windows."""
+    reach = len(item.words) + params.width
+    cuts = [k for k in range(1, len(windows)) if windows[k][0] - windows[k - 1][0] > params.width + 2 * reach]
+    runs = [windows[lo:hi] for lo, hi in zip([0, *cuts], [*cuts, len(windows)])]
+    order = lambda run: max((c, -begin) for begin, c in run)
+    runs.sort(key=order)
+    best = None
+    while runs:
+        run = runs.pop()
+        if best is not None and order(run) < (best[0], -best[3]):
+            continue
+        region = hashes[max(0, run[0][0] - reach):run[-1][0] + params.width + reach]
         share = common_words(item.words, region) / len(item.words)
         if share < params.paraphrased:
             continue
+        if len(run) > 1:
+            half = len(run) // 2
+            runs += sorted((run[:half], run[half:]), key=order)
+            continue
         answer = common_words(item.answer, region) / max(1, len(item.answer))
         if share >= params.copied or answer >= params.answered:
-            out.append((i, c, share, answer, begin))
-    return out
+            best = (run[0][1], share, answer, run[0][0])
+    return best
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",

@@ -158,6 +158,22 @@ def test_given_answers(spark):
     assert [r.doc_id for r in got] == ["with"]
 
 
+def test_quote_before_the_copy(spark):
+    """A short exact quote, then far behind it the item with words replaced."""
+    r = random.Random(3)
+    items = [(i, " ".join(sentence(r, 12) for _ in range(5))) for i in range(6)]
+    filler = lambda n: " ".join(sentence(r, 12) for _ in range(n))
+    quote = " ".join(items[2][1].split()[:24])
+    copy = " ".join(w if k % 6 else "changed" for k, w in enumerate(items[2][1].split()))
+    docs = [(1, f"{filler(2)} {quote} {filler(30)} {copy} {filler(4)}"), (2, f"{copy} {filler(30)} {quote}"),
+            (3, f"{filler(30)} {quote} {filler(30)} {quote}"), *[(10 + i, filler(20)) for i in range(20)]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.contaminated(df, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 2), (2, 2)}
+    assert {r.doc_id for r in decontaminate.clean(df, bench).collect()} == {d for d, _ in docs} - {1, 2}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "x y z")], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
