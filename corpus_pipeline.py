@@ -18,7 +18,7 @@ from molspark.llm.queries import tokenizer_path
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told: null, empty and letterless
-    texts."""
+    texts, and longer texts of words that the fitted model does not know."""
     return language.accept(docs, language.fit(docs))
 
 

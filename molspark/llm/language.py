@@ -68,35 +68,52 @@ class Model:
                 return self.gram_rows[hits].mean(axis=0)
         return np.zeros(len(self.languages))
 
+    def familiar(self, word: str) -> bool:
+        """Whether the word or a run of three of its characters is known."""
+        marked = f" {word} "
+        return word in self.words or any(marked[i:i + 3] in self.grams for i in range(len(marked) - 2))
+
+    def coverage(self) -> np.ndarray:
+        """The share of each language's words that are known; small where words
+        are not set apart."""
+        return np.exp(self.word_rows.astype(float)).sum(axis=0) if len(self.word_rows) else np.zeros(len(self.languages))
+
 
 class Scorer:
     """Predicts with a model and remembers the scores of words it has met; the
     memory is bounded and starts anew when it is full."""
 
     def __init__(self, model: Model, most: int = 400_000):
-        self.model, self.most = model, most
+        self.model, self.most, self.coverage = model, most, model.coverage()
         self.forget()
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
         self.rows = np.empty((4096, len(self.model.languages)), np.float32)
-        self.letters = np.empty(4096, bool)
+        self.letters, self.known, self.familiar = (np.empty(4096, bool) for _ in range(3))
 
     def learn(self, word: str) -> None:
         at = len(self.places)
         if at == len(self.rows):
-            self.rows, self.letters = (np.concatenate([x, np.empty_like(x)])
-                                       for x in (self.rows, self.letters))
+            self.rows, self.letters, self.known, self.familiar = (
+                np.concatenate([x, np.empty_like(x)]) for x in (self.rows, self.letters, self.known, self.familiar))
         self.rows[at] = self.model.word_score(word)
         self.letters[at] = any(map(str.isalpha, word))  # the class also has marks like a half
+        self.known[at] = word in self.model.words
+        self.familiar[at] = self.model.familiar(word)
         self.places[word] = at
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, probability). ``und`` and 0 for null, for a text without
         a letter and for an empty model; ties go to the first language."""
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, int, float, float]:
+        """(language, probability, letters, share of familiar words, share of
+        known words to that expected of the language, at most 1)."""
         counts = Counter(_WORD.findall((text or "").lower()))
         if not counts or not self.model.languages:
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 0, 0.0, 0.0
         if len(self.places) > self.most:
             self.forget()
         for word in counts:
@@ -104,10 +121,14 @@ class Scorer:
                 self.learn(word)
         at = np.fromiter(map(self.places.__getitem__, counts), np.int64, len(counts))
         if not self.letters[at].any():
-            return UNDETERMINED, 0.0
-        total = np.fromiter(counts.values(), float, len(counts)) @ self.rows[at].astype(float)
+            return UNDETERMINED, 0.0, 0, 0.0, 0.0
+        n = np.fromiter(counts.values(), float, len(counts))
+        total = n @ self.rows[at].astype(float)
         best = int(total.argmax())
-        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        said = self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        letters = sum(len(w) * k for w, k in counts.items())
+        expected = max(float(self.coverage[best]), 1e-9) * n.sum()
+        return *said, letters, float(n @ self.familiar[at] / n.sum()), min(1.0, float(n @ self.known[at] / expected))
 
 
 def _ngrams(n: int) -> Column:
@@ -196,11 +217,20 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             .drop(said))
 
 
-def accept(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` whose language can be told: not ``und``, and with a
-    probability of at least ``least``. By default a short text of unseen words
-    is no reason to go."""
-    said = fresh(docs, "_said")
-    return (docs.withColumn(said, predictor(docs.sparkSession, model)(F.col(text)))
-            .where((F.col(f"{said}.lang_pred") != UNDETERMINED) & (F.col(f"{said}.score") >= least))
-            .drop(said))
+def accept(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0, familiar: float = 0.5,
+           known: float = 0.4, enough: int = 40) -> DataFrame:
+    """The rows of ``docs`` whose language can be told: not ``und``, with a
+    probability of at least ``least``, and, from ``enough`` letters on, in words
+    that the model can judge: a share of ``familiar`` of them is known or has a
+    known run of three characters, and the share of known ones is ``known`` of
+    what the predicted language has or more. A short text of unseen words stays."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def told(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(shared.value)
+        for batch in texts:
+            yield pd.Series([said != UNDETERMINED and score >= least and (n < enough or f >= familiar and k >= known)
+                             for said, score, n, f, k in map(scorer.judge, batch)], dtype=bool)
+
+    return docs.where(told(F.col(text)))

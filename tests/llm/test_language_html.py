@@ -47,6 +47,15 @@ def test_identify_keeps_rows_and_replaces_columns(spark, model):
     assert language.identify(df.limit(0), model).count() == 0
 
 
+def test_accept_lets_the_model_decide(spark, model):
+    rows = [(1, "Привет как дела это совсем другой язык и другая письменность"), (2, "Привет"),  # unlearned script
+            (3, "qvx zzkw xqv wvvx jqz kkxq vwq zxxv qqz vkj wxq zvv kqx jjv xwz qvk"),  # no known run
+            (4, LINES["fr"]), (5, LINES["de"]), (6, "xylophone"), (7, f"{LINES['en']} zyzzyva"), (8, "12 34"),
+            (9, "kissa istuu pöydällä ja katselee ikkunasta ulos kun sade lankeaa hiljaa järven ylle")]  # unlearned language
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in language.accept(df, model).collect()} == {2, 4, 5, 6, 7}
+
+
 def test_model_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert language.Scorer(language.fit(empty)).predict("word") == ("und", 0.0)
