@@ -168,10 +168,31 @@ def span_text(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+#: First word of a text that is no base64 of a key: of 16 characters or more, or
+#: padded, or alone in its line. Escaped line ends count as base64.
+_NO_KEY = r"(?<!\S)(?!(?:[A-Za-z0-9+/=\\]{16,}|[A-Za-z0-9+/\\]*=[=\\nr]*)(?!\S)|(?<=\n)[A-Za-z0-9+/\\]+[ \t]*(?:\r?\n|$))\S"
+_KEY_HEADERS = r"^(?:\s*(?:Proc-Type|DEK-Info): [^\n]*\n){0,2}"
+
+
+def _key_length(rest: Column) -> Column:
+    """Characters of the key that ``rest``, the text after a marker of a private
+    key, begins with: to its END marker, or else all lines of base64."""
+    dashes = F.instr(rest, "-----")
+    last = F.regexp_extract(F.substring(rest, dashes, F.lit(80)), r"^-----END [A-Z ]{0,40}PRIVATE KEY-----", 0)
+    headers = F.length(F.regexp_extract(rest, _KEY_HEADERS, 0))
+    lines = F.substring(rest, headers + 1, F.length(rest))
+    other = F.regexp_instr(lines, F.lit(_NO_KEY))
+    run = F.when(other > 0, F.substring(lines, F.lit(1), other - 1)).otherwise(lines)
+    run = F.length(F.regexp_replace(run, r"\s+$", ""))
+    return F.when((dashes > 0) & (last != ""), dashes - 1 + F.length(last)) \
+        .when(run > 0, headers + run).otherwise(0).cast("long")
+
+
 def redact(versions: DataFrame, findings: DataFrame, text: str = "text",
            mark: str = "[redacted]", rules=RULES) -> DataFrame:
     """``versions`` with every found span replaced by ``mark`` (overlapping
-    spans by one mark); texts without findings stay as they are, null included."""
+    spans by one mark) and, after the marker of a private key, the key itself;
+    texts without findings stay as they are, null included."""
     spans, blob = fresh(versions, "_spans"), fresh(versions, "_blob")
     body = F.col(text)
     merged = F.aggregate(
@@ -181,7 +202,8 @@ def redact(versions: DataFrame, findings: DataFrame, text: str = "text",
                    F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"),
                                                     (s["start"] - acc["at"]).cast("int")), F.lit(mark)))
             .otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at")),
+            F.greatest(acc["at"], F.when(s["kind"] == "pem", s["end"] + _key_length(
+                F.substring(body, (s["end"] + 1).cast("int"), F.length(body)))).otherwise(s["end"])).alias("at")),
         lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.length(body))))
     found = findings_by_blob(findings, rules).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
     return (versions.withColumn(blob, blob_id(body)).join(found, blob, "left")
