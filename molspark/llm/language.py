@@ -36,9 +36,9 @@ class Params:
     frequent entries that are kept, so the broadcast model has a fixed bound.
     """
 
-    sample_chars: int = 4_000_000
-    max_words: int = 60_000
-    max_grams: int = 60_000
+    sample_chars: int = 6_000_000
+    max_words: int = 120_000
+    max_grams: int = 120_000
     longest: int = 4
     smoothing: float = 0.5
 
@@ -147,10 +147,12 @@ def _log_frequencies(counts: DataFrame, key: str, languages: list[str], keep: in
     wide = counts.groupBy(key).agg(*[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}")
                                      for i, lang in enumerate(languages)])
     share = sum((F.col(f"n{i}") / float(size) for i, size in enumerate(sizes)), F.lit(0.0))
-    rows = wide.orderBy(share.desc(), key).limit(keep).toPandas()  # Arrow, at most ``keep`` rows
-    n = rows.drop(columns=key).to_numpy(float)
-    return ({k: i for i, k in enumerate(rows[key])},
-            np.log((n + smoothing) / (sizes + smoothing * (len(rows) + 1))).astype(np.float32))
+    rows = wide.orderBy(share.desc(), key).limit(keep).toArrow()  # at most ``keep`` rows
+    # Column by column into the model's own numbers: no second copy of all counts.
+    logs = np.empty((len(rows), len(languages)), np.float32)
+    for i, size in enumerate(sizes):
+        logs[:, i] = np.log((rows[f"n{i}"].to_numpy() + smoothing) / (size + smoothing * (len(rows) + 1)))
+    return {k: i for i, k in enumerate(rows[key].to_pylist())}, logs
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",

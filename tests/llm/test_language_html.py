@@ -56,6 +56,16 @@ def test_accept_lets_the_model_decide(spark, model):
     assert {r.doc_id for r in language.accept(df, model).collect()} == {2, 4, 5, 6, 7}
 
 
+def test_rare_words_have_their_own_rows(spark):
+    """100,000 words that differ in frequency: the rarest are known too."""
+    name = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    rows = [(i, " ".join([name(k) for k in range(i * 1000, i * 1000 + 1000)] * (2 if i < 60 else 1)), "ab"[i % 2])
+            for i in range(100)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.words) == 100_000 and model.word_rows.shape == (100_000, 2)
+    assert language.Scorer(model).predict(name(99_500))[0] == "b"
+
+
 def test_model_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert language.Scorer(language.fit(empty)).predict("word") == ("und", 0.0)
