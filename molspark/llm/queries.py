@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontaminate, html, html_labelled, language, lm_score, near_duplicates, neighbours,
-               packing, secrets, url_rules, warc)
+               packing, queries_repair, secrets, url_rules, warc)
 from .common import scratch_path
 
 
@@ -55,19 +55,23 @@ FROM fits
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over one ledger: the second finds every blob in it, so each has
+    been scanned by one run (column ``scans``)."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan_versions(docs, scratch_path(spark, "secret-ledger"), "doc_id")
+    ledger = scratch_path(spark, "secret-ledger")
+    secrets.scan_versions(docs, ledger, "doc_id")
+    found = secrets.scan_versions(docs, ledger, "doc_id")
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["place"] < len(secrets.BASE_RULES))
 
     def count(kind: str):
         return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
-    return (secrets.findings_by_path(docs, found, "doc_id")
+    return (secrets.findings_by_path(docs, found, "doc_id", per_blob=secrets.scan_counts(spark, ledger))
             .select(F.col("path").alias("doc_id"), count("assign").alias("n_assign"),
                     count("access").alias("n_access"), count("hex").alias("n_hex"),
                     F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
-                    secrets.span_text(spans).alias("spans")))
+                    secrets.span_text(spans).alias("spans"), "scans"))
 
 
 def _duck_spans(kind: str, place: int, pattern: str, size: str) -> str:
@@ -75,12 +79,12 @@ def _duck_spans(kind: str, place: int, pattern: str, size: str) -> str:
     alternate, so running sums of lengths give the starts."""
     pattern = pattern.replace("'", "''")
     return f"""
-  SELECT doc_id, {place} AS place, '{kind}' AS kind, start, start + length(hit) AS stop
-  FROM (SELECT doc_id, hit,
-               sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i) - length(hit) AS start
-        FROM (SELECT doc_id, unnest(gaps[:len(hits)]) AS gap, unnest(hits) AS hit,
+  SELECT blob, {place} AS place, '{kind}' AS kind, start, start + length(hit) AS stop
+  FROM (SELECT blob, hit,
+               sum(length(gap) + length(hit)) OVER (PARTITION BY blob ORDER BY i) - length(hit) AS start
+        FROM (SELECT blob, unnest(gaps[:len(hits)]) AS gap, unnest(hits) AS hit,
                      unnest(range(len(hits))) AS i
-              FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps,
+              FROM (SELECT blob, string_split_regex(t, '{pattern}') AS gaps,
                            regexp_extract_all(t, '{pattern}') AS hits
                     FROM texts WHERE regexp_matches(t, '{pattern}'))))
   WHERE {size}"""
@@ -97,19 +101,20 @@ _PATTERNS = [
     ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", "length(hit) >= 40"),
 ]
 _OP3_SQL = f"""
-WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+WITH docs AS (SELECT doc_id, sha256(coalesce(text, '')) AS blob, coalesce(text, '') AS t FROM documents),
+texts AS (SELECT blob, any_value(t) AS t FROM docs GROUP BY blob),
 found AS ({' UNION ALL '.join(_duck_spans(k, i, p, s) for i, (k, p, s) in enumerate(_PATTERNS))}),
 joined AS (
-  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+  SELECT blob, count(*) FILTER (kind = 'assign') AS n_assign,
          count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place)
            FILTER (place < 3) AS base,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
-  FROM found GROUP BY doc_id)
+  FROM found GROUP BY blob)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-       coalesce(spans, '') AS spans
-FROM texts LEFT JOIN joined USING (doc_id)
+       coalesce(spans, '') AS spans, CAST(1 AS BIGINT) AS scans
+FROM docs LEFT JOIN joined USING (blob)
 """
 
 
@@ -182,5 +187,5 @@ SPARK = {"op1_language_id": op1_language_id, "op2_html_text": op2_html_text,
          "op3_secret_scan": op3_secret_scan, "op4_near_duplicates": op4_near_duplicates,
          "op5_decontamination": op5_decontamination, "op6_url_rules": op6_url_rules,
          "op7_packing": op7_packing, "op8_lm_score": op8_lm_score,
-         "op9_neighbours": op9_neighbours, "op10_warc": op10_warc}
-ORACLE = {"op3_secret_scan": _OP3_SQL, "op6_url_rules": _OP6_SQL, "op10_warc": _OP10_SQL}
+         "op9_neighbours": op9_neighbours, "op10_warc": op10_warc, **queries_repair.SPARK}
+ORACLE = {"op3_secret_scan": _OP3_SQL, "op6_url_rules": _OP6_SQL, "op10_warc": _OP10_SQL, **queries_repair.ORACLE}

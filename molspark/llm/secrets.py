@@ -56,6 +56,7 @@ EXTRA_RULES = (
 RULES = BASE_RULES + EXTRA_RULES
 
 _SCANNED = "blob binary, rules array<string>"
+_TODO = "blob binary, path string, unnamed boolean, todo array<string>"
 _FINDINGS = "blob binary, rule string, kind string, start bigint, end bigint"
 
 
@@ -66,7 +67,8 @@ def blob_id(text: Column) -> Column:
 
 def _ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        # every run appends a folder of its own
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException as e:  # a ledger that has no entries yet
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -112,35 +114,47 @@ def scan_versions(versions: DataFrame, ledger: str, path: str = "path", text: st
     the blobs in them: (blob, rule, kind, start, end), each once.
 
     A null text is the empty text and has no findings. Repeated rows and equal
-    texts under many paths are scanned once. Findings are appended before the
+    texts under many paths are scanned once; other columns of ``versions`` are
+    not read, so they may have any names. Findings are appended before the
     blobs are marked as scanned, so a run that dies in between scans again and
     loses nothing; doubled findings are merged on reading.
+
+    What is to be scanned is written below the ledger first: a run that has
+    nothing new moves no text.
     """
     spark, keys = versions.sparkSession, [r.key for r in rules]
-    rows = versions.select(F.col(path).alias("path"),
+    batch = uuid.uuid4().hex
+    # The path as a key that is never null, so that joins and groups share one exchange.
+    rows = versions.select(F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
+                           F.col(path).isNull().alias("unnamed"),
                            F.coalesce(F.col(text), F.lit("")).alias("text")) \
         .withColumn("blob", blob_id(F.col("text")))
-    held = (rows.select("path", "blob").groupBy("blob")
-            .agg(F.min("path").alias("path")))  # one path that can hand over the text
+    held = (rows.select("path", "unnamed", "blob").groupBy("blob")
+            .agg(F.min(F.struct("path", "unnamed")).alias("from")))  # one path that can hand over the text
     known = (_ledger(spark, f"{ledger}/scanned", _SCANNED)
              .groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen")))
-    todo = (held.join(known, "blob", "left")
-            .withColumn("todo", F.array_except(F.array(*map(F.lit, keys)),
-                                               F.coalesce("seen", F.array().cast("array<string>"))))
-            .where(F.size("todo") > 0)
-            .select(F.col("blob").alias("new_blob"), F.col("path").alias("from_path"), "todo"))
-    # The path in the key spreads the copies of one text over all tasks.
-    unseen = rows.join(todo.hint("shuffle_hash"),
-                       (F.col("blob") == F.col("new_blob"))
-                       & F.col("path").eqNullSafe(F.col("from_path")))
-    batch = uuid.uuid4().hex
-    (find_spans(unseen.select("blob", "text", "todo"), rules).distinct()
-     .write.mode("append").parquet(f"{ledger}/findings/batch-{batch}"))
-    (todo.select(F.col("new_blob").alias("blob"), F.col("todo").alias("rules"))
-     .write.mode("append").parquet(f"{ledger}/scanned/batch-{batch}"))
-    found = (spark.read.schema(_FINDINGS).option("recursiveFileLookup", "true")
-             .parquet(f"{ledger}/findings"))
-    return found.where(F.col("rule").isin(keys)).distinct()
+    (held.join(known, "blob", "left")
+     .withColumn("todo", F.array_except(F.array(*map(F.lit, keys)),
+                                        F.coalesce("seen", F.array().cast("array<string>"))))
+     .where(F.size("todo") > 0)
+     .select("blob", "from.path", "from.unnamed", "todo")
+     .write.parquet(f"{ledger}/todo/batch-{batch}"))
+    todo = spark.read.schema(_TODO).parquet(f"{ledger}/todo/batch-{batch}")
+    if not todo.isEmpty():
+        # Rows repeated under one path become one in each task, before the exchange;
+        # the path in the key spreads the copies of one text over all tasks.
+        once = rows.groupBy("blob", "path", "unnamed").agg(F.first("text").alias("text"))
+        unseen = once.join(todo.hint("shuffle_hash"), ["blob", "path", "unnamed"])
+        (find_spans(unseen.select("blob", "text", "todo"), rules).distinct()
+         .write.mode("append").parquet(f"{ledger}/findings/batch-{batch}"))
+        (todo.select("blob", F.col("todo").alias("rules"))
+         .write.mode("append").parquet(f"{ledger}/scanned/batch-{batch}"))
+    return _ledger(spark, f"{ledger}/findings", _FINDINGS).where(F.col("rule").isin(keys)).distinct()
+
+
+def scan_counts(spark: SparkSession, ledger: str) -> DataFrame:
+    """(blob, scans): by how many runs each blob of the ledger was scanned."""
+    return _ledger(spark, f"{ledger}/scanned", _SCANNED).groupBy("blob").agg(F.count(F.lit(1)).alias("scans"))
 
 
 def findings_by_blob(findings: DataFrame, rules=RULES) -> DataFrame:
@@ -152,14 +166,18 @@ def findings_by_blob(findings: DataFrame, rules=RULES) -> DataFrame:
 
 
 def findings_by_path(versions: DataFrame, findings: DataFrame, path: str = "path",
-                     text: str = "text", rules=RULES) -> DataFrame:
-    """One row per version, repeated rows included: (path, spans); ``spans`` is
-    empty where nothing was found. Groups of copies are a skewed left join
-    whose large side is only (path, blob)."""
+                     text: str = "text", rules=RULES, per_blob: DataFrame | None = None) -> DataFrame:
+    """One row per version, repeated rows included: (path, spans, columns of
+    ``per_blob``, a table with one row per blob); ``spans`` is empty where
+    nothing was found. Groups of copies are a skewed left join whose large side
+    is only (path, blob)."""
     rows = versions.select(F.col(path).alias("path"), blob_id(F.col(text)).alias("blob"))
     empty = F.array().cast("array<struct<start:bigint,place:int,kind:string,end:bigint>>")
-    return (rows.join(findings_by_blob(findings, rules), "blob", "left")
-            .select("path", F.coalesce("spans", empty).alias("spans")))
+    found, more = findings_by_blob(findings, rules), []
+    if per_blob is not None:
+        found, more = per_blob.join(found, "blob", "left"), [c for c in per_blob.columns if c != "blob"]
+    return (rows.join(found, "blob", "left")
+            .select("path", F.coalesce("spans", empty).alias("spans"), *more))
 
 
 def span_text(spans: Column) -> Column:

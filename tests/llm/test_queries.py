@@ -14,13 +14,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 def test_all_are_registered():
     assert set(SPARK) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert {n.split("_")[0] for n in SPARK} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in SPARK} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     cur = con.execute(ORACLE[name])
     names = [d[0] for d in cur.description]

@@ -2,10 +2,11 @@ import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from molspark.llm import secrets, url_rules
+from molspark.llm import queries, secrets, url_rules
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
          ("org", "/fr/", "allow"), ("a.b.example.org", "/fr/x", "block"), ("example.org", "", "block")]
@@ -155,6 +156,30 @@ def test_redact_leaves_no_key_line(spark, tmp_path):
     assert got == {k: want for k, (_, want) in texts.items()}
 
 
+def test_repeated_rows(spark, tmp_path):
+    t = "x token=abcdefgh y secret: zzzzzzzz q"
+    rows = [(1, t), (1, t), (1, t), (2, t), (None, t), (None, t), (1, "another token=abcdefgh"), (1, None), (1, None)]
+    df = spark.createDataFrame(rows, "path long, text string")
+    ledger = str(tmp_path / "l")
+    for _ in range(2):  # the second run scans nothing
+        found = secrets.scan_versions(df, ledger)
+        assert {r.scans for r in secrets.scan_counts(spark, ledger).collect()} == {1}
+    got = [secrets_text(r.spans) for r in secrets.findings_by_path(df, found).collect()]
+    assert sorted(got) == ["", ""] + ["assign:2:16,assign:19:35"] * 6 + ["assign:8:22"]
+    out = secrets.redact(df, found)
+    assert sorted(r.text for r in out.collect() if r.text) == ["another [redacted]"] + ["x [redacted] y [redacted] q"] * 6
+
+
+def test_query_on_repeated_rows(spark, tmp_path):
+    docs = spark.createDataFrame([(i % 5, t) for i, t in enumerate(texts() * 2)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    df = queries.op3_secret_scan(spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLE['op3_secret_scan']})").fetchall()
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want))
+
+
 def test_digest_of_no_span():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
 
