@@ -9,22 +9,26 @@ part, and the walk in suffix order that of every right part; neither looks
 anything up by hash.
 
 Words and pairs that occur less often than the threshold cannot lie in a
-candidate, so windows end there. They are recognised by bit tables of a fixed
-size, which may let some pass that are rare, never the other way round: results
-are exact, and a larger corpus only passes more.
+candidate, so windows end there. They are recognised by hash in bit tables of a
+fixed size, which may let some pass that are rare, never the other way round:
+results are exact, and a larger corpus only passes more.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import _powers as powers
+from .common import mix64, stored
 
 #: FIXED VALUES: the contract's characters that end a piece and that separate words.
 PIECE_END = "[.,;:!?\\n\\x0B\\f\\r]"
@@ -54,61 +58,134 @@ def pieces(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
             .where(F.size("w") > 0))
 
 
-def _slot(bits: int, *parts) -> Column:
-    return F.xxhash64(*parts).bitwiseAND(F.lit((1 << bits) - 1))
-
-
-def _bit_table(slots: DataFrame, bits: int) -> Column:
-    """A bit table with the ``slot`` values of ``slots`` set, as an array of
-    2^bits / 64 longs in a scalar subquery: its size does not depend on the data."""
-    blocks = (slots.groupBy(F.shiftright("slot", 6).alias("block"))
-              .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("word")))
-    spark = slots.sparkSession
-    every = spark.range(1 << (bits - 6)).select(F.col("id").alias("block"))
-    # 2^8 rows of 2^(bits-14) longs each, put in order; all of one known size.
-    part = F.shiftright("block", max(0, bits - 14))
-    rows = (every.join(blocks, "block", "left")
-            .groupBy(part.alias("part"))
-            .agg(F.array_sort(F.collect_list(F.struct("block", F.coalesce("word", F.lit(0)).alias("word")))).alias("x"))
-            .select("part", F.col("x.word").alias("x")))
-    return (rows.agg(F.array_sort(F.collect_list(F.struct("part", "x"))).alias("x"))
-            .select(F.flatten(F.col("x.x"))).scalar())
-
-
-def _is_set(table: Column, slot: Column) -> Column:
-    return F.getbit(F.get(table, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+_WORD, _BLANK_BYTE, _END_BYTE = 0, 1, 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[[9, 32]] = _BLANK_BYTE
+_KIND[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = _END_BYTE
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[65:91] += 32
+#: Bytes of text hashed at once.
+CHUNK = 1 << 21
+
+
+def _lang_hash(lang: str) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
+
+
+def _chunks(langs: list, texts: list) -> Iterator[tuple[str, bytes]]:
+    """The texts of each language as lower-cased bytes, joined by piece ends and
+    cut at piece ends into chunks of about ``CHUNK`` bytes."""
+    joined: dict[str, list] = {}
+    for lang, text in zip(langs, texts):
+        if text:
+            joined.setdefault("und" if lang is None else lang, []).append(text)
+    for lang, parts in joined.items():
+        raw = _LOWERED[np.frombuffer("\n".join(parts).encode(), np.uint8)]
+        ends = np.flatnonzero(_KIND[raw] == _END_BYTE)
+        at = 0
+        while at < len(raw):
+            i = np.searchsorted(ends, at + CHUNK)
+            to = int(ends[i]) + 1 if i < len(ends) else len(raw)
+            yield lang, raw[at:to].tobytes()
+            at = to
+
+
+def _hashed(lang: str, raw: bytes) -> tuple[np.ndarray, ...]:
+    """(hashes, starts, ends, piece numbers) of the words of a chunk."""
+    points = np.frombuffer(raw, np.uint8)
+    kind = _KIND[points]
+    inside = np.zeros(len(points) + 2, bool)
+    inside[1:-1] = kind == _WORD
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = turns[0::2], turns[1::2]
+    up, down = powers(len(points) + 1)
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[:len(points)], out=sums[1:])
+    hashes = mix64(mix64((sums[ends] - sums[starts]) * down[starts]) + _lang_hash(lang))
+    return hashes, starts, ends, np.cumsum(kind == _END_BYTE)[starts]
+
+
+def _pairs(hashes: np.ndarray) -> np.ndarray:
+    return mix64(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
+
+
+def _set(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    slots = hashes & np.uint64((1 << bits) - 1)
+    return (table[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+
+def _usual_pairs(lang: str, raw: bytes, usual: np.ndarray, bits: int):
+    hashes, starts, ends, piece = _hashed(lang, raw)
+    known = _set(usual, hashes, bits)
+    return _pairs(hashes), known[:-1] & known[1:] & (piece[:-1] == piece[1:]), starts, ends
+
+
+def _bit_table(slots: DataFrame, bits: int) -> np.ndarray:
+    """A table of 2^``bits`` bits with the ``slot`` values of ``slots`` set. The
+    driver receives at most 2^(bits - 15) blocks of 4 KB, whatever the data."""
+    blocks = (slots.groupBy(F.bitmap_bucket_number("slot").alias("block"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("x")).collect())
+    table = np.zeros(max(1 << 12, 1 << (bits - 3)), np.uint8)
+    for r in blocks:  # bucket 0 holds value 0 alone, bucket b the values up to b * 32768
+        block = np.frombuffer(r["x"], np.uint8)
+        at = (r["block"] - 1) * len(block)
+        table[at:at + len(block)] = block
+    return table
 
 
 def window_counts(docs: DataFrame, p: Params, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, w, c): how often each entry of the stream begins at a position: the
     empty phrase (once per word), the words that reach the threshold, and the
     windows of 2 to ``longest`` words without a rare word or pair."""
-    runs = pieces(docs, text, lang)
-    words = stored(runs.select("lang", F.explode("w").alias("word")).groupBy("lang", "word").count(), "words")
+    context, bits, longest = docs.sparkSession.sparkContext, p.bits, p.longest
+    body = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    words = stored(pieces(docs, text, lang).select("lang", F.explode("w").alias("word"))
+                   .groupBy("lang", "word").count(), "words")
     usual = words.where(F.col("count") >= p.least)
-    known = stored(usual.select(_slot(p.bits, "lang", "word").alias("slot")).distinct(), "word-slots")
-
-    at = F.sequence(F.lit(0), F.size("w") - 2)
-    starts = lambda size: (runs.where(F.size("w") > 1)
-                           .select("lang", F.explode(F.transform(at, lambda i: F.slice("w", i + 1, size))).alias("w")))
-    mask, table = F.lit((1 << p.bits) - 1), _bit_table(known, p.bits)
-    usual_at = lambda i: _is_set(table, F.xxhash64("lang", F.get("w", F.lit(i))).bitwiseAND(mask))
-    pair_at = lambda i: F.xxhash64("lang", F.get("w", F.lit(i)), F.get("w", F.lit(i + 1)))
-    pairs = (starts(2).where(usual_at(0) & usual_at(1)).select(pair_at(0).alias("pair"))
-             .groupBy("pair").count().where(F.col("count") >= p.least))
-    linked = stored(pairs.select(F.col("pair").bitwiseAND(mask).alias("slot")).distinct(), "pair-slots")
-
-    # A window goes on as long as its pairs are linked; rows without a link are no windows.
-    links = _bit_table(linked, p.bits)
-    more = F.lit(0)
-    for i in reversed(range(p.longest - 1)):
-        more = F.when((F.size("w") > i + 1) & _is_set(links, pair_at(i).bitwiseAND(mask)), 1 + more).otherwise(0)
-    windows = (starts(p.longest).select("lang", F.slice("w", F.lit(1), 1 + more).alias("w")).where(F.size("w") > 1)
-               .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c")))
+
+    def word_slots(batches):
+        for batch in batches:
+            slots = [int(_hashed(a, b.encode())[0][0] & np.uint64((1 << bits) - 1)) + 1
+                     for a, b in zip(batch["lang"].to_pylist(), batch["word"].to_pylist())]
+            yield pa.RecordBatch.from_pydict({"slot": pa.array(slots, pa.int64())})
+
+    known = context.broadcast(_bit_table(usual.select("lang", "word").mapInArrow(word_slots, "slot bigint"), bits))
+
+    def pairs(batches):
+        for batch in batches:
+            for a, raw in _chunks(batch["lang"].to_pylist(), batch["text"].to_pylist()):
+                pair, good, _, _ = _usual_pairs(a, raw, known.value, bits)
+                found, c = np.unique(pair[good].view(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_pydict({"pair": pa.array(found), "c": pa.array(c.astype(np.int64))})
+
+    slot = F.col("pair").bitwiseAND(F.lit((1 << bits) - 1)) + 1
+    often = (body.mapInArrow(pairs, "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
+             .where(F.col("c") >= p.least).select(slot.alias("slot")))
+    linked = context.broadcast(_bit_table(often, bits))
+
+    def windows(batches):
+        for batch in batches:
+            for a, raw in _chunks(batch["lang"].to_pylist(), batch["text"].to_pylist()):
+                pair, good, starts, ends = _usual_pairs(a, raw, known.value, bits)
+                link = np.zeros(len(pair) + longest, np.int64)
+                link[:len(pair)] = good & _set(linked.value, pair, bits)
+                more = np.zeros(len(pair), np.int64)  # words after the first, as far as the links reach
+                for i in reversed(range(longest - 1)):
+                    more = link[i:i + len(pair)] * (1 + more)
+                at = np.flatnonzero(more)
+                found = Counter(raw[x:y] for x, y in zip(starts[at].tolist(), ends[at + more[at]].tolist()))
+                # Blanks differ between occurrences of one window; the sums outside take care of it.
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array([a] * len(found), pa.string()),
+                    "w": pa.array([x.split() for x in found], pa.list_(pa.string())),
+                    "c": pa.array(list(found.values()), pa.int64())})
+
+    counted = (body.mapInArrow(windows, "lang string, w array<string>, c bigint")
+               .groupBy("lang", "w").agg(F.sum("c").alias("c")))
     nothing = F.array().cast("array<string>")
     return (words.groupBy("lang").agg(F.sum("count").alias("c")).select("lang", nothing.alias("w"), "c")
             .unionByName(usual.select("lang", F.array("word").alias("w"), F.col("count").alias("c")))
-            .unionByName(windows))
+            .unionByName(counted))
 
 
 def _ordered(stream: DataFrame) -> DataFrame:
