@@ -66,6 +66,8 @@ _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
 #: Bytes of text hashed at once.
 CHUNK = 1 << 21
+#: The windows of a pair that is more than one in so many words are dealt by three words.
+HOT = 1024
 
 
 def _lang_hash(lang: str) -> np.uint64:
@@ -133,10 +135,13 @@ def _bit_table(slots: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def window_counts(docs: DataFrame, p: Params, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, w, c): how often each entry of the stream begins at a position: the
-    empty phrase (once per word), the words that reach the threshold, and the
-    windows of 2 to ``longest`` words without a rare word or pair."""
+def window_counts(docs: DataFrame, p: Params, text: str = "text", lang: str = "lang") -> tuple[DataFrame, ...]:
+    """Three tables: (lang, word, count) of all words; of the words that reach
+    the threshold; and (lang, w, c, hot) of the windows of 2 to ``longest`` words
+    without a rare word or pair, counted in parts. A window is its words, each
+    with a line end behind it (which no word holds), so that the windows of a
+    prefix lie together in byte order; ``hot`` marks those of a very common
+    first pair."""
     context, bits, longest = docs.sparkSession.sparkContext, p.bits, p.longest
     body = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     words = stored(pieces(docs, text, lang).select("lang", F.explode("w").alias("word"))
@@ -159,9 +164,12 @@ def window_counts(docs: DataFrame, p: Params, text: str = "text", lang: str = "l
                 yield pa.RecordBatch.from_pydict({"pair": pa.array(found), "c": pa.array(c.astype(np.int64))})
 
     slot = F.col("pair").bitwiseAND(F.lit((1 << bits) - 1)) + 1
-    often = (body.mapInArrow(pairs, "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
-             .where(F.col("c") >= p.least).select(slot.alias("slot")))
-    linked = context.broadcast(_bit_table(often, bits))
+    often = stored(body.mapInArrow(pairs, "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
+                   .where(F.col("c") >= p.least), "pairs")
+    linked = context.broadcast(_bit_table(often.select(slot.alias("slot")), bits))
+    # Pairs with more than 1/HOT of all words: fewer than HOT.
+    n = words.agg(F.sum("count")).first()[0] or 0
+    hot = np.array([r["pair"] for r in often.where(F.col("c") * HOT > n).select("pair").collect()], np.int64)
 
     def windows(batches):
         for batch in batches:
@@ -173,19 +181,16 @@ def window_counts(docs: DataFrame, p: Params, text: str = "text", lang: str = "l
                 for i in reversed(range(longest - 1)):
                     more = link[i:i + len(pair)] * (1 + more)
                 at = np.flatnonzero(more)
-                found = Counter(raw[x:y] for x, y in zip(starts[at].tolist(), ends[at + more[at]].tolist()))
+                split = np.isin(pair[at].view(np.int64), hot)
+                found = Counter((raw[x:y], z) for x, y, z in zip(starts[at].tolist(), ends[at + more[at]].tolist(), split.tolist()))
                 # Blanks differ between occurrences of one window; the sums outside take care of it.
                 yield pa.RecordBatch.from_pydict({
                     "lang": pa.array([a] * len(found), pa.string()),
-                    "w": pa.array([x.split() for x in found], pa.list_(pa.string())),
-                    "c": pa.array(list(found.values()), pa.int64())})
+                    "w": pa.array([b"\n".join(x.split()) + b"\n" for x, _ in found], pa.string()),
+                    "c": pa.array(list(found.values()), pa.int64()),
+                    "hot": pa.array([z for _, z in found], pa.bool_())})
 
-    counted = (body.mapInArrow(windows, "lang string, w array<string>, c bigint")
-               .groupBy("lang", "w").agg(F.sum("c").alias("c")))
-    nothing = F.array().cast("array<string>")
-    return (words.groupBy("lang").agg(F.sum("count").alias("c")).select("lang", nothing.alias("w"), "c")
-            .unionByName(usual.select("lang", F.array("word").alias("w"), F.col("count").alias("c")))
-            .unionByName(counted))
+    return words, usual, body.mapInArrow(windows, "lang string, w string, c bigint, hot boolean")
 
 
 def _ordered(stream: DataFrame) -> DataFrame:
@@ -197,33 +202,38 @@ def _ordered(stream: DataFrame) -> DataFrame:
 _SUMS = "lang string, w array<string>, f bigint"
 
 
-def _prefix_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the window counts over every prefix of two words or more, in one
-    pass over a sorted range. A prefix that the next range goes on with comes in
-    parts, one from each."""
-    lang, stack, out = None, [], []  # stack[i]: [first i + 2 words, sum]
+def _prefix_sums(least: int):
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of the window counts over every prefix of two words or more, in
+        one pass over the sorted stream. Only a hot pair comes in parts, one from
+        each task that has windows of it; other prefixes are whole, and those
+        below the threshold go no further."""
+        lang, stack, out = None, [], []  # stack[i]: [first i + 2 words, sum, whether a part]
 
-    def close(keep: int) -> None:
-        while len(stack) > keep:
-            w, f = stack.pop()
-            out.append((lang, w, f))
+        def close(keep: int) -> None:
+            while len(stack) > keep:
+                w, f, part = stack.pop()
+                if part or f >= least:
+                    out.append((lang, w.split("\n")[:-1], f))
 
-    for batch in batches:
-        for one, w, c in zip(batch["lang"].to_pylist(), batch["w"].to_pylist(), batch["c"].to_pylist()):
-            keep = 0
-            if one == lang:
-                while keep < len(stack) and stack[keep][0] == w[:keep + 2]:
-                    keep += 1
-            close(keep)
-            lang = one
-            for size in range(len(stack) + 2, len(w) + 1):
-                stack.append([w[:size], 0])
-            for entry in stack:
-                entry[1] += c
+        for batch in batches:
+            for one, w, c, hot in zip(*[batch[x].to_pylist() for x in ("lang", "w", "c", "hot")]):
+                keep = 0
+                if one == lang:
+                    while keep < len(stack) and w.startswith(stack[keep][0]):
+                        keep += 1
+                close(keep)
+                lang = one
+                words = w.split("\n")[:-1]
+                for size in range(len(stack) + 2, len(words) + 1):
+                    stack.append(["\n".join(words[:size]) + "\n", 0, hot and size == 2])
+                for entry in stack:
+                    entry[1] += c
+            yield _rows(out, _SUMS)
+            out.clear()
+        close(0)
         yield _rows(out, _SUMS)
-        out.clear()
-    close(0)
-    yield _rows(out, _SUMS)
+    return walk
 
 
 _ARROW = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string()),
@@ -239,10 +249,15 @@ def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def phrase_counts(docs: DataFrame, p: Params = Params(), text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, w, f): the empty phrase with all word occurrences of the language,
     and every word and phrase that occurs ``least`` times or more."""
-    counts = stored(window_counts(docs, p, text, lang), "windows")
-    sums = (_ordered(counts.where(F.size("w") > 1)).mapInArrow(_prefix_sums, _SUMS)
+    words, usual, windows = window_counts(docs, p, text, lang)
+    first = lambda n: F.substring_index("w", "\n", n)
+    sums = (windows.repartition("lang", F.when(F.col("hot"), first(3)).otherwise(first(2)))
+            .sortWithinPartitions("lang", "w").mapInArrow(_prefix_sums(p.least), _SUMS)
             .groupBy("lang", "w").agg(F.sum("f").alias("f")).where(F.col("f") >= p.least))
-    return counts.where(F.size("w") < 2).withColumnRenamed("c", "f").unionByName(sums)
+    nothing = F.array().cast("array<string>")
+    return (words.groupBy("lang").agg(F.sum("count").alias("f")).select("lang", nothing.alias("w"), "f")
+            .unionByName(usual.select("lang", F.array("word").alias("w"), F.col("count").alias("f")))
+            .unionByName(sums))
 
 
 _WALKED = "lang string, w array<string>, f bigint, above array<bigint>, whole boolean, more array<bigint>, gone boolean"

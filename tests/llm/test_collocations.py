@@ -42,8 +42,9 @@ def corpus():
     return out + [("en", None), ("en", ""), (None, None), ("fr", "..."), ("en", "b " * 30_000), out[0], out[0]]
 
 
-@pytest.mark.parametrize("bits,parts", [(24, 3), (14, 40)])
-def test_against_brute_force(spark, bits, parts):
+@pytest.mark.parametrize("bits,parts,hot", [(24, 3, 1024), (14, 40, 0), (20, 7, 1 << 40)])
+def test_against_brute_force(spark, monkeypatch, bits, parts, hot):
+    monkeypatch.setattr(co, "HOT", hot)
     docs = corpus()
     df = spark.createDataFrame(docs, "lang string, text string").withColumn("w", F.lit(1)).withColumn("f", F.lit(1)).repartition(5)
     keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
