@@ -11,15 +11,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from molspark.operators.batches import union_diagonal
-from molspark.sources.files import batch_id_of, discover_batches, group_by_header, read_batch_csv
+from molspark.sources.files import batch_id_of, discover_batches, header_groups, read_batch_csv
 
 # FIXED VALUES: columns that always stay text.
 TEXT_COLUMNS = ("unique_id", "smiles", "canonical_smiles")
-_INTERNAL = ("batch_id", "_file")
+_INTERNAL = ("batch_id", "_file", "_at")
 
 
 def _is_numeric(v: str, strict_reference: bool) -> bool:
@@ -40,41 +41,37 @@ def numeric_columns(df: DataFrame, keep_text=TEXT_COLUMNS, sample: int = 10,
     with ``.``, ``-``, ``+`` removed, are all digits (``strict_reference``) or,
     when not strict, also parse as numbers.
 
-    A file is one task's, in order, so the first values need no sort; a task
-    looks at no more cells of a column than it needs and returns one row per
-    column."""
+    Every range of a file hands over the verdicts on its own first ``sample``
+    values; the first of a file are the first of its ranges in order, so nothing
+    is sorted but a few rows per file."""
     cand = [c for c in df.columns if c not in keep_text and c not in _INTERNAL]
-    schema = "column string, is_numeric boolean"
     if not cand:
-        return df.sparkSession.createDataFrame([], schema)
+        return df.sparkSession.createDataFrame([], "column string, is_numeric boolean")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        verdict: dict[str, bool] = {}
-        left: dict[str, int] = {}
-        file = None
+        found: dict[tuple, list[bool]] = {}
         for batch in batches:
-            files = batch.column(0).to_pylist()
-            at = 0
-            while at < len(files):
-                if files[at] != file:
-                    file, left = files[at], dict.fromkeys(cand, sample)
-                stop = at
-                while stop < len(files) and files[stop] == file:
-                    stop += 1
-                for c in list(left):
-                    cells = batch.column(1 + cand.index(c)).slice(at, stop - at).drop_null()
-                    seen = [v for v in cells.to_pylist() if v]
-                    for v in seen[:left[c]]:
-                        verdict[c] = verdict.get(c, True) and _is_numeric(v, strict_reference)
-                    left[c] -= min(left[c], len(seen))
-                    if not left[c]:
-                        del left[c]
-                at = stop
-        if verdict:
-            yield pa.record_batch([pa.array(list(verdict)), pa.array(list(verdict.values()))],
-                                  ["column", "is_numeric"])
-
-    return (df.select("_file", *[F.col(f"`{c}`") for c in cand]).mapInArrow(look, schema)
+            file, at = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+            code = file.indices.to_numpy()
+            cuts = [0, *((code[1:] != code[:-1]) | (at[1:] != at[:-1])).nonzero()[0] + 1, len(at)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                name = file.dictionary[int(code[a])].as_py()
+                for i, c in enumerate(cand):
+                    votes = found.setdefault((name, int(at[a]), c), [])
+                    if len(votes) < sample:
+                        cells = batch.column(2 + i).slice(a, b - a).drop_null()
+                        cells = cells.filter(pc.not_equal(cells, "")).slice(0, sample - len(votes))
+                        votes += [_is_numeric(v, strict_reference) for v in cells.to_pylist()]
+        rows = [(*k, v) for k, v in found.items() if v]
+        if rows:
+            yield pa.record_batch([pa.array(x) for x in zip(*rows)], ["file", "at", "column", "votes"])
+
+    first = F.slice(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "votes"))), lambda x: x["votes"])), 1, sample)
+    return (df.select("_file", "_at", *[F.col(f"`{c}`") for c in cand])
+            .mapInArrow(look, "file string, at bigint, column string, votes array<boolean>")
+            .groupBy("file", "column").agg(F.forall(first, lambda v: v).alias("is_numeric"))
             .groupBy("column").agg(F.bool_and("is_numeric").alias("is_numeric")))
 
 
@@ -108,10 +105,10 @@ def combine_batches(spark: SparkSession, root: str, name: str, out: str | None =
     values of numeric columns that are no numbers are written there. None when
     there is no file."""
     paths = discover_batches(spark, root, name)
-    groups = group_by_header(spark, paths) if paths else {}
+    groups = header_groups(spark, paths) if paths else []
     if not groups:
         return None
-    raw = [read_batch_csv(spark, files, header) for header, files in groups.items()]
+    raw = [read_batch_csv(spark, *group) for group in groups]
     votes = [numeric_columns(df, strict_reference=strict_reference) for df in raw]
     decided = union_diagonal(*votes).groupBy("column").agg(F.bool_and("is_numeric").alias("is_numeric"))
     numeric = {r["column"] for r in decided.filter("is_numeric").collect()}  # a row per column
@@ -119,7 +116,7 @@ def combine_batches(spark: SparkSession, root: str, name: str, out: str | None =
         union_diagonal(*[cast_rejects(df, numeric) for df in raw]).write.mode("overwrite").parquet(rejects_out)
     df = union_diagonal(*[cast_numeric(df, numeric) for df in raw])
     if not keep_internal:
-        df = df.drop("_file")
+        df = df.drop("_file", "_at")
     if out:
         if "atom_property" in name or fmt == "parquet":
             df.write.mode("overwrite").parquet(out)

@@ -4,12 +4,15 @@ manifests (S16), object inventory (S17) and cheap profiling (S18)."""
 from __future__ import annotations
 
 import csv
+import functools
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from molspark.sources.quoted_csv import ENDS_OPEN, read_quoted_csv
+
 # FIXED VALUES: batch folder patterns and the result files a batch writes.
 BATCH_DIR_GLOBS = ("batch_*", "fs-sn-*")
 BATCH_FILES = ("molecule_property.csv", "atom_property.csv", "metadata.csv",
@@ -95,34 +98,52 @@ def header_columns(header: str) -> list[str]:
     return [c.strip() for c in next(csv.reader([header.removeprefix("\ufeff")]), [])]
 
 
-def group_by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Files with identical header lines, so each group is read with one
-    positional schema (one ``csv()`` call over mixed headers would map columns
-    by position). One job finds every file's first line as a map-side combined
-    minimum by position; the driver gets one row per file of the list it already
-    holds. Empty files have no header and are left out."""
-    t = spark.read.text(paths).select(
+def header_groups(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str], list[str]]]:
+    """(header, files whose lines are records, files with cells that span lines)
+    for each header line, so that each group is read with one positional schema
+    (one ``csv()`` call over mixed headers would map columns by position).
+
+    One job reads all lines: the first one of every file is a map-side combined
+    minimum by position, and as long as no line that begins outside a quoted
+    cell ends inside one, every line is a record. The driver gets one row per
+    file of the list it already holds. Empty files have no header and are left
+    out."""
+    t = spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("f"), "value",
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("p"))
-    groups: dict[str, list[str]] = defaultdict(list)
-    for r in t.groupBy("f").agg(F.min_by("value", "p").alias("header")).collect():
+    spans = (F.contains("value", F.lit('"')) & F.col("value").rlike(ENDS_OPEN)
+             | F.contains(F.rtrim("value", F.lit("\r")), F.lit("\r")))  # a line end of its own kind to Spark
+    groups: dict[str, tuple[list[str], list[str]]] = defaultdict(lambda: ([], []))
+    for r in t.groupBy("f").agg(F.min_by("value", "p").alias("header"), F.bool_or(spans).alias("spans")).collect():
         if r["header"].strip():
-            groups[r["header"].rstrip("\r")].append(r["f"])
-    return {h: sorted(f) for h, f in sorted(groups.items())}
+            groups[r["header"].rstrip("\r")][r["spans"]].append(r["f"])
+    return [(h, sorted(plain), sorted(spanning)) for h, (plain, spanning) in sorted(groups.items())]
+
+
+def group_by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files of each header line."""
+    return {h: sorted(plain + spanning) for h, plain, spanning in header_groups(spark, paths)}
 
 
-def read_batch_csv(spark: SparkSession, paths: list[str], header: str) -> DataFrame:
+def read_batch_csv(spark: SparkSession, header: str, plain: list[str], spanning: list[str] = ()) -> DataFrame:
     """Read same-header CSVs with every column as string (so ``unique_id``
-    keeps its leading zeros) plus ``batch_id`` (the batch folder) and ``_file``.
-    Cells may be quoted, hold line breaks (MolBlocks) and doubled quotes, so a
-    file is read by one task, in order."""
+    keeps its leading zeros) plus ``batch_id`` (the batch folder), ``_file`` and
+    ``_at`` (a position in it that orders ranges). Cells may be quoted, hold line
+    breaks (MolBlocks) and doubled quotes. Any file is read in byte ranges: those
+    of ``plain``, whose lines are records, by Spark's CSV source, the others by
+    ``read_quoted_csv``."""
     cols = header_columns(header)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    df = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
-          .option("escape", '"').schema(schema).csv(paths))
-    return df.select(*[F.col(f"`{c}`") for c in cols],
-                     batch_id_of(F.col("_metadata.file_path")).alias("batch_id"),
-                     F.col("_metadata.file_path").alias("_file"))
+    parts = []
+    if plain:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+        df = (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("maxCharsPerColumn", -1)
+              .schema(schema).csv(plain))
+        parts.append(df.select(*[F.col(f"`{c}`") for c in cols], F.col("_metadata.file_path").alias("_file"),
+                               F.col("_metadata.file_block_start").alias("_at")))
+    if spanning:
+        parts.append(read_quoted_csv(spark, list(spanning), cols))
+    df = functools.reduce(DataFrame.unionByName, parts)
+    return df.select(*[F.col(f"`{c}`") for c in cols], batch_id_of(F.col("_file")).alias("batch_id"), "_file", "_at")
 
 
 def read_manifest(spark: SparkSession, path: str, mode: str = "upload") -> tuple[DataFrame, DataFrame]:

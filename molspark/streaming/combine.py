@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from molspark.operators.batches import union_diagonal
 from molspark.operators.merge import cast_numeric, cast_rejects
-from molspark.sources.files import _fs, group_by_header, read_batch_csv
+from molspark.sources.files import _fs, header_groups, read_batch_csv
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -46,12 +46,12 @@ def combine_stream(spark: SparkSession, root: str, name: str, schema: T.StructTy
     def merge(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         paths = [r["path"] for r in batch.filter(~F.regexp_like("path", F.lit("/[_.][^/]*$"))).collect()]
-        groups = group_by_header(session, paths) if paths else {}
+        groups = header_groups(session, paths) if paths else []
         if not groups:
             return
         raw = []
-        for header, members in groups.items():
-            df = read_batch_csv(session, members, header)
+        for group in groups:
+            df = read_batch_csv(session, *group)
             cols = [F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast("string").alias(f.name)
                     for f in schema]
             raw.append(df.select(*cols, "batch_id", "_file"))
