@@ -95,52 +95,110 @@ def element_sequence_signature(atoms: DataFrame, key: str = "unique_id") -> Data
     return atoms.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(h).alias("_h"))
 
 
+#: Atoms whose coordinates are offered to the tolerance grid, coordinates of the
+#: grid, and its cell width in tolerances.
+_PROBES, _GRID, _CELL = 5, 3, 8.0
+
+
+def _probes() -> dict[str, Column]:
+    """Aggregates of a molecule: coordinates of a few atoms chosen by a hash of
+    their index, which are the same atoms in molecules of one element sequence."""
+    return {f"_f{3 * j + i}": F.min_by(c, F.xxhash64(F.lit(j), "atom_idx"))
+            for j in range(_PROBES) for i, c in enumerate("xyz")}
+
+
+def _in_tolerances(v: Column, rtol: float, atol: float) -> Column:
+    """``v`` on the scale on which the tolerance ``atol + rtol * |v|`` is 1
+    everywhere (its reciprocal's integral)."""
+    atol = max(atol, 1e-12)
+    if not rtol:
+        return v / F.lit(atol)
+    return F.signum(v) * F.log1p(F.abs(v) * F.lit(rtol / atol)) / F.lit(rtol)
+
+
+def duplicate_candidates(classes: DataFrame, features: list[str], rtol: float) -> DataFrame:
+    """(_a, _b) with _b < _a: classes of a block that agree within tolerance in
+    each of the block's three coordinates that vary most. ``features`` are in
+    tolerances (``_in_tolerances``), so one far molecule widens no cell. Cells
+    are some tolerances wide; one side goes to its own cell, the other to all
+    that its tolerance touches, so a pair meets once and molecules that differ in
+    any of the coordinates do not, however many share a formula or a mean."""
+    reach = 1.000001 / (1.0 - rtol)  # the tolerance of a pair is that of one side's value
+    axes = F.sort_array(F.array(*[F.struct(F.stddev_pop(f).alias("spread"), F.lit(i).alias("i"))
+                                  for i, f in enumerate(features)]), asc=False)
+    # The same atom may have been chosen twice.
+    once = F.filter("_all", lambda x, i: (i == 0) | (x["spread"] != F.get("_all", i - 1)["spread"]))
+    salts = 16  # a block may hold a third of all molecules: its one row of axes is repeated
+    blocks = (classes.groupBy("_block").agg(F.count(F.lit(1)).alias("_k"), axes.alias("_all")).where("_k > 1")
+              .select("_block", *[F.coalesce(F.get(once, F.lit(i)), F.get("_all", F.lit(0)))["i"].alias(f"_x{i}") for i in range(_GRID)],
+                      F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s")))
+    placed = (classes.withColumn("_s", F.pmod(F.xxhash64("_rep"), F.lit(salts)).cast("int")).join(blocks, ["_block", "_s"])
+              .select("_block", "_rep", *[F.get(F.array(*features), F.col(f"_x{i}")).alias(f"_v{i}") for i in range(_GRID)]))
+    cell = lambda v: F.floor(v / F.lit(_CELL * reach)).cast("long")
+    one = placed.select("_block", F.col("_rep").alias("_a"), *[F.col(f"_v{i}").alias(f"_a{i}") for i in range(_GRID)],
+                        *[cell(F.col(f"_v{i}")).alias(f"_c{i}") for i in range(_GRID)])
+    other = placed.select("_block", F.col("_rep").alias("_b"), *[F.col(f"_v{i}").alias(f"_b{i}") for i in range(_GRID)])
+    for i in range(_GRID):
+        other = other.withColumn(f"_c{i}", F.explode(F.sequence(cell(F.col(f"_b{i}") - reach), cell(F.col(f"_b{i}") + reach))))
+    near = functools.reduce(lambda p, q: p & q, [F.abs(F.col(f"_a{i}") - F.col(f"_b{i}")) <= F.lit(reach) for i in range(_GRID)])
+    return (one.join(other, ["_block", *[f"_c{i}" for i in range(_GRID)]])
+            .where((F.col("_b") < F.col("_a")) & near).select("_a", "_b"))
+
+
 def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float = 1e-5,
                           atol: float = 1e-8, property_cols: Sequence[str] = (),
-                          key: str = "unique_id") -> DataFrame:
+                          key: str = "unique_id", array_cols: Sequence[str] = ()) -> DataFrame:
     """Every molecule that equals one with a smaller id, as ``(unique_id,
     rep_id)`` with the smallest such id.
 
     Two molecules are equal when element sequence, SMILES, charge, multiplicity
-    and the listed properties are, and every coordinate of the larger id lies
-    within ``atol + rtol * |other|``. Molecules with the very same coordinates
-    are one class first (by aggregate hashes), so copies are never paired. The
-    classes of a block meet in buckets of a weighted mean coordinate whose width
-    is the block's largest tolerance, the next bucket included, and are then
-    compared atom by atom."""
+    and the listed properties are, and every coordinate and every entry of the
+    listed array properties of the larger id lies within ``atol + rtol *
+    |other|``; arrays of other lengths differ, and an array that only the smaller
+    id has is not compared. Molecules with the very same coordinates and arrays
+    are one class first (by aggregate hashes), so copies are never paired; the
+    classes of a block meet in a grid of the block's widest coordinates
+    (``duplicate_candidates``) and are then compared atom by atom."""
     def coordinates(seed: int) -> Column:
         same = [F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) for c in "xyz"]  # -0.0 is 0.0
         return F.sum(F.xxhash64(F.lit(seed), "atom_idx", *same).cast("decimal(38,0)"))
 
-    sig = element_sequence_signature(atoms, key).join(atoms.groupBy(key).agg(
-        coordinates(1).alias("_g1"), coordinates(2).alias("_g2"),
-        F.avg((F.col("x") + 2.0 * F.col("y") + 3.0 * F.col("z")) / 6.0).alias("_mean"),
-        F.max(F.greatest(F.abs("x"), F.abs("y"), F.abs("z"))).alias("_far")), key)
+    if not 0 <= rtol < 1 or atol < 0:
+        raise ValueError("rtol must be from 0 to 1 and atol not negative")
+    probes = _probes()
+    features = list(probes)
+    tagged = F.pmod(F.xxhash64(F.col("atom_idx"), F.col("element")), F.lit(2147483647))
+    sig = atoms.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(tagged).alias("_h"), coordinates(1).alias("_g1"),
+                                 coordinates(2).alias("_g2"), *[c.alias(f) for f, c in probes.items()])
     same = [c for c in ("smiles", "charge", "multiplicity") if c in molecules.columns] + list(property_cols)
+    arrays = F.array(*[F.xxhash64(F.lit(i), F.size(c), c) for c in array_cols for i in (1, 2)]).cast("array<bigint>")
     block = F.sha2(F.concat_ws("\u0001", F.col("_n").cast("string"), F.col("_h").cast("string"), *[
         F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in same]), 256)
-    rows = (molecules.select(key, *same).join(sig, key).withColumn("_block", block)
-            .select(F.col(key).alias("_id"), "_block", "_g1", "_g2", "_mean", "_far"))
-    classes = rows.groupBy("_block", "_g1", "_g2").agg(
-        F.min("_id").alias("_rep"), F.min("_mean").alias("_mean"), F.max("_far").alias("_far"))
-    width = classes.groupBy("_block").agg((F.lit(atol) + F.lit(rtol) * F.max("_far")).alias("_w"))
-    placed = classes.join(width, "_block").withColumn("_bucket", F.floor(F.col("_mean") / F.col("_w")))
-    one = placed.select("_block", F.col("_rep").alias("_a"), F.col("_mean").alias("_ma"), "_bucket")
-    other = placed.select("_block", F.col("_rep").alias("_b"), F.col("_mean").alias("_mb"), "_w", F.explode(
-        F.array(F.col("_bucket") - 1, F.col("_bucket"), F.col("_bucket") + 1)).alias("_bucket"))
-    pairs = (one.join(other, ["_block", "_bucket"])
-             .filter((F.col("_b") < F.col("_a")) & (F.abs(F.col("_ma") - F.col("_mb")) <= F.col("_w") * 1.000001))
-             .select("_a", "_b"))
-    left = atoms.select(F.col(key).alias("_a"), "atom_idx", *[F.col(c).alias(f"_{c}a") for c in "xyz"])
-    right = atoms.select(F.col(key).alias("_b"), "atom_idx", *[F.col(c).alias(f"_{c}b") for c in "xyz"])
-    close = functools.reduce(lambda p, q: p & q, [
-        F.abs(F.col(f"_{c}a") - F.col(f"_{c}b")) <= F.lit(atol) + F.lit(rtol) * F.abs(F.col(f"_{c}b"))
-        for c in "xyz"])
-    equal = (pairs.join(left, "_a").join(right, ["_b", "atom_idx"], "left").groupBy("_a", "_b")
-             .agg(F.bool_and(F.coalesce(close, F.lit(False))).alias("_eq")).filter("_eq"))
+    rows = (molecules.select(key, *same, *[c for c in array_cols if c not in same]).join(sig, key)
+            .select(F.col(key).alias("_id"), block.alias("_block"), "_g1", "_g2", arrays.alias("_g3"),
+                    *[_in_tolerances(F.col(f), rtol, atol).alias(f) for f in features]))
+    exact = ["_block", "_g1", "_g2", "_g3"]
+    classes = rows.groupBy(*exact).agg(F.min("_id").alias("_rep"), *[F.min(f).alias(f) for f in features])
+    pairs = duplicate_candidates(classes, features, rtol)
+    close = lambda p, q: F.abs(p - q) <= F.lit(atol) + F.lit(rtol) * F.abs(q)
+    if array_cols:
+        mine = molecules.select(F.col(key).alias("_a"), *[F.col(c).alias(f"_p{i}") for i, c in enumerate(array_cols)])
+        theirs = molecules.select(F.col(key).alias("_b"), *[F.col(c).alias(f"_q{i}") for i, c in enumerate(array_cols)])
+        pairs = pairs.join(mine, "_a").join(theirs, "_b")
+        for i in range(len(array_cols)):
+            p, q = F.col(f"_p{i}"), F.col(f"_q{i}")
+            entries = F.forall(F.zip_with(p, q, close), lambda x: F.coalesce(x, F.lit(False)))
+            pairs = pairs.where(p.isNull() | F.coalesce((F.size(p) == F.size(q)) & entries, F.lit(False)))
+        pairs = pairs.select("_a", "_b")
+    # Both molecules of a pair meet their atoms in one join; a side without an atom is null there.
+    sides = pairs.select("_a", "_b", F.explode(F.array(F.struct(F.col("_a").alias("id"), F.lit(True).alias("first")), F.struct(
+        F.col("_b").alias("id"), F.lit(False).alias("first")))).alias("s")).select("_a", "_b", "s.*")
+    met = sides.join(atoms.select(F.col(key).alias("id"), "atom_idx", "x", "y", "z"), "id").groupBy("_a", "_b", "atom_idx").agg(*[
+        F.max(F.when(F.col("first") == side, F.col(c))).alias(f"_{c}{n}") for c in "xyz" for n, side in (("a", True), ("b", False))])
+    agree = functools.reduce(lambda p, q: p & q, [close(F.col(f"_{c}a"), F.col(f"_{c}b")) for c in "xyz"])
+    equal = met.groupBy("_a", "_b").agg(F.bool_and(F.coalesce(agree, F.lit(False))).alias("_eq")).filter("_eq")
     nearest = equal.groupBy(F.col("_a").alias("_rep")).agg(F.min("_b").alias("_other"))
-    named = (rows.join(classes.select("_block", "_g1", "_g2", "_rep"), ["_block", "_g1", "_g2"])
-             .join(nearest, "_rep", "left"))
+    named = rows.select("_id", *exact).join(classes.select(*exact, "_rep"), exact).join(nearest, "_rep", "left")
     rep = F.least(F.col("_rep"), F.coalesce(F.col("_other"), F.col("_rep")))
     return named.filter(F.col("_id") != rep).select(F.col("_id").alias(key), rep.alias("rep_id"))
 

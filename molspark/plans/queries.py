@@ -915,7 +915,9 @@ GROUP BY b.unique_id""", "molecules", "atoms", ctes=[
             "ON rtrim(a.unique_id, 'bcd') = m.unique_id GROUP BY a.unique_id, m.charge"),
 ]))
 def q_duplicates(spark, sf_dir):
+    import uuid
     from molspark.operators.structure import structural_duplicates
+    from molspark.session import scratch_path
     m = br.molecules(spark, sf_dir).select("unique_id", "charge")
     a = br.atoms(spark, sf_dir, with_z=False).select("unique_id", "atom_idx", "element", "x", "y", "z")
     mols, atoms = m, a
@@ -923,7 +925,9 @@ def q_duplicates(spark, sf_dir):
         named, some = F.concat("unique_id", F.lit(tail)).alias("unique_id"), F.expr(_COPIES.format(n))
         mols = mols.union(m.filter(some).select(named, "charge"))
         atoms = atoms.union(a.filter(some).select(named, "atom_idx", "element", F.col("x") + F.lit(shift), "y", "z"))
-    return structural_duplicates(mols, atoms)
+    path = scratch_path(spark, f"duplicates-{uuid.uuid4().hex[:12]}")
+    atoms.write.parquet(path)  # a table, as a user has it
+    return structural_duplicates(mols, spark.read.parquet(path))
 
 
 @register("fragment_count", br.with_views("""

@@ -143,6 +143,46 @@ def test_duplicates_that_are_not_of_the_smallest_id(spark):
     assert got == [("b2", "b"), ("b3", "b"), ("z", "a")]
 
 
+def test_array_properties_within_tolerance(spark):
+    atoms = spark.createDataFrame([(u, 0, "C", 0.0, 0.0, 0.0) for u in "abcdefgh"],
+                                  "unique_id string, atom_idx int, element string, x double, y double, z double")
+    freq = {"a": [1.0, 2.0], "b": [1.0, 2.0 + 1e-6], "c": [1.0, 2.1], "d": [1.0], "e": None, "f": [float("nan"), 2.0],
+            "g": [1.0, 2.0], "h": [1.0, None]}
+    mols = spark.createDataFrame([(u, "C", f, "p" if u != "g" else "q") for u, f in freq.items()],
+                                 "unique_id string, smiles string, freq array<double>, level string")
+    got = {(r[0], r[1]) for r in structural_duplicates(mols, atoms, property_cols=["level"], array_cols=["freq"]).collect()}
+    assert got == {("b", "a"), ("e", "a")}  # an array that only the smaller id has is not compared
+    assert len(structural_duplicates(mols, atoms, property_cols=["level"]).collect()) == 6
+
+
+def test_centred_conformers_do_not_all_meet(spark):
+    from molspark.operators import structure as S
+    n = 3000
+    rows = (spark.range(n).select(F.format_string("%05d", "id").alias("unique_id"), F.rand(1).alias("u"), F.rand(2).alias("v"))
+            .checkpoint())
+    near = rows.where("unique_id < '00300'").select(F.concat("unique_id", F.lit("n")).alias("unique_id"), F.col("u") + 1e-9, "v")
+    far = rows.limit(1).select(F.lit("far").alias("unique_id"), F.lit(1e6).alias("u"), F.lit(-1e6).alias("v"))  # widens every spread
+    every = rows.union(near).union(far)
+    atoms = every.select("unique_id", F.explode(F.expr("""array(
+        named_struct('atom_idx', 0, 'element', 'C', 'x', u, 'y', v, 'z', 0D),
+        named_struct('atom_idx', 1, 'element', 'C', 'x', -u, 'y', -v, 'z', 0D))""")).alias("a")).select("unique_id", "a.*")
+    mols = every.select("unique_id", F.lit("CC").alias("smiles"))
+    seen = []
+    before = S.duplicate_candidates
+
+    def spy(*a, **k):
+        out = before(*a, **k)
+        seen.append(out)
+        return out
+    S.duplicate_candidates = spy
+    try:
+        got = structural_duplicates(mols, atoms).collect()
+    finally:
+        S.duplicate_candidates = before
+    assert {(r[0], r[1]) for r in got} >= {(f"{i:05d}n", f"{i:05d}") for i in range(300)}
+    assert len(got) <= 310 and seen[0].count() <= 10 * len(got)
+
+
 def test_components_of_a_long_chain(spark):
     atoms = spark.range(1000).select(F.lit("p").alias("unique_id"), F.col("id").cast("int").alias("atom_idx"))
     bonds = spark.range(999).filter("id <> 700").select(F.lit("p").alias("unique_id"), F.col("id").cast("int").alias("i"),
