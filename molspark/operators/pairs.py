@@ -22,6 +22,7 @@ broadcast a side that is many times larger than its estimate.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -172,62 +173,64 @@ def periodic_neighbours(atoms: DataFrame, cells: DataFrame, cutoff: float,
     """Neighbours under periodic boundary conditions.
 
     ``cells`` holds one row per system with the 3x3 cell as ``a1..a3``,
-    ``b1..b3``, ``c1..c3`` (rows are lattice vectors). Integer shifts range
-    over ``ceil(cutoff * |row of inverse cell|)`` per axis; pairs (including
-    an atom with its own image) are kept when ``min_distance < d < cutoff``.
-    Directed output with shift columns ``sa, sb, sc``."""
+    ``b1..b3``, ``c1..c3`` (rows are lattice vectors). Pairs (including an atom
+    with its own image) are kept when ``min_distance < d < cutoff``; atoms may
+    lie outside their cell. Directed output with shift columns ``sa, sb, sc``:
+    ``x_j`` is that of the image, ``r_j + sa * a + sb * b + sc * c``.
+
+    A cell list in fractional space: along each axis the system is cut into as
+    many bins as are at least a cutoff high, or one bin in a cell that is lower.
+    Atoms are wrapped into the cell; an atom is offered to the bins around its
+    own modulo the number of bins, and how often that wraps around is the shift.
+    The join key is (system, bin), so a large system is as many keys as bins."""
     need = _needed(cols)
-    c = cells
-    det = (F.col("a1") * (F.col("b2") * F.col("c3") - F.col("b3") * F.col("c2"))
-           - F.col("a2") * (F.col("b1") * F.col("c3") - F.col("b3") * F.col("c1"))
-           + F.col("a3") * (F.col("b1") * F.col("c2") - F.col("b2") * F.col("c1")))
-    # rows of inverse(cell)^T are cross products of the other two lattice vectors / det
-    def cross_norm(u, v):
-        ux, uy, uz = (F.col(f"{u}{k}") for k in (1, 2, 3))
-        vx, vy, vz = (F.col(f"{v}{k}") for k in (1, 2, 3))
-        return K.norm3(uy * vz - uz * vy, uz * vx - ux * vz, ux * vy - uy * vx) / F.abs(det)
-    reps = c.select(key, *[F.col(n) for n in
-                           ("a1", "a2", "a3", "b1", "b2", "b3", "c1", "c2", "c3")],
-                    F.ceil(F.lit(cutoff) * cross_norm("b", "c")).cast("int").alias("_na"),
-                    F.ceil(F.lit(cutoff) * cross_norm("c", "a")).cast("int").alias("_nb"),
-                    F.ceil(F.lit(cutoff) * cross_norm("a", "b")).cast("int").alias("_nc"))
-    shifts = (reps.withColumn("sa", F.explode(F.sequence(-F.col("_na"), F.col("_na"))))
-              .withColumn("sb", F.explode(F.sequence(-F.col("_nb"), F.col("_nb"))))
-              .withColumn("sc", F.explode(F.sequence(-F.col("_nc"), F.col("_nc")))))
-    sx = F.col("sa") * F.col("a1") + F.col("sb") * F.col("b1") + F.col("sc") * F.col("c1")
-    sy = F.col("sa") * F.col("a2") + F.col("sb") * F.col("b2") + F.col("sc") * F.col("c2")
-    sz = F.col("sa") * F.col("a3") + F.col("sb") * F.col("b3") + F.col("sc") * F.col("c3")
-    shifts = shifts.select(key, "sa", "sb", "sc", sx.alias("_sx"), sy.alias("_sy"), sz.alias("_sz"))
-    ai = atoms.select(key, F.col("atom_idx").alias("atom_idx_i"),
-                      *[F.col(n).alias(f"{n}_i") for n in need])
-    aj = atoms.select(key, F.col("atom_idx").alias("atom_idx_j"),
-                      *[F.col(n).alias(f"{n}_j") for n in need])
-    # images of j: per-system shift list joined on the system key; an image
-    # farther than the cutoff from the system's bounding box cannot pair with
-    # any atom, so it is dropped before the cell join (exact pruning)
-    box = atoms.groupBy(key).agg(*[F.min(c).alias(f"_{c}0") for c in ("x", "y", "z")],
-                                 *[F.max(c).alias(f"_{c}1") for c in ("x", "y", "z")])
-    img = aj.join(shifts, key).join(box, key)
-    img = (img.withColumn("x_j", F.col("x_j") + F.col("_sx"))
-              .withColumn("y_j", F.col("y_j") + F.col("_sy"))
-              .withColumn("z_j", F.col("z_j") + F.col("_sz")))
-    near = F.lit(True)
-    reach = cutoff + 1e-6          # conservative: rounding must never drop a pair
-    for c in ("x", "y", "z"):
-        near = near & (F.col(f"{c}_j") > F.col(f"_{c}0") - F.lit(reach)) \
-            & (F.col(f"{c}_j") < F.col(f"_{c}1") + F.lit(reach))
-    img = img.filter(near).drop("_sx", "_sy", "_sz", "_x0", "_y0", "_z0", "_x1", "_y1", "_z1")
-    side = cutoff * (1.0 + 1e-9)
-    cell = lambda v: F.floor(F.col(v) / F.lit(side)).cast("long")
-    left = ai.select("*", cell("x_i").alias("_cx"), cell("y_i").alias("_cy"),
-                     cell("z_i").alias("_cz"))
-    offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
-    right = (img.withColumn("_ox", F.explode(offs)).withColumn("_oy", F.explode(offs))
-             .withColumn("_oz", F.explode(offs))
-             .withColumn("_cx", cell("x_j") + F.col("_ox"))
-             .withColumn("_cy", cell("y_j") + F.col("_oy"))
-             .withColumn("_cz", cell("z_j") + F.col("_oz")).drop("_ox", "_oy", "_oz"))
-    p = _geometry(left.hint("merge").join(right, [key, "_cx", "_cy", "_cz"]).drop("_cx", "_cy", "_cz"))
+    axes, reach = "abc", cutoff * (1.0 + 1e-9)
+
+    def cross(u: str, v: str) -> list[Column]:
+        (ux, uy, uz), (vx, vy, vz) = ([F.col(f"{w}{k}") for k in (1, 2, 3)] for w in (u, v))
+        return [uy * vz - uz * vy, uz * vx - ux * vz, ux * vy - uy * vx]
+
+    dual = {"a": cross("b", "c"), "b": cross("c", "a"), "c": cross("a", "b")}
+    det = functools.reduce(lambda p, q: p + q, [F.col(f"a{k + 1}") * dual["a"][k] for k in range(3)])
+    lattice = cells.select(key, *[f"{n}{k}" for n in axes for k in (1, 2, 3)],
+                           *[(dual[n][k] / det).alias(f"_r{n}{k + 1}") for n in axes for k in range(3)])
+    for n in axes:
+        # Bins along an axis, and how many of them the cutoff reaches.
+        slope = F.lit(reach) * K.norm3(*[F.col(f"_r{n}{k}") for k in (1, 2, 3)])
+        lattice = lattice.withColumn(f"_m{n}", F.greatest(F.floor(1.0 / slope), F.lit(1)).cast("long")) \
+            .withColumn(f"_n{n}", F.ceil(F.col(f"_m{n}") * slope).cast("long"))
+    # The one row of a system that may hold a third of all atoms is met in 32 places.
+    salts = 32
+    lattice = lattice.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    a = (atoms.select(key, "atom_idx", *need).withColumn("_s", F.pmod(F.xxhash64("atom_idx"), F.lit(salts)).cast("int"))
+         .join(lattice, [key, "_s"]))
+    xyz = ("x", "y", "z")
+    for n in axes:
+        f = functools.reduce(lambda p, q: p + q, [F.col(c) * F.col(f"_r{n}{k + 1}") for k, c in enumerate(xyz)])  # noqa: B023
+        a = a.withColumn(f"_f{n}", f).withColumn(f"_w{n}", F.floor(f"_f{n}").cast("long")).withColumn(
+            f"_b{n}", F.least(F.floor((F.col(f"_f{n}") - F.col(f"_w{n}")) * F.col(f"_m{n}")), F.col(f"_m{n}") - 1).cast("long"))
+
+    def moved(turns: dict[str, Column], k: int) -> Column:
+        return functools.reduce(lambda p, q: p + q, [turns[n] * F.col(f"{n}{k}") for n in axes])
+
+    home = {n: F.col(f"_w{n}") for n in axes}
+    left = a.select(key, F.col("atom_idx").alias("atom_idx_i"), *[F.col(c).alias(f"{c}_i") for c in need],
+                    *[moved(home, k).alias(f"_o{k}") for k in (1, 2, 3)],
+                    *[F.col(f"_w{n}").alias(f"_w{n}i") for n in axes], *[F.col(f"_b{n}").alias(f"_c{n}") for n in axes])
+    right = a
+    for n in axes:
+        right = right.withColumn(f"_t{n}", F.explode(F.sequence(F.col(f"_b{n}") - F.col(f"_n{n}"), F.col(f"_b{n}") + F.col(f"_n{n}"))))
+    turns = {n: F.col(f"_w{n}") + F.floor(F.col(f"_t{n}") / F.col(f"_m{n}")).cast("long") for n in axes}
+    right = right.select(key, F.col("atom_idx").alias("atom_idx_j"),
+                         *[(F.col(c) - moved(turns, xyz.index(c) + 1) if c in xyz else F.col(c)).alias(f"{c}_j") for c in need],
+                         *[turns[n].alias(f"_u{n}") for n in axes],
+                         *[F.pmod(F.col(f"_t{n}"), F.col(f"_m{n}")).alias(f"_c{n}") for n in axes])
+    p = left.hint("merge").join(right, [key, *[f"_c{n}" for n in axes]])
+    for k, c in enumerate(xyz):
+        p = p.withColumn(f"{c}_j", F.col(f"{c}_j") + F.col(f"_o{k + 1}"))
+    for n in axes:
+        p = p.withColumn(f"s{n}", (F.col(f"_w{n}i") - F.col(f"_u{n}")).cast("int"))
+    p = _geometry(p.drop(*[f"_{x}{n}" for n in axes for x in ("c", "u")], *[f"_w{n}i" for n in axes], "_o1", "_o2", "_o3"))
     return p.filter((F.col("d") > F.lit(min_distance)) & (F.col("d") < F.lit(cutoff)))
 
 
