@@ -1,5 +1,5 @@
-"""Registered queries of the splittable CSV reader and of structural duplicates
-among conformers of one formula."""
+"""Registered queries of the splittable CSV reader, of row ranges of tables and of
+structural duplicates among conformers of one formula."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molspark.plans import bridge as br
-from molspark.plans.queries import register
+from molspark.plans.queries import register, rk
 from molspark.session import scratch_path
 
 
@@ -79,3 +79,24 @@ def q_conformer_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, f"conformers-{uuid.uuid4().hex[:12]}")
     atoms.write.parquet(path)  # a table, as a user has it
     return structural_duplicates(mols, spark.read.parquet(path))
+
+
+# --- a row range of a table of XYZ blocks (S10, W7) -------------------------------
+@register("xyz_row_range", br.with_views("""
+SELECT smiles, charge, num_atoms, sum_x FROM (
+  SELECT 'CO' AS smiles, m.charge, c.num_atoms, c.sum_x, row_number() OVER (ORDER BY m.unique_id) - 1 AS idx, count(*) OVER () AS n
+  FROM molecules m JOIN (SELECT unique_id, CAST(count(*) AS INTEGER) AS num_atoms, round(sum(x), 4) AS sum_x
+                         FROM atoms GROUP BY 1) c ON m.unique_id = c.unique_id) t
+WHERE idx >= n // 3 AND idx < n // 3 + n // 2""", "molecules", "atoms"))
+def q_xyz_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from molspark.sinks.tables import xyz_blocks
+    from molspark.sources.xyz import read_xyz_rows
+    m = br.molecules(spark, sf_dir).select("unique_id", "charge", F.lit(3).alias("multiplicity"), F.lit("CO").alias("smiles"))
+    path = scratch_path(spark, f"xyz-rows-{uuid.uuid4().hex[:12]}")
+    blocks = xyz_blocks(m, br.atoms(spark, sf_dir, with_z=False))
+    blocks.select("unique_id", "xyz_block", F.lit("CO").alias("smiles")).repartitionByRange(16, "unique_id") \
+        .sortWithinPartitions("unique_id").write.parquet(path)
+    n = spark.read.parquet(path).count()
+    mols, atoms, _ = read_xyz_rows(spark, path, n // 3, n // 2)
+    sums = atoms.groupBy("unique_id").agg(rk(F.sum("x"), 4).alias("sum_x"))
+    return mols.join(sums, "unique_id").select("smiles", "charge", "num_atoms", "sum_x")

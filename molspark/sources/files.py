@@ -146,6 +146,38 @@ def read_batch_csv(spark: SparkSession, header: str, plain: list[str], spanning:
     return df.select(*[F.col(f"`{c}`") for c in cols], batch_id_of(F.col("_file")).alias("batch_id"), "_file", "_at")
 
 
+def parquet_row_range(spark: SparkSession, path: str, start: int, length: int | None = None,
+                      idx_col: str | None = None) -> DataFrame:
+    """Rows ``start .. start + length - 1`` (to the end without ``length``)
+    of a Parquet table in the order of its files' paths and of the rows in them,
+    with ``idx_col`` their numbers.
+
+    Nothing is sorted: files are counted by their footers, a prefix sum over
+    the files (one row each) tells which of them the range meets, only those are
+    read, and a row's place in its file is what the reader says."""
+    counts = sorted((r["f"], r["n"]) for r in spark.read.parquet(path).groupBy(
+        F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n")).collect())
+    table, at, met = spark.read.parquet(path), 0, []
+    start, stop = max(0, start), None if length is None else max(0, start) + max(0, length)
+    for f, n in counts:
+        if at + n > start and (stop is None or at < stop):
+            met.append((f, at, max(0, start - at), n if stop is None else min(n, stop - at)))
+        at += n
+    if not met:
+        return table.limit(0) if idx_col is None else table.limit(0).withColumn(idx_col, F.lit(0).cast("long"))
+    row, file = F.col("_metadata.row_index"), F.col("_metadata.file_path")
+    (first, _, low, _), (last, _, _, high) = met[0], met[-1]
+    # Only the files at the ends of the range are read in part.
+    keep = ((file != first) | (row >= low)) & ((file != last) | (row < high))
+    df = spark.read.schema(table.schema).parquet(*[f for f, *_ in met])
+    if idx_col is None:
+        return df.where(keep)
+    offsets = spark.createDataFrame([(f, at) for f, at, *_ in met], "_range_file string, _range_at bigint")
+    return (df.where(keep).select(*table.columns, file.alias("_range_file"), row.alias("_range_row"))
+            .join(F.broadcast(offsets), "_range_file")  # one row a file
+            .select(*table.columns, (F.col("_range_at") + F.col("_range_row")).alias(idx_col)))
+
+
 def read_manifest(spark: SparkSession, path: str, mode: str = "upload") -> tuple[DataFrame, DataFrame]:
     """Headerless manifest CSV. All-null rows are dropped, cells
     trimmed; ``upload`` rows need exactly 3 cells (bucket, local_path,

@@ -188,3 +188,13 @@ def read_xyz_table(df: DataFrame, start: int | None = None, length: int | None =
     m, a, f = parse_xyz(src, "_xyz", mode="tokens")
     m = m.withColumn("smiles", F.col("_smiles_in")).drop("_smiles_in")
     return m, a, f.drop("_smiles_in") if "_smiles_in" in f.columns else f
+
+
+def read_xyz_rows(spark: SparkSession, path: str, start: int = 0, length: int | None = None, xyz_col: str = "xyz_block",
+                  smiles_col: str = "smiles") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S10 + W7: rows ``start .. start + length - 1`` of a Parquet table with an
+    ``xyz_block`` column, in file order; files outside the range are not read."""
+    from molspark.operators.qc import require_columns
+    from molspark.sources.files import parquet_row_range
+    require_columns(spark.read.parquet(path), [xyz_col])
+    return read_xyz_table(parquet_row_range(spark, path, start, length), xyz_col=xyz_col, smiles_col=smiles_col)
