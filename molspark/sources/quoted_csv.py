@@ -192,12 +192,14 @@ def _records(firsts, names: list[str]):
     return read
 
 
-def _pieces(firsts):
+def _pieces(firsts, torn: set[int]):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(file, start of the record's first range, at, text) of the pieces of
         records that cross a border."""
         foreign: list[str] = []
         for one, lines, _, ended in _walk(batches, firsts.value):
+            if one.file not in torn:
+                continue
             foreign += lines
             if not ended:
                 continue
@@ -230,6 +232,9 @@ def read_quoted_csv(spark: SparkSession, paths: list[str], cols: list[str]) -> D
     Empty cells without quotes are null, records that are too short are filled
     with nulls and too long ones cut; a quote that is never closed ends with its
     file. One file is read by as many tasks as it has ranges."""
+    # Ranges depend on the number of cores, which may change between two scans.
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     firsts, torn = first_states(spark, paths)
     known = spark.sparkContext.broadcast(firsts)  # one entry a range
     names = [f"c{i}" for i in range(len(cols))]
@@ -239,9 +244,8 @@ def read_quoted_csv(spark: SparkSession, paths: list[str], cols: list[str]) -> D
     listed = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("f"))
     path_of = {r["h"]: r["f"] for r in listed.select("f", F.xxhash64("f").alias("h")).collect()}  # one entry a file
     if torn:
-        # The same scan, as other files would be cut into other ranges.
-        cut = lines.where(F.col("file").isin(sorted(torn)))
-        pieces = cut.mapInArrow(_pieces(known), "file bigint, origin bigint, at bigint, text string")
+        # The very same scan: a filter by file would change its list of files, and with it the ranges.
+        pieces = lines.mapInArrow(_pieces(known, torn), "file bigint, origin bigint, at bigint, text string")
         whole = pieces.groupBy("file", "origin").agg(F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), "\n").alias("text"))
         rows = rows.unionByName(whole.mapInArrow(_joined(names), schema))

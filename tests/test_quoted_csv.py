@@ -66,6 +66,21 @@ def test_ranges_cut_anywhere(spark, tmp_path, small_ranges, seed, end):
     assert {x._file.rsplit("/", 1)[1] for x in rows} == {"f0.csv", "f1.csv", "f2.csv"}
 
 
+def test_torn_files_among_others(spark, tmp_path):
+    """Without settings the size of ranges follows from all files together."""
+    paths = []
+    for f in range(3):
+        p = tmp_path / f"f{f}.csv"
+        write(p, [(i, "x" * 50) for i in range(20_000)] if f else [(1, "a"), (2, "line\n" * 400_000)], ["id", "v"])
+        paths.append(str(p))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        rows = read_quoted_csv(spark, paths, ["id", "v"])
+        assert rows.count() == 40_002 and rows.where("length(v) = 2000000").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_one_cell_longer_than_many_ranges(spark, tmp_path, small_ranges):
     p = tmp_path / "long.csv"
     block = "line, with \"quotes\"\n" * 2000
