@@ -100,3 +100,29 @@ def q_xyz_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     mols, atoms, _ = read_xyz_rows(spark, path, n // 3, n // 2)
     sums = atoms.groupBy("unique_id").agg(rk(F.sum("x"), 4).alias("sum_x"))
     return mols.join(sums, "unique_id").select("smiles", "charge", "num_atoms", "sum_x")
+
+
+# --- appends that count once (K10) ------------------------------------------------
+@register("append_ledger", """
+SELECT CAST(o_orderkey AS VARCHAR) AS unique_id, o_totalprice AS energy, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS label,
+       CASE WHEN o_orderstatus = 'F' THEN 'finished' ELSE 'open' END AS batch
+FROM orders""")
+def q_append_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches with other column orders and spellings; one job runs twice and
+    one dies between writing and committing and runs again."""
+    from pyspark.sql import types as T
+
+    from molspark.sinks.append import append_once, read_appended, stage_batch
+    schema = T._parse_datatype_string("unique_id string, energy double, label string")
+    table = scratch_path(spark, f"appended-{uuid.uuid4().hex[:12]}")
+    o = br.table(spark, sf_dir, "orders")
+    finished = F.col("o_orderstatus") == "F"
+    done = o.where(finished).select(F.col("o_totalprice").alias("Energy"), F.col("o_orderkey").alias("UNIQUE_ID"),
+                                    F.lit(1).alias("extra"))
+    rest = o.where(~finished).select(F.col("o_orderpriority").alias("label"), F.col("o_orderkey").alias("unique_id"),
+                                     F.col("o_totalprice").alias("energy"))
+    append_once(done, table, schema, "finished")
+    append_once(done, table, schema, "finished")
+    stage_batch(rest, table, schema)  # a job that died before its commit
+    append_once(rest, table, schema, "open")
+    return read_appended(spark, table, schema)
