@@ -87,14 +87,6 @@ def ensemble_stats(predictions: DataFrame, cols: Sequence[str], key: str = "uniq
     return predictions.groupBy(key, *by).agg(*aggs)
 
 
-def element_sequence_signature(atoms: DataFrame, key: str = "unique_id") -> DataFrame:
-    """Order-sensitive fingerprint of a molecule's element list computed as
-    an aggregate (count + sum of position-tagged hashes), so no molecule is
-    gathered into one row."""
-    h = F.pmod(F.xxhash64(F.col("atom_idx"), F.col("element")), F.lit(2147483647))
-    return atoms.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(h).alias("_h"))
-
-
 #: Atoms whose coordinates are offered to the tolerance grid, coordinates of the
 #: grid, and its cell width in tolerances.
 _PROBES, _GRID, _CELL = 5, 3, 8.0
