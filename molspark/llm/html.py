@@ -39,8 +39,9 @@ SCOPE = frozenset("ul ol dl table div article section main body nav aside form t
 ENDS_P = frozenset(("address article aside blockquote details div dl fieldset figcaption figure footer "
                     "form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul").split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]{0,9999}\"|'[^']{0,9999}')*+)>", re.S)
-_LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
+_MARKUP = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_QUOTE_OR_END = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
@@ -73,6 +74,23 @@ def _node(tag: str, attributes: str, parent: int) -> Node:
     return node
 
 
+def _tag_end(page: str, at: int, unclosed: set[int]) -> int:
+    """Place of the ``>`` that ends the tag whose attributes start at ``at``;
+    values in quotes, of any length, may hold one. -1 if a quote never closes or
+    the page ends before. ``unclosed`` keeps the quotes from which that is known,
+    so all calls on a page together are linear in it."""
+    met = []
+    while m := _QUOTE_OR_END.search(page, at):
+        begin = m.start()
+        if m[0] == ">":
+            return begin
+        met.append(begin)
+        if begin in unclosed or (at := page.find(m[0], begin + 1) + 1) == 0:
+            break
+    unclosed.update(met)
+    return -1
+
+
 def parse(page: str | None) -> list[Node]:
     """Nodes of a page in document order, the root first; inline elements but
     links belong to the block around them. Forgiving: unclosed, stray and cut
@@ -80,6 +98,7 @@ def parse(page: str | None) -> list[Node]:
     page = page or ""
     nodes, stack, at, place = [Node("#root", -1)], [0], 0, 0
     opened: Counter[str] = Counter()  # open elements by tag
+    unclosed: set[int] = set()
 
     def text(piece: str) -> None:
         nonlocal place
@@ -105,14 +124,16 @@ def parse(page: str | None) -> list[Node]:
             text(page[at:])
             break
         text(page[at:begin])
-        m = _TOKEN.match(page, begin) or _LOOSE.match(page, begin)
-        if not m:
+        if m := _MARKUP.match(page, begin):
+            at = m.end()
+            continue
+        if not (m := _NAME.match(page, begin)):
             text("<")
             at = begin + 1
             continue
-        at = m.end()
-        if not m[1]:
-            continue
+        if (stop := _tag_end(page, m.end(), unclosed)) < 0 and (stop := page.find(">", m.end())) < 0:
+            stop = end
+        attributes, at = page[m.end():stop], stop + 1
         tag = m[1].lower()
         if page[begin + 1] == "/":
             if tag not in INLINE or tag == "a":
@@ -131,7 +152,7 @@ def parse(page: str | None) -> list[Node]:
             close({"a"}, SCOPE)
         if tag == "body":
             close({"head"})
-        nodes.append(_node(tag, m[2] or "", stack[-1]))
+        nodes.append(_node(tag, attributes, stack[-1]))
         if tag in VOID:
             continue
         if tag in RAW:
@@ -190,7 +211,7 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         rows[i, base + 2] = x.hidden
         rows[i, base + 3] = x.tag in RAW
         if x.texts:
-            joined = " ".join(t for _, t in x.texts[:40])[:2000]  # a look for cues only; the text is kept whole
+            joined = " ".join(t for _, t in x.texts)
             rows[i, base + 9] = min(1.0, len(re.findall(r"[.!?](?:\s|$)", joined)) / 3)
             rows[i, base + 12] = "©" in joined or "all rights reserved" in joined.lower()
     rows[:, base + 4] = total == 0

@@ -65,8 +65,9 @@ class Units:
     """Token ids of whole texts by way of their space-separated units.
 
     A byte-level tokenizer splits before every single space, so a text's ids are
-    the joined ids of its units, and each distinct unit is encoded once; the
-    strings of special tokens are ordinary text. Where
+    the joined ids of its units, and each distinct unit is encoded once. The
+    strings of added tokens (``<|endoftext|>``) have their own ids, as the
+    tokenizer as loaded gives them; what stands between two is a text of its own. Where
     white space stands around a split (two spaces and more), the text is split
     only at spaces between two other characters. The memory of units is bounded
     and starts anew when it is full.
@@ -81,6 +82,12 @@ class Units:
         if (tokenizer.normalizer or not isinstance(self.split, pre_tokenizers.ByteLevel)
                 or self.split.add_prefix_space):
             raise ValueError("units hold for byte-level tokenizers without normaliser and added space")
+        tokens = tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in tokens.values()):
+            raise ValueError("added tokens that take spaces or whole words with them are not covered")
+        self.added = {t.content: i for i, t in tokens.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.at_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
         self.forget()
 
     def forget(self) -> None:
@@ -138,7 +145,27 @@ class Units:
         return units
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text its ids and the offsets after which a sentence ends."""
+        """For each text its ids and the offsets after which a sentence ends; an
+        added token ends one too."""
+        if self.at_added is None:
+            return self._encode_plain(texts)
+        split = [self.at_added.split(t) for t in texts]  # text, token, text, ...
+        plain = iter(self._encode_plain([piece for pieces in split for piece in pieces[::2]]))
+        out = []
+        for pieces in split:
+            got = next(plain)
+            if len(pieces) > 1:
+                ids, ends, size = [got[0]], [got[1]], len(got[0])
+                for token in pieces[1::2]:
+                    more, stops = next(plain)
+                    ids += [np.array([self.added[token]], np.uint32), more]
+                    ends += [[size + 1], stops + size + 1]
+                    size += 1 + len(more)
+                got = np.concatenate(ids), np.unique(np.concatenate(ends).astype(np.int64))
+            out.append(got)
+        return out
+
+    def _encode_plain(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         rows = self._lookup([self._split(t, False) for t in texts])
         odd = [i for i, at in enumerate(rows) if self.starts_blank[at[1:]].any()]
         if odd:  # looked up together, as the memory may start anew in between
@@ -274,6 +301,9 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
     alone. Every id lies in exactly one piece, documents keep the order in
     which their task reads them, repeated rows are packed each on their own, and
     a sequence's offsets run from 0 without a gap. An empty table gives no row.
+    A text longer than the buffer goes through in parts, cut like any other. Of
+    equally cheap windows the one with the earliest start is taken. Only ``key``
+    and ``text`` are read, so further columns cannot clash with the result's.
     sequence_id is unique: the task's partition number and a counter.
     """
     kind = docs.schema[key].dataType

@@ -148,3 +148,26 @@ def test_odd_pages(spark, content):
     assert got[0].text == got[1].text == got[2].text == "" and got[0].n_chars == 0
     assert got[13].n_chars == len(("long words here. " * 60_000).strip())
     assert html.extract(df.limit(0), content).count() == 0
+
+
+def test_long_attributes_and_nodes(content):
+    import time
+    for size in (100, 12_000, 1_000_000):
+        data = "x > <p>no text.</p> " * (size // 20)
+        for quote in "\"'":
+            page = PAGE.replace("<h1>", f"<h1 data-x={quote}{data}{quote} class={quote}title{quote}>")
+            assert html.main_text(page, content) == html.main_text(PAGE, content)
+    # A quote that never closes ends its tag at the next sign, also very many of them.
+    begin = time.monotonic()
+    html.parse("<a \">\"" * 100_001)
+    html.parse("<a '\">" * 100_001)
+    assert [x.tag for x in html.parse("<p class=\"a>b<b>c</b>")] == ["#root", "p"]
+    assert time.monotonic() - begin < 20
+
+
+def test_cues_come_from_whole_nodes():
+    """A sentence end or legal note counts wherever in its node it stands."""
+    page = "<p>{}</p>"
+    late = html.features(html.parse(page.format("words<br>" * 100_000 + "One. Two. Three. © all")))[0]
+    early = html.features(html.parse(page.format("One. Two. Three. © all<br>" + "words<br>" * 100_000)))[0]
+    assert (late == early).all() and (late != html.features(html.parse(page.format("words<br>" * 100_004)))[0]).any()

@@ -9,21 +9,20 @@ import pytest
 from molspark.llm import packing, warc
 from molspark.llm.queries import tokenizer_path
 
-ODD = [None, "", " ", "  two  spaces   three ", "\n\n a\n b \t c", "it's  they've", "é ñ 日本 😀 a😀b", "x<|endoftext|>y", "a" * 3000,
+ODD = [None, "", " ", "  two  spaces   three ", "\n\n a\n b \t c", "it's  they've", "é ñ 日本 😀 a😀b", "x<|endoftext|>y", "hello <|endoftext|> world",
+       "<|endoftext|>", "<|endoftext|><|endoftext|> a.", "<|endoftext|", "a <|endoftext|>\n", "a" * 3000,
        "12 345,6.", "A. B! C? d", " nb  sp ", "long. " * 30_000, "nostop" * 4000]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def test_units_give_the_tokenizers_ids(tokenizer):
     r = random.Random(1)
-    texts = [t or "" for t in ODD] + ["".join(r.choice(["the", " ", "  ", "\n", " a", ".", "'s", "é", "\t", "Zq"]) for _ in range(60))
+    texts = [t or "" for t in ODD] + ["".join(r.choice(["the", " ", "  ", "\n", " a", ".", "'s", "é", "\t", "Zq", "<|endoftext|>"]) for _ in range(60))
                                       for _ in range(300)]
     for most in (10, 1_000_000):  # also when the memory starts anew all the time
         units = packing.Units(tokenizer_path(), most)
