@@ -27,7 +27,8 @@ class Params:
     """``sample``: distinct vectors that the index is fitted on (a bound).
     ``part_sample``: sample vectors per part, ``most_parts`` a bound on parts.
     ``recall``: target of the routing on held-out sample queries. ``block`` and
-    ``query_block``: rows and queries scored together in one task."""
+    ``query_block``: rows and queries that meet in one task; a row moves once per
+    block of queries of its part and a query once per block of rows."""
 
     sample: int = 8192
     part_sample: int = 256
@@ -36,8 +37,8 @@ class Params:
     hidden: int = 64
     epochs: int = 15
     recall: float = 0.96
-    block: int = 2048
-    query_block: int = 1024
+    block: int = 8192
+    query_block: int = 4096
     seed: int = 11
 
 
@@ -54,13 +55,15 @@ class Router:
             return np.ones((len(x), 1))
         return _forward(self.weights, x)[1]
 
-    def routes(self, x: np.ndarray) -> list[list[int]]:
-        """The most probable parts whose probabilities together reach the mass."""
+    def routes(self, x: np.ndarray, sizes: np.ndarray, least: int) -> list[list[int]]:
+        """The most probable parts whose probabilities together reach the mass,
+        and the next ones until ``least`` keys are covered; ``sizes``: keys of each part."""
         p = self.probabilities(x)
         order = np.argsort(-p, axis=1, kind="stable")
         before = np.cumsum(np.take_along_axis(p, order, 1), axis=1) \
             - np.take_along_axis(p, order, 1)
-        return [o[b < self.mass].tolist() for o, b in zip(order, before)]
+        covered = np.cumsum(sizes[order], axis=1) - sizes[order]
+        return [o[(b < self.mass) | (c < least)].tolist() for o, b, c in zip(order, before, covered)]
 
 
 def _forward(weights: tuple[np.ndarray, ...], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +180,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
 
     A query's own key is no candidate. Invalid vectors (see ``valid``), null
     keys and vectors of another than the most common dimension take no part;
-    rows repeated under one key count once. Fewer than ``k`` candidates: all of
-    those in the routed parts. An empty table gives no rows.
+    rows repeated under one key count once. A query gets ``k`` rows wherever
+    there are so many candidates, and else all of them: its route goes on to
+    further parts until they hold ``k`` other keys. An empty table gives no rows.
+    Only ``key``, ``vector`` and the columns of ``is_query`` are read, so further
+    columns cannot clash.
 
     Rows meet queries by part, in blocks of rows and of queries, so a vector
     that very many rows share fills several blocks and not one task.
@@ -205,11 +211,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     def part_of(v: pd.Series) -> pd.Series:
         return pd.Series(shared.value.probabilities(_matrix(v)).argmax(axis=1).astype(np.int32))
 
+    index = stored(rows.withColumn("part", part_of("v")), "neighbour-index")
+    sizes = np.zeros(shared.value.parts, np.int64)
+    # A key with vectors in several parts counts in the first only, so a route's sum is never too high.
+    for r in index.groupBy("id").agg(F.min("part").alias("part")).groupBy("part").count().collect():
+        sizes[r["part"]] = r["count"]
+
     @F.pandas_udf("array<int>")
     def routes_of(v: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.routes(_matrix(v)))
+        return pd.Series(shared.value.routes(_matrix(v), sizes, k + 1))
 
-    index = stored(rows.withColumn("part", part_of("v")), "neighbour-index")
     asked = stored(index.where("asks").groupBy("id").agg(F.max("v").alias("v"))
                    .withColumn("part", F.explode(routes_of("v"))), "neighbour-queries")
 
@@ -234,20 +245,26 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
         if not len(candidates) or not len(asking):
             return pd.DataFrame({"query_id": [], key: [], "score": []})
         candidates = candidates.sort_values("id", kind="stable")
-        ids, own = candidates["id"].to_numpy(), asking["id"].to_numpy()
-        s = _matrix(asking["v"]) @ _matrix(candidates["v"]).T
-        s[own[:, None] == ids[None, :]] = -np.inf
-        found = []
-        for q, row in zip(own, s):
-            least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-            at = np.flatnonzero((row >= least) & (row > -np.inf))
-            at = at[np.lexsort((at, -row[at]))]  # ids ascend, so ties go to the smaller
-            if len(np.unique(ids[at[:k]])) < min(k, len(at)):  # a repeated key counts once
-                at = np.flatnonzero(row > -np.inf)
-                at = at[np.lexsort((at, -row[at]))]
-                at = at[np.sort(np.unique(ids[at], return_index=True)[1])]
-            found.append(pd.DataFrame({"query_id": q, key: ids[at[:k]], "score": row[at[:k]]}))
-        return pd.concat(found)
+        ids, base = candidates["id"].to_numpy(), _matrix(candidates["v"])
+        owners, near, scores = [], [], []
+        for begin in range(0, len(asking), 256):
+            some = asking.iloc[begin:begin + 256]
+            own = some["id"].to_numpy()
+            s = _matrix(some["v"]) @ base.T
+            s[own[:, None] == ids[None, :]] = -np.inf
+            for q, row in zip(own, s):
+                least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
+                at = np.flatnonzero((row >= least) & (row > -np.inf))
+                at = at[np.lexsort((at, -row[at]))]  # ids ascend, so ties go to the smaller
+                if len(np.unique(ids[at[:k]])) < min(k, len(at)):  # a repeated key counts once
+                    at = np.flatnonzero(row > -np.inf)
+                    at = at[np.lexsort((at, -row[at]))]
+                    at = at[np.sort(np.unique(ids[at], return_index=True)[1])]
+                owners.append(np.full(len(at[:k]), q))
+                near.append(ids[at[:k]])
+                scores.append(row[at[:k]])
+        return pd.DataFrame({"query_id": np.concatenate(owners), key: np.concatenate(near),
+                             "score": np.concatenate(scores)})
 
     keys = ["part", "block", "query_block"]
     hits = (base.groupBy(keys).cogroup(queries.groupBy(keys)).applyInPandas(score, out)

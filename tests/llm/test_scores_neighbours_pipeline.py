@@ -137,6 +137,24 @@ def test_ties_blocks_and_copies(spark):
         assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
 
 
+def test_routes_go_on_until_there_are_enough(spark):
+    """Parts of few rows: every query still gets k neighbours, or all if there are fewer."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.standard_normal((1, 8)) * 5 + rng.standard_normal((30, 8)) * 0.1 for _ in range(20)])
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    few = neighbours.Params(part_sample=16, recall=0.01)
+    assert neighbours.fit_router(x, few, 20).parts == 32
+    for k in (20, 200, 1000):
+        got = found(df, k=k, params=few)
+        assert set(got) == set(ids[ids % 20 == 0].tolist())
+        assert {len(near) for near in got.values()} == {min(k, len(x) - 1)}
+        assert all(len({i for i, _ in near}) == len(near) and q not in {i for i, _ in near} for q, near in got.items())
+    # Two vectors of one key in different parts are one candidate.
+    twice = df.union(df.selectExpr("vec_id", "transform(embedding, c -> -c)"))
+    assert {len(near) for near in found(twice, k=599, params=few).values()} == {599}
+
+
 def test_parts_are_balanced():
     x = np.random.default_rng(2).standard_normal((512, 6))
     part = neighbours.balanced_parts(neighbours.nearest(x, 8), 3, np.random.default_rng(0))
