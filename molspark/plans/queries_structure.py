@@ -102,6 +102,48 @@ def q_xyz_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mols.join(sums, "unique_id").select("smiles", "charge", "num_atoms", "sum_x")
 
 
+# --- XYZ files of many frames in byte ranges (S5-S9) ------------------------------
+@register("xyz_frames", br.with_views("""
+SELECT CASE WHEN kind <> 1 THEN m.unique_id END AS unique_id, CASE WHEN kind = 1 THEN num_atoms ELSE charge END AS charge,
+       CASE WHEN kind <> 2 THEN num_atoms END AS num_atoms, CASE WHEN kind <> 2 THEN sum_x END AS sum_x,
+       CASE WHEN kind = 1 THEN CAST(num_atoms AS DOUBLE) END AS sum_q, CAST(NULL AS VARCHAR) AS reason
+FROM (SELECT *, CAST(unique_id AS BIGINT) % 4 AS kind FROM molecules) m
+JOIN (SELECT unique_id, CAST(count(*) AS INTEGER) AS num_atoms, round(sum(x), 4) AS sum_x FROM atoms GROUP BY 1) c ON m.unique_id = c.unique_id
+WHERE kind <> 2
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, CAST(count(*) AS VARCHAR) || ' atom lines, 0 announced'
+FROM atoms WHERE CAST(unique_id AS BIGINT) % 4 = 2 GROUP BY unique_id""", "molecules", "atoms"))
+def q_xyz_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every molecule as a frame of one of four files, read in ranges of 64 KB: one
+    file has a column of charges and comments of digits, one announces no atoms,
+    and one has the line ends of another system."""
+    from molspark.sinks.tables import xyz_blocks
+    from molspark.sources.xyz_frames import read_xyz_frames
+    m = br.molecules(spark, sf_dir).select("unique_id", "charge", F.lit(1).alias("multiplicity"))
+    lines, kind = F.split("xyz_block", "\n"), F.col("unique_id").cast("long") % 4
+    end = F.when(kind == 1, " 1.0").when(kind == 3, "\r").otherwise("")
+    body = F.transform(F.slice(lines, 3, F.size(lines)), lambda x: F.concat(x, end))
+    text = F.concat_ws("\n", F.when(kind == 2, "0").otherwise(F.element_at(lines, 1)),
+                       F.when(kind == 1, F.col("unique_id")).otherwise(F.element_at(lines, 2)), body)
+    root = scratch_path(spark, f"frames-{uuid.uuid4().hex[:12]}")
+    (xyz_blocks(m, br.atoms(spark, sf_dir, with_z=False)).select(text.alias("value"), kind.alias("kind"))
+     .repartition("kind").write.partitionBy("kind").text(root))
+    ranges = spark.newSession()  # the size of ranges is a setting of the session
+    ranges.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    ranges.conf.set("spark.sql.files.openCostInBytes", "1b")
+    sum_x, no_q, no_reason = rk(F.sum("x"), 4).alias("sum_x"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    mols, atoms, failed = read_xyz_frames(ranges, f"{root}/kind=[023]", id_from="comment")
+    out = mols.join(atoms.groupBy("unique_id").agg(sum_x), "unique_id").select(
+        "unique_id", "charge", "num_atoms", "sum_x", no_q.alias("sum_q"), no_reason.alias("reason"))
+    mols, atoms, _ = read_xyz_frames(ranges, f"{root}/kind=1", "tokens", charge_col_idx=4)
+    sums = atoms.groupBy("unique_id").agg(sum_x, F.sum("partial_charge").alias("sum_q"))
+    charged = mols.join(sums, "unique_id").select(F.lit(None).cast("string").alias("unique_id"), "charge", "num_atoms", "sum_x",
+                                                  "sum_q", no_reason.alias("reason"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("unique_id", "string"), ("charge", "int"), ("num_atoms", "int"),
+                                                      ("sum_x", "double"), ("sum_q", "double"))]
+    return out.union(charged).union(failed.select(*none, "reason"))
+
+
 # --- appends that count once (K10) ------------------------------------------------
 @register("append_ledger", """
 SELECT CAST(o_orderkey AS VARCHAR) AS unique_id, o_totalprice AS energy, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS label,
