@@ -116,20 +116,70 @@ def enrich_batched(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
     return res.filter(F.col("_error").isNull()).select(*names), fails
 
 
+_MODELS: dict[str, object] = {}  # of this Python worker
+
+
+def worker_model(key: str, make_model: Callable[[], object], most: int = 2):
+    """The model of ``key``, made once in this Python worker and kept for the
+    tasks that come after; beyond ``most`` models the one used least lately goes."""
+    model = _MODELS.pop(key) if key in _MODELS else make_model()
+    while len(_MODELS) >= most:
+        del _MODELS[next(iter(_MODELS))]
+    _MODELS[key] = model
+    return model
+
+
+def packed_batches(frames: Iterator[pd.DataFrame], size_col: str | None, batch_size: int,
+                   max_padded: int | None) -> Iterator[pd.DataFrame]:
+    """Runs of consecutive rows, across the borders of ``frames``: at most
+    ``batch_size`` rows whose number times largest size is at most
+    ``max_padded``; a row above it is a run alone. Null sizes count as 0."""
+    rest = None
+    for pdf in frames:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        sizes = pdf[size_col].fillna(0).tolist() if size_col else [0] * len(pdf)
+        begin, largest = 0, 0
+        for i, size in enumerate(sizes):
+            largest = max(largest, size)
+            full = i - begin >= batch_size or max_padded is not None and (i - begin + 1) * largest > max_padded
+            if full and i > begin:
+                yield pdf.iloc[begin:i]
+                begin, largest = i, size
+        rest = pdf.iloc[begin:]
+    if rest is not None and len(rest):
+        yield rest
+
+
 def batch_inference(df: DataFrame, make_model: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
                     schema: T.StructType | str, batch_size: int = 2048,
-                    size_col: str | None = "num_atoms") -> DataFrame:
-    """Load the model once per task, then feed it batches of rows of
-    similar size (rows are sorted by ``size_col`` inside each partition, so
-    padding inside the model stays small)."""
-    src = df.sortWithinPartitions(size_col) if size_col and size_col in df.columns else df
+                    size_col: str | None = "num_atoms", max_padded: int | None = None,
+                    model_key: str | None = None) -> DataFrame:
+    """Feed a model batches of rows of similar size.
+
+    Rows are partitioned by ranges of ``size_col``, ties by a hash of the row (a
+    size that very many molecules share fills several partitions), and sorted in
+    them; a batch is the longest run of at most ``batch_size`` rows that pads to
+    at most ``max_padded`` atoms. Without the column rows go as they come.
+    ``model_key`` names the model: a worker then makes it once for all its tasks;
+    otherwise once per task."""
+    sized = size_col if size_col in df.columns else None
+    if sized:
+        spread = F.xxhash64(*[f"`{f.name}`" for f in df.schema if not _has_map(f.dataType)])
+        df = (df.withColumn("_spread", spread).repartitionByRange(sized, "_spread")
+              .sortWithinPartitions(sized, "_spread").drop("_spread"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = make_model()
-        for pdf in batches:
-            for s in range(0, len(pdf), batch_size):
-                yield model(pdf.iloc[s:s + batch_size])
-    return src.mapInPandas(run, schema)
+        model = worker_model(model_key, make_model) if model_key else make_model()
+        for part in packed_batches(batches, sized, batch_size, max_padded):
+            yield model(part)
+    return df.mapInPandas(run, schema)
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """Spark hashes no maps."""
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType)) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
 
 
 def per_molecule(atoms: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],

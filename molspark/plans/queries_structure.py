@@ -3,8 +3,11 @@ structural duplicates among conformers of one formula."""
 
 from __future__ import annotations
 
+import os
+import socket
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,6 +147,52 @@ def q_xyz_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.union(charged).union(failed.select(*none, "reason"))
 
 
+# --- model batches packed by padded size (X4) --------------------------------------
+@register("packed_inference", br.with_views("""
+SELECT unique_id, CAST(num_atoms AS BIGINT) * 7 AS v, TRUE AS fits, TRUE AS little_padding, TRUE AS one_load
+FROM (SELECT unique_id, count(*) AS num_atoms FROM atoms GROUP BY unique_id) t""", "atoms"))
+def q_packed_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every molecule through a model in batches of at most 256 padded atoms: at
+    most a tenth of all is padding, and a Python worker loads the model once."""
+    from molspark.operators.stages import batch_inference
+    sizes = br.atoms(spark, sf_dir, with_z=False).groupBy("unique_id").agg(F.count(F.lit(1)).alias("num_atoms"))
+
+    def make_model():
+        load, worker = uuid.uuid4().hex, f"{socket.gethostname()}:{os.getpid()}"
+        return lambda pdf: pd.DataFrame({
+            "unique_id": pdf["unique_id"], "v": pdf["num_atoms"] * 7, "n": pdf["num_atoms"], "padded": int(pdf["num_atoms"].max()),
+            "area": len(pdf) * int(pdf["num_atoms"].max()), "alone": len(pdf) == 1, "load": f"{worker}/{load}"})
+
+    path = scratch_path(spark, f"inference-{uuid.uuid4().hex[:12]}")
+    key = f"sevenfold-{uuid.uuid4().hex}"
+    batch_inference(sizes, make_model, "unique_id string, v bigint, n bigint, padded bigint, area bigint, alone boolean, load string",
+                    max_padded=256, model_key=key).write.parquet(path)
+    out = spark.read.parquet(path)  # one run: loads differ between two
+    told = out.agg((F.sum("padded") * 0.9 <= F.sum("n")).alias("little_padding"),
+                   (F.count_distinct("load") == F.count_distinct(F.substring_index("load", "/", 1))).alias("one_load"))
+    return out.crossJoin(F.broadcast(told)).select(  # one row
+        "unique_id", "v", (F.col("alone") | (F.col("area") <= 256)).alias("fits"), "little_padding", "one_load")
+
+
+# --- progress every so many rows, over a restart (T2) ------------------------------
+@register("progress_feed", """
+SELECT batch, unnest(generate_series(1, n // 50)) * 50 AS milestone, TRUE AS reached
+FROM (SELECT o_orderpriority AS batch, count(*) AS n FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1) t""")
+def q_progress_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Molecules arrive in two loads; the feed stops after the first, begins again
+    from its checkpoint, and tells every multiple of 50 of each batch once."""
+    from molspark.streaming.combine import progress_feed
+    root = scratch_path(spark, f"progress-{uuid.uuid4().hex[:12]}")
+    m = br.molecules(spark, sf_dir).select("unique_id", "batch_id", "converged")
+    for load in (0, 1):
+        m.where(F.pmod(F.xxhash64("unique_id"), F.lit(2)) == load).repartition(4).write.mode("append").parquet(f"{root}/in")
+        rows = spark.readStream.schema(m.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+        (progress_feed(rows, ok_col="converged", every=50).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/feed").awaitTermination())
+    feed = spark.read.parquet(f"{root}/feed")
+    return feed.select("batch", "milestone", (F.col("n_done") + F.col("n_failed") >= F.col("milestone")).alias("reached"))
+
+
 # --- appends that count once (K10) ------------------------------------------------
 @register("append_ledger", """
 SELECT CAST(o_orderkey AS VARCHAR) AS unique_id, o_totalprice AS energy, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS label,

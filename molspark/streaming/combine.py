@@ -11,9 +11,13 @@ the same job serves both "merge now" and "merge what is new".
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from molspark.operators.batches import union_diagonal
 from molspark.operators.merge import cast_numeric, cast_rejects
@@ -77,3 +81,49 @@ def progress_stream(df: DataFrame, batch_col: str = "batch_id", ok_col: str = "o
     (complete-mode aggregate; state is one row per batch)."""
     return df.groupBy(batch_col).agg(F.count_if(F.col(ok_col)).alias("n_done"),
                                      F.count_if(~F.col(ok_col)).alias("n_failed"))
+
+
+def progress_feed(df: DataFrame, batch_col: str = "batch_id", ok_col: str = "ok", every: int = 100,
+                  quiet_seconds: int | None = None) -> DataFrame:
+    """A feed over a streaming frame. For each batch one row whenever its
+    count passes a further multiple of ``every`` (``milestone``), and with
+    ``quiet_seconds`` one without milestone when nothing new came for that long:
+    batch, milestone, n_done and n_failed as far as they are known then. The timer
+    is for queries that go on: under ``availableNow`` Spark would run empty
+    batches for it without end.
+
+    Tasks count their rows per batch before the exchange, so a batch of very many
+    rows moves as a few counts; the state is three numbers per batch and lives in
+    the query's checkpoint, so a query that starts again goes on where it
+    stopped. Rows whose outcome is null count nowhere; a null batch is one too."""
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            ok = pdf["ok"].dropna().astype(bool)
+            yield (pd.DataFrame({"batch": pdf["batch"][ok.index], "n_done": ok.astype(int), "n_failed": (~ok).astype(int)})
+                   .groupby("batch", dropna=False, as_index=False).sum())
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        done, failed, told = state.get if state.exists else (0, 0, 0)
+        reached: list[int | None] = []
+        if state.hasTimedOut:
+            if done + failed > told:
+                reached, told = [None], done + failed
+            state.update((done, failed, told))
+        else:
+            before = done + failed
+            for pdf in frames:
+                done, failed = done + int(pdf["n_done"].sum()), failed + int(pdf["n_failed"].sum())
+            reached = list(range((before // every + 1) * every, done + failed + 1, every))
+            told = max(told, reached[-1]) if reached else told
+            state.update((done, failed, told))
+            if quiet_seconds is not None:
+                state.setTimeoutDuration(quiet_seconds * 1000)
+        if reached:
+            yield pd.DataFrame({"batch": pd.Series([key[0]] * len(reached), dtype=object),
+                                "milestone": pd.Series(reached, dtype="Int64"), "n_done": done, "n_failed": failed})
+
+    timer = GroupStateTimeout.NoTimeout if quiet_seconds is None else GroupStateTimeout.ProcessingTimeTimeout
+    return (df.select(F.col(batch_col).cast("string").alias("batch"), F.col(ok_col).cast("boolean").alias("ok"))
+            .mapInPandas(count, "batch string, n_done bigint, n_failed bigint").groupBy("batch")
+            .applyInPandasWithState(step, "batch string, milestone bigint, n_done bigint, n_failed bigint",
+                                    "n_done bigint, n_failed bigint, told bigint", "append", timer))
