@@ -193,6 +193,31 @@ def q_progress_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.select("batch", "milestone", (F.col("n_done") + F.col("n_failed") >= F.col("milestone")).alias("reached"))
 
 
+# --- incremental merge, one row of each key (T1) -----------------------------------
+@register("combine_stream_distinct", """
+SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS unique_id, o_orderstatus AS smiles,
+       CAST(printf('%.4f', -o_totalprice / 100.0) AS DOUBLE) AS homo
+FROM orders""")
+def q_combine_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of batch files that share a third of their molecules, in epochs of
+    three files: every molecule stays once."""
+    from molspark.plans.queries import _as_batches
+    from molspark.streaming.combine import combine_stream
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    o = br.table(spark, sf_dir, "orders")
+    rows = o.select(
+        (F.col("o_custkey") % 3).alias("third"), F.substring("o_orderpriority", 1, 1).alias("batch"),
+        F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("unique_id"), F.col("o_orderstatus").alias("smiles"),
+        F.format_string("%.4f", -F.col("o_totalprice") / 100.0).alias("homo"))
+    for load in (0, 1):
+        part = rows.where(F.col("third").isin(load, load + 1)).withColumn("_k", F.concat("batch", F.lit(load))).drop("third", "batch")
+        part.write.partitionBy("_k").option("header", True).csv(f"{root}/raw-{load}")
+        _as_batches(spark, f"{root}/raw-{load}", "_k", f"{root}/in", "molecule_property.csv")
+        combine_stream(spark, f"{root}/in", "molecule_property.csv", "unique_id string, smiles string, homo double",
+                       f"{root}/merged", f"{root}/checkpoint", dedupe_key="unique_id", files_per_epoch=3)
+    return spark.read.parquet(f"{root}/merged").select("unique_id", "smiles", "homo")
+
+
 # --- appends that count once (K10) ------------------------------------------------
 @register("append_ledger", """
 SELECT CAST(o_orderkey AS VARCHAR) AS unique_id, o_totalprice AS energy, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS label,

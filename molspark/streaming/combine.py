@@ -11,7 +11,7 @@ the same job serves both "merge now" and "merge what is new".
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -24,27 +24,66 @@ from molspark.operators.merge import cast_numeric, cast_rejects
 from molspark.sources.files import _fs, header_groups, read_batch_csv
 
 
+#: Provider whose state lives in files beside the checkpoint and not in the executors' heaps.
+_ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+#: The file source forgets and ignores files this much older than the newest.
+_MAX_AGE = "36500d"
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return fs.exists(p)
 
 
+def _finish(rows: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str):
+    q = (rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def _first_of_each(spark: SparkSession, merged: str, schema: T.StructType, key: str, out: str, checkpoint: str):
+    """Append the rows of ``merged`` whose ``key`` no earlier epoch had to ``out``."""
+    rows = (spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFileAge", _MAX_AGE)
+            .option("cleanSource", "delete").parquet(merged).dropDuplicates([key]))
+    before = {k: spark.conf.get(k, None) for k in _ROCKSDB}
+    for k, v in _ROCKSDB.items():
+        spark.conf.set(k, v)
+    try:
+        return _finish(rows, lambda new, epoch: new.write.mode("overwrite").parquet(f"{out}/epoch={epoch}"), checkpoint)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def combine_stream(spark: SparkSession, root: str, name: str, schema: T.StructType | str,
                    out: str, checkpoint: str, dedupe_key: str | None = None,
-                   rejects_out: str | None = None):
+                   rejects_out: str | None = None, files_per_epoch: int = 10_000):
     """Add each new ``<root>/{batch_*,fs-sn-*}/<name>`` file to the Parquet
     table ``out``, which gets a partition column ``epoch``.
 
     ``schema`` declares the result's columns, strings and doubles: a file's
     columns are matched by their header names, whatever their order; a missing
     one is null and others are left out. Cells of double columns that are no
-    numbers become null and are listed in ``rejects_out``. With ``dedupe_key``
-    rows whose key another epoch already has are skipped, and of several rows of
-    one epoch one stays. Errors end the query. Returns the finished query."""
+    numbers become null and are listed in ``rejects_out``. An epoch takes at most
+    ``files_per_epoch`` files, as their paths pass the driver. Errors end the
+    query. Returns the finished query (None if there is no file yet and a key is given).
+
+    With ``dedupe_key`` one row of each key stays for good (null is a key too): the
+    merged epochs wait below ``checkpoint``, and a second query takes them to
+    ``out`` through a state of all keys so far. The state is partitioned by key and
+    kept in files, so an epoch costs what its own rows cost and the table is
+    never read. Of rows of one key, one of the first epoch that has the key stays."""
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     numeric = {f.name for f in schema if not isinstance(f.dataType, T.StringType)}
     files = (spark.readStream.format("binaryFile").schema(
         "path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", files_per_epoch).option("maxFileAge", _MAX_AGE)
         .load(f"{root.rstrip('/')}/{{batch_*,fs-sn-*}}/{name}").select("path"))
 
     def merge(batch: DataFrame, epoch: int) -> None:
@@ -62,18 +101,17 @@ def combine_stream(spark: SparkSession, root: str, name: str, schema: T.StructTy
         one = union_diagonal(*raw)
         if rejects_out:
             cast_rejects(one, numeric).write.mode("overwrite").parquet(f"{rejects_out}/epoch={epoch}")
-        new = cast_numeric(one, numeric).drop("_file")
-        if dedupe_key:
-            new = new.dropDuplicates([dedupe_key])
-            if _exists(session, out):
-                have = session.read.parquet(out).filter(F.col("epoch") != epoch).select(dedupe_key)
-                new = new.join(have, dedupe_key, "left_anti").select(*new.columns)
-        new.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
-    q = (files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+        cast_numeric(one, numeric).drop("_file").write.mode("overwrite").parquet(f"{to}/epoch={epoch}")
+
+    if dedupe_key is None:
+        to = out
+        return _finish(files, merge, checkpoint)
+    to = f"{checkpoint}/merged"
+    _finish(files, merge, f"{checkpoint}/files")
+    if not _exists(spark, to):   # no file yet
+        return None
+    return _first_of_each(spark, to, T.StructType([*schema, T.StructField("batch_id", T.StringType())]),
+                          dedupe_key, out, f"{checkpoint}/keys")
 
 
 def progress_stream(df: DataFrame, batch_col: str = "batch_id", ok_col: str = "ok"):

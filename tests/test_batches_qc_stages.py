@@ -257,6 +257,32 @@ def test_stream_merge(spark, tmp_path):
     assert run().count() == 4      # every file exactly once
 
 
+def test_stream_merge_keeps_one_row_of_each_key_for_good(spark, tmp_path):
+    from molspark.streaming.combine import combine_stream
+    root, out, ck = tmp_path / "run", str(tmp_path / "merged"), str(tmp_path / "ck")
+    root.mkdir()
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+    def load(batch, text):
+        (root / batch).mkdir()
+        (root / batch / "molecule_property.csv").write_text("unique_id,homo\n" + text)
+
+    def run():
+        combine_stream(spark, str(root), "molecule_property.csv", "unique_id string, homo double", out, ck,
+                       dedupe_key="unique_id", files_per_epoch=1)
+        return sorted((r.unique_id or "", r.homo) for r in spark.read.schema(
+            "unique_id string, homo double").parquet(out).collect())
+
+    combine_stream(spark, str(root), "molecule_property.csv", "unique_id string, homo double", out, ck,
+                   dedupe_key="unique_id")                       # nothing there yet
+    load("batch_0", "a,1\na,1\n,5\n")
+    assert run() == [("", 5.0), ("a", 1.0)]
+    load("batch_1", "a,2\nb,3\n,6\n")
+    load("batch_2", "b,3\na,9\nc,4\n")
+    assert run() == run() == [("", 5.0), ("a", 1.0), ("b", 3.0), ("c", 4.0)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
 def test_small_helpers(spark):
     from molspark.functions import arrays as A
     from molspark.functions.text import smiles_features, xyz_line
