@@ -30,19 +30,21 @@ class Params:
     ``cosine``: least similarity of a candidate. ``copied``: share of an item's
     words, in order, that a copy holds; from ``paraphrased`` on the answer must
     be there too. ``features``: hash buckets of words. ``block``: passages per
-    latent space; its rank is at most as many, so no passage is lost, and
-    larger benchmarks take several blocks. ``least``: words of an item below
-    which nothing is matched."""
+    latent space; larger benchmarks take several blocks. ``kept``: a space has the
+    fewest directions that keep this share of the squared length of each of its
+    passages, so none is lost; ``rank`` bounds the directions looked at.
+    ``least``: words of an item below which nothing is matched."""
 
     width: int = 24
     stride: int = 6
-    cosine: float = 0.45
+    cosine: float = 0.4
     copied: float = 0.7
     paraphrased: float = 0.5
     answered: float = 0.8
     features: int = 1 << 18
     block: int = 1024
     rank: int = 1024
+    kept: float = 0.8
     iterations: int = 2
     least: int = 5
 
@@ -141,6 +143,13 @@ def randomised_svd(rows: DataFrame, vocabulary: np.ndarray, rank: int, iteration
     return q @ turn[:, keep], np.sqrt(values[keep])
 
 
+def directions(latent: np.ndarray, kept: float) -> int:
+    """How many of the leading columns hold ``kept`` of the squared length of
+    every row (rows of length 0 ask for none)."""
+    held = np.cumsum(latent * latent, axis=1)
+    return int((held < kept * held[:, -1:]).sum(axis=1).max()) + 1
+
+
 def common_words(item: np.ndarray, other: np.ndarray) -> int:
     """Length of the longest common subsequence, one bit per word of ``item``."""
     masks: dict[int, int] = {}
@@ -175,10 +184,9 @@ class Index:
     """A latent space and what candidates are checked against."""
 
     idf: np.ndarray
-    place: np.ndarray  # row of each feature in ``alike``, or -1
-    #: Features folded into the latent space times the passages there: what a
-    #: word adds to a window's product with each passage.
-    alike: np.ndarray
+    place: np.ndarray  # row of each feature in ``basis``, or -1
+    basis: np.ndarray  # features x directions: folds words into the space
+    passages: np.ndarray  # directions x passages, each of length 1
     item: np.ndarray  # of each passage
     items: list[Item]
 
@@ -188,7 +196,7 @@ def find(text: str | None, index: Index, params: Params) -> list[tuple[int, floa
     window) of every item that ``text`` holds; every window near an item is looked at."""
     hashes = words(text)[0]
     n = len(hashes)
-    if n < params.least or not index.alike.size:
+    if n < params.least or not index.passages.size:
         return []
     bucket = (hashes & np.uint64(params.features - 1)).astype(np.int64)
     idf, place = index.idf[bucket], index.place[bucket]
@@ -207,14 +215,15 @@ def find(text: str | None, index: Index, params: Params) -> list[tuple[int, floa
         np.add.at(turn, starts[some] - lo, 1)
         np.add.at(turn, ends[some] - lo, -1)
         words_in = lo + np.flatnonzero((np.cumsum(turn[:-1]) > 0) & (place[lo:hi] >= 0))
-        sums = np.zeros((len(words_in) + 1, index.alike.shape[1]), np.float32)
-        np.cumsum(index.alike[place[words_in]] * idf[words_in, None].astype(np.float32), axis=0, out=sums[1:])
-        products = (sums[np.searchsorted(words_in, ends[some])] - sums[np.searchsorted(words_in, starts[some])])
-        norm = np.sqrt(np.maximum(all_of[some], 1e-12))
-        # A bound a little lower, in the products' own precision; then the cosines of the few that pass.
-        w, p = np.nonzero(products >= (0.9999 * params.cosine * norm).astype(np.float32)[:, None])
-        cosine = np.minimum(1.0, products[w, p] / norm[w])
-        w, p, cosine = (x[cosine >= params.cosine] for x in (w, p, cosine))
+        sums = np.zeros((len(words_in) + 1, index.basis.shape[1]), np.float32)
+        np.cumsum(index.basis[place[words_in]] * idf[words_in, None].astype(np.float32), axis=0, out=sums[1:])
+        folded = (sums[np.searchsorted(words_in, ends[some])] - sums[np.searchsorted(words_in, starts[some])])
+        # A window is no nearer to any passage than to the space, in the sums' own precision.
+        inside = np.einsum("ij,ij->i", folded, folded) >= (0.9999 * params.cosine) ** 2 * all_of[some]
+        some, folded = some[inside], folded[inside]
+        cosine = (folded @ index.passages) / np.sqrt(np.maximum(all_of[some], 1e-12))[:, None]
+        w, p = np.nonzero(cosine >= params.cosine)
+        cosine = np.minimum(1.0, cosine[w, p])
         for i, begin, c in zip(index.item[p].tolist(), starts[some[w]].tolist(), cosine.tolist()):
             here = candidates.setdefault(i, {})
             here[begin] = max(c, here.get(begin, 0.0))
@@ -327,6 +336,9 @@ def _index(rows: DataFrame, items: DataFrame, idf: np.ndarray, params: Params) -
     place[vocabulary] = np.arange(len(vocabulary))
     latent = np.stack([np.asarray(w) @ basis[place[np.asarray(f)]]
                        for f, w in zip(local["features"], local["weights"])])
+    size = directions(latent, params.kept)
+    basis, latent = basis[:, :size], latent[:, :size]
+    latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-12)[:, None]
     texts = [Item(r.item, words(r.text)[0], answer_words(r.text, r.answer))
              for r in items.where(F.col("text").isNotNull()).collect()]
     texts = [t for t in texts if len(t.words) >= params.least]
@@ -335,8 +347,9 @@ def _index(rows: DataFrame, items: DataFrame, idf: np.ndarray, params: Params) -
         at.setdefault(t.key, []).append(i)
     # A key with several texts: its passages stand for each of them.
     pairs = [(p, i) for p, k in enumerate(local["item"]) for i in at.get(k, ())]
-    alike = basis @ latent[[p for p, _ in pairs]].T if pairs else np.empty((len(vocabulary), 0))
-    return Index(idf, place, alike.astype(np.float32), np.array([i for _, i in pairs], int), texts)
+    return Index(idf, place, np.ascontiguousarray(basis, np.float32),
+                 np.ascontiguousarray(latent[[p for p, _ in pairs]].T, np.float32),
+                 np.array([i for _, i in pairs], int), texts)
 
 
 def _search(docs: DataFrame, shared, schema: T.StructType, params: Params) -> DataFrame:
