@@ -26,7 +26,8 @@ from .common import stored, words
 
 @dataclass(frozen=True)
 class Params:
-    """``width``, ``stride``: words of a window and between window starts.
+    """``width``, ``stride``: words of a window and between window starts; a
+    window is a whole number of strides.
     ``cosine``: least similarity of a candidate. ``copied``: share of an item's
     words, in order, that a copy holds; from ``paraphrased`` on the answer must
     be there too. ``features``: hash buckets of words. ``block``: passages per
@@ -185,7 +186,9 @@ class Index:
 
     idf: np.ndarray
     place: np.ndarray  # row of each feature in ``basis``, or -1
-    basis: np.ndarray  # features x directions: folds words into the space
+    #: Features x directions, times their idf: what a word adds to a folded
+    #: window; the last row is that of all other words.
+    basis: np.ndarray
     passages: np.ndarray  # directions x passages, each of length 1
     item: np.ndarray  # of each passage
     items: list[Item]
@@ -210,14 +213,11 @@ def find(text: str | None, index: Index, params: Params) -> list[tuple[int, floa
     candidates: dict[int, dict[int, float]] = {}  # of each item: start of a window, its highest cosine
     for at in range(0, len(near), 512):
         some = near[at:at + 512]
-        lo, hi = starts[some[0]], ends[some[-1]]
-        turn = np.zeros(hi - lo + 1, np.int32)  # words that some of these windows cover
-        np.add.at(turn, starts[some] - lo, 1)
-        np.add.at(turn, ends[some] - lo, -1)
-        words_in = lo + np.flatnonzero((np.cumsum(turn[:-1]) > 0) & (place[lo:hi] >= 0))
-        sums = np.zeros((len(words_in) + 1, index.basis.shape[1]), np.float32)
-        np.cumsum(index.basis[place[words_in]] * idf[words_in, None].astype(np.float32), axis=0, out=sums[1:])
-        folded = (sums[np.searchsorted(words_in, ends[some])] - sums[np.searchsorted(words_in, starts[some])])
+        # Windows overlap: strides are folded once, each window adds up its own.
+        strides, turn = np.unique(some[:, None] + np.arange(params.width // params.stride), return_inverse=True)
+        at_words = strides[:, None] * params.stride + np.arange(params.stride)
+        rows = np.where(at_words < n, place[np.minimum(at_words, n - 1)], -1)
+        folded = index.basis[rows].sum(axis=1)[turn.reshape(len(some), -1)].sum(axis=1)
         # A window is no nearer to any passage than to the space, in the sums' own precision.
         inside = np.einsum("ij,ij->i", folded, folded) >= (0.9999 * params.cosine) ** 2 * all_of[some]
         some, folded = some[inside], folded[inside]
@@ -347,7 +347,8 @@ def _index(rows: DataFrame, items: DataFrame, idf: np.ndarray, params: Params) -
         at.setdefault(t.key, []).append(i)
     # A key with several texts: its passages stand for each of them.
     pairs = [(p, i) for p, k in enumerate(local["item"]) for i in at.get(k, ())]
-    return Index(idf, place, np.ascontiguousarray(basis, np.float32),
+    folds = np.vstack([basis * idf[vocabulary, None], np.zeros((1, size))])
+    return Index(idf, place, folds.astype(np.float32),
                  np.ascontiguousarray(latent[[p for p, _ in pairs]].T, np.float32),
                  np.array([i for _, i in pairs], int), texts)
 

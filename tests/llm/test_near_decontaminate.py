@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from molspark.llm import decontaminate, near_duplicates
+from molspark.llm.common import words
 from molspark.llm.near_duplicates import Params
 
 
@@ -139,6 +140,40 @@ def test_planted_leaks(spark, planted):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in truth} | {900, 901}
 
 
+def test_search_finds_what_all_windows_against_all_items_find(spark, planted):
+    items, docs, _ = planted
+    params = decontaminate.Params()
+    hashes = {i: words(t)[0] for i, t in items}
+    answers = {i: decontaminate.answer_words(t, None) for i, t in items}
+
+    def held(text, i):
+        at, item = words(text)[0], hashes[i]
+        reach = len(item) + params.width
+        for begin in range(0, max(1, len(at) - params.width + params.stride), params.stride):
+            region = at[max(0, begin - reach):begin + params.width + reach]
+            share = decontaminate.common_words(item, region) / len(item)
+            answer = decontaminate.common_words(answers[i], region) / len(answers[i])
+            if share >= params.copied or share >= params.paraphrased and answer >= params.answered:
+                return True
+        return False
+
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs[:80], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()}
+    assert got == {(d, i) for d, t in docs[:80] for i, _ in items if held(t, i)}
+
+
+def test_directions_keep_their_share_of_every_row():
+    rng = np.random.default_rng(2)
+    latent = rng.standard_normal((30, 12)) * np.linspace(3, 0.1, 12)
+    latent[4] = 0
+    size = decontaminate.directions(latent, 0.8)
+    share = (latent[:, :size] ** 2).sum(1) / np.maximum((latent ** 2).sum(1), 1e-12)
+    assert size < 12 and np.delete(share, 4).min() >= 0.8
+    shorter = (latent[:, :size - 1] ** 2).sum(1) / np.maximum((latent ** 2).sum(1), 1e-12)
+    assert np.delete(shorter, 4).min() < 0.8
+
+
 def test_blocks_of_the_benchmark_change_nothing(spark, planted):
     items, docs, truth = planted
     bench = spark.createDataFrame(items, "item_id long, text string")
