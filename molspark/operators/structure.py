@@ -5,13 +5,14 @@ atoms with molecules / reference tables (J1-J3, J9, J11)."""
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from molspark.refdata import element_ref, periodic_ref
-from molspark.session import ensure_checkpoint_dir
+from molspark.session import ensure_checkpoint_dir, scratch_path
 
 
 def atoms_with_molecules(atoms: DataFrame, molecules: DataFrame, key: str = "unique_id") -> DataFrame:
@@ -137,6 +138,13 @@ def duplicate_candidates(classes: DataFrame, features: list[str], rtol: float) -
             .where((F.col("_b") < F.col("_a")) & near).select("_a", "_b"))
 
 
+def _written(table: DataFrame, name: str) -> DataFrame:
+    """The table, written to the shared folder and read back."""
+    path = scratch_path(table.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    table.write.parquet(path)
+    return table.sparkSession.read.parquet(path)
+
+
 def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float = 1e-5,
                           atol: float = 1e-8, property_cols: Sequence[str] = (),
                           key: str = "unique_id", array_cols: Sequence[str] = ()) -> DataFrame:
@@ -151,27 +159,40 @@ def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float =
     are one class first (by aggregate hashes), so copies are never paired; the
     classes of a block meet in a grid of the block's widest coordinates
     (``duplicate_candidates``) and are then compared atom by atom."""
-    def coordinates(seed: int) -> Column:
+    def coordinates(seed: int) -> list[Column]:
         same = [F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) for c in "xyz"]  # -0.0 is 0.0
-        return F.sum(F.xxhash64(F.lit(seed), "atom_idx", *same).cast("decimal(38,0)"))
+        h = F.xxhash64(F.lit(seed), "atom_idx", *same)
+        return [F.sum(F.shiftrightunsigned(h, 32)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))]  # in halves: no overflow
 
     if not 0 <= rtol < 1 or atol < 0:
         raise ValueError("rtol must be from 0 to 1 and atol not negative")
     probes = _probes()
     features = list(probes)
     tagged = F.pmod(F.xxhash64(F.col("atom_idx"), F.col("element")), F.lit(2147483647))
-    sig = atoms.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(tagged).alias("_h"), coordinates(1).alias("_g1"),
-                                 coordinates(2).alias("_g2"), *[c.alias(f) for f, c in probes.items()])
+    sums = [*coordinates(1), *coordinates(2)]
+    sig = atoms.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(tagged).alias("_h"),
+                                 *[c.alias(f"_g{i}") for i, c in enumerate(sums)])
     same = [c for c in ("smiles", "charge", "multiplicity") if c in molecules.columns] + list(property_cols)
-    arrays = F.array(*[F.xxhash64(F.lit(i), F.size(c), c) for c in array_cols for i in (1, 2)]).cast("array<bigint>")
+    arrays = F.array(*[F.xxhash64(F.lit(i), F.size(c), c) for c in array_cols for i in (1, 2)]).cast("array<string>")
     block = F.sha2(F.concat_ws("\u0001", F.col("_n").cast("string"), F.col("_h").cast("string"), *[
         F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in same]), 256)
-    rows = (molecules.select(key, *same, *[c for c in array_cols if c not in same]).join(sig, key)
-            .select(F.col(key).alias("_id"), block.alias("_block"), "_g1", "_g2", arrays.alias("_g3"),
-                    *[_in_tolerances(F.col(f), rtol, atol).alias(f) for f in features]))
-    exact = ["_block", "_g1", "_g2", "_g3"]
-    classes = rows.groupBy(*exact).agg(F.min("_id").alias("_rep"), *[F.min(f).alias(f) for f in features])
-    pairs = duplicate_candidates(classes, features, rtol)
+    exact = F.sha2(F.concat_ws("\u0001", "_hex", *[F.coalesce(F.col(f"_g{i}").cast("string"), F.lit("\u0000"))
+                                                   for i in range(len(sums))], "_arrays"), 256)
+    short = lambda c: F.unhex(F.substring(c, 1, 32))  # noqa: E731  (128 bits)
+    # Three narrow columns a molecule; they are read twice.
+    rows = _written(molecules.select(key, *same, *[c for c in array_cols if c not in same]).join(sig, key)
+                    .select(F.col(key).alias("_id"), block.alias("_hex"), *[f"_g{i}" for i in range(len(sums))], arrays.alias("_arrays"))
+                    .select("_id", short(F.col("_hex")).alias("_block"), short(exact).alias("_same")), "duplicate-rows")
+    classes = _written(rows.groupBy("_same").agg(F.min("_block").alias("_block"), F.min("_id").alias("_rep"),
+                                                 F.count(F.lit(1)).alias("_k")), "duplicate-classes")
+    shared = classes.groupBy("_block").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_block")
+    # Coordinates are looked up for the classes that share a block with another.
+    several = classes.join(shared, "_block").select("_block", "_rep")
+    placed = atoms.select(F.col(key).alias("id"), "atom_idx", "x", "y", "z")
+    found = (placed.join(several.select(F.col("_rep").alias("id")).distinct(), "id").groupBy("id")
+             .agg(*[c.alias(f) for f, c in probes.items()])
+             .select(F.col("id").alias("_rep"), *[_in_tolerances(F.col(f), rtol, atol).alias(f) for f in features]))
+    pairs = duplicate_candidates(several.join(found, "_rep"), features, rtol)
     close = lambda p, q: F.abs(p - q) <= F.lit(atol) + F.lit(rtol) * F.abs(q)
     if array_cols:
         mine = molecules.select(F.col(key).alias("_a"), *[F.col(c).alias(f"_p{i}") for i, c in enumerate(array_cols)])
@@ -185,12 +206,13 @@ def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float =
     # Both molecules of a pair meet their atoms in one join; a side without an atom is null there.
     sides = pairs.select("_a", "_b", F.explode(F.array(F.struct(F.col("_a").alias("id"), F.lit(True).alias("first")), F.struct(
         F.col("_b").alias("id"), F.lit(False).alias("first")))).alias("s")).select("_a", "_b", "s.*")
-    met = sides.join(atoms.select(F.col(key).alias("id"), "atom_idx", "x", "y", "z"), "id").groupBy("_a", "_b", "atom_idx").agg(*[
+    met = sides.join(placed, "id").groupBy("_a", "_b", "atom_idx").agg(*[
         F.max(F.when(F.col("first") == side, F.col(c))).alias(f"_{c}{n}") for c in "xyz" for n, side in (("a", True), ("b", False))])
     agree = functools.reduce(lambda p, q: p & q, [close(F.col(f"_{c}a"), F.col(f"_{c}b")) for c in "xyz"])
     equal = met.groupBy("_a", "_b").agg(F.bool_and(F.coalesce(agree, F.lit(False))).alias("_eq")).filter("_eq")
     nearest = equal.groupBy(F.col("_a").alias("_rep")).agg(F.min("_b").alias("_other"))
-    named = rows.select("_id", *exact).join(classes.select(*exact, "_rep"), exact).join(nearest, "_rep", "left")
+    told = classes.join(nearest, "_rep", "left").where("_k > 1 OR _other IS NOT NULL").select("_same", "_rep", "_other")
+    named = rows.select("_id", "_same").join(told, "_same")
     rep = F.least(F.col("_rep"), F.coalesce(F.col("_other"), F.col("_rep")))
     return named.filter(F.col("_id") != rep).select(F.col("_id").alias(key), rep.alias("rep_id"))
 

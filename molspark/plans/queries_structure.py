@@ -76,11 +76,15 @@ def q_conformer_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     conf = spark.sql(_CONFORMERS.format(text="STRING").replace("lineitem", "{lineitem}"), lineitem=lines)
     points = ", ".join(f"named_struct('atom_idx', {i}, 'element', '{a[0]}', 'x', {a[1]} - {_MEAN['x']}, "
                        f"'y', {a[2]} - {_MEAN['y']}, 'z', {a[3]} - {_MEAN['z']})" for i, a in enumerate(_ATOMS))
-    atoms = spark.sql("SELECT unique_id, p.* FROM (SELECT unique_id, explode(array(" + points + ")) AS p FROM ("
-                      + _COPIED.replace("conf", "{conf}") + "))", conf=conf)
-    mols = spark.sql("SELECT unique_id FROM (" + _COPIED.replace("conf", "{conf}") + ")", conf=conf)
+    # The copies of a conformer beside it, so the conformers are built once.
+    copied = spark.sql("""SELECT i.unique_id, i.u, v, w FROM (SELECT v, w, inline(filter(array(
+        named_struct('unique_id', id, 'u', u, 'there', true), named_struct('unique_id', id || 'c', 'u', u + 1e-9, 'there', k % 5 = 0),
+        named_struct('unique_id', id || 'd', 'u', u + 1e-2, 'there', k % 9 = 0)), i -> i.there)) AS (unique_id, u, there) FROM {conf}) i""",
+                       conf=conf)
     path = scratch_path(spark, f"conformers-{uuid.uuid4().hex[:12]}")
-    atoms.write.parquet(path)  # a table, as a user has it
+    spark.sql("SELECT unique_id, p.* FROM (SELECT unique_id, explode(array(" + points + ")) AS p FROM {copied})",
+              copied=copied).write.parquet(path)  # a table, as a user has it
+    mols = spark.read.parquet(path).where("atom_idx = 0").select("unique_id")  # every conformer has one
     return structural_duplicates(mols, spark.read.parquet(path))
 
 
