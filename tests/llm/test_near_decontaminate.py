@@ -241,3 +241,17 @@ def test_common_words_against_table():
                 new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
             row = new
         assert decontaminate.common_words(np.array(a, np.uint64), np.array(b, np.uint64)) == row[-1]
+
+
+def test_rows_without_key_keep_their_links(spark):
+    text = [f"word{i}" for i in range(60)]
+    rows = [(1, " ".join(text)), (None, " ".join(text + ["a", "b"])), (None, " ".join(text + ["c"])),
+            (None, " ".join(text + ["c"])), (2, "something else that is not like any other text here")]
+    out = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r.doc_id or 0, r.class_id, r.n_links) for r in out.collect())
+    assert got == [(0, 1, 3), (0, 1, 3), (0, 1, 3), (1, 1, 3), (2, 2, 0)]
+
+
+def test_a_pair_at_the_threshold_is_missed_less_than_once_in_ten_million():
+    p = near_duplicates.near_duplicates.__defaults__[-1]
+    assert (1 - p.similarity ** p.stop) ** p.trees < 1e-7
