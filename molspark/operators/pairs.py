@@ -169,7 +169,7 @@ def neighbour_list(atoms: DataFrame, cutoff: float = 5.0, cols: Sequence[str] =
 
 def periodic_neighbours(atoms: DataFrame, cells: DataFrame, cutoff: float,
                         cols: Sequence[str] = (), key: str = "unique_id",
-                        min_distance: float = 0.1) -> DataFrame:
+                        min_distance: float = 0.1, large_system: int = 100_000) -> DataFrame:
     """Neighbours under periodic boundary conditions.
 
     ``cells`` holds one row per system with the 3x3 cell as ``a1..a3``,
@@ -199,11 +199,14 @@ def periodic_neighbours(atoms: DataFrame, cells: DataFrame, cutoff: float,
         slope = F.lit(reach) * K.norm3(*[F.col(f"_r{n}{k}") for k in (1, 2, 3)])
         lattice = lattice.withColumn(f"_m{n}", F.greatest(F.floor(1.0 / slope), F.lit(1)).cast("long")) \
             .withColumn(f"_n{n}", F.ceil(F.col(f"_m{n}") * slope).cast("long"))
-    # The one row of a system that may hold a third of all atoms is met in 32 places.
+    # The one row of a system that may hold a third of all atoms is met in 32 places; few systems are so large.
     salts = 32
-    lattice = lattice.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    a = (atoms.select(key, "atom_idx", *need).withColumn("_s", F.pmod(F.xxhash64("atom_idx"), F.lit(salts)).cast("int"))
-         .join(lattice, [key, "_s"]))
+    large = (atoms.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > large_system)
+             .select(key, F.lit(salts).alias("_salts")))
+    own = F.coalesce("_salts", F.lit(1))
+    lattice = lattice.join(large, key, "left").withColumn("_s", F.explode(F.sequence(F.lit(0), own - 1))).drop("_salts")
+    a = (atoms.select(key, "atom_idx", *need).join(large, key, "left")
+         .withColumn("_s", F.pmod(F.xxhash64("atom_idx"), own).cast("int")).drop("_salts").join(lattice, [key, "_s"]))
     xyz = ("x", "y", "z")
     for n in axes:
         f = functools.reduce(lambda p, q: p + q, [F.col(c) * F.col(f"_r{n}{k + 1}") for k, c in enumerate(xyz)])  # noqa: B023
@@ -217,15 +220,23 @@ def periodic_neighbours(atoms: DataFrame, cells: DataFrame, cutoff: float,
     left = a.select(key, F.col("atom_idx").alias("atom_idx_i"), *[F.col(c).alias(f"{c}_i") for c in need],
                     *[moved(home, k).alias(f"_o{k}") for k in (1, 2, 3)],
                     *[F.col(f"_w{n}").alias(f"_w{n}i") for n in axes], *[F.col(f"_b{n}").alias(f"_c{n}") for n in axes])
+    # An atom moves once to each bin it is offered to; its images there are told after the join.
+    offers = {n: F.sequence(F.col(f"_b{n}") - F.col(f"_n{n}"), F.col(f"_b{n}") + F.col(f"_n{n}")) for n in axes}
     right = a
     for n in axes:
-        right = right.withColumn(f"_t{n}", F.explode(F.sequence(F.col(f"_b{n}") - F.col(f"_n{n}"), F.col(f"_b{n}") + F.col(f"_n{n}"))))
-    turns = {n: F.col(f"_w{n}") + F.floor(F.col(f"_t{n}") / F.col(f"_m{n}")).cast("long") for n in axes}
-    right = right.select(key, F.col("atom_idx").alias("atom_idx_j"),
-                         *[(F.col(c) - moved(turns, xyz.index(c) + 1) if c in xyz else F.col(c)).alias(f"{c}_j") for c in need],
-                         *[turns[n].alias(f"_u{n}") for n in axes],
-                         *[F.pmod(F.col(f"_t{n}"), F.col(f"_m{n}")).alias(f"_c{n}") for n in axes])
+        right = right.withColumn(f"_c{n}", F.explode(F.array_distinct(F.transform(offers[n], lambda t: F.pmod(t, F.col(f"_m{n}"))))))  # noqa: B023
+    right = right.select(key, F.col("atom_idx").alias("atom_idx_j"), *[F.col(c).alias(f"{c}_j") for c in need],
+                         *[f"{n}{k}" for n in axes for k in (1, 2, 3)], *[f"_{x}{n}" for x in "wc" for n in axes],
+                         *[F.ceil((F.col(f"_b{n}") - F.col(f"_n{n}") - F.col(f"_c{n}")) / F.col(f"_m{n}")).alias(f"_l{n}") for n in axes],
+                         *[F.floor((F.col(f"_b{n}") + F.col(f"_n{n}") - F.col(f"_c{n}")) / F.col(f"_m{n}")).alias(f"_h{n}") for n in axes])
     p = left.hint("merge").join(right, [key, *[f"_c{n}" for n in axes]])
+    for n in axes:
+        p = p.withColumn(f"_k{n}", F.explode(F.sequence(f"_l{n}", f"_h{n}")))
+    turns = {n: F.col(f"_w{n}") + F.col(f"_k{n}") for n in axes}
+    moves = [moved(turns, k) for k in (1, 2, 3)]
+    p = p.select(key, "atom_idx_i", "atom_idx_j", *[f"{c}_i" for c in need],
+                 *[(F.col(f"{c}_j") - moves[xyz.index(c)] if c in xyz else F.col(f"{c}_j")).alias(f"{c}_j") for c in need],
+                 "_o1", "_o2", "_o3", *[f"_w{n}i" for n in axes], *[turns[n].alias(f"_u{n}") for n in axes], *[f"_c{n}" for n in axes])
     for k, c in enumerate(xyz):
         p = p.withColumn(f"{c}_j", F.col(f"{c}_j") + F.col(f"_o{k + 1}"))
     for n in axes:

@@ -98,3 +98,27 @@ def test_input_of_duplicates_is_derived_once(spark, tmp_path, monkeypatch):
         mols, atoms = query(spark, str(tmp_path))
         assert sorted(r.unique_id for r in mols.collect()) == sorted(r.unique_id for r in atoms.select("unique_id").distinct().collect())
     assert [p.count("Relation") for p in plans] == [1, 1]
+
+
+def test_images_are_told_after_the_join(spark):
+    from molspark.operators.pairs import periodic_neighbours
+    a = _atoms(spark)
+    cells = a.select("unique_id").distinct().select("unique_id", *[
+        F.lit(6.0 if n[0] == "abc"[int(n[1]) - 1] else 0.0).alias(n) for n in (f"{x}{k}" for x in "abc" for k in (1, 2, 3))])
+    p = periodic_neighbours(a, cells, cutoff=3.0)
+    assert _plan(p).index("Generate explode(sequence(_la") < _plan(p).index("SortMergeJoin")
+    cols = ["unique_id", "atom_idx_i", "atom_idx_j", "sa", "sb", "sc"]
+    salted = periodic_neighbours(a, cells, cutoff=3.0, large_system=3)
+    assert sorted(map(tuple, p.select(*cols).collect())) == sorted(map(tuple, salted.select(*cols).collect()))
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    from molspark.session import few_tasks
+    spark.range(40_000).selectExpr("CAST(id AS STRING)").coalesce(1).write.text(str(tmp_path / "t"))
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    own.conf.set("spark.sql.files.openCostInBytes", "1b")
+    scan = own.read.text(str(tmp_path / "t")).selectExpr("value", "_metadata.file_block_start AS at")
+    few = few_tasks(scan)
+    assert scan.rdd.getNumPartitions() > 100 and few.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert few.select("at").distinct().count() == scan.select("at").distinct().count() and few.distinct().count() == 40_000
