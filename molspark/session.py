@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -57,3 +59,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written stage tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def few_tasks(scan: DataFrame, task_bytes: int = 32 << 20) -> DataFrame:
+    """A scan of files in small byte ranges, many ranges to a task: about
+    ``task_bytes`` each, and no fewer tasks than four per core. The ranges stay
+    as they are and are read one after the other."""
+    spark = scan.sparkSession
+    size, unit = re.fullmatch(r"(\d+)([a-z]*)", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    range_bytes = int(size) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit.rstrip("b")[:1] or "b"]
+    ranges = scan.rdd.getNumPartitions()
+    tasks = max(4 * spark.sparkContext.defaultParallelism, math.ceil(ranges * range_bytes / task_bytes))
+    return scan.coalesce(tasks) if tasks < ranges else scan

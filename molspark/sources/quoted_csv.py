@@ -22,6 +22,8 @@ import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from molspark.session import few_tasks
+
 #: A line that begins outside and ends inside a quoted cell. Quotes count at the
 #: start of a cell only; inside they are doubled. Every repetition is possessive,
 #: so a line is read once.
@@ -92,7 +94,7 @@ def first_states(spark: SparkSession, paths: list[str]) -> tuple[dict[tuple[int,
     """For every range (file, start) the start of the range that has the first
     line of the record open at its border, or None; and the files with a record
     that crosses a border or is never closed. The driver holds one entry a range."""
-    rows = (_lines(spark, paths).mapInArrow(_transitions, "file bigint, at bigint, outside int, inside int")
+    rows = (few_tasks(_lines(spark, paths)).mapInArrow(_transitions, "file bigint, at bigint, outside int, inside int")
             .orderBy("file", "at").collect())
     firsts, torn, file, since = {}, set(), None, None
     for r in rows:
@@ -239,7 +241,7 @@ def read_quoted_csv(spark: SparkSession, paths: list[str], cols: list[str]) -> D
     known = spark.sparkContext.broadcast(firsts)  # one entry a range
     names = [f"c{i}" for i in range(len(cols))]
     schema = ", ".join([*[f"{n} string" for n in names], "file bigint", "at bigint"])
-    lines = _lines(spark, paths)
+    lines = few_tasks(_lines(spark, paths))
     rows = lines.mapInArrow(_records(known, names), schema)
     listed = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("f"))
     path_of = {r["h"]: r["f"] for r in listed.select("f", F.xxhash64("f").alias("h")).collect()}  # one entry a file

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molspark.functions.text import strip as strip_text
+from molspark.session import few_tasks
 from molspark.sources.xyz import parse_xyz
 
 _SCHEMA = "file bigint, frame bigint, at bigint, stem string, text string"
@@ -83,7 +84,7 @@ def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def first_states(spark: SparkSession, paths: str | list[str]) -> dict[tuple[int, int], tuple[int, bool]]:
     """For every range but the first of its file: the number of frames that begin
     before it, and whether the line before it is a count line. One entry a range."""
-    rows = (_lines(spark, paths).drop("value")
+    rows = (few_tasks(_lines(spark, paths).drop("value"))
             .mapInArrow(_transitions, "file bigint, at bigint, n_outside bigint, n_after bigint, outside boolean, after boolean")
             .orderBy("file", "at").collect())
     states, file, frames, after = {}, None, 0, False
@@ -166,7 +167,7 @@ def read_frames(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     states = spark.sparkContext.broadcast(first_states(spark, paths))  # one entry a border
-    lines = _lines(spark, paths)
+    lines = few_tasks(_lines(spark, paths))
     whole = lines.mapInArrow(_cut(states, False), _SCHEMA)
     pieces = F.array_sort(F.collect_list(F.struct("at", "text")))
     joined = (lines.mapInArrow(_cut(states, True), _SCHEMA).groupBy("file", "frame")
