@@ -75,6 +75,104 @@ def _united(column: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int) -> tuple
     return column[new], lo[new], hi[new]
 
 
+def _bits(n: int) -> np.ndarray:
+    """For each word of 64 points, the bits of its points below 0 .. n."""
+    below = np.clip(np.arange(n + 1)[None, :] - 64 * np.arange(-(-n // 64))[:, None], 0, 64)
+    return np.array([[(1 << int(k)) - 1 for k in row] for row in below], np.uint64)
+
+
+def lone_counts(spheres: np.ndarray, group: np.ndarray, box: np.ndarray, first: np.ndarray, stop: np.ndarray,
+                n: int) -> np.ndarray:
+    """Number of points of each group, which has its block for itself.
+
+    The rows are those of ``_runs``, but ``box``, ``first`` and ``stop`` have one
+    per group. A sphere's runs fill a small square of columns; squares of about
+    the same size are worked on together, and the runs of a group are united as
+    bits of its columns, a word for 64 points. The ends are set as in ``_runs``.
+    """
+    out = np.zeros(len(box), np.int64)
+    low, size = np.empty((2, len(spheres)), np.int64), np.empty((2, len(spheres)), np.int64)
+    with np.errstate(invalid="ignore"):
+        for d in range(2):
+            o, s = box[group, 2 * d], box[group, 2 * d + 1]
+            low[d] = np.maximum(first[group, d], np.ceil((spheres[:, d] - spheres[:, 3] - o) / s - 0.51).astype(np.int64))
+            size[d] = np.minimum(stop[group, d], np.floor((spheres[:, d] + spheres[:, 3] - o) / s + 0.51).astype(np.int64)) - low[d]
+    met = np.flatnonzero((size > 0).all(axis=0) & np.isfinite(spheres).all(axis=1))
+    if not len(met):
+        return out
+    # Groups by their largest square, the spheres of a group together.
+    widest = np.zeros(len(box), np.int64)
+    np.maximum.at(widest, group[met], size.max(axis=0)[met])
+    met = met[np.lexsort((group[met], widest[group[met]]))]
+    starts = np.flatnonzero(np.append(True, np.diff(group[met]) != 0))
+    ends, names = np.append(starts[1:], len(met)), group[met][starts]
+    bits = _bits(n)
+    most = max(1, (1 << 19) // (n * n * len(bits)))  # groups united at once: 4 MB
+    columns = np.zeros((len(bits), min(most, len(names)), n, n), np.uint64)
+    at = 0
+    while at < len(names):
+        to = at + 1
+        while to < len(names) and to - at < most and (ends[to] - starts[at]) * widest[names[to]] ** 2 <= ENTRIES:
+            to += 1
+        portion = max(1, ENTRIES // int(widest[names[to - 1]]) ** 2)
+        for part in range(starts[at], ends[to - 1], portion):
+            some = met[part:min(ends[to - 1], part + portion)]
+            lo, hi = _square(spheres[some], box[group[some]], low[:, some], size[:, some])
+            place = np.searchsorted(ends[at:to], np.arange(part, part + len(some)), side="right")
+            squares = list(zip(range(len(some)), place.tolist(), *low[:, some].tolist(), *size[:, some].tolist()))
+            for mask, words in zip(bits, columns):
+                run = mask.take(hi, mode="clip")
+                run ^= mask.take(lo, mode="clip")
+                for k, g, i, j, w, h in squares:
+                    square = words[g, i:i + w, j:j + h]
+                    np.bitwise_or(square, run[k, :w, :h], out=square)
+        used = columns[:, :to - at]
+        out[names[at:to]] = np.bitwise_count(used).reshape(len(bits), to - at, -1).sum(axis=2, dtype=np.int64).sum(axis=0)
+        used[...] = 0
+        at = to
+    return out
+
+
+def _square(spheres: np.ndarray, box: np.ndarray, low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lo, stop) of the run of each sphere (first axis) in each column of its
+    square; stop is lo where there is none."""
+    sides = []
+    for d in range(2):
+        steps = np.arange(size[d].max())
+        delta = box[:, 2 * d, None] + box[:, 2 * d + 1, None] * ((low[d, :, None] + steps) + 0.5) - spheres[:, d, None]
+        delta *= delta
+        delta[steps >= size[d, :, None]] = np.inf
+        sides.append(delta)
+    flat = sides[0][:, :, None] + sides[1][:, None, :]
+    r2, z, o, s = spheres[:, 3] * spheres[:, 3], spheres[:, 2], box[:, 4], box[:, 5]
+    half = r2[:, None, None] - flat
+    np.maximum(half, 0.0, out=half)
+    np.sqrt(half, out=half)
+    half *= (1 / s)[:, None, None]
+    middle = ((z - o) / s - 0.5)[:, None, None]
+    up, down = middle - half, middle + half
+    lo, hi = np.ceil(up), np.floor(down)
+    # Both ends are looked at where one may be near a point (far more than the
+    # root's error), and where a column misses a sphere whose centre is.
+    up -= np.rint(up, out=half)
+    down -= np.rint(down, out=half)
+    up *= down
+    near = np.flatnonzero(np.abs(up, out=up).ravel() < 1e-5)
+    if len(near):
+        k, across = near // flat[0].size, flat.ravel()[near]
+        for at, step in ((lo.reshape(-1), -1), (hi.reshape(-1), 1)):
+            q = at[near]
+
+            def inside(q: np.ndarray) -> np.ndarray:
+                dz = o[k] + s[k] * (q + 0.5) - z[k]
+                return across + dz * dz <= r2[k]
+
+            at[near] = np.where(inside(q + step), q + step, np.where(inside(q), q, q - step))
+    hi += 1
+    np.maximum(hi, lo, out=hi)
+    return lo.astype(np.intp), hi.astype(np.intp)
+
+
 def column_runs(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For mapInArrow over groups of spheres (key, _nb, bx, by, _chunks, origin
     and step of each axis, spheres): a group that has its block for itself
@@ -90,33 +188,35 @@ def column_runs(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
             group = np.repeat(np.arange(len(sizes)), sizes)
             first = np.stack([-(-b * n // blocks) for b in (bx, by)], axis=1)
             stop = np.stack([-(-(b + 1) * n // blocks) for b in (bx, by)], axis=1)
-            # Groups in portions of about ENTRIES sphere-column entries.
+            lone = np.flatnonzero(chunks == 1)
+            if len(lone):
+                mine = np.flatnonzero(chunks[group] == 1)
+                place = (np.cumsum(chunks == 1) - 1)[group[mine]]
+                points = lone_counts(spheres[mine], place, boxes[lone], first[lone], stop[lone], n)
+                yield pa.RecordBatch.from_arrays(
+                    [key.take(pa.array(lone)), *[pa.array(x.astype(np.int64)) for x in (
+                        -1 - bx[lone], -1 - by[lone], np.zeros(len(lone)), points - 1)]],
+                    names=[batch.schema.names[0], "i", "j", "lo", "hi"])
+            # The others in portions of about ENTRIES sphere-column entries.
             each = np.ones(len(spheres))
             for d in range(2):
                 wide = 2 * spheres[:, 3] / boxes[group, 2 * d + 1] + 3
                 each *= np.minimum(wide, (stop - first)[group, d])
-            load = np.cumsum(np.bincount(group, each, len(sizes)))
+            load = np.cumsum(np.bincount(group, each * (chunks[group] > 1), len(sizes)))
             cut = [0, *(np.flatnonzero(np.diff(load // ENTRIES)) + 1).tolist(), len(sizes)]
             for a, b in zip(cut, cut[1:]):
-                yield _portion(batch.schema.names[0], key, slice(a, b), group, spheres, boxes, first, stop, chunks, bx, by, n)
+                if (chunks[a:b] > 1).any():
+                    yield _portion(batch.schema.names[0], key, slice(a, b), group, spheres, boxes, first, stop, chunks, n)
     return read
 
 
-def _portion(name, key, part, group, spheres, boxes, first, stop, chunks, bx, by, n) -> pa.RecordBatch:
-    mine = slice(*np.searchsorted(group, [part.start, part.stop]))
+def _portion(name, key, part, group, spheres, boxes, first, stop, chunks, n) -> pa.RecordBatch:
+    mine = np.arange(*np.searchsorted(group, [part.start, part.stop]))
+    mine = mine[chunks[group[mine]] > 1]
     of_group = group[mine]
     of, i, j, lo, hi = _runs(spheres[mine], boxes[of_group], first[of_group], stop[of_group], n)
-    groups = part.stop - part.start
     column, lo, hi = _united(((of_group[of] - part.start) * n + i) * n + j, lo, hi, n)
-    border = np.searchsorted(column, np.arange(groups + 1) * n * n)
-    alone = chunks[part] == 1
-    points = np.diff(np.concatenate([[0], np.cumsum(hi - lo + 1)])[border])
-    owner = np.repeat(np.arange(groups), np.diff(border))
-    lone, torn = np.flatnonzero(alone), np.flatnonzero(~alone[owner])
-    rows = np.concatenate([lone, owner[torn]])
-    cell = column[torn] % (n * n)
+    owner, cell = column // (n * n) + part.start, column % (n * n)
     return pa.RecordBatch.from_arrays(
-        [key.take(pa.array(rows + part.start)), *[pa.array(np.concatenate(x).astype(np.int64)) for x in (
-            [-1 - bx[part][lone], cell // n], [-1 - by[part][lone], cell % n], [np.zeros(len(lone)), lo[torn]],
-            [points[lone] - 1, hi[torn]])]],
+        [key.take(pa.array(owner)), *[pa.array(x.astype(np.int64)) for x in (cell // n, cell % n, lo, hi)]],
         names=[name, "i", "j", "lo", "hi"])

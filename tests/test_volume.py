@@ -76,3 +76,28 @@ def test_a_crowd_is_spread_over_tasks(spark):
     step = (300 + 2 * RADII["C"]) / 40
     assert 0 < v <= 8 * step ** 3  # the crowd fills a lattice point or two of a coarse lattice
     assert math.isfinite(v)
+
+
+def test_lone_groups_are_counted_in_squares():
+    """Blocks that end inside spheres, a lattice of three words, no sphere at all and one without a place."""
+    rng = np.random.default_rng(5)
+    n, spheres, group, boxes, first, stop, want = 130, [], [], [], [], [], []
+    for g in range(12):
+        own = np.column_stack([rng.uniform(0, 6, (g % 5, 3)), rng.choice([0.0, 1.1, 1.7, 2.5], g % 5)])
+        box = np.array([v for o in rng.uniform(-3, 0, 3) for v in (o, rng.uniform(0.05, 0.09))])
+        lo = rng.integers(0, 60, 2)
+        hi = rng.integers(60, n + 1, 2)
+        c = [box[2 * d] + box[2 * d + 1] * (np.arange(n) + 0.5) for d in range(3)]
+        c = [c[0][lo[0]:hi[0]], c[1][lo[1]:hi[1]], c[2]]
+        hit = np.zeros([len(x) for x in c], bool)
+        for x, y, z, r in own:
+            hit |= ((c[0] - x)[:, None, None] ** 2 + (c[1] - y)[None, :, None] ** 2) + (c[2] - z)[None, None, :] ** 2 <= r * r
+        want.append(int(hit.sum()))
+        own = np.vstack([own, [[np.nan, 1.0, 1.0, 1.7]]])
+        spheres.append(own)
+        group += [g] * len(own)
+        boxes.append(box)
+        first.append(lo)
+        stop.append(hi)
+    got = V.lone_counts(np.vstack(spheres), np.array(group), np.array(boxes), np.array(first), np.array(stop), n)
+    assert got.tolist() == want
