@@ -51,7 +51,9 @@ def q_xyz_modes(spark, sf_dir):
     from molspark.sinks.tables import xyz_blocks
     from molspark.sources.xyz import parse_xyz
     m = br.molecules(spark, sf_dir).select("unique_id", "charge", F.lit(3).alias("multiplicity"), F.lit("CO").alias("smiles"))
-    blocks = xyz_blocks(m, br.atoms(spark, sf_dir, with_z=False)).withColumnRenamed("unique_id", "src")
+    path = _scratch(spark, "xyz-blocks")  # a table, as a user has it, written once for the six readings of it
+    xyz_blocks(m, br.atoms(spark, sf_dir, with_z=False)).withColumnRenamed("unique_id", "src").write.parquet(path)
+    blocks = spark.read.parquet(path)
     out = None
     for mode in ("basic", "annotated", "tokens"):
         mols, atoms, _ = parse_xyz(blocks, "xyz_block", mode=mode, id_col="src")

@@ -32,7 +32,7 @@ def _lines(text: Column, strip: bool) -> Column:
 
 def _atom_lines(lines: Column) -> Column:
     """Lines after the count and comment lines, trailing blank lines dropped."""
-    body = F.slice(lines, 3, F.greatest(F.size(lines) - 2, F.lit(0)))
+    body = F.slice(lines, 3, 1 << 30)  # to the end, as no text has as many lines
     return F.filter(body, lambda l: strip_text(l) != "")
 
 
@@ -75,15 +75,17 @@ def parse_xyz(df: DataFrame, text_col: str = "text", mode: str = "annotated",
     body = _atom_lines(lines)
     comment = F.coalesce(F.element_at(lines, 2), F.lit(""))
     toks = F.transform(body, _tokens)
-    bad_line = F.exists(toks, lambda t: (F.size(t) < 4)
+    bad_line = F.exists("_toks", lambda t: (F.size(t) < 4)
                         | F.element_at(t, 2).try_cast("double").isNull()
                         | F.element_at(t, 3).try_cast("double").isNull()
                         | F.element_at(t, 4).try_cast("double").isNull())
-    elements = F.transform(toks, lambda t: F.element_at(t, 1))
+    elements = F.transform("_toks", lambda t: F.element_at(t, 1))
     keep = [c for c in df.columns if c != text_col]
-    base = df.select(*keep, F.col(text_col).alias("_text"), body.alias("_body"),
-                     comment.alias("_comment"), toks.alias("_toks"), bad_line.alias("_bad"),
-                     elements.alias("_els"))
+    # The lines are split in a generator of one row, else each use of the tokens
+    # (filters among them) would split them again.
+    base = (df.select(*keep, F.col(text_col).alias("_text"), comment.alias("_comment"),
+                      F.explode(F.array(toks)).alias("_toks"))
+            .select("*", bad_line.alias("_bad"), elements.alias("_els")))
     cm = F.col("_comment")
     gen_id = molecule_id(F.col("_text"))
     if mode == "basic":
