@@ -295,13 +295,14 @@ def check_manifest(manifest: DataFrame, inventory: DataFrame, buckets: DataFrame
     """Manifest rows against the object inventory. Uploads need the
     target key absent, downloads need it present; the bucket must exist.
     ``inventory(bucket, key)``, ``buckets(bucket)``. Returns (ok, failures
-    with reason)."""
-    key = F.col("remote_path")
+    with reason). The inventory is merged, never sent to every task: it grows
+    with the stored objects, and its size in files says little of that in memory.
+    The buckets are few and are sent, so that none of them is one task."""
     m = manifest.withColumn("_b_ok", F.lit(True))
     b = buckets.select("bucket").distinct().withColumn("_has_bucket", F.lit(True))
     inv = inventory.select("bucket", F.col("key").alias("remote_path")).distinct() \
         .withColumn("_exists", F.lit(True))
-    j = m.join(b, "bucket", "left").join(inv, ["bucket", "remote_path"], "left")
+    j = m.join(F.broadcast(b), "bucket", "left").join(inv.hint("merge"), ["bucket", "remote_path"], "left")
     missing_bucket = F.col("_has_bucket").isNull()
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     reason = (F.when(missing_bucket, F.lit("bucket does not exist"))

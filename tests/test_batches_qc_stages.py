@@ -368,3 +368,13 @@ def test_types_do_not_depend_on_header_groups(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "rejects")).count() == 0
 
 
+
+
+def test_the_inventory_is_not_sent_to_every_task(spark):
+    man = spark.createDataFrame([("b1", "/l/a", "r/a"), (None, "/l/b", "r/b")], "bucket string, local_path string, remote_path string")
+    inv = spark.createDataFrame([("b1", "r/a"), ("b1", "r/a")], "bucket string, key string")
+    ok, bad = Q.check_manifest(man, inv, spark.createDataFrame([("b1",)], "bucket string"))
+    assert bad._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == 1  # the buckets
+    assert ok.count() == 0
+    assert sorted((r["remote_path"], r["reason"]) for r in bad.collect()) == [
+        ("r/a", "object already exists"), ("r/b", "bucket does not exist")]
