@@ -14,8 +14,11 @@ def _c(c) -> Column:
 
 def strip(col) -> Column:
     """Text without white space at both ends: tabs, line ends and Unicode
-    spaces as well as blanks."""
-    return F.regexp_replace(_c(col), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    spaces as well as blanks. Most texts begin and end with a printable ASCII
+    character and are not searched."""
+    c = _c(col)
+    ends = F.ascii(c).between(33, 126) & F.ascii(F.right(c, F.lit(1))).between(33, 126)
+    return F.when(ends, c).otherwise(F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
 
 
 def smiles_features(col) -> Column:

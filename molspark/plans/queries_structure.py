@@ -101,7 +101,10 @@ def q_xyz_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = br.molecules(spark, sf_dir).select("unique_id", "charge", F.lit(3).alias("multiplicity"), F.lit("CO").alias("smiles"))
     path = scratch_path(spark, f"xyz-rows-{uuid.uuid4().hex[:12]}")
     blocks = xyz_blocks(m, br.atoms(spark, sf_dir, with_z=False))
-    blocks.select("unique_id", "xyz_block", F.lit("CO").alias("smiles")).repartitionByRange(16, "unique_id") \
+    # Written before they are put in order, as the search for the borders of the ranges reads every row once more.
+    blocks.select("unique_id", "xyz_block", F.lit("CO").alias("smiles")).write.parquet(f"{path}-unordered")
+    files = max(16, 4 * spark.sparkContext.defaultParallelism)
+    spark.read.parquet(f"{path}-unordered").repartitionByRange(files, "unique_id") \
         .sortWithinPartitions("unique_id").write.parquet(path)
     n = spark.read.parquet(path).count()
     mols, atoms, _ = read_xyz_rows(spark, path, n // 3, n // 2)

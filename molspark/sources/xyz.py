@@ -24,20 +24,22 @@ ENERGY_PATTERN = r"energy_hartree:\s*([-+]?\d*\.?\d+(?:[eE][-+]?\d+)?)"
 
 
 def _lines(text: Column, strip: bool) -> Column:
-    t = F.regexp_replace(text, "\r", "")
+    t = F.replace(text, F.lit("\r"), F.lit(""))
     if strip:
         t = strip_text(t)
     return F.split(t, "\n")
 
 
 def _atom_lines(lines: Column) -> Column:
-    """Lines after the count and comment lines, trailing blank lines dropped."""
+    """Lines after the count and comment lines without white space at their ends,
+    blank lines dropped."""
     body = F.slice(lines, 3, 1 << 30)  # to the end, as no text has as many lines
-    return F.filter(body, lambda l: strip_text(l) != "")
+    return F.filter(F.transform(body, strip_text), lambda l: l != "")
 
 
-def _tokens(line: Column) -> Column:
-    return F.split(strip_text(line), r"\s+")
+def _words(text: Column) -> Column:
+    """Runs of other characters than ASCII white space."""
+    return F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
 
 
 def _parity_multiplicity(elements: Column, charge: Column) -> Column:
@@ -72,19 +74,21 @@ def parse_xyz(df: DataFrame, text_col: str = "text", mode: str = "annotated",
     molecule with a malformed atom line goes to failures only."""
     strip = mode == "tokens"
     lines = _lines(F.col(text_col), strip)
-    body = _atom_lines(lines)
-    comment = F.coalesce(F.element_at(lines, 2), F.lit(""))
-    toks = F.transform(body, _tokens)
+    comment = F.coalesce(F.element_at("_lines", 2), F.lit(""))
+    toks = F.transform(_atom_lines(F.col("_lines")), _words)
     bad_line = F.exists("_toks", lambda t: (F.size(t) < 4)
                         | F.element_at(t, 2).try_cast("double").isNull()
                         | F.element_at(t, 3).try_cast("double").isNull()
                         | F.element_at(t, 4).try_cast("double").isNull())
     elements = F.transform("_toks", lambda t: F.element_at(t, 1))
     keep = [c for c in df.columns if c != text_col]
-    # The lines are split in a generator of one row, else each use of the tokens
-    # (filters among them) would split them again.
-    base = (df.select(*keep, F.col(text_col).alias("_text"), comment.alias("_comment"),
-                      F.explode(F.array(toks)).alias("_toks"))
+    # Lines and tokens are split in generators of one row each, else every use of
+    # them (filters among them) would split them again.
+    told = _words(F.trim(comment)) if strip else F.lit(None)
+    base = (df.select(*keep, F.col(text_col).alias("_text"), F.explode(F.array(lines)).alias("_lines"))
+            .select(*keep, "_text", comment.alias("_comment"),
+                    F.explode(F.array(F.struct(toks.alias("toks"), told.alias("told")))).alias("_split"))
+            .select(*keep, "_text", "_comment", F.col("_split.toks").alias("_toks"), F.col("_split.told").alias("_told"))
             .select("*", bad_line.alias("_bad"), elements.alias("_els")))
     cm = F.col("_comment")
     gen_id = molecule_id(F.col("_text"))
@@ -106,7 +110,7 @@ def parse_xyz(df: DataFrame, text_col: str = "text", mode: str = "annotated",
                           else F.lit(1))
         energy = F.nullif(F.regexp_extract(t, ENERGY_PATTERN, 1), F.lit("")).cast("double")
     elif mode == "tokens":
-        ct = F.filter(F.split(F.trim(cm), r"\s+"), lambda x: x != "")
+        ct = F.col("_told")
         first = F.element_at(ct, 1)
 
         def last_tag(tag):

@@ -245,3 +245,40 @@ def test_lines_of_a_block_are_split_once(spark):
         assert sorted((r.unique_id, r.num_atoms) for r in m.collect()) == [("a", 2), ("d", 0)]
         assert sorted((r.unique_id, r.atom_idx, r.z) for r in a.collect()) == [("a", 0, 0.5), ("a", 1, 1.5)]
         assert [r.unique_id for r in bad.collect()] == ["b"]
+
+
+def test_comment_is_split_once_and_ends_of_plain_lines_are_not_searched(spark):
+    from molspark.sources.xyz import parse_xyz
+    text = "2\r\nCO \t charge:1  unique_id:a multiplicity:2\r\n\u00a0O 0\t0  0.5 \r\n \u2003\r\nH 0 0 1.5\u00a0"
+    df = spark.createDataFrame([(text,), ("1\nCO unique_id:b\nH 0 0 x",), ("1\nCO unique_id:c\n H\u00a00 0 0 1",)], "t string")
+    m, a, bad = parse_xyz(df, "t", mode="tokens")
+    for x in (m, a):
+        plan = x._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(lambda") == 1 == plan.count("regexp_extract_all(trim(")
+    assert sorted((r.unique_id, r.smiles, r.charge, r.multiplicity, r.num_atoms) for r in m.collect()) == \
+        [("a", "CO", 1, 2, 2), ("c", "CO", 0, 1, 1)]
+    assert sorted((r.unique_id, r.element, r.x, r.z) for r in a.collect()) == \
+        [("a", "H", 0.0, 1.5), ("a", "O", 0.0, 0.5), ("c", "H\u00a00", 0.0, 1.0)]
+    assert [r.unique_id for r in bad.collect()] == ["b"]
+
+
+def test_xyz_row_range_orders_written_blocks(spark, tmp_path, monkeypatch):
+    """The search for the borders of the ranges does not build the blocks again."""
+    from molspark.plans.queries_structure import q_xyz_row_range
+    orders = [(i, i, 10.0, "F", "1-URGENT") for i in range(40)]
+    lines = [(i, 1 + j, i, j, 100.0, 10.0, 0.05, 0.02) for i in range(40) for j in range(2)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderstatus string, o_orderpriority string") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, "
+                          "l_quantity double, l_discount double, l_tax double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    kind = type(spark.range(1))
+    plans, ranged = [], kind.repartitionByRange
+
+    def seen(self, *args):
+        plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return ranged(self, *args)
+
+    monkeypatch.setattr(kind, "repartitionByRange", seen)
+    got = [(r.smiles, r.num_atoms, r.sum_x) for r in q_xyz_row_range(spark, str(tmp_path)).collect()]
+    assert got == [("CO", 2, 2.0)] * 20
+    assert len(plans) == 1 and "Aggregate" not in plans[0] and "Window" not in plans[0]
