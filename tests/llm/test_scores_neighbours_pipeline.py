@@ -82,6 +82,37 @@ def test_every_word_of_the_corpus_counts(spark, local):
             assert g.ce_target == pytest.approx(a, rel=1e-4) and g.ce_background == pytest.approx(b, rel=1e-4)
 
 
+def test_scores_write_no_table_of_pairs(spark):
+    """What the scores of random words leave on disk follows the texts, not four
+    times their pairs, and one word in every text is dealt to several tasks."""
+    from pathlib import Path
+
+    from molspark.llm.common import scratch_root
+    r = random.Random(9)
+    docs = [(i, " ".join(["the", *(f"{r.randint(0, 9999)}" for _ in range(400))]), bool(i % 2)) for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, target boolean")
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in root.rglob("*.parquet"))
+    before = size()
+    got = {g.doc_id: g for g in lm_score.score(df).collect()}
+    left = size() - before
+    want = plain_scores(docs, len({w for _, t, _ in docs for w in words(t)[0].tolist()}) + 2, 20.0)
+    for key, (n, a, b) in want.items():
+        assert got[key].n_words == n == 401
+        assert got[key].ce_target == pytest.approx(a, rel=1e-9) and got[key].ce_background == pytest.approx(b, rel=1e-9)
+    assert left < 2 * sum(len(t) for _, t, _ in docs)
+
+
+def test_shuffles_of_stored_steps_are_removed(spark):
+    from molspark.llm.common import freed_shuffles
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with pytest.raises(ValueError), freed_shuffles(spark):
+        assert spark.conf.get(name) == "true"
+        raise ValueError
+    assert spark.conf.get(name, None) == before
+
+
 def test_scores_without_target_or_rows(spark):
     df = spark.createDataFrame([(1, "a b", False)], "doc_id long, text string, target boolean")
     assert lm_score.score(df).head().n_words == 2
