@@ -72,9 +72,9 @@ def document_frequencies(docs: DataFrame, text: str, params: Params) -> tuple[np
                               ["feature", "n"])
 
     rows = (docs.select(text).mapInArrow(count, "feature long, n long")
-            .groupBy("feature").agg(F.sum("n").alias("n")).toPandas())
+            .groupBy("feature").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(params.features + 1, np.int64)
-    out[rows["feature"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    out[rows["feature"].to_numpy()] = rows["n"].to_numpy()
     return out[:-1], int(out[-1])
 
 
@@ -133,7 +133,10 @@ def randomised_svd(rows: DataFrame, vocabulary: np.ndarray, rank: int, iteration
                     out[f] += np.outer(w, y)
             yield out
 
-        return data.mapPartitions(add).treeReduce(np.add)
+        try:
+            return data.mapPartitions(add).treeReduce(np.add)
+        finally:
+            shared.destroy()
 
     rank = min(rank, len(vocabulary))
     q = np.random.default_rng(seed).standard_normal((len(vocabulary), rank))
@@ -327,15 +330,14 @@ def indexes(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_te
 
 
 def _index(rows: DataFrame, items: DataFrame, idf: np.ndarray, params: Params) -> Index | None:
-    local = rows.select("item", "features", "weights").toPandas()
-    if not len(local):
+    local = rows.select("item", "features", "weights").collect()
+    if not local:
         return None
-    vocabulary = np.unique(np.concatenate([np.asarray(f) for f in local["features"]]))
+    vocabulary = np.unique(np.concatenate([np.asarray(r.features) for r in local]))
     basis, _ = randomised_svd(rows, vocabulary, min(params.rank, len(local)), params.iterations)
     place = np.full(params.features, -1, np.int32)
     place[vocabulary] = np.arange(len(vocabulary))
-    latent = np.stack([np.asarray(w) @ basis[place[np.asarray(f)]]
-                       for f, w in zip(local["features"], local["weights"])])
+    latent = np.stack([np.asarray(r.weights) @ basis[place[np.asarray(r.features)]] for r in local])
     size = directions(latent, params.kept)
     basis, latent = basis[:, :size], latent[:, :size]
     latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-12)[:, None]
@@ -346,7 +348,7 @@ def _index(rows: DataFrame, items: DataFrame, idf: np.ndarray, params: Params) -
     for i, t in enumerate(texts):
         at.setdefault(t.key, []).append(i)
     # A key with several texts: its passages stand for each of them.
-    pairs = [(p, i) for p, k in enumerate(local["item"]) for i in at.get(k, ())]
+    pairs = [(p, i) for p, r in enumerate(local) for i in at.get(r.item, ())]
     folds = np.vstack([basis * idf[vocabulary, None], np.zeros((1, size))])
     return Index(idf, place, folds.astype(np.float32),
                  np.ascontiguousarray(latent[[p for p, _ in pairs]].T, np.float32),

@@ -255,3 +255,21 @@ def test_rows_without_key_keep_their_links(spark):
 def test_a_pair_at_the_threshold_is_missed_less_than_once_in_ten_million():
     p = near_duplicates.near_duplicates.__defaults__[-1]
     assert (1 - p.similarity ** p.stop) ** p.trees < 1e-7
+
+
+def test_frequencies_reach_the_driver_as_columns(spark, monkeypatch):
+    """A row object for each of 2^18 features took 120 MB of the driver's Python."""
+    import numpy as np
+
+    from molspark.llm import decontaminate
+    docs = spark.createDataFrame([("a b b",), ("b c",), (None,), ("b",)], "text string").repartition(3)
+
+    def rows(self):
+        raise AssertionError("collected by rows")
+
+    for name in ("toPandas", "collect"):
+        monkeypatch.setattr(type(docs), name, rows)
+    params = decontaminate.Params()
+    held, n = decontaminate.document_frequencies(docs, "text", params)
+    at = [int(words(w)[0][0] & np.uint64(params.features - 1)) for w in "abc"]
+    assert n == 4 and held[at].tolist() == [1, 3, 1] and held.sum() == 5
