@@ -83,6 +83,15 @@ def test_repeated_rows_null_keys_clashes_and_nothing(spark):
     assert near_duplicates.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_no_link_is_lost_where_the_forest_finds_nothing(spark):
+    """One tree of whole labels, and texts that share a common line; chunks are small."""
+    line = "a line that all of the texts of this table hold and more"
+    docs = [(i, f"{t} {line}") for i, t in corpus(11, 40, 4, 4)] + [(5000, line), (5001, line.upper()), (5002, "one"), (5003, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    for weak in (Params(trees=1, recall=0.0), Params(trees=1, recall=0.0, counted=200, tile=8)):
+        assert sorted(map(tuple, near_duplicates.near_duplicates(df, params=weak).collect())) == sorted(brute(docs))
+
+
 def test_stop_depth_follows_the_recall():
     assert Params().stop == 5 and Params(recall=0.9).stop > 5 and Params(trees=64).stop > 5
     assert Params(recall=1.1).stop == 1
