@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from molspark.refdata import element_ref, periodic_ref
-from molspark.session import ensure_checkpoint_dir, scratch_path
+from molspark.session import ensure_checkpoint_dir, freed_shuffles, scratch_path
 
 
 def atoms_with_molecules(atoms: DataFrame, molecules: DataFrame, key: str = "unique_id") -> DataFrame:
@@ -88,61 +88,64 @@ def ensemble_stats(predictions: DataFrame, cols: Sequence[str], key: str = "uniq
     return predictions.groupBy(key, *by).agg(*aggs)
 
 
-#: Atoms whose coordinates are offered to the tolerance grid, coordinates of the
-#: grid, and its cell width in tolerances.
-_PROBES, _GRID, _CELL = 5, 3, 8.0
+#: Features of a molecule, width of a grid cell in tolerances, how far two
+#: features may differ (with room for the rounding of sums in any order), and
+#: shares in which the cells are joined.
+_GRID, _CELL, _REACH, _SHARES = 3, 16.0, 1.01, 4
 
 
-def _probes() -> dict[str, Column]:
-    """Aggregates of a molecule: coordinates of a few atoms chosen by a hash of
-    their index, which are the same atoms in molecules of one element sequence."""
-    return {f"_f{3 * j + i}": F.min_by(c, F.xxhash64(F.lit(j), "atom_idx"))
-            for j in range(_PROBES) for i, c in enumerate("xyz")}
+def _features(rtol: float, atol: float) -> dict[str, Column]:
+    """Aggregates of a molecule: averages of all its coordinates in tolerances,
+    with weights from 0.5 to 1 and signs by a hash of the atom's index. Where
+    every coordinate agrees within its tolerance, so does the average; a change of
+    any atom moves it, also in centred molecules."""
+    x, y, z = (_in_tolerances(F.col(c), max(rtol, 1e-6), max(atol, 1e-9)) for c in "xyz")
+    out = {}
+    for i, v in enumerate((x + y + z, x - y + z, x + y - z)):
+        h = F.xxhash64(F.lit(i), "atom_idx")
+        weight = F.lit(0.5) + h.bitwiseAND(F.lit(0xFFFFFF)).cast("double") / F.lit(float(1 << 25))
+        signed = F.when(h.bitwiseAND(F.lit(1 << 30)) == 0, weight).otherwise(-weight)
+        out[f"_f{i}"] = F.sum(signed * v) / (F.lit(3.0) * F.count(F.lit(1)))
+    return out
 
 
 def _in_tolerances(v: Column, rtol: float, atol: float) -> Column:
     """``v`` on the scale on which the tolerance ``atol + rtol * |v|`` is 1
     everywhere (its reciprocal's integral)."""
-    atol = max(atol, 1e-12)
-    if not rtol:
-        return v / F.lit(atol)
     return F.signum(v) * F.log1p(F.abs(v) * F.lit(rtol / atol)) / F.lit(rtol)
 
 
-def duplicate_candidates(classes: DataFrame, features: list[str], rtol: float) -> DataFrame:
+def duplicate_candidates(classes: DataFrame, features: list[str], rtol: float, shares: int = 1, share: int = 0) -> DataFrame:
     """(_a, _b) with _b < _a: classes of a block that agree within tolerance in
-    each of the block's three coordinates that vary most. ``features`` are in
-    tolerances (``_in_tolerances``), so one far molecule widens no cell. Cells
-    are some tolerances wide; one side goes to its own cell, the other to all
-    that its tolerance touches, so a pair meets once and molecules that differ in
-    any of the coordinates do not, however many share a formula or a mean."""
-    reach = 1.000001 / (1.0 - rtol)  # the tolerance of a pair is that of one side's value
-    axes = F.sort_array(F.array(*[F.struct(F.stddev_pop(f).alias("spread"), F.lit(i).alias("i"))
-                                  for i, f in enumerate(features)]), asc=False)
-    # The same atom may have been chosen twice.
-    once = F.filter("_all", lambda x, i: (i == 0) | (x["spread"] != F.get("_all", i - 1)["spread"]))
-    salts = 16  # a block may hold a third of all molecules: its one row of axes is repeated
-    blocks = (classes.groupBy("_block").agg(F.count(F.lit(1)).alias("_k"), axes.alias("_all")).where("_k > 1")
-              .select("_block", *[F.coalesce(F.get(once, F.lit(i)), F.get("_all", F.lit(0)))["i"].alias(f"_x{i}") for i in range(_GRID)],
-                      F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s")))
-    placed = (classes.withColumn("_s", F.pmod(F.xxhash64("_rep"), F.lit(salts)).cast("int")).join(blocks, ["_block", "_s"])
-              .select("_block", "_rep", *[F.get(F.array(*features), F.col(f"_x{i}")).alias(f"_v{i}") for i in range(_GRID)]))
+    each of the ``features``, which are in tolerances (``_in_tolerances``), so one
+    far molecule widens no cell. Cells are some tolerances wide; one side goes to
+    its own cell, the other to all that its tolerance touches, so a pair meets
+    once and molecules that differ in any feature do not, however many share a
+    formula or a mean. Cells are told by a hash; a pair must be near besides.
+    Of ``shares`` of the cells, the pairs of one."""
+    reach = _REACH / (1.0 - max(rtol, 1e-6))  # the tolerance of a pair is that of one side's value
     cell = lambda v: F.floor(v / F.lit(_CELL * reach)).cast("long")
-    one = placed.select("_block", F.col("_rep").alias("_a"), *[F.col(f"_v{i}").alias(f"_a{i}") for i in range(_GRID)],
-                        *[cell(F.col(f"_v{i}")).alias(f"_c{i}") for i in range(_GRID)])
-    other = placed.select("_block", F.col("_rep").alias("_b"), *[F.col(f"_v{i}").alias(f"_b{i}") for i in range(_GRID)])
-    for i in range(_GRID):
-        other = other.withColumn(f"_c{i}", F.explode(F.sequence(cell(F.col(f"_b{i}") - reach), cell(F.col(f"_b{i}") + reach))))
+    place = F.xxhash64("_block", *[f"_c{i}" for i in range(_GRID)]).alias("_cell")
+    one, other = classes, classes
+    for i, f in enumerate(features):
+        one = one.withColumn(f"_c{i}", cell(F.col(f)))
+        other = other.withColumn(f"_c{i}", F.explode(F.sequence(cell(F.col(f) - reach), cell(F.col(f) + reach))))
+    one = one.select("_block", place, F.col("_rep").alias("_a"), *[F.col(f).alias(f"_a{i}") for i, f in enumerate(features)])
+    other = other.select("_block", place, F.col("_rep").alias("_b"), *[F.col(f).alias(f"_b{i}") for i, f in enumerate(features)])
     near = functools.reduce(lambda p, q: p & q, [F.abs(F.col(f"_a{i}") - F.col(f"_b{i}")) <= F.lit(reach) for i in range(_GRID)])
-    return (one.join(other, ["_block", *[f"_c{i}" for i in range(_GRID)]])
-            .where((F.col("_b") < F.col("_a")) & near).select("_a", "_b"))
+    one, other = (side.where(F.pmod("_cell", F.lit(shares)) == share) for side in (one, other))
+    return one.join(other, ["_block", "_cell"]).where((F.col("_b") < F.col("_a")) & near).select("_a", "_b")
 
 
-def _written(table: DataFrame, name: str) -> DataFrame:
-    """The table, written to the shared folder and read back."""
-    path = scratch_path(table.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    table.write.parquet(path)
-    return table.sparkSession.read.parquet(path)
+def _written(name: str, *tables: DataFrame) -> DataFrame:
+    """The rows of the tables, written to the shared folder one table after the
+    other and read back; what was shuffled for a table is removed before the next."""
+    spark = tables[0].sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    with freed_shuffles(spark):
+        for table in tables:
+            table.write.mode("append").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
 
 def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float = 1e-5,
@@ -157,7 +160,7 @@ def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float =
     |other|``; arrays of other lengths differ, and an array that only the smaller
     id has is not compared. Molecules with the very same coordinates and arrays
     are one class first (by aggregate hashes), so copies are never paired; the
-    classes of a block meet in a grid of the block's widest coordinates
+    classes of a block meet in a grid of three averages of their coordinates
     (``duplicate_candidates``) and are then compared atom by atom."""
     def coordinates(seed: int) -> list[Column]:
         same = [F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) for c in "xyz"]  # -0.0 is 0.0
@@ -166,8 +169,7 @@ def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float =
 
     if not 0 <= rtol < 1 or atol < 0:
         raise ValueError("rtol must be from 0 to 1 and atol not negative")
-    probes = _probes()
-    features = list(probes)
+    features = _features(rtol, atol)
     tagged = F.pmod(F.xxhash64(F.col("atom_idx"), F.col("element")), F.lit(2147483647))
     sums = [*coordinates(1), *coordinates(2)]
     sig = atoms.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(tagged).alias("_h"),
@@ -180,19 +182,17 @@ def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float =
                                                    for i in range(len(sums))], "_arrays"), 256)
     short = lambda c: F.unhex(F.substring(c, 1, 32))  # noqa: E731  (128 bits)
     # Three narrow columns a molecule; they are read twice.
-    rows = _written(molecules.select(key, *same, *[c for c in array_cols if c not in same]).join(sig, key)
+    rows = _written("duplicate-rows", molecules.select(key, *same, *[c for c in array_cols if c not in same]).join(sig, key)
                     .select(F.col(key).alias("_id"), block.alias("_hex"), *[f"_g{i}" for i in range(len(sums))], arrays.alias("_arrays"))
-                    .select("_id", short(F.col("_hex")).alias("_block"), short(exact).alias("_same")), "duplicate-rows")
-    classes = _written(rows.groupBy("_same").agg(F.min("_block").alias("_block"), F.min("_id").alias("_rep"),
-                                                 F.count(F.lit(1)).alias("_k")), "duplicate-classes")
-    shared = classes.groupBy("_block").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_block")
-    # Coordinates are looked up for the classes that share a block with another.
-    several = classes.join(shared, "_block").select("_block", "_rep")
+                    .select("_id", short(F.col("_hex")).alias("_block"), short(exact).alias("_same")))
+    classes = _written("duplicate-classes", rows.groupBy("_same").agg(F.min("_block").alias("_block"), F.min("_id").alias("_rep"),
+                                                                      F.count(F.lit(1)).alias("_k")))
     placed = atoms.select(F.col(key).alias("id"), "atom_idx", "x", "y", "z")
-    found = (placed.join(several.select(F.col("_rep").alias("id")).distinct(), "id").groupBy("id")
-             .agg(*[c.alias(f) for f, c in probes.items()])
-             .select(F.col("id").alias("_rep"), *[_in_tolerances(F.col(f), rtol, atol).alias(f) for f in features]))
-    pairs = duplicate_candidates(several.join(found, "_rep"), features, rtol)
+    # A task's atoms are averaged before they move.
+    found = placed.groupBy(F.col("id").alias("_rep")).agg(*[c.alias(f) for f, c in features.items()])
+    places = _written("duplicate-places", classes.select("_block", "_rep").join(found, "_rep"))
+    # Two sides and the neighbouring cells of one of them move: a share at a time.
+    pairs = _written("duplicate-pairs", *[duplicate_candidates(places, list(features), rtol, _SHARES, s) for s in range(_SHARES)])
     close = lambda p, q: F.abs(p - q) <= F.lit(atol) + F.lit(rtol) * F.abs(q)
     if array_cols:
         mine = molecules.select(F.col(key).alias("_a"), *[F.col(c).alias(f"_p{i}") for i, c in enumerate(array_cols)])
@@ -210,7 +210,7 @@ def structural_duplicates(molecules: DataFrame, atoms: DataFrame, rtol: float =
         F.max(F.when(F.col("first") == side, F.col(c))).alias(f"_{c}{n}") for c in "xyz" for n, side in (("a", True), ("b", False))])
     agree = functools.reduce(lambda p, q: p & q, [close(F.col(f"_{c}a"), F.col(f"_{c}b")) for c in "xyz"])
     equal = met.groupBy("_a", "_b").agg(F.bool_and(F.coalesce(agree, F.lit(False))).alias("_eq")).filter("_eq")
-    nearest = equal.groupBy(F.col("_a").alias("_rep")).agg(F.min("_b").alias("_other"))
+    nearest = _written("duplicate-nearest", equal.groupBy(F.col("_a").alias("_rep")).agg(F.min("_b").alias("_other")))
     told = classes.join(nearest, "_rep", "left").where("_k > 1 OR _other IS NOT NULL").select("_same", "_rep", "_other")
     named = rows.select("_id", "_same").join(told, "_same")
     rep = F.least(F.col("_rep"), F.coalesce(F.col("_other"), F.col("_rep")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from molspark.plans import bridge as br
 from molspark.plans.queries import register, rk
-from molspark.session import scratch_path
+from molspark.session import freed_shuffles, scratch_path
 
 
 # --- one large quoted file per batch, cut into byte ranges (S13) ------------------
@@ -82,8 +82,9 @@ def q_conformer_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         named_struct('unique_id', id || 'd', 'u', u + 1e-2, 'there', k % 9 = 0)), i -> i.there)) AS (unique_id, u, there) FROM {conf}) i""",
                        conf=conf)
     path = scratch_path(spark, f"conformers-{uuid.uuid4().hex[:12]}")
-    spark.sql("SELECT unique_id, p.* FROM (SELECT unique_id, explode(array(" + points + ")) AS p FROM {copied})",
-              copied=copied).write.parquet(path)  # a table, as a user has it
+    with freed_shuffles(spark):
+        spark.sql("SELECT unique_id, p.* FROM (SELECT unique_id, explode(array(" + points + ")) AS p FROM {copied})",
+                  copied=copied).write.parquet(path)  # a table, as a user has it
     mols = spark.read.parquet(path).where("atom_idx = 0").select("unique_id")  # every conformer has one
     return structural_duplicates(mols, spark.read.parquet(path))
 

@@ -6,6 +6,8 @@ import math
 import os
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +63,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffles of every action within are removed when it ends, so that
+    the next one has their disk. Only for steps whose results are written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def few_tasks(scan: DataFrame, task_bytes: int = 32 << 20) -> DataFrame:
     """A scan of files in small byte ranges, many ranges to a task: about
     ``task_bytes`` each, and no fewer tasks than four per core. The ranges stay
